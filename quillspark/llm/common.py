@@ -37,12 +37,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
     The folder is the session's ``spark.checkpoint.dir``; a temporary one is
     set only where the session names none, as in local tests.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quillspark-checkpoint-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the session's, else a temporary one for local runs."""
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="quillspark-checkpoint-"))
+    return (named or sc.getCheckpointDir()).rstrip("/")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -45,8 +45,9 @@ def source_rates(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, limit: fl
 
 
 def draw(doc_id: Column, seed: int) -> Column:
-    """A uniform number in [0, 1) from a document's id."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), doc_id), 11) * F.lit(2.0**-53)
+    """A uniform number in [0, 1) from a document's id: 52 bits of an MD5, as any engine can make them."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") * F.lit(2.0**-52)
 
 
 def copies(doc_id: Column, rate: Column, seed: int) -> Column:
@@ -54,10 +55,16 @@ def copies(doc_id: Column, rate: Column, seed: int) -> Column:
     return (whole + F.when(draw(doc_id, seed) < rate - whole, 1).otherwise(0)).cast("long")
 
 
+def _small(rates: DataFrame, most: int = 100_000) -> DataFrame:
+    """``rates``, to be broadcast if there are few enough sources to prove it small."""
+    rates = common.checkpointed(rates)
+    return F.broadcast(rates) if rates.count() <= most else rates
+
+
 def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, limit: float = 3.0, seed: int = 17) -> DataFrame:
     """(doc_id, size, source_size, target, copies, taken) of each row of ``docs``."""
     sized = common.checkpointed(docs.select("doc_id", "source", common.word_count(F.col("text")).alias("size")))
-    rates = source_rates(sized, weights, limit).withColumnRenamed("source", "of")
+    rates = _small(source_rates(sized, weights, limit).withColumnRenamed("source", "of"))
     out = sized.join(rates, F.col("source").eqNullSafe(F.col("of")), "left").withColumn("copies", copies(F.col("doc_id"), F.col("rate"), seed))
     return out.select("doc_id", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
@@ -65,7 +72,7 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, limit: float =
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, limit: float = 3.0, seed: int = 17) -> DataFrame:
     """The rows of ``docs``, each as many times as the mix takes it, in the same columns."""
     sized = docs.select("source", common.word_count(F.col("text")).alias("size"))
-    rates = source_rates(sized, weights, limit).select(F.struct("source", "rate").alias("__mix"))
+    rates = _small(source_rates(sized, weights, limit).select(F.struct("source", "rate").alias("__mix")))
     times = copies(F.col("doc_id"), F.coalesce(F.col("__mix.rate"), F.lit(0.0)), seed)
     joined = docs.join(rates, F.col("source").eqNullSafe(F.col("__mix.source")), "left")
     return joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])

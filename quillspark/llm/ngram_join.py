@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.llm import common
@@ -316,3 +316,19 @@ def shingle_count(text, k: int):
     cut = F.filter(F.split(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), common.GAP), lambda w: w != "")
     runs = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(cut) - k + 1)), lambda i: F.concat_ws(" ", F.slice(cut, i, k)))
     return F.when(text.isNull() | (F.size(cut) == 0), F.lit(0)).otherwise(F.size(F.array_distinct(runs))).cast("long")
+
+
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, most_broadcast: int = 1_000_000) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component the document with the smallest id stays.
+
+    Of rows that repeat an id the first by text stays; rows without an id stay.
+    """
+    classes = common.checkpointed(ngram_jaccard_components(docs, k, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")))
+    gone = F.broadcast(classes) if classes.count() <= most_broadcast else classes
+    left = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    repeated = common.checkpointed(left.groupBy(F.col("doc_id").alias("__twice")).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1 and __twice is not null").select("__twice"))
+    if repeated.isEmpty():
+        return left
+    same = F.col("doc_id") == F.col("__twice")
+    first = left.join(repeated, same, "left_semi").withColumn("__at", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("__at = 1").drop("__at")
+    return left.join(repeated, same, "left_anti").unionByName(first)
