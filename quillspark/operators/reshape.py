@@ -55,7 +55,11 @@ def execution_steps(df: DataFrame, distinct: bool = False) -> DataFrame:
 
 def tagged_items(df: DataFrame, keys: Sequence[str], sources: dict[str, Column], tag: str, item: str) -> DataFrame:
     """Non-blank items of several arrays as rows, tagged by their source."""
-    each = [F.transform(F.coalesce(a, F.array().cast("array<string>")), lambda x, t=t: F.struct(F.lit(t).alias(tag), x.cast("string").alias(item))) for t, a in sources.items()]
+
+    def tagged(name: str):
+        return lambda x: F.struct(F.lit(name).alias(tag), x.cast("string").alias(item))
+
+    each = [F.transform(F.coalesce(a, F.array().cast("array<string>")), tagged(name)) for name, a in sources.items()]
     return df.select(*keys, F.explode(F.concat(*each)).alias("x")).select(*keys, f"x.{tag}", f"x.{item}").where(~C.blank(F.col(item)))
 
 
