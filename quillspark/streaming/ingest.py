@@ -42,5 +42,5 @@ def run_silver_stream(bronze: DataFrame, write, checkpoint: str, once: bool = Tr
 
 def windowed_comparison(events: DataFrame, time: str, keys: list[str], bad, late: str = "1 hour", width: str = "1 day") -> DataFrame:
     """Rows and share of bad rows per time window and key, late rows up to the watermark."""
-    grouped = events.withWatermark(time, late).groupBy(F.window(time, width), *keys)
+    grouped = events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late).groupBy(F.window(time, width), *keys)
     return grouped.agg(F.count(F.lit(1)).alias("step_count"), F.avg(F.when(bad, 1.0).otherwise(0.0)).alias("bad_rate"))
