@@ -53,7 +53,7 @@ def shingle_hashes(word_hash: np.ndarray, doc: np.ndarray, n_docs: int, k: int)
     starts = np.cumsum(n) - n
     with np.errstate(over="ignore"):
         h = word_hash.copy()
-        for j in range(1, k):
+        for j in range(1, min(k, len(h))):
             h[: len(h) - j] = h[: len(h) - j] * np.uint64(0x2545F4914F6CDD1D) + word_hash[j:]
         h = common.mix(h)
         here = np.arange(len(h)) + k <= np.repeat(starts + n, n)

@@ -122,7 +122,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = 12_000, **grown)
     """A model from at most ``rows`` labelled documents outside the held-out fold, the first by hash of their ids."""
     own = labels.where("doc_id is not null and quality is not null").where(~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").alias("of")).agg(F.max("quality").alias("quality"))
     picked = F.broadcast(own.orderBy(F.xxhash64("of"), "of").limit(rows))
-    seen = _featured(docs.join(picked, F.col("doc_id") == F.col("of"), "left_semi")).join(picked, F.col("doc_id") == F.col("of")).select("doc_id", "x", "quality").toPandas()
+    seen = _featured(docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("of"), "left_semi")).join(picked, F.col("doc_id") == F.col("of")).select("doc_id", "x", "quality").toPandas()
     if not len(seen):
         return grow(np.zeros((0, 1)), np.zeros(0), **grown)
     x = np.array(seen["x"].tolist(), dtype=float)
