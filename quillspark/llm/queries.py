@@ -127,4 +127,43 @@ SELECT doc_id, license, CAST(count(*) AS BIGINT) AS n_units, round(max(dice), 6)
 """
 
 
-ORACLE_SQL = {"op2_ngram_jaccard_join": _NGRAM_SQL, "op3_source_mixing": _MIX_SQL, "op10_license_scan": _license_sql()}
+def _secret_sql(scope: int = 200) -> str:
+    passes = {
+        "assign": f"length(regexp_extract(t, $${secrets.ASSIGN}$$, 2)) >= 12",
+        "access": "length(t) >= 18",
+        "hex": "length(t) >= 16",
+        "link_access": "regexp_matches(t, '[A-Z]') AND regexp_matches(t, '[0-9]')",
+        "link_secret": "regexp_matches(t, '[A-Z]') AND regexp_matches(t, '[a-z]') AND regexp_matches(t, '[0-9]')",
+        "link_endpoint": "true",
+    }
+    spans = []
+    for i, (kind, pattern, _, role) in enumerate(secrets._KINDS):
+        spans.append(
+            f"SELECT doc_id, {i} AS k, '{kind}' AS kind, '{role}' AS role, coalesce(list_sum(list_transform(b[1:n], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[1:n - 1], lambda x: length(x))), 0) AS a, m[n] AS t"
+            f" FROM (SELECT doc_id, string_split_regex(text, $${pattern}$$) AS b, m, unnest(range(1, len(m) + 1)) AS n FROM (SELECT doc_id, text, regexp_extract_all(text, $${pattern}$$, 0) AS m FROM d)) WHERE {passes[kind].replace('(t,', '(m[n],').replace('(t)', '(m[n])')}"
+        )
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+p AS (SELECT *, a + length(t) AS e FROM ({' UNION ALL '.join(spans)})),
+base AS (SELECT doc_id, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access, count(*) FILTER (WHERE k = 2) AS n_hex,
+  coalesce(string_agg(kind || ':' || CAST(a AS BIGINT) || ':' || CAST(e AS BIGINT), ',' ORDER BY a, k), '') AS written FROM p WHERE k <= 2 GROUP BY 1),
+w AS (SELECT * FROM p x WHERE k > 2 AND NOT EXISTS (SELECT 1 FROM p y WHERE y.doc_id = x.doc_id AND y.k <= 2 AND y.a <= x.a AND y.e >= x.e)),
+l AS (SELECT * FROM w WHERE (role = 'access' AND EXISTS (SELECT 1 FROM p y WHERE y.doc_id = w.doc_id AND y.role = 'secret' AND abs(y.a - w.a) <= {scope}))
+  OR (role = 'secret' AND EXISTS (SELECT 1 FROM p y WHERE y.doc_id = w.doc_id AND y.role = 'access' AND abs(y.a - w.a) <= {scope}))
+  OR (role = 'endpoint' AND EXISTS (SELECT 1 FROM p y WHERE y.doc_id = w.doc_id AND y.role = 'access' AND abs(y.a - w.a) <= {scope}) AND EXISTS (SELECT 1 FROM p y WHERE y.doc_id = w.doc_id AND y.role = 'secret' AND abs(y.a - w.a) <= {scope}))),
+every AS (SELECT doc_id, string_agg(kind || ':' || CAST(a AS BIGINT) || ':' || CAST(e AS BIGINT), ',' ORDER BY a, k) AS written FROM (SELECT * FROM p WHERE k <= 2 UNION ALL SELECT * FROM l) GROUP BY 1)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(b.written, '')) AS base_sha256, coalesce(v.written, '') AS spans
+FROM d LEFT JOIN base b ON b.doc_id = d.doc_id LEFT JOIN every v ON v.doc_id = d.doc_id
+"""
+
+
+#: All pairs by brute force; the lattice finds all of them where like vectors are as near as copies are.
+_VECTOR_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS (SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0 AND len(list_filter(e, lambda c: c <> 0)) > 0),
+l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM u x JOIN u y ON x.vec_id <> y.vec_id AND len(x.e) = len(y.e) WHERE list_cosine_similarity(x.e, y.e) >= 0.9),
+r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b)
+SELECT v.vec_id, (SELECT count(*) FROM l WHERE l.a = v.vec_id) AS n_links, min(r.b) AS component_id, min(r.b) = v.vec_id AS kept FROM v JOIN r ON r.a = v.vec_id GROUP BY v.vec_id
+"""
+
+ORACLE_SQL = {"op2_ngram_jaccard_join": _NGRAM_SQL, "op3_source_mixing": _MIX_SQL, "op7_lattice_near_duplicates": _VECTOR_SQL, "op8_secret_scan": _secret_sql(), "op10_license_scan": _license_sql()}
