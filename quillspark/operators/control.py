@@ -94,15 +94,24 @@ def error_rows(failures: DataFrame, message: str = "message", code: str = "code"
 
 
 def design_artifacts(proposals: DataFrame) -> DataFrame:
-    """Paths of the drafts of transform proposals, with a confidence by layer.
+    """Paths and texts of the drafts of transform proposals, with a confidence by layer.
 
-    Takes proposal_id, layer (B2S or S2G), change_type, source_table, target_table, run_id and env.
+    Takes proposal_id, layer (B2S or S2G), change_type, source_table, target_table, run_id,
+    env and, if there, problem_statement.
     """
     safe = lambda c: X.sanitize(F.col(c))
     prefix = F.format_string("gs://agent-proposals/env=%s/layer=%s/run_id=%s/proposal_id=%s", F.col("env"), safe("layer"), X.sanitize(F.coalesce(F.nullif("run_id", F.lit("")), F.lit("latest_failed_run"))), F.col("proposal_id"))
     stem = F.format_string("%s_%s_to_%s", safe("change_type"), safe("source_table"), safe("target_table"))
     files = F.array(*[F.concat(prefix, F.lit(f"/{kind}_"), stem, F.lit(end)) for kind, end in (("mapping_spec", ".json"), ("test_plan", ".md"), ("schema_preview", ".json"))])
-    return proposals.select("proposal_id", files.alias("generated_artifacts"), F.when(F.col("layer") == "B2S", 0.78).otherwise(0.8).alias("confidence_score"))
+    silver = F.col("layer") == "B2S"
+    focus = F.when(silver, "contracts, normalization, metadata, deduplication keys, rules and dead letters").otherwise("measures, curated outputs, readiness to publish, partitioning")
+    problem = F.coalesce(F.col("problem_statement"), F.lit("")) if "problem_statement" in proposals.columns else F.lit("")
+    text = F.format_string("Draft of a %s transform, read-only and not applied. Focus: %s. Change type: %s. Source: %s. Target: %s. Problem: %s.", F.col("layer"), focus, F.col("change_type"), F.col("source_table"), F.col("target_table"), problem)
+    return proposals.select("proposal_id", files.alias("generated_artifacts"), text.alias("proposal_text"), F.when(silver, 0.78).otherwise(0.8).alias("confidence_score"))
+
+
+def in_session(events: DataFrame, session: str, key: str = "session_id") -> DataFrame:
+    return events.where(F.col(key) == session)
 
 
 def ops_table(spark: SparkSession, name: str) -> DataFrame:

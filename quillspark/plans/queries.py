@@ -557,3 +557,36 @@ def newest_rows(spark, sf_dir):
 def design_artifacts(spark, sf_dir):
     rows = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("proposal_id"), F.lit("B2S").alias("layer"), F.lit("add column").alias("change_type"), F.col("p_brand").alias("source_table"), F.lit("gold.t").alias("target_table"), F.lit("").alias("run_id"), F.lit("dev").alias("env"))
     return control.design_artifacts(rows).select("proposal_id", F.col("generated_artifacts")[0].alias("mapping_spec"), "confidence_score")
+
+
+# ---- trajectories, the flat feedback table, legacy rows ---------------------------------------------------------------
+
+
+@query(f"""WITH s AS (SELECT {_KEY_SQL}, l_linenumber, unnest(range(0, CAST(l_linenumber AS BIGINT) % 4 + 1)) AS at_step FROM lineitem)
+SELECT run_id, prompt_id, record_hash, evaluated_step_index, model_version, CAST(at_step AS INTEGER) AS execution_step_index, CASE WHEN at_step = 0 THEN 'search' ELSE 'tool' END AS execution_step_type, CASE WHEN at_step = 0 THEN 'q' || CAST(at_step AS VARCHAR) END AS tool_query FROM s WHERE at_step <> 2""")
+def execution_steps(spark, sf_dir):
+    step = "transform(sequence(0, l_linenumber % 4), i -> named_struct('step_index', if(i = 2, cast(null as int), i), 'step_type', if(i = 0, 'search', 'tool'), 'tool_name', cast(null as string), 'query', if(i = 0, 'q0', cast(null as string)), 'tool_output', cast(null as string), 'partial_answer', cast(null as string)))"
+    keys = _split(_KEY_SQL.replace("AS VARCHAR", "AS STRING"))
+    rows = _t(spark, sf_dir, "lineitem").selectExpr(*keys, "l_linenumber").selectExpr("*", f"named_struct('model_version', model_version, 'steps', {step}) AS execution_json")
+    return reshape.execution_steps(rows).select("run_id", "prompt_id", "record_hash", "evaluated_step_index", "model_version", "execution_step_index", "execution_step_type", "tool_query")
+
+
+@query(f"""WITH {_FEEDBACK_SQL} SELECT ingest_date, run_id, prompt_id, record_hash, evaluated_step_index, task_type, step_type, model_version, CAST(NULL AS VARCHAR) AS batch_id, CAST(NULL AS VARCHAR) AS rubric_version, {_FINALS}, final_overall_label FROM feedback""")
+def feedback_step(spark, sf_dir):
+    rows = quality.apply_rules(_feedback(spark, sf_dir), [])
+    rating = schemas.NESTED["auto_rater"]
+    rows = rows.withColumns({"execution_json": F.struct("model_version", "final_answer"), "auto_rater": F.lit(None).cast(schemas.parse(rating))})
+    names = ["ingest_date", "run_id", "prompt_id", "record_hash", "evaluated_step_index", "task_type", "step_type", "model_version", "batch_id", "rubric_version", *marts.FINAL, "final_overall_label"]
+    return reshape.feedback_step(rows).select(*names)
+
+
+@query("""SELECT coalesce(CASE WHEN page_id % 2 = 0 THEN nullif(url, '') END, CAST(page_id AS VARCHAR)) AS feedback_id, CASE WHEN page_id % 3 = 0 THEN NULL ELSE 'c' END AS comment, CAST(NULL AS VARCHAR) AS model, page_id AS rating FROM pages""")
+def normalize_legacy(spark, sf_dir):
+    rows = _t(spark, sf_dir, "pages").select(F.when(F.col("page_id") % 2 == 0, F.col("url")).otherwise("").alias("feedback_id"), F.col("page_id").cast("string").alias("id"), F.when(F.col("page_id") % 3 != 0, "c").alias("text"), F.col("page_id").alias("rating"))
+    return ingest.normalize_legacy(rows).select("feedback_id", "comment", "model", "rating")
+
+
+@query("SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01 00:00:00' AND o_orderstatus = 'O' AND trim(o_orderpriority) <> ''")
+def run_filter(spark, sf_dir):
+    orders = _t(spark, sf_dir, "orders").where((F.col("o_orderdate") >= F.lit("1997-01-01 00:00:00").cast("timestamp_ntz")) & (F.col("o_orderstatus") == "O"))
+    return orders.where(~C.blank(F.col("o_orderpriority"))).select("o_orderkey", "o_orderpriority")
