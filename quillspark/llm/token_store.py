@@ -21,6 +21,7 @@ first; an empty table gives an empty folder; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import os
 import struct
 import uuid
 import zlib
@@ -37,7 +38,7 @@ from quillspark.llm import common
 
 MAGIC = b"QSTOK1"
 _HEAD = struct.Struct("<6sB32sQ")
-_KNOWN_MOST = 1_500_000
+_KNOWN_MOST = 2_500_000
 _TOKENIZERS: dict[str, "Encoder"] = {}
 
 
@@ -45,6 +46,8 @@ class Encoder:
     """Ids of many texts by one tokenizer, each distinct piece encoded once while it is known."""
 
     def __init__(self, path: str):
+        # tasks are parallel already
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -52,6 +55,11 @@ class Encoder:
         # only a byte-level tokenizer that cuts by its pattern can take pieces
         kind = self.tokenizer.pre_tokenizer.__class__.__name__
         self.pieces = kind == "ByteLevel" and self.tokenizer.normalizer is None
+        # a byte-level token stands for as many bytes as it has characters
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.bytes_of = np.zeros(max([*vocabulary.values(), self.tokenizer.get_vocab_size() - 1]) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.bytes_of[i] = len(token)
         self._forget()
 
     @staticmethod
@@ -62,16 +70,25 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known = np.zeros(0, np.uint64)
-        self.begin, self.count, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.begin, self.count, self.ids = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.uint32)
 
-    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
+    def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
         if len(self.known) + len(hashes) > _KNOWN_MOST:
             self._forget()
-        made = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        count = np.array([len(m) for m in made], np.int64)
-        begin = len(self.ids) + np.cumsum(count) - count
-        self.ids = np.concatenate([self.ids, np.array([i for m in made for i in m], np.uint32)])
-        known = np.concatenate([self.known, hashes])
+        # pieces that begin with a single space and end visibly are cut apart in a row just as they were in their texts
+        plain = np.array([len(p) > 1 and p[0] == 0x20 and p[1] != 0x20 and 0x21 <= p[-1] < 0x7F and p.isascii() and len(p.split()) == 1 for p in pieces], dtype=bool)
+        rows, alone = np.flatnonzero(plain), np.flatnonzero(~plain)
+        groups = [rows[i : i + 64] for i in range(0, len(rows), 64)]
+        made = self.tokenizer.encode_batch_fast([b"".join(pieces[i] for i in g).decode() for g in groups] + [pieces[i].decode() for i in alone], add_special_tokens=False)
+        flat = np.fromiter((i for e in made for i in e.ids), np.uint32)
+        # the bytes of the ids tell which piece each belongs to
+        sizes = np.fromiter((len(pieces[i]) for i in (*rows, *alone)), np.int64, len(pieces))
+        until = np.searchsorted(np.cumsum(self.bytes_of[flat]), np.cumsum(sizes)) + 1
+        ordered = np.concatenate([rows, alone])
+        count = np.diff(until, prepend=0).astype(np.int32)
+        begin = (len(self.ids) + until).astype(np.int32) - count
+        self.ids = np.concatenate([self.ids, flat])
+        known = np.concatenate([self.known, hashes[ordered]])
         order = np.argsort(known, kind="stable")
         self.known, self.begin, self.count = known[order], np.concatenate([self.begin, begin])[order], np.concatenate([self.count, count])[order]
 
@@ -95,10 +112,10 @@ class Encoder:
             if len(self.known) + len(new) > _KNOWN_MOST:
                 new = np.arange(len(unique))
             raw = data.tobytes()
-            self._learn(unique[new], [raw[starts[i] : ends[i]].decode() for i in first[new].tolist()])
+            self._learn(unique[new], [raw[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)])
             at = np.searchsorted(self.known, unique)
         count = self.count[at][place]
-        begin = self.begin[at][place]
+        begin = self.begin[at][place].astype(np.int64)
         within = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
         return self.ids[np.repeat(begin, count) + within], np.bincount(doc, count, texts).astype(np.int64)
 
@@ -120,9 +137,12 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     wide = (before >= 0x80) & _TWO[data[np.maximum(space - 2, 0)]] & (space > 1)
     cut = space[(_VISIBLE[before] | wide) & (_VISIBLE[after] | _TWO[after])]
     first = offsets[:-1][np.diff(offsets) > 0]
+    starts = np.zeros(len(data) + 1, dtype=bool)
+    starts[first] = True
     # a space that ends or begins a text has its neighbour in another text
-    inside = ~np.isin(cut + 1, first) & ~np.isin(cut, first)
-    return np.union1d(cut[inside], first)
+    cut = cut[~starts[cut + 1] & ~starts[cut]]
+    starts[cut] = True
+    return np.flatnonzero(starts[:-1])
 
 
 def trained(samples: list[bytes], size: int = 64 * 1024) -> bytes:
@@ -176,7 +196,7 @@ class Shard:
 
 
 def _encoded(batch: pa.RecordBatch, path: str, end_id: int, width: int) -> Iterator[tuple[int | None, np.ndarray]]:
-    for chunk, data, offsets in common.text_chunks(batch, "text", 1_000_000):
+    for chunk, data, offsets in common.text_chunks(batch, "text"):
         ids, counts = Encoder.of(path).encode(data, offsets)
         at = 0
         for doc_id, n in zip(chunk.column("doc_id").to_pylist(), counts.tolist(), strict=True):
@@ -191,13 +211,14 @@ def train(docs: DataFrame, path: str, end_id: int, width: int, rows: int = 1000,
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([i.tobytes() for _, i in _encoded(batch, path, end_id, width)], pa.binary())], ["s"])
 
-    picked = docs.select("doc_id", "text", F.xxhash64("doc_id", F.lit("dictionary")).alias("h")).orderBy("h", "doc_id").limit(rows).drop("h")
+    ids = docs.where("doc_id is not null").select(F.col("doc_id").alias("__of"), F.xxhash64("doc_id", F.lit("dictionary")).alias("h")).orderBy("h", "__of").limit(rows).select("__of")
+    picked = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("__of"), "left_semi")
     samples, total = [], 0
-    for r in picked.mapInArrow(run, "s binary").toLocalIterator():
-        if total < most:
-            samples.append(bytes(r["s"]))
-            total += len(samples[-1])
-    return trained(sorted(samples))
+    for s in sorted(bytes(r["s"]) for r in picked.mapInArrow(common.tidy(run), "s binary").collect()):
+        if total + len(s) <= most:
+            samples.append(s)
+            total += len(s)
+    return trained(samples)
 
 
 def write(docs: DataFrame, folder: str, path: str, end_id: int, width: int = 2, shard_bytes: int = 4_000_000, level: int = 3) -> bytes:
@@ -228,7 +249,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int, width: int = 2,
 
     schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("image", pa.binary())])
     # images are compressed already
-    ordered.mapInArrow(run, "part int, seq int, n_docs long, n_ids long, image binary").write.mode("errorifexists").option("compression", "none").parquet(f"{folder}/shards")
+    ordered.mapInArrow(common.tidy(run), "part int, seq int, n_docs long, n_ids long, image binary").write.mode("errorifexists").option("compression", "none").parquet(f"{folder}/shards")
     spark.createDataFrame([(hashlib.sha256(dictionary).hexdigest(), bytearray(dictionary))], "sha256 string, dictionary binary").coalesce(1).write.parquet(f"{folder}/dictionary")
     return dictionary
 
@@ -247,7 +268,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 columns = [[part] * shard.n, [seq] * shard.n, shard.doc_ids, np.cumsum(shard.counts) - shard.counts, shard.counts, crc]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), *[pa.int64()] * 4), strict=True)], names)
 
-    docs = shards.select("part", "seq", "image").mapInArrow(run, "part int, seq int, doc_id long, local long, n_tokens long, ids_crc32 long")
+    docs = shards.select("part", "seq", "image").mapInArrow(common.tidy(run), "part int, seq int, doc_id long, local long, n_tokens long, ids_crc32 long")
     # shard totals: one row per shard_bytes of data
     parts = shards.groupBy("part").agg(F.sum("n_ids").alias("ids"))
     base = parts.select("part", (F.sum("ids").over(Window.orderBy("part")) - F.col("ids")).alias("base"))
