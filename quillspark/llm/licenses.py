@@ -61,13 +61,15 @@ def license_scan(docs: DataFrame, least: float = 0.8, templates: tuple[tuple[str
     """(doc_id, license, n_units, dice): licenses found in each document, dice the best, to 6 places."""
     known = [(name, grams) for name, text in templates if (grams := bigrams(text))]
     needed = sorted(set().union(*(anchors(g, least) for _, g in known)))
+    # words of the normalised text are whole runs of letters and digits
+    has_anchor = rf"(?<![0-9a-z])(?:{'|'.join(map(re.escape, needed))})(?![0-9a-z])"
     low = F.lower("text")
-    hopeful = docs.where(low.rlike("|".join(map(re.escape, needed)))).select("doc_id", low.alias("text"))
+    hopeful = docs.where(low.rlike(has_anchor)).select("doc_id", low.alias("text"))
     # a unit of several kinds, as a text of one line is, is looked at once
     whole = F.array(F.col("text"))
     paragraphs = F.filter(F.split("text", r"\n[\x20\x09-\x0D]*\n"), lambda u: u.contains("\n") & (u != F.col("text")))
     lines = F.filter(F.split("text", "\n"), lambda u: u != F.col("text"))
-    units = hopeful.select("doc_id", F.explode(F.concat(whole, paragraphs, lines)).alias("unit")).where(F.col("unit").rlike("|".join(map(re.escape, needed))))
+    units = hopeful.select("doc_id", F.explode(F.concat(whole, paragraphs, lines)).alias("unit")).where(F.col("unit").rlike(has_anchor))
     cut = units.select("doc_id", F.filter(F.split(F.regexp_replace("unit", "[^0-9a-z]+", " "), " "), lambda w: w != "").alias("w"))
     pairs = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat_ws(" ", F.slice("w", i, 2)))
     grams = cut.where("size(w) > 1").select("doc_id", F.array_distinct(pairs).alias("g"))
@@ -75,7 +77,7 @@ def license_scan(docs: DataFrame, least: float = 0.8, templates: tuple[tuple[str
     for name, own in known:
         b, share = len(own), least / (2 - least)
         dice = 2.0 * F.size(F.array_intersect("g", F.array(*map(F.lit, own)))) / (F.size("g") + b)
-        fits = (F.size("g") >= share * b) & (F.size("g") <= b / share)
+        fits = (F.size("g") >= share * b - 1e-9) & (F.size("g") <= b / share + 1e-9)
         scores.append(F.struct(F.lit(name).alias("license"), F.when(fits, dice).alias("dice")))
     hits = grams.select("doc_id", F.explode(F.array(*scores)).alias("s")).where(F.col("s.dice") >= least)
     return hits.groupBy("doc_id", F.col("s.license").alias("license")).agg(F.count(F.lit(1)).alias("n_units"), F.round(F.max("s.dice"), 6).alias("dice"))
