@@ -7,8 +7,9 @@ characters give the same words.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +32,16 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _TABLE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame, rows: int | None = None, per_file: int = 250_000) -> DataFrame:
     """``df`` written to the shared checkpoint folder, its lineage cut.
 
     The folder is the session's ``spark.checkpoint.dir``; a temporary one is
-    set only where the session names none, as in local tests.
+    set only where the session names none, as in local tests.  ``rows``, where
+    about known, sets the number of files, so that small tables in many shuffle
+    partitions don't become many tiny files.
     """
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return (df if rows is None else df.coalesce(1 + rows // per_file)).checkpoint(eager=True)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -69,19 +72,49 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """A batch in parts, so that copies of its texts stay small."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def text_chunks(batch: pa.RecordBatch, column: str, size: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of a batch with their text as (slice, bytes, offsets); null text is empty."""
-    texts = batch.column(column).cast(pa.large_string()).fill_null("")
-    if not len(texts):
-        return
-    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    raw = texts.buffers()[2]
-    data = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.zeros(0, np.uint8)
-    at = 0
-    while at < len(texts):
-        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
-        yield batch.slice(at, end - at), data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
-        at = end
+    for part in slices(batch):
+        texts = part.column(column).cast(pa.large_string()).fill_null("")
+        offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        raw = texts.buffers()[2]
+        data = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.zeros(0, np.uint8)
+        at = 0
+        while at < len(texts):
+            end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
+            yield part.slice(at, end - at), data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
+            at = end
+
+
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _trim = None
+
+
+def release() -> None:
+    """Gives memory that this worker no longer uses back to the machine; workers live for many tasks."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+def tidy(f: Callable) -> Callable:
+    """``f`` over batches, with ``release`` at its end."""
+
+    def run(batches):
+        try:
+            yield from f(batches)
+        finally:
+            release()
+
+    return run
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -125,15 +158,16 @@ def unpack(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(8, -1).T).view("<i8").reshape(-1)
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, rows: int, rounds: int = 60) -> DataFrame:
     """(node, component) of every node of ``edges`` (u, v): component is its smallest reachable node.
 
     Alternating large-star and small-star rounds on minima: each round is
     aggregations with map-side combining and equi-joins whose hot keys adaptive
     execution can split; nothing is gathered on the driver but a row count and
     a checksum.  An edge with a null end is no edge; no edges give no rows.
+    ``rows`` is about the number of nodes, for the number of files.
     """
-    now = checkpointed(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    now = checkpointed(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), rows)
     seen = None
     for _ in range(rounds):
         check = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -149,7 +183,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .where("u <> v")
             .union(small.select("k", "m"))
-            .distinct()
+            .distinct(),
+            check[0],
         )
     else:
         raise RuntimeError("connected components did not settle")

@@ -57,7 +57,7 @@ def copies(doc_id: Column, rate: Column, seed: int) -> Column:
 
 def _small(rates: DataFrame, most: int = 100_000) -> DataFrame:
     """``rates``, to be broadcast if there are few enough sources to prove it small."""
-    rates = common.checkpointed(rates)
+    rates = common.checkpointed(rates, 0)
     return F.broadcast(rates) if rates.count() <= most else rates
 
 

@@ -6,9 +6,12 @@ similarity of at least ``percent`` / 100.  The search is exact:
 1. Every text is cut into shingles (64-bit hashes of lower-cased words).  Texts
    with the same word sequence are collapsed on the way, in the task that reads
    them and then across tasks, so copies are never listed twice per task.
-2. Postings go to inverted lists by hash range, as packed blocks.  A list of
-   one document is dropped there: it can't add to any overlap.  The rest goes
-   back to its documents with the exact list length.
+2. A first reading finds shingles so frequent that their lists would be hot:
+   those common within one task's share of documents, summed over tasks, the
+   ``hot_most`` most frequent of them.  They come last in every order and need
+   no list.  All other postings go to inverted lists by hash range, as packed
+   blocks.  A list of one document is dropped there: it can't add to any
+   overlap.  The rest goes back to its documents with the exact list length.
 3. A document needs T = ceil(percent * n / 100) shared shingles for any link,
    so one with fewer shared shingles leaves.  The others sort their lists by
    (length, hash): the n - T + 1 shortest are the short lists, and any link has
@@ -16,8 +19,10 @@ similarity of at least ``percent`` / 100.  The search is exact:
 4. Documents with a common short list form blocks (connected components).  In
    each block, DivideSkip merges a document's short lists, keeps those that
    reach T - L, and binary-probes its L long lists.  A pair already connected
-   is not probed again.  A block over ``block_rows`` documents is dealt as
-   pairs of sub-blocks, so no task holds more than two of them.
+   is not probed again.  In a block over ``block_rows`` documents, every
+   document first meets a few pivots, which connects most of a large group of
+   near copies; then only pairs of sub-blocks that can still join something are
+   dealt out, so no task holds more than two of them.
 
 Defined cases: null or empty text has no shingles and links with nothing; a
 text with fewer than ``k`` words has its whole word sequence as its one
@@ -40,11 +45,19 @@ from quillspark.llm import common
 
 #: Bits of a shingle hash that the lists keep.
 _BITS = 52
-_POSTINGS = 2_000_000
+_POSTINGS = 1_000_000
 _LISTED = "kind int, part int, a binary, b binary, c binary, d binary"
 _FOUND = "kind int, part int, u array<long>, v array<long>, a binary, b binary, c binary, d binary"
 _COLS = ["kind", "part", "u", "v", "a", "b", "c", "d"]
 _MU = 0.0085
+#: Texts of one share of a task that make a shingle a candidate for a hot one.
+_COMMON = 64
+#: List length that stands for a hot list.
+_HOT = 1 << 40
+#: Rows to a file of documents with their lists.
+_WIDE = 5000
+#: Pivots of a large block.
+_PIVOTS = 16
 
 
 def shingle_hashes(word_hash: np.ndarray, doc: np.ndarray, n_docs: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -70,10 +83,40 @@ def shingle_hashes(word_hash: np.ndarray, doc: np.ndarray, n_docs: int, k: int)
     return doc[new], h[new].astype(np.int64), np.bincount(doc[new], minlength=n_docs)
 
 
-def _listed(batches: Iterator[pa.RecordBatch], parts: int, k: int) -> Iterator[pa.RecordBatch]:
-    """Kind 0: documents with their sizes; 1: first texts of each word sequence; 2: postings by hash range.
+def _common(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """(h, c) of shingles in ``_COMMON`` or more texts of one share of a task; texts that are equal count once."""
+    firsts: set[bytes] = set()
+    held: list[np.ndarray] = []
 
-    Every block is dealt by (kind, part): documents at random, the others by hash.
+    def flush():
+        h, c = np.unique(np.concatenate([np.zeros(0, np.int64), *held]), return_counts=True)
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(h[c >= _COMMON]), pa.array(c[c >= _COMMON].astype(np.int64))], ["h", "c"])
+
+    size = 0
+    for batch in batches:
+        for _, data, offsets in common.text_chunks(batch, "text"):
+            starts, ends, doc = common.words(data, offsets)
+            hashes = common.word_hashes(data, starts, ends, lower=True)
+            bounds = np.searchsorted(doc, np.arange(len(offsets)))
+            fresh = np.zeros(len(offsets) - 1, dtype=bool)
+            for i in np.flatnonzero(np.diff(bounds)):
+                digest = hashlib.blake2b(hashes[bounds[i] : bounds[i + 1]].tobytes(), digest_size=16).digest()
+                fresh[i] = digest not in firsts
+                firsts.add(digest)
+            of, h, _ = shingle_hashes(hashes, doc, len(offsets) - 1, k)
+            held.append(h[fresh[of]])
+            size += len(held[-1])
+            if size >= _POSTINGS:
+                yield flush()
+                size = 0
+    yield flush()
+
+
+def _listed(batches: Iterator[pa.RecordBatch], ranges: int, parts: int, k: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Kind 0: documents with their sizes; 1: first texts of each word sequence; 2: postings by hash range; 3: hot postings by document.
+
+    Every block is dealt by (kind, part): kind 0 at random, the others by hash.
     """
     firsts: dict[bytes, int] = {}
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -89,7 +132,7 @@ def _listed(batches: Iterator[pa.RecordBatch], parts: int, k: int) -> Iterator[p
         made = []
         if docs:
             ids, at, n = (np.array(x, np.int64) for x in zip(*docs, strict=True))
-            made.append((0, int(ids[0]) % parts, common.pack(ids), common.pack(at), common.pack(n), b""))
+            made.append((0, int(ids[0]) % ranges, common.pack(ids), common.pack(at), common.pack(n), b""))
         if sums:
             part, digest, ids = (np.array(x, np.int64) for x in zip(*sums, strict=True))
             order = np.argsort(part, kind="stable")
@@ -97,12 +140,16 @@ def _listed(batches: Iterator[pa.RecordBatch], parts: int, k: int) -> Iterator[p
                 made.append((1, int(part[own[0]]), common.pack(digest[own]), common.pack(ids[own]), b"", b""))
         if held:
             h, ids, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            if len(hot):
+                found = hot[np.minimum(np.searchsorted(hot, h), len(hot) - 1)] == h
+                made += _by_document(h[found], ids[found], np.full(int(found.sum()), _HOT), n[found], parts)
+                h, ids, n = h[~found], ids[~found], n[~found]
             order = np.argsort(h, kind="stable")
             h, ids, n = h[order], ids[order], n[order]
             table, place = np.unique(ids, return_inverse=True)
             sizes = np.zeros(len(table), np.int64)
             sizes[place] = n
-            cuts = np.searchsorted(h, (np.arange(1, parts) * (1 << _BITS)) // parts if parts < 1 << 10 else np.array([i * (1 << _BITS) // parts for i in range(1, parts)], np.int64))
+            cuts = np.searchsorted(h, np.array([i * (1 << _BITS) // ranges for i in range(1, ranges)], np.int64))
             for p, own in enumerate(zip([0, *cuts], [*cuts, len(h)], strict=True)):
                 if own[0] < own[1]:
                     used, local = np.unique(place[own[0] : own[1]], return_inverse=True)
@@ -127,7 +174,7 @@ def _listed(batches: Iterator[pa.RecordBatch], parts: int, k: int) -> Iterator[p
                     if digest not in firsts:
                         firsts[digest], fresh[i] = ids[i], True
                         whole = int.from_bytes(digest[:8], "little", signed=True)
-                        sums.append((int.from_bytes(digest[8:], "little") % parts, whole, ids[i]))
+                        sums.append((int.from_bytes(digest[8:], "little") % ranges, whole, ids[i]))
                     first.append(firsts[digest])
                 else:
                     first.append(ids[i])
@@ -144,10 +191,25 @@ def _listed(batches: Iterator[pa.RecordBatch], parts: int, k: int) -> Iterator[p
     yield flush()
 
 
+def _freed(out: pd.DataFrame) -> pd.DataFrame:
+    common.release()
+    return out
+
+
+def _by_document(h: np.ndarray, ids: np.ndarray, df: np.ndarray, n: np.ndarray, parts: int) -> list[tuple]:
+    """Postings as packed blocks of kind 3, by the documents' part."""
+    to = (common.mix(ids.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    order = np.lexsort((h, ids, to))
+    cuts = np.split(order, np.flatnonzero(np.diff(to[order])) + 1) if len(order) else []
+    return [(3, int(to[own[0]]), *(common.pack(x[own]) for x in (ids, h, df, n))) for own in cuts]
+
+
 def _shared(key, pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
     """One range's lists: blocks of the postings in lists of two documents or more, by the documents' part."""
     kind, part = int(key[0]), int(key[1])
     none = np.zeros(0, np.int64)
+    if kind == 3:
+        return pd.DataFrame([(3, part, none, none, *(common.pack(np.concatenate([common.unpack(x) for x in pdf[c]])) for c in "abcd"))], columns=_COLS)
     if kind == 0:
         ids, at, n = (np.concatenate([common.unpack(x) for x in pdf[c]]) for c in "abc")
         return pd.DataFrame([[0, 0, ids, n, None, None, None, None], [1, 0, ids[ids != at], at[ids != at], None, None, None, None]], columns=_COLS)
@@ -173,12 +235,7 @@ def _shared(key, pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
     many = np.repeat(df > 1, df)
     order, h, df = order[many], h[many], np.repeat(df, df)[many]
     ids, ns = ids[order], ns[order]
-    to = (common.mix(ids.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
-    order = np.lexsort((h, ids, to))
-    out = []
-    for own in np.split(order, np.flatnonzero(np.diff(to[order])) + 1) if len(order) else []:
-        out.append([3, int(to[own[0]]), none, none, *(common.pack(x[own]) for x in (ids, h, df, ns))])
-    return pd.DataFrame(out, columns=_COLS)
+    return pd.DataFrame([(kind, part, none, none, *blobs) for kind, part, *blobs in _by_document(h, ids, df, ns, parts)], columns=_COLS)
 
 
 def _needing(key, pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
@@ -271,36 +328,68 @@ def _linked(key, pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["u", "v"])
 
 
-def ngram_jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, block_rows: int = 4096) -> DataFrame:
+def _block_links(able: DataFrame, n_able: int, blocks: DataFrame, parts: int, percent: int, block_rows: int) -> DataFrame:
+    """Links (u, v) that connect what is linked inside each block."""
+    run = lambda df: df.groupBy("place", "i", "j").applyInPandas(lambda key, pdf: _freed(_linked(key, pdf, percent)), "u long, v long")
+    sizes = blocks.groupBy("component").agg(F.count(F.lit(1)).alias("rows"))
+    member = common.checkpointed(able.join(blocks.join(sizes, "component"), F.col("doc_id") == F.col("node")).drop("node"), n_able, _WIDE)
+    none = F.lit(0)
+    small = member.where(F.col("rows") <= block_rows).select(F.pmod(F.xxhash64("component"), F.lit(parts)).alias("place"), none.alias("i"), none.alias("j"), none.alias("sub"), "doc_id", "n", "lists")
+    links = run(small)
+    large = member.where(F.col("rows") > block_rows)
+    if large.isEmpty():
+        return links
+    # every document of a large block meets the block's pivots, in sub-blocks
+    slot = F.pmod(F.xxhash64("doc_id", F.lit("pivot")), F.lit(_PIVOTS))
+    pivots = large.groupBy("component", slot.alias("slot")).agg(F.min(F.struct(F.xxhash64("doc_id"), "doc_id", "n", "lists")).alias("p")).select("component", "p.doc_id", "p.n", "p.lists")
+    subs = large.select("component", F.ceil(F.col("rows") / block_rows).cast("int").alias("subs")).distinct()
+    cut = lambda salt: F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.col("subs")).cast("int")
+    spread = large.join(pivots.select(F.col("doc_id").alias("__p")), F.col("doc_id") == F.col("__p"), "left_anti").join(subs, "component").withColumn("i", cut("meet"))
+    meeting = spread.select(F.col("component").alias("place"), "i", "doc_id", "n", "lists").union(
+        pivots.join(subs, "component").select(F.col("component").alias("place"), F.explode(F.sequence(none, F.col("subs") - 1)).alias("i"), "doc_id", "n", "lists")
+    )
+    first = common.checkpointed(run(meeting.select("place", "i", F.col("i").alias("j"), none.alias("sub"), "doc_id", "n", "lists")))
+    known = common.components(first, n_able)
+    # the largest component of a block needs no comparison inside itself
+    named = large.join(known.select(F.col("node").alias("__n"), F.col("component").alias("got")), F.col("doc_id") == F.col("__n"), "left").drop("__n")
+    named = common.checkpointed(named.withColumn("got", F.coalesce("got", "doc_id")), n_able, _WIDE)
+    counted = named.groupBy("component", "got").agg(F.count(F.lit(1)).alias("c"))
+    most = counted.groupBy("component").agg(F.max(F.struct("c", F.col("got").alias("main"))).alias("m"), F.sum("c").alias("all")).select(F.col("component").alias("__c"), "m.main", F.ceil(F.col("m.c") / block_rows).cast("int").alias("k"), F.ceil((F.col("all") - F.col("m.c")) / block_rows).cast("int").alias("r"))
+    dealt = named.join(most, F.col("component") == F.col("__c")).where("r > 0").withColumn("is_main", F.col("got") == F.col("main"))
+    mine = F.when(F.col("is_main"), F.pmod(F.xxhash64("doc_id"), F.col("k"))).otherwise(F.col("k") + F.pmod(F.xxhash64("doc_id"), F.col("r"))).cast("int")
+    others = F.sequence(F.when(F.col("is_main"), F.col("k")).otherwise(none), F.col("k") + F.col("r") - 1)
+    dealt = dealt.withColumn("sub", mine).withColumn("other", F.explode(others))
+    rest = run(dealt.select(F.col("component").alias("place"), F.least("sub", "other").alias("i"), F.greatest("sub", "other").alias("j"), "sub", "doc_id", "n", "lists"))
+    return links.union(first).union(rest)
+
+
+def ngram_jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, block_rows: int = 1000, hot_most: int = 200_000) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
+    # a task holds one range at a time; each range sends a block to each part of the documents
     parts = common.shuffle_partitions(spark)
+    ranges = 2 * parts
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    listed = docs.mapInArrow(lambda it: _listed(it, parts, k), _LISTED)
-    found = common.checkpointed(listed.groupBy("kind", "part").applyInPandas(lambda key, pdf: _shared(key, pdf, parts), _FOUND))
+    often = docs.select("text").mapInArrow(common.tidy(lambda it: _common(it, k)), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    hot = np.sort(np.array([r["h"] for r in often.orderBy(F.desc("c"), "h").limit(hot_most).select("h").collect()], np.int64))
+    hot = spark.sparkContext.broadcast(hot)
+    listed = docs.mapInArrow(common.tidy(lambda it: _listed(it, ranges, parts, k, hot.value)), _LISTED)
+    found = common.checkpointed(listed.groupBy("kind", "part").applyInPandas(lambda key, pdf: _freed(_shared(key, pdf, parts)), _FOUND))
     pairs = lambda kind: found.where(F.col("kind") == kind).select(F.explode(F.arrays_zip("u", "v")).alias("x")).select("x.u", "x.v")
     later = pairs(2)
     able = (
         found.where("kind = 3")
         .groupBy("part")
-        .applyInPandas(lambda key, pdf: _needing(key, pdf, percent), "doc_id long, n long, short array<long>, lists binary")
+        .applyInPandas(lambda key, pdf: _freed(_needing(key, pdf, percent)), "doc_id long, n long, short array<long>, lists binary")
         .join(later.select(F.col("u").alias("doc_id")).distinct(), "doc_id", "left_anti")
     )
     able = common.checkpointed(able)
+    n_docs, n_able = found.where("kind = 0").agg(F.coalesce(F.sum(F.size("u")), F.lit(0))).first()[0], able.count()
     short = able.select("doc_id", F.explode("short").alias("h"))
     heads = short.groupBy("h").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("c")).where("c > 1").select("h", "head")
-    blocks = common.components(short.join(heads, "h").where("doc_id <> head").select(F.col("doc_id").alias("u"), F.col("head").alias("v")))
-    subs = blocks.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("subs"))
-    placed = (
-        able.drop("short")
-        .join(blocks.join(subs, "component"), F.col("doc_id") == F.col("node"))
-        .withColumn("sub", F.pmod(F.xxhash64("doc_id"), F.col("subs")).cast("int"))
-        .withColumn("place", F.when(F.col("subs") == 1, F.pmod(F.xxhash64("component"), F.lit(4 * parts))).otherwise(F.col("component") + 4 * parts))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)))
-        .select("place", F.least("sub", "other").alias("i"), F.greatest("sub", "other").alias("j"), "sub", "doc_id", "n", "lists")
-    )
-    links = placed.groupBy("place", "i", "j").applyInPandas(lambda key, pdf: _linked(key, pdf, percent), "u long, v long")
-    joined = common.components(pairs(1).union(later).union(links))
+    blocks = common.components(short.join(heads, "h").where("doc_id <> head").select(F.col("doc_id").alias("u"), F.col("head").alias("v")), n_able)
+    links = _block_links(able.drop("short"), n_able, blocks, parts, percent, block_rows)
+    joined = common.components(pairs(1).union(later).union(links), n_docs)
     sized = pairs(0).groupBy(F.col("u").alias("doc_id")).agg(F.max("v").alias("n_shingles"))
     nameless = docs.where("doc_id is null")
     lone = nameless.select("doc_id", shingle_count(F.col("text"), k).alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))

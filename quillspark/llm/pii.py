@@ -234,13 +234,13 @@ def entities(docs: DataFrame, key: bytes) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen = set()
-            for text in batch.column("text").to_pylist():
+            for text in (t for part in common.slices(batch) for t in part.column("text").to_pylist()):
                 if text:
                     seen |= {(kind, canonical(kind, text[a:b])) for a, b, kind in find(text)}
             rows = [(k, c, surrogate(k, c, key)) for k, c in sorted(seen)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], ["kind", "canon", "sur"])
 
-    return docs.select("text").mapInArrow(run, "kind string, canon string, sur string").distinct()
+    return docs.select("text").mapInArrow(common.tidy(run), "kind string, canon string, sur string").distinct()
 
 
 def exceptions_of(found: DataFrame, key: bytes, rounds: int = 20) -> DataFrame | None:
@@ -261,7 +261,7 @@ def exceptions_of(found: DataFrame, key: bytes, rounds: int = 20) -> DataFrame |
         clash = common.checkpointed(clash.select("kind", "canon", "sur", "attempt", "bad"))
         if clash.where("bad").isEmpty():
             return settled.where("attempt > 0").select("kind", "canon", "attempt") if attempt else None
-        moved = clash.where("bad").select("kind", "canon", F.lit(attempt + 1).alias("attempt")).mapInArrow(again, "kind string, canon string, sur string, attempt int")
+        moved = clash.where("bad").select("kind", "canon", F.lit(attempt + 1).alias("attempt")).mapInArrow(common.tidy(again), "kind string, canon string, sur string, attempt int")
         settled = clash.where("not bad").select("kind", "canon", "sur", "attempt").union(moved)
     raise RuntimeError("surrogates still collide")
 
@@ -287,7 +287,7 @@ def surrogates(docs: DataFrame, key: str, kinds: str | None = "pii_kinds", most_
             source = _with_exceptions(docs, special, own)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in common.slices(whole)):
             texts = batch.column("text").to_pylist()
             more = batch.column(own).to_pylist() if own in batch.schema.names else [None] * len(texts)
             done = [(t, []) if not t else rewrite(t, secret, few if m is None else {(x["kind"], x["canon"]): x["attempt"] for x in m}) for t, m in zip(texts, more, strict=True)]
@@ -296,7 +296,7 @@ def surrogates(docs: DataFrame, key: str, kinds: str | None = "pii_kinds", most_
                 columns.append(pa.array([d[1] for d in done], pa.list_(pa.string())))
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(common.tidy(run), schema)
 
 
 def _with_exceptions(docs: DataFrame, special: DataFrame, name: str) -> DataFrame:
@@ -306,12 +306,12 @@ def _with_exceptions(docs: DataFrame, special: DataFrame, name: str) -> DataFram
     def run(batches):
         for batch in batches:
             rows = []
-            for text in batch.column("text").to_pylist():
+            for text in (t for part in common.slices(batch) for t in part.column("text").to_pylist()):
                 if text and (found := find(text)):
                     h = hashlib.sha256(text.encode()).hexdigest()
                     rows += [(h, k, canonical(k, text[a:b])) for a, b, k in found]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], ["__digest", "kind", "canon"])
 
-    held = docs.select("text").mapInArrow(run, "__digest string, kind string, canon string").distinct().join(special, ["kind", "canon"])
+    held = docs.select("text").mapInArrow(common.tidy(run), "__digest string, kind string, canon string").distinct().join(special, ["kind", "canon"])
     lists = held.groupBy("__digest").agg(F.collect_list(F.struct("kind", "canon", "attempt")).alias(name))
     return docs.withColumn("__digest", digest).join(lists, "__digest", "left").withColumn(name, F.coalesce(name, F.array().cast("array<struct<kind: string, canon: string, attempt: int>>"))).drop("__digest")

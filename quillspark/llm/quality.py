@@ -111,7 +111,7 @@ def _featured(docs: DataFrame) -> DataFrame:
             for chunk, data, offsets in common.text_chunks(batch, "text"):
                 yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), pa.array(list(features(data, offsets)), pa.list_(pa.float64()))], ["doc_id", "x"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, x array<double>")
+    return docs.select("doc_id", "text").mapInArrow(common.tidy(run), f"doc_id {kind}, x array<double>")
 
 
 def held_out(doc_id, folds: int = 5):
@@ -140,5 +140,5 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **fit) ->
             for chunk, data, offsets in common.text_chunks(batch, "text"):
                 yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), pa.array(score(model, features(data, offsets)))], ["doc_id", "score"])
 
-    out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
+    out = docs.select("doc_id", "text").mapInArrow(common.tidy(run), f"doc_id {kind}, score double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

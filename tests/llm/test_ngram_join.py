@@ -45,6 +45,22 @@ def test_components_match_brute_force(docs, seed, block):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == brute(rows)
 
 
+def test_hot_lists_and_large_blocks(docs, monkeypatch):
+    monkeypatch.setattr(ngram_join, "_COMMON", 2)
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(150):
+        w = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 5, 8])):
+            w[rng.randrange(120)] = f"z{rng.randrange(99)}"
+        rows.append((i, " ".join(w)))
+    rows += [(500 + i, t) for i, t in rows_of(12, 60)]
+    for most, block in ((200_000, 20), (40, 50), (0, 7)):
+        out = ngram_join.ngram_jaccard_components(docs(*rows).coalesce(1), block_rows=block, hot_most=most).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == brute(rows)
+
+
 def test_other_sizes_and_thresholds(docs):
     rows = rows_of(5)
     out = ngram_join.ngram_jaccard_components(docs(*rows), k=3, percent=50).collect()
