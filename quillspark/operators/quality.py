@@ -68,7 +68,8 @@ def dead_letters(checked: DataFrame, rules: Sequence[Rule] = FEEDBACK_RULES, car
     record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in checked.columns if c not in ("dq_reasons", "dq_pass")]))
     path = F.col("raw_path") if "raw_path" in have else F.lit(None).cast("string")
     digest = F.col("record_hash") if "record_hash" in have else F.lit(None).cast("string")
-    out = checked.where(~F.col("dq_pass")).select(*have, F.explode("dq_reasons").alias("failure_reason"), record.alias("raw_record_json"))
+    # a record that passes has no reason, so the explode drops it without a test of its own
+    out = checked.select(*have, F.explode("dq_reasons").alias("failure_reason"), record.alias("raw_record_json"))
     out = out.withColumn("rule_id", rule_id_of(F.col("failure_reason"), rules))
     return out.withColumns({"severity": severity_of(F.col("rule_id"), rules), "evidence_ref": evidence_ref(path, digest), "failure_stage": F.lit(stage)})
 
