@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -66,6 +68,29 @@ def hybrid_top_k(queries: DataFrame, docs: DataFrame, k: int, tag: Column | None
     return scored.withColumn("rank", rank).where(F.col("rank") <= k).select(query_id, "doc_id", "uri", "score", "rank")
 
 
+def overlaps(queries: DataFrame, docs: DataFrame, query_id: str = "query_id", doc_id: str = "doc_id", block: int = 1000) -> DataFrame:
+    """(query_id, doc_id, overlap) of every query with every document, none left out: the share of the query's tokens that the text has.
+
+    Each text is cut into tokens once; queries are broadcast in blocks of about ``block``.
+    """
+    asked = queries.select(query_id, X.tokens(F.col("query")).alias("__q"))
+    cut = docs.select(doc_id, X.tokens(F.col("text")).alias("__d")).repartition(_ranges(docs), doc_id)
+    share = F.size(F.array_intersect("__q", "__d")) / F.greatest(F.lit(1), F.size("__q"))
+    return _over_blocks(asked, query_id, block, lambda part: cut.join(F.broadcast(part), F.lit(True)).select(query_id, doc_id, share.alias("overlap")))
+
+
+def _ranges(df: DataFrame) -> int:
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _over_blocks(queries: DataFrame, query_id: str, block: int, ask) -> DataFrame:
+    """``ask`` of each block of queries, together; a query is in one block, blocks hold about ``block`` rows."""
+    n = -(-queries.count() // max(1, block))
+    if n <= 1:
+        return ask(queries)
+    return reduce(DataFrame.unionAll, [ask(queries.where(F.pmod(F.xxhash64(query_id), F.lit(n)) == i)) for i in range(n)])
+
+
 def cosine_top_k(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
     """(query_id, item_id, cosine, rank): the ``k`` nearest items of each of a few queries, ties by id.
 

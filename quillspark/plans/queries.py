@@ -392,6 +392,14 @@ def lexical_overlap(spark, sf_dir):
     return q.join(d, "slot").select("item_id", "page_id", F.round(X.lexical_overlap(F.col("text"), F.col("url")), 6).alias("overlap"))
 
 
+@query(f"""WITH q AS (SELECT item_id, {_TOKENS_SQL.format('text')} AS t FROM benchmark), d AS (SELECT page_id, {_TOKENS_SQL.format('html')} AS t FROM pages)
+SELECT item_id, page_id, round(len(list_intersect(q.t, d.t)) / greatest(1, len(q.t)), 6) AS overlap FROM q, d""")
+def lexical_overlap_all(spark, sf_dir):
+    q = _t(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("query"))
+    d = _t(spark, sf_dir, "pages").select("page_id", F.col("html").alias("text"))
+    return retrieval.overlaps(q, d, "item_id", "page_id").withColumn("overlap", F.round("overlap", 6))
+
+
 _NEAR_SQL = "SELECT q.vec_id AS query_id, e.vec_id AS item_id, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])) AS c FROM embeddings e, (SELECT * FROM embeddings ORDER BY vec_id LIMIT 5) q"
 
 

@@ -1,12 +1,14 @@
 """Operators on small rows whose results are worked out by hand."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from quillspark import schemas
 from quillspark.operators import control, latest, marts, quality, reshape, retrieval, star
+from quillspark.plans import queries
 
 FEEDBACK = "ingest_date string, run_id string, prompt_id string, evaluated_step_index int, task_type string, step_type string, model_version string, query_text string, final_answer string, " + ", ".join(f"final_{m} double" for m in schemas.METRICS) + ", final_overall_label string"
 
@@ -130,6 +132,22 @@ def test_retrieval(spark):
     assert retrieval.evaluation_report(retrieval.evaluate(spark).limit(0)).first()["recall_at_k"] == 0.0
 
 
+@pytest.mark.parametrize("block", [1000, 2])
+def test_overlaps_cover_every_pair(spark, block):
+    asked = [(i, t) for i, t in enumerate(["red green", "blue", "", "red red blue", "none"])]
+    docs = [(i, t) for i, t in enumerate(["Red, blue", "green", "", "x " * 50 + "RED green blue"])]
+    words = lambda t: set(re.findall(r"\w+", t.lower()))
+    want = {(i, j): len(words(a) & words(b)) / max(1, len(words(a))) for i, a in asked for j, b in docs}
+    out = retrieval.overlaps(spark.createDataFrame(asked, "query_id int, query string"), spark.createDataFrame(docs, "doc_id int, text string"), block=block).collect()
+    assert len(out) == len(want) and {(r["query_id"], r["doc_id"]): r["overlap"] for r in out} == want
+
+
+def test_overlap_query_leaves_no_page_out(spark, sf_dir):
+    n = [spark.read.parquet(f"{sf_dir}/{t}.parquet").count() for t in ("benchmark", "pages")]
+    out = queries.QUERIES["lexical_overlap_all"](spark, sf_dir)
+    assert out.count() == out.select("item_id", "page_id").distinct().count() == n[0] * n[1]
+
+
 def test_reshaping_keeps_label_only_rows(spark):
     df = spark.sql("select 1 id, cast(null as double) a, 2.0D b, 'L' lab, cast(null as string) none")
     out = reshape.wide_to_long(df, ["id"], {"x": {"a": F.col("a"), "b": F.col("b")}, "y": {"a": F.col("a"), "b": F.col("b")}}, "g", "m", "v", {"x": F.col("lab"), "y": F.col("none")}, "label")
