@@ -91,14 +91,24 @@ def _over_blocks(queries: DataFrame, query_id: str, block: int, ask) -> DataFram
     return reduce(DataFrame.unionAll, [ask(queries.where(F.pmod(F.xxhash64(query_id), F.lit(n)) == i)) for i in range(n)])
 
 
-def cosine_top_k(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
-    """(query_id, item_id, cosine, rank): the ``k`` nearest items of each of a few queries, ties by id.
+def cosine_top_k(queries: DataFrame, items: DataFrame, k: int, block: int = 1000) -> DataFrame:
+    """(query_id, item_id, cosine, rank): the ``k`` nearest items of each query, ties by id.
 
-    Queries are the small, broadcast side; partial top-k per partition runs before the shuffle.
+    Queries are counted and broadcast in blocks of about ``block``; partial top-k per partition runs before the shuffle.
     """
-    pairs = items.join(F.broadcast(queries), F.lit(True)).select("query_id", "item_id", V.cosine(F.col("query_embedding"), F.col("embedding")).alias("cosine"))
+    norm = lambda v: F.sqrt(V.dot(v, v))
+    asked = queries.select("query_id", "query_embedding", norm(F.col("query_embedding")).alias("__q"))
+    filed = items.select("item_id", "embedding", norm(F.col("embedding")).alias("__n")).repartition(_ranges(items), "item_id")
+    size = F.col("__q") * F.col("__n")
+    able = (F.size("query_embedding") == F.size("embedding")) & (F.size("embedding") > 0) & (size > 0)
+    near = F.coalesce(F.when(able, V.dot(F.col("query_embedding"), F.col("embedding")) / size), F.lit(0.0))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("cosine"), "item_id"))
-    return pairs.withColumn("rank", rank).where(F.col("rank") <= k)
+
+    def ask(part: DataFrame) -> DataFrame:
+        pairs = filed.join(F.broadcast(part), F.lit(True)).select("query_id", "item_id", near.alias("cosine"))
+        return pairs.withColumn("rank", rank).where(F.col("rank") <= k)
+
+    return _over_blocks(asked, "query_id", block, ask)
 
 
 def evaluate(spark: SparkSession, k: int = 3, routed: bool = True) -> DataFrame:

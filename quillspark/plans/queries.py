@@ -411,6 +411,17 @@ def cosine_topk(spark, sf_dir):
     return out.withColumns({"cosine": F.round("cosine", 6), "rank": F.col("rank").cast("long")})
 
 
+_NEAR_ALL_SQL = "SELECT q.vec_id AS query_id, e.vec_id AS item_id, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])) AS c FROM embeddings e, (SELECT * FROM embeddings WHERE vec_id % 100 = 0) q"
+
+
+@query(f"SELECT query_id, item_id, round(c, 6) AS cosine, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY c DESC, item_id) AS rank FROM ({_NEAR_ALL_SQL})) WHERE rank <= 10")
+def cosine_topk_hundreds(spark, sf_dir):
+    items = _t(spark, sf_dir, "embeddings")
+    queries = items.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_embedding"))
+    out = retrieval.cosine_top_k(queries, items.select(F.col("vec_id").alias("item_id"), "embedding"), 10)
+    return out.withColumns({"cosine": F.round("cosine", 6), "rank": F.col("rank").cast("long")})
+
+
 def _values(rows, names: str) -> str:
     text = lambda v: "NULL" if v is None else "[" + ", ".join(map(text, v)) + "]" if isinstance(v, list) else "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
     return f"(SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(text, r)) + ')' for r in rows)}) t({names}))"

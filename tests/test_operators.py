@@ -1,6 +1,7 @@
 """Operators on small rows whose results are worked out by hand."""
 
 import datetime as dt
+import math
 import re
 
 import pytest
@@ -148,6 +149,22 @@ def test_overlap_query_leaves_no_page_out(spark, sf_dir):
     assert out.count() == out.select("item_id", "page_id").distinct().count() == n[0] * n[1]
 
 
+def test_cosine_blocks_change_nothing(spark):
+    vectors = [(i, [float(i % 7), float(i % 5) - 2, 1.0]) for i in range(40)]
+    items = spark.createDataFrame(vectors, "item_id int, embedding array<double>")
+    asked = items.toDF("query_id", "query_embedding")
+    cos = lambda a, b: sum(x * y for x, y in zip(a, b)) / (math.sqrt(sum(x * x for x in a)) * math.sqrt(sum(x * x for x in b)))  # noqa: E731, B905
+    want = {(i, n + 1): j for i, a in vectors for n, (_, j) in enumerate(sorted((-cos(a, b), j) for j, b in vectors)[:3])}
+    for block in (1000, 7):
+        out = retrieval.cosine_top_k(asked, items, 3, block=block).collect()
+        assert len(out) == 120 and {(r["query_id"], r["rank"]): r["item_id"] for r in out} == want
+
+
+def test_cosine_query_asks_every_hundredth(spark, sf_dir):
+    due = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where("vec_id % 100 = 0").count()
+    assert queries.QUERIES["cosine_topk_hundreds"](spark, sf_dir).groupBy("query_id").count().where("count = 10").count() == due
+
+
 def test_reshaping_keeps_label_only_rows(spark):
     df = spark.sql("select 1 id, cast(null as double) a, 2.0D b, 'L' lab, cast(null as string) none")
     out = reshape.wide_to_long(df, ["id"], {"x": {"a": F.col("a"), "b": F.col("b")}, "y": {"a": F.col("a"), "b": F.col("b")}}, "g", "m", "v", {"x": F.col("lab"), "y": F.col("none")}, "label")
