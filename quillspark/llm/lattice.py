@@ -187,17 +187,13 @@ def _cell_links(key, pdf: pd.DataFrame, cosine: float, kind: str, how: tuple) ->
     return pd.DataFrame(out, columns=["id", "n", "v", "link"]).astype({"id": "int64", "n": "int64", "v": "int64", "link": "bool"})
 
 
-def grid_for(n: int) -> tuple[int, int, float]:
-    """(tables, blocks, width): finer cells and more tables for more vectors, at the same recall.
-
-    Measured on pairs at cosine 0.9 in 64 dimensions with three probes: recall
-    0.95 and 0.98, and unlike vectors meet with probability 3e-4 and 4e-5.
-    """
-    return (10, 2, 2.0) if n <= 5_000_000 else (20, 3, 2.4)
+#: (tables, blocks, width), one grid for tables of every size.  Measured on pairs at cosine 0.9 in 64
+#: dimensions with three probes: recall 0.98, and unlike vectors meet with probability 4e-5.
+GRID = (20, 3, 2.4)
 
 
 def near_duplicates(
-    vectors: DataFrame, cosine: float = 0.9, grid: tuple[int, int, float] | None = None, probes: int = 3, cell_rows: int = 4096, seed: int = 11
+    vectors: DataFrame, cosine: float = 0.9, grid: tuple[int, int, float] = GRID, probes: int = 3, cell_rows: int = 4096, seed: int = 11
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``vectors`` (vec_id, embedding)."""
     spark = vectors.sparkSession
@@ -221,7 +217,7 @@ def near_duplicates(
     heads = entered.groupBy("h").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight"))
     entries = common.checkpointed(heads.join(entered.select(F.col("vec_id").alias("id"), "v"), "id").select("id", "weight", "v"))
     n = entries.count()
-    tables, blocks, width = grid or grid_for(n)
+    tables, blocks, width = grid
     how = (tables, blocks, probes, width, seed)
     spread = entries.select("id", "v").repartition(parts, "id")
     filed = common.checkpointed(spread.mapInArrow(common.tidy(lambda it: _filed(it, kind, how)), "t int, cell long, dim int, home boolean, id long"))

@@ -85,3 +85,18 @@ def test_decoding_finds_the_nearest_point():
 def test_float64_vectors(spark):
     table = spark.createDataFrame([(1, [1.0, 0.1]), (2, [1.0, 0.1000001]), (3, [0.0, 1.0])], "vec_id long, embedding array<double>")
     assert sorted(tuple(r)[:3] for r in lattice.near_duplicates(table).collect()) == [(1, 1, 1), (2, 1, 1), (3, 0, 3)]
+
+
+def test_recall_of_the_one_grid_at_the_edge(spark):
+    rng = np.random.default_rng(21)
+    a = rng.normal(size=(1000, 64))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b = rng.normal(size=a.shape)
+    b -= (a * b).sum(1)[:, None] * a
+    b /= np.linalg.norm(b, axis=1)[:, None]
+    c = 0.9005 * a + np.sqrt(1 - 0.9005**2) * b
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([a, c]))]
+    v = np.concatenate([a, c])
+    due = np.count_nonzero(np.triu(v @ v.T >= 0.9, 1))
+    found = sum(r["n_links"] for r in lattice.near_duplicates(as_table(spark, rows)).collect()) / 2
+    assert 0.97 * due <= found <= due
