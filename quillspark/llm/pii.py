@@ -10,7 +10,7 @@ of the same gender and a surname of the same script.
 
 Collision checks: surrogates are compared with every entity found in the corpus
 and with each other, by joins; an entity whose surrogate is taken or is
-itself somebody's entity tries the next tweak.  These exceptions are few; they
+itself somebody's entity tries the next tweak, a name keeping its surname.  These exceptions are few; they
 are broadcast only up to ``most_broadcast`` rows and joined to their documents
 beyond that.
 
@@ -150,9 +150,11 @@ def surrogate(kind: str, canon: str, key: bytes, attempt: int = 0) -> str:
     if kind == "email":
         local, _, domain = canon.rpartition("@")
         host, _, tld = domain.rpartition(".")
+        if not any(c in a for c in local + host for a in _ALPHABETS):
+            return f"{_lettered(local, key, f'{tweak}/{canon}/local')}@{_lettered(host, key, f'{tweak}/{canon}/host')}.{tld}"
         return f"{reshape(local, key, f'{tweak}/{domain}')}@{reshape(host, key, f'{tweak}/host')}.{tld}"
     if kind == "name":
-        return _name(canon, key, tweak)
+        return _name(canon, key, attempt)
     own = _kept_class(kind, canon)
     value = canon
     if kind == "ip":
@@ -174,25 +176,41 @@ def surrogate(kind: str, canon: str, key: bytes, attempt: int = 0) -> str:
             return value
 
 
-def _name(canon: str, key: bytes, tweak: str) -> str:
+def _drawn(key: bytes, what: str) -> int:
+    return int.from_bytes(hmac.new(key, what.encode(), hashlib.sha256).digest(), "big")
+
+
+def _lettered(text: str, key: bytes, what: str) -> str:
+    """Letters for all but the dots of a text that has no slots to permute."""
+    return "".join(c if c == "." else _ALPHABETS[1][_drawn(key, f"{what}/{i}") % 26] for i, c in enumerate(text))
+
+
+def _syllables(number: int, count: int, script: str) -> str:
+    consonants, vowels = _SYLLABLES[script]
+    out = ""
+    for _ in range(count):
+        number, c = divmod(number, len(consonants))
+        number, v = divmod(number, len(vowels))
+        out += consonants[c] + vowels[v]
+    return out
+
+
+def _name(canon: str, key: bytes, attempt: int) -> str:
     title, *names = canon.split(" ")
     script = "cyrillic" if any("а" <= c <= "я" or c == "ё" for c in names[0]) else "latin"
     gender = TITLES.get(title, "")
     if not gender:
         gender = next((g for g in "fm" if names[0].capitalize() in GIVEN[script, g]), "fm"[hmac.new(key, names[0].encode(), hashlib.sha256).digest()[0] & 1])
-    # a part keeps its surrogate alone and beside another
-    number = int.from_bytes(hmac.new(key, f"{tweak}/{names[-1]}".encode(), hashlib.sha256).digest(), "big")
-    consonants, vowels = _SYLLABLES[script]
-    surname = ""
-    for _ in range(5):
-        number, c = divmod(number, len(consonants))
-        number, v = divmod(number, len(vowels))
-        surname += consonants[c] + vowels[v]
+    # a surname keeps its surrogate alone and beside any given name; only a surname that collides by itself takes another
+    surname = _syllables(_drawn(key, f"name/{attempt if len(names) == 1 else 0}/{names[-1]}"), 5, script)
     if len(names) == 1:
         return f"{title} {surname}"
     pool = GIVEN[script, gender]
-    given = pool[int.from_bytes(hmac.new(key, f"{tweak}/{' '.join(names)}".encode(), hashlib.sha256).digest()[:8], "big") % len(pool)]
-    return f"{title} {given.lower()} {surname}"
+    given = pool[int.from_bytes(hmac.new(key, f"name/{attempt}/{' '.join(names)}".encode(), hashlib.sha256).digest()[:8], "big") % len(pool)].lower()
+    if attempt:
+        # each further tweak draws from a space 70 times as large
+        given += _syllables(_drawn(key, f"name/{attempt}/{' '.join(names)}/more"), min(20, 1 + attempt), script)
+    return f"{title} {given} {surname}"
 
 
 def spelled(kind: str, value: str, canon: str) -> str:
@@ -243,8 +261,12 @@ def entities(docs: DataFrame, key: bytes) -> DataFrame:
     return docs.select("text").mapInArrow(common.tidy(run), "kind string, canon string, sur string").distinct()
 
 
-def exceptions_of(found: DataFrame, key: bytes, rounds: int = 20) -> DataFrame | None:
-    """(kind, canon, attempt) of the entities that need another than the first tweak; None if none does."""
+def exceptions_of(found: DataFrame, key: bytes) -> DataFrame | None:
+    """(kind, canon, attempt) of the entities that need another than the first tweak; None if none does.
+
+    Tries go on until all are settled; it is an error only where fifty tweaks in a row
+    settle nobody, as when every string of a shape is somebody's entity.
+    """
 
     def again(batches):
         for batch in batches:
@@ -254,16 +276,21 @@ def exceptions_of(found: DataFrame, key: bytes, rounds: int = 20) -> DataFrame |
 
     originals = found.select("kind", F.col("canon").alias("sur")).withColumn("real", F.lit(True))
     settled = found.select("kind", "canon", "sur", F.lit(0).alias("attempt"))
-    for attempt in range(rounds):
+    attempt, least, idle = 0, None, 0
+    while True:
         # of the entities with one surrogate, that settled first, then the first in order, keeps it
         holder = settled.groupBy("kind", "sur").agg(F.min(F.struct("attempt", "canon")).alias("own"))
         clash = settled.join(originals, ["kind", "sur"], "left").join(holder, ["kind", "sur"]).withColumn("bad", F.col("real").isNotNull() | (F.struct("attempt", "canon") != F.col("own")))
         clash = common.checkpointed(clash.select("kind", "canon", "sur", "attempt", "bad"))
-        if clash.where("bad").isEmpty():
+        left = clash.where("bad").count()
+        if not left:
             return settled.where("attempt > 0").select("kind", "canon", "attempt") if attempt else None
         moved = clash.where("bad").select("kind", "canon", F.lit(attempt + 1).alias("attempt")).mapInArrow(common.tidy(again), "kind string, canon string, sur string, attempt int")
         settled = clash.where("not bad").select("kind", "canon", "sur", "attempt").union(moved)
-    raise RuntimeError("surrogates still collide")
+        least, idle = (left, 0) if least is None or left < least else (least, idle + 1)
+        if idle >= 50:
+            raise RuntimeError("surrogates still collide")
+        attempt += 1
 
 
 def surrogates(docs: DataFrame, key: str, kinds: str | None = "pii_kinds", most_broadcast: int = 100_000) -> DataFrame:

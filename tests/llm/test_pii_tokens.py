@@ -88,6 +88,18 @@ def test_collisions_are_settled(spark):
     assert pii.exceptions_of(found.limit(1), KEY) is None
 
 
+def test_many_people_of_one_surname_are_settled(spark):
+    letters = "abcdefghij"
+    canons = [("name", f"{title} {start}{a}{b}{c} {surname}") for title, start, surname in (("mr", "q", "smith"),) for a in letters for b in letters for c in letters]
+    canons += [("name", "mr smith"), ("email", "-@-.co"), ("email", "_@-.co")]
+    found = spark.createDataFrame([(k, c, pii.surrogate(k, c, KEY)) for k, c in canons], "kind string, canon string, sur string")
+    tries = {(r["kind"], r["canon"]): r["attempt"] for r in pii.exceptions_of(found, KEY).collect()}
+    out = {(k, c): pii.surrogate(k, c, KEY, tries.get((k, c), 0)) for k, c in canons}
+    assert len(set(out.values())) == len(canons) and not set(out.values()) & {c for _, c in canons}
+    assert {s.split(" ")[-1] for (k, _), s in out.items() if k == "name"} == {out["name", "mr smith"].split(" ")[-1]}
+    assert all(pii.find(pii.spelled(k, c, s)) == [(0, len(s), k)] for (k, c), s in out.items() if k == "email")
+
+
 def test_exceptions_reach_their_documents_either_way(spark, docs, monkeypatch):
     table = docs((1, "at 5.6.7.8 now"), (2, "none"), (3, None), (1, "at 5.6.7.8 now"))
     special = spark.createDataFrame([("ip", "5.6.7.8", 3)], "kind string, canon string, attempt int")
