@@ -165,6 +165,15 @@ def test_cosine_query_asks_every_hundredth(spark, sf_dir):
     assert queries.QUERIES["cosine_topk_hundreds"](spark, sf_dir).groupBy("query_id").count().where("count = 10").count() == due
 
 
+def test_hybrid_scores_documents_that_share_no_token(spark):
+    docs = spark.range(10_001).selectExpr("id doc_id", "concat('u', id) uri", "if(id = 1, 'pipeline', 'other') text", "if(id = 7000, array(1D, 0D), array(0D, 1D)) embedding", "int(id) position")
+    asked = spark.createDataFrame([(1, "pipeline", [1.0, 0.0]), (2, "none", [1.0, 0.0])], "query_id int, query string, query_embedding array<double>")
+    for block in (1000, 1):
+        out = {(r["query_id"], r["rank"]): (r["doc_id"], round(r["score"], 9)) for r in retrieval.hybrid_top_k(asked, docs, 2, block=block).collect()}
+        far = round(0.7 + 1 / 8000, 9)
+        assert out == {(1, 1): (7000, far), (1, 2): (1, round(0.3 + 1 / 1001, 9)), (2, 1): (7000, far), (2, 2): (0, 0.001)}
+
+
 def test_reshaping_keeps_label_only_rows(spark):
     df = spark.sql("select 1 id, cast(null as double) a, 2.0D b, 'L' lab, cast(null as string) none")
     out = reshape.wide_to_long(df, ["id"], {"x": {"a": F.col("a"), "b": F.col("b")}, "y": {"a": F.col("a"), "b": F.col("b")}}, "g", "m", "v", {"x": F.col("lab"), "y": F.col("none")}, "label")
