@@ -4,7 +4,7 @@ Base statistics count words, code points in words, symbols, repeated lines and
 words in repeated windows of whole texts.  Ratios of them go through isolation
 trees, grown on a bounded sample of labelled good rows; a document's mean
 path length over random splits says how anomalous it is.  The cut is calibrated
-on labelled rows that grew no tree: it leaves at most ``good_loss`` of the good
+on all labelled rows that grew no tree, scored where they lie: it leaves at most ``good_loss`` of the good
 ones and falls no lower than the bad ones need.
 
 Defined cases: null text is an empty text; a text without words fails the base
@@ -152,6 +152,28 @@ def calibrated(good: np.ndarray, bad: np.ndarray, good_loss: float) -> float:
     return (edge + float(np.quantile(above, 0.02))) / 2 if len(above) else edge + 1e-9
 
 
+def _quantile(scores: DataFrame, q: float, n: int) -> float:
+    """``np.quantile`` of the ``n`` scores, from the rows at the nearer end alone."""
+    at = (n - 1) * q
+    a, b = int(np.floor(at)), int(np.ceil(at))
+    low = b + 1 <= n - a
+    end = [r[0] for r in scores.select("score").orderBy(F.asc("score") if low else F.desc("score")).limit(b + 1 if low else n - a).collect()]
+    x, y = (end[a], end[b]) if low else (end[n - 1 - a], end[n - 1 - b])
+    return x + (y - x) * (at - a)
+
+
+def calibrated_over(scores: DataFrame, good_loss: float) -> float:
+    """``calibrated`` over a table of (score, good)."""
+    good, bad = scores.where("good"), scores.where("not good")
+    n = good.count()
+    if not n:
+        return 2.0
+    edge = _quantile(good, 1 - good_loss, n)
+    above = bad.where(F.col("score") > edge)
+    n = above.count()
+    return (edge + _quantile(above, 0.02, n)) / 2 if n else edge + 1e-9
+
+
 def counted(docs: DataFrame) -> DataFrame:
     """(doc_id, COUNTS, EXTRA) of each row of ``docs`` (doc_id, text)."""
     names = [*COUNTS, *EXTRA]
@@ -165,16 +187,32 @@ def counted(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(common.tidy(run), f"doc_id {kind}, " + ", ".join(f"{n} long" for n in names))
 
 
+def _labels(labels: DataFrame) -> DataFrame:
+    return labels.groupBy(F.col("doc_id").alias("of")).agg(F.max("quality").alias("quality")).where("of is not null and quality is not null")
+
+
 def labelled_counts(docs: DataFrame, labels: DataFrame, rows: int) -> pd.DataFrame:
     """Counts and label of at most ``rows`` labelled documents, the first by hash of their ids."""
-    own = labels.groupBy(F.col("doc_id").alias("of")).agg(F.max("quality").alias("quality")).where("of is not null and quality is not null")
-    picked = own.orderBy(F.xxhash64("of"), "of").limit(rows)
+    picked = _labels(labels).orderBy(F.xxhash64("of"), "of").limit(rows)
     # the limited side is small by that bound
     return counted(docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("of"), "left_semi")).join(F.broadcast(picked), F.col("doc_id") == F.col("of")).drop("of").toPandas()
 
 
+def _scored(docs: DataFrame, forest: dict[str, np.ndarray]) -> DataFrame:
+    """(doc_id, score) of the rows of ``docs`` that pass the base rule."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            for chunk, data, offsets in common.text_chunks(batch, "text"):
+                failed, score, _ = _judge(text_counts(data, offsets), forest, 2.0)
+                yield pa.RecordBatch.from_arrays([chunk.column("doc_id").filter(pa.array(~failed)), pa.array(score[~failed])], ["doc_id", "score"])
+
+    return docs.select("doc_id", "text").mapInArrow(common.tidy(run), f"doc_id {kind}, score double")
+
+
 def fit_rules(docs: DataFrame, labels: DataFrame, rows: int = 4000, good_loss: float = 0.001, trees: int = 200, seed: int = 5) -> tuple[dict[str, np.ndarray] | None, float]:
-    """A forest and its cut from at most ``rows`` labelled rows; (None, 2.0) without good ones."""
+    """A forest from at most ``rows`` labelled rows, and its cut from all others; (None, 2.0) without good ones."""
     seen = labelled_counts(docs, labels, rows).sort_values(["doc_id", *COUNTS])
     counts = seen[[*COUNTS, *EXTRA]].to_numpy(np.int64)
     able = ~base_failed(counts)
@@ -183,7 +221,12 @@ def fit_rules(docs: DataFrame, labels: DataFrame, rows: int = 4000, good_loss: f
         return None, 2.0
     own = x[good]
     forest = grow_forest(own[::2], trees=trees, seed=seed)
-    return forest, calibrated(anomaly(forest, own[1::2]), anomaly(forest, x[~good]), good_loss)
+    grew = seen["doc_id"].to_numpy()[able][good][::2].tolist()
+    # at most half of ``rows``
+    spent = docs.sparkSession.createDataFrame([(v,) for v in grew], f"spent {labels.schema['doc_id'].dataType.simpleString()}").distinct()
+    held = _labels(labels).join(F.broadcast(spent), F.col("of") == F.col("spent"), "left_anti")
+    scores = _scored(docs, forest).join(held, F.col("doc_id") == F.col("of")).select("score", (F.col("quality") == 1).alias("good"))
+    return forest, calibrated_over(common.checkpointed(scores), good_loss)
 
 
 def base_failed(counts: np.ndarray) -> np.ndarray:

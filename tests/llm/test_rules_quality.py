@@ -114,3 +114,28 @@ def test_quality_odd_rows(clashing, none, labelled):
     assert len(out) == clashing.count() and all(r["held_out"] is not None and 0 <= r["score"] <= 1 for r in out)
     assert quality.scored(none, labels).collect() == []
     assert {r["score"] for r in quality.scored(clashing, labels.limit(0)).collect()} == {0.5}
+
+
+def test_the_cut_comes_from_all_labelled_rows(spark, labelled):
+    docs, labels, _ = labelled
+    forest, cut = rules.fit_rules(docs, labels, rows=60, good_loss=0.01)
+    seen = rules.labelled_counts(docs, labels, 10**6)
+    grew = rules.labelled_counts(docs, labels, 60).sort_values(["doc_id", *rules.COUNTS])
+
+    def usable(part):
+        counts = part[[*rules.COUNTS, *rules.EXTRA]].to_numpy(np.int64)
+        return part[~rules.base_failed(counts)]
+
+    grown = usable(grew)
+    spent = set(grown[grown["quality"] == 1]["doc_id"].tolist()[::2])
+    rest = usable(seen[~seen["doc_id"].isin(spent)])
+    score = rules.anomaly(forest, rules.ratios(rest[[*rules.COUNTS, *rules.EXTRA]].to_numpy(np.int64)))
+    good = rest["quality"].to_numpy() == 1
+    assert good.sum() > 60 and cut == pytest.approx(rules.calibrated(score[good], score[~good], 0.01), abs=1e-12)
+
+
+@pytest.mark.parametrize("n,q", [(1, 0.5), (2, 0.999), (101, 0.02), (1000, 0.999), (50, 0.5)])
+def test_quantiles_of_a_table_are_those_of_the_array(spark, n, q):
+    values = np.random.default_rng(n).random(n)
+    table = spark.createDataFrame([(float(v),) for v in values], "score double")
+    assert rules._quantile(table, q, n) == pytest.approx(np.quantile(values, q), abs=1e-12)
