@@ -200,7 +200,10 @@ def _encoded(batch: pa.RecordBatch, path: str, end_id: int, width: int) -> Itera
         ids, counts = Encoder.of(path).encode(data, offsets)
         at = 0
         for doc_id, n in zip(chunk.column("doc_id").to_pylist(), counts.tolist(), strict=True):
-            yield doc_id, np.append(ids[at : at + n], end_id).astype(f"<u{width}")
+            own = np.append(ids[at : at + n], end_id)
+            if own.min() < 0 or int(own.max()) >> 8 * width:
+                raise ValueError(f"a token id does not fit {width} bytes")
+            yield doc_id, own.astype(f"<u{width}")
             at += n
 
 

@@ -3,6 +3,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quillspark.llm import common, pii, token_store
@@ -186,3 +187,11 @@ def test_token_odd_rows(clashing, none, tokenizer):
 def test_packed_integers_round_trip():
     for values in ([], [0], [1, -5, 2**62, 7], list(range(1000))):
         assert common.unpack(common.pack(np.array(values, np.int64))).tolist() == values
+
+
+def test_ids_wider_than_the_store_are_an_error():
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["some words"])], ["doc_id", "text"])
+    path = tokenizer_path()
+    with pytest.raises(ValueError, match="does not fit"):
+        list(token_store._encoded(batch, path, 2**16, 2))
+    assert len(list(token_store._encoded(batch, path, 2**16, 4))) == 1
