@@ -47,10 +47,20 @@ def checkpointed(df: DataFrame, rows: int | None = None, per_file: int = 250_000
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: the session's, else a temporary one for local runs."""
     sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if named is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
+        named = tempfile.mkdtemp(prefix="quillspark-checkpoint-")
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="quillspark-checkpoint-"))
-    return (named or sc.getCheckpointDir()).rstrip("/")
+        sc.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of intermediate data in whatever store its scheme names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -2,18 +2,24 @@
 
 Texts are cut at single spaces between visible characters, where the
 tokenizer's own pattern always cuts, and each distinct piece is encoded once per
-worker by the tokenizers library; a bounded table holds what is known.  Every
-document's ids are serialised and compressed on their own against a dictionary
-that was trained on a bounded sample, so any document of a shard can be read
-without its neighbours.
+worker by the tokenizers library; a bounded table holds what is known, and what
+it says is believed only after the bytes were compared.  Texts that hold the
+string of an added token are given to the tokenizer whole.  Every document's ids
+are serialised and compressed on their own where the text is read, against a
+dictionary that was trained on a bounded sample; only frames are shuffled into
+order, and any document of a shard can be read without its neighbours.
 
 A shard image is, little-endian: b"QSTOK1", bytes per id (u1), sha256 of the
 dictionary, number of documents (u8), then for each document its id (i8), a null
 flag of the id (u1), its number of ids (u8) and the end of its frame (u8),
 and the frames.  Images are rows of a Parquet folder, so that they reach any store
-that Spark writes to and survive retried tasks; shards follow ascending doc_id.
+that Spark writes to and survive retried tasks; shards follow ascending doc_id,
+and each row names its first and last doc_id, so that a lookup prunes by them.
+Ids take two bytes where the tokenizer's largest id fits, four otherwise.
 
-Defined cases: null and empty texts have only the end id; rows that repeat are
+Defined cases: null and empty texts have only the end id; texts of any length are
+encoded whole; strings of special tokens in a text are what the library makes of
+them (their ids), or ordinary text with ``special_as_text``; rows that repeat are
 stored each; ties of doc_id are ordered by a hash of the text, null ids come
 first; an empty table gives an empty folder; other columns are not read.
 """
@@ -25,7 +31,7 @@ import os
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,85 +45,153 @@ from quillspark.llm import common
 MAGIC = b"QSTOK1"
 _HEAD = struct.Struct("<6sB32sQ")
 _KNOWN_MOST = 2_500_000
-_TOKENIZERS: dict[str, "Encoder"] = {}
+_SLOTS = 1 << 22
+_TOKENIZERS: dict[tuple[str, bool], "Encoder"] = {}
+
+
+def _slot(hashes: np.ndarray, second: bool = False) -> np.ndarray:
+    return ((hashes >> np.uint64(32) if second else hashes) & np.uint64(_SLOTS - 1)).astype(np.int64)
 
 
 class Encoder:
     """Ids of many texts by one tokenizer, each distinct piece encoded once while it is known."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         # tasks are parallel already
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        if special_as_text:
+            self.tokenizer.encode_special_tokens = True
+        added = {i: t.content.encode() for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.added = [c for c in added.values() if c]
         # only a byte-level tokenizer that cuts by its pattern can take pieces
-        kind = self.tokenizer.pre_tokenizer.__class__.__name__
-        self.pieces = kind == "ByteLevel" and self.tokenizer.normalizer is None
-        # a byte-level token stands for as many bytes as it has characters
+        cut = self.tokenizer.pre_tokenizer
+        plain = cut.__class__.__name__ == "ByteLevel" and cut.use_regex and not cut.add_prefix_space
+        plain = plain and self.tokenizer.normalizer is None and self.tokenizer.truncation is None and self.tokenizer.padding is None
+        self.pieces = plain and not any(b" " in c for c in self.added)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.bytes_of = np.zeros(max([*vocabulary.values(), self.tokenizer.get_vocab_size() - 1]) + 1, np.int64)
+        self.largest = max([0, *vocabulary.values(), *added])
+        # a byte-level token stands for as many bytes as it has characters
+        self.bytes_of = np.zeros(self.largest + 1, np.int64)
         for token, i in vocabulary.items():
             self.bytes_of[i] = len(token)
         self._forget()
 
     @staticmethod
-    def of(path: str) -> "Encoder":
-        if path not in _TOKENIZERS:
-            _TOKENIZERS[path] = Encoder(path)
-        return _TOKENIZERS[path]
+    def of(path: str, special_as_text: bool = False) -> "Encoder":
+        key = (path, special_as_text)
+        if key not in _TOKENIZERS:
+            _TOKENIZERS[key] = Encoder(path, special_as_text)
+        return _TOKENIZERS[key]
+
+    def width(self, end_id: int) -> int:
+        """Bytes that every id and the end id fit."""
+        return 2 if max(self.largest, end_id) < 1 << 16 else 4
 
     def _forget(self) -> None:
-        self.known = np.zeros(0, np.uint64)
-        self.begin, self.count, self.ids = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.uint32)
+        # row 0 is nobody's: a slot without a piece points to it
+        self.slots = np.zeros(_SLOTS, np.int32)
+        self.rows, self.used_ids, self.used_raw = 1, 0, 0
+        self.known, self.size, self.at = np.zeros(1024, np.uint64), np.zeros(1024, np.int32), np.zeros(1024, np.int64)
+        self.begin, self.count, self.ids, self.raw = np.zeros(1024, np.int64), np.zeros(1024, np.int32), np.zeros(1024, np.uint32), np.zeros(1024, np.uint8)
+
+    def _put(self, name: str, used: int, values: np.ndarray) -> None:
+        """Values behind the used part of an array that grows by halves."""
+        have = getattr(self, name)
+        if used + len(values) > len(have):
+            wider = np.zeros(max(used + len(values), len(have) * 3 // 2), have.dtype)
+            wider[:used] = have[:used]
+            setattr(self, name, have := wider)
+        have[used : used + len(values)] = values
+
+    def _plainly(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        made = [e.ids for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+        return np.fromiter((i for m in made for i in m), np.uint32), np.array([len(m) for m in made], np.int64)
 
     def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
-        if len(self.known) + len(hashes) > _KNOWN_MOST:
-            self._forget()
         # pieces that begin with a single space and end visibly are cut apart in a row just as they were in their texts
         plain = np.array([len(p) > 1 and p[0] == 0x20 and p[1] != 0x20 and 0x21 <= p[-1] < 0x7F and p.isascii() and len(p.split()) == 1 for p in pieces], dtype=bool)
         rows, alone = np.flatnonzero(plain), np.flatnonzero(~plain)
         groups = [rows[i : i + 64] for i in range(0, len(rows), 64)]
-        made = self.tokenizer.encode_batch_fast([b"".join(pieces[i] for i in g).decode() for g in groups] + [pieces[i].decode() for i in alone], add_special_tokens=False)
-        flat = np.fromiter((i for e in made for i in e.ids), np.uint32)
+        flat, _ = self._plainly([b"".join(pieces[i] for i in g) for g in groups] + [pieces[i] for i in alone])
         # the bytes of the ids tell which piece each belongs to
-        sizes = np.fromiter((len(pieces[i]) for i in (*rows, *alone)), np.int64, len(pieces))
-        until = np.searchsorted(np.cumsum(self.bytes_of[flat]), np.cumsum(sizes)) + 1
         ordered = np.concatenate([rows, alone])
-        count = np.diff(until, prepend=0).astype(np.int32)
-        begin = (len(self.ids) + until).astype(np.int32) - count
-        self.ids = np.concatenate([self.ids, flat])
-        known = np.concatenate([self.known, hashes[ordered]])
-        order = np.argsort(known, kind="stable")
-        self.known, self.begin, self.count = known[order], np.concatenate([self.begin, begin])[order], np.concatenate([self.count, count])[order]
+        sizes = np.fromiter((len(pieces[i]) for i in ordered), np.int64, len(pieces))
+        until = np.searchsorted(np.cumsum(self.bytes_of[flat]), np.cumsum(sizes)) + 1
+        count = np.diff(until, prepend=0)
+        for name, values in (("begin", self.used_ids + until - count), ("count", count), ("at", self.used_raw + np.cumsum(sizes) - sizes), ("size", sizes), ("known", hashes[ordered])):
+            self._put(name, self.rows, values)
+        self._put("ids", self.used_ids, flat)
+        self._put("raw", self.used_raw, np.frombuffer(b"".join(pieces[i] for i in ordered), np.uint8))
+        # a piece whose first slot is taken goes to its second, whoever was there
+        own, rows = hashes[ordered], np.arange(self.rows, self.rows + len(pieces), dtype=np.int32)
+        taken = self.slots[_slot(own)] != 0
+        self.slots[_slot(own[~taken])] = rows[~taken]
+        self.slots[_slot(own[taken], second=True)] = rows[taken]
+        self.rows, self.used_ids, self.used_raw = self.rows + len(pieces), self.used_ids + len(flat), self.used_raw + int(sizes.sum())
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in ``data``, and how many each text has."""
         texts = len(offsets) - 1
+        raw = data.tobytes()
         if not self.pieces:
-            raw = data.tobytes()
-            made = [e.ids for e in self.tokenizer.encode_batch_fast([raw[offsets[i] : offsets[i + 1]].decode() for i in range(texts)], add_special_tokens=False)]
-            return np.array([i for m in made for i in m], np.uint32), np.array([len(m) for m in made], np.int64)
+            return self._plainly([raw[offsets[i] : offsets[i + 1]] for i in range(texts)])
+        if any(c in raw for c in self.added):
+            own = [raw[offsets[i] : offsets[i + 1]] for i in range(texts)]
+            odd = np.array([any(c in t for c in self.added) for t in own], dtype=bool)
+            if odd.any():
+                rest = [t for t, o in zip(own, odd, strict=True) if not o]
+                made = (self._plainly([t for t, o in zip(own, odd, strict=True) if o]), self.encode(np.frombuffer(b"".join(rest), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in rest], dtype=np.int64)])))
+                per = np.zeros(texts, np.int64)
+                per[odd], per[~odd] = made[0][1], made[1][1]
+                to = np.repeat(odd, per)
+                ids = np.zeros(len(to), np.uint32)
+                ids[to], ids[~to] = made[0][0], made[1][0]
+                return ids, per
         starts = piece_starts(data, offsets)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(texts, np.int64)
         ends = np.append(starts[1:], len(data))
         doc = np.searchsorted(offsets, starts, "right") - 1
+        at = self._places(data, raw, starts, ends)
+        count = self.count[at]
+        per = np.bincount(doc, count, texts).astype(np.int64)
+        ids = self.ids[np.repeat(self.begin[at], count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)]
+        return ids, per
+
+    def _places(self, data: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Row of each piece among the known ones; new ones are learnt, and no hash is believed."""
         hashes = common.word_hashes(data, starts, ends, lower=False)
-        unique, first, place = np.unique(hashes, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.known, unique)
-        new = np.flatnonzero((at == len(self.known)) | (self.known[np.minimum(at, len(self.known) - 1)] != unique)) if len(self.known) else np.arange(len(unique))
+        if self.rows > _KNOWN_MOST:
+            self._forget()
+        at = self.slots[_slot(hashes)].astype(np.int64)
+        sizes = ends - starts
+        other = np.flatnonzero((self.known[at] != hashes) | (at == 0))
+        at[other] = self.slots[_slot(hashes[other], second=True)]
+        new = np.flatnonzero((self.known[at] != hashes) | (at == 0))
         if len(new):
-            if len(self.known) + len(new) > _KNOWN_MOST:
-                new = np.arange(len(unique))
-            raw = data.tobytes()
-            self._learn(unique[new], [raw[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)])
-            at = np.searchsorted(self.known, unique)
-        count = self.count[at][place]
-        begin = self.begin[at][place].astype(np.int64)
-        within = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-        return self.ids[np.repeat(begin, count) + within], np.bincount(doc, count, texts).astype(np.int64)
+            unique, first, place = np.unique(hashes[new], return_index=True, return_inverse=True)
+            base = self.rows
+            self._learn(unique, [raw[a:b] for a, b in zip(starts[new[first]].tolist(), ends[new[first]].tolist(), strict=True)])
+            row = np.empty(len(unique), np.int64)
+            row[np.searchsorted(unique, self.known[base : self.rows])] = np.arange(base, self.rows)
+            at[new] = row[place]
+        edge = np.cumsum(sizes) - sizes
+        # pieces follow each other without gaps
+        same = data[starts[0] : ends[-1]] == self.raw[np.minimum(np.repeat(self.at[at] - edge, sizes) + np.arange(int(sizes.sum())), self.used_raw - 1)]
+        if not same.all() or (self.size[at] != sizes).any():
+            wrong = np.flatnonzero((np.add.reduceat(~same, edge) > 0) | (self.size[at] != sizes))
+            pieces = [raw[a:b] for a, b in zip(starts[wrong].tolist(), ends[wrong].tolist(), strict=True)]
+            # two pieces of one hash: each gets a row of its own, that no slot leads to
+            for i, piece in zip(wrong.tolist(), pieces, strict=True):
+                slots = [_slot(hashes[i : i + 1]), _slot(hashes[i : i + 1], second=True)]
+                kept, at[i] = [self.slots[x] for x in slots], self.rows
+                self._learn(hashes[i : i + 1], [piece])
+                for x, v in zip(slots, kept, strict=True):
+                    self.slots[x] = v
+        return at
 
 
 _VISIBLE = np.zeros(256, dtype=bool)
@@ -187,6 +261,14 @@ class Shard:
         own = _dictionary(dictionary)
         self._open = zstandard.ZstdDecompressor(dict_data=own) if own else zstandard.ZstdDecompressor()
 
+    def places(self, doc_id: int) -> range:
+        """Numbers of the documents of an id; those without an id come first and are left out."""
+        if not hasattr(self, "_named"):
+            self._first = next((i for i, d in enumerate(self.doc_ids) if d is not None), self.n)
+            self._named = np.array(self.doc_ids[self._first :], np.int64)
+        a, b = (int(np.searchsorted(self._named, doc_id, side)) for side in ("left", "right"))
+        return range(self._first + a, self._first + b)
+
     def ids(self, i: int) -> np.ndarray:
         a = self.base + (int(self.ends[i - 1]) if i else 0)
         got = np.frombuffer(self._open.decompress(self.raw[a : self.base + int(self.ends[i])]), f"<u{self.width}")
@@ -195,27 +277,29 @@ class Shard:
         return got
 
 
-def _encoded(batch: pa.RecordBatch, path: str, end_id: int, width: int) -> Iterator[tuple[int | None, np.ndarray]]:
+def _encoded(batch: pa.RecordBatch, encoder: Encoder, end_id: int, width: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Slices of a batch with each text's ids, the end id last."""
+    if max(encoder.largest, end_id) >> 8 * width or end_id < 0:
+        raise ValueError(f"a token id does not fit {width} bytes")
     for chunk, data, offsets in common.text_chunks(batch, "text"):
-        ids, counts = Encoder.of(path).encode(data, offsets)
-        at = 0
-        for doc_id, n in zip(chunk.column("doc_id").to_pylist(), counts.tolist(), strict=True):
-            own = np.append(ids[at : at + n], end_id)
-            if own.min() < 0 or int(own.max()) >> 8 * width:
-                raise ValueError(f"a token id does not fit {width} bytes")
-            yield doc_id, own.astype(f"<u{width}")
-            at += n
+        ids, counts = encoder.encode(data, offsets)
+        ends = np.cumsum(counts)
+        own = np.insert(ids, ends, end_id).astype(f"<u{width}")
+        edge = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
+        yield chunk, [own[edge[i] : edge[i + 1]] for i in range(len(counts))]
 
 
-def train(docs: DataFrame, path: str, end_id: int, width: int, rows: int = 1000, most: int = 8_000_000) -> bytes:
-    """A dictionary from the first ``rows`` texts by hash, up to ``most`` bytes of ids."""
+def train(docs: DataFrame, path: str, end_id: int, width: int, special_as_text: bool = False, rows: int = 1000, most: int = 8_000_000) -> bytes:
+    """A dictionary from the first ``rows`` texts by hash, up to ``most`` bytes of ids in all and a thousandth of that each."""
 
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([i.tobytes() for _, i in _encoded(batch, path, end_id, width)], pa.binary())], ["s"])
+            for _, made in _encoded(batch, Encoder.of(path, special_as_text), end_id, width):
+                yield pa.RecordBatch.from_arrays([pa.array([i.tobytes()[: most // 1000] for i in made], pa.binary())], ["s"])
 
-    ids = docs.where("doc_id is not null").select(F.col("doc_id").alias("__of"), F.xxhash64("doc_id", F.lit("dictionary")).alias("h")).orderBy("h", "__of").limit(rows).select("__of")
-    picked = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("__of"), "left_semi")
+    # one text to an id, so that the bound holds where ids repeat
+    ids = docs.where("doc_id is not null").select(F.col("doc_id").alias("__of"), F.xxhash64("doc_id", F.lit("dictionary")).alias("h")).distinct().orderBy("h", "__of").limit(rows).select("__of")
+    picked = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("__of"), "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
     samples, total = [], 0
     for s in sorted(bytes(r["s"]) for r in picked.mapInArrow(common.tidy(run), "s binary").collect()):
         if total + len(s) <= most:
@@ -224,39 +308,74 @@ def train(docs: DataFrame, path: str, end_id: int, width: int, rows: int = 1000,
     return trained(samples)
 
 
-def write(docs: DataFrame, folder: str, path: str, end_id: int, width: int = 2, shard_bytes: int = 4_000_000, level: int = 3) -> bytes:
+def write(docs: DataFrame, folder: str, path: str, end_id: int, width: int | None = None, shard_bytes: int = 4_000_000, level: int = 3, special_as_text: bool = False) -> bytes:
     """Writes the shards of ``docs`` (doc_id, text) to ``folder``; returns the dictionary."""
     spark = docs.sparkSession
+    width = width or Encoder(path).width(end_id)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    dictionary = train(docs, path, end_id, width)
-    ordered = docs.repartitionByRange(common.shuffle_partitions(spark), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text")
+    dictionary = train(docs, path, end_id, width, special_as_text)
+
+    def squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _dictionary(dictionary)
+        squeeze = zstandard.ZstdCompressor(level=level, dict_data=own) if own else zstandard.ZstdCompressor(level=level)
+        for batch in batches:
+            for chunk, made in _encoded(batch, Encoder.of(path, special_as_text), end_id, width):
+                columns = [chunk.column("doc_id"), chunk.column("tie"), pa.array([len(i) for i in made], pa.int64()), pa.array([squeeze.compress(i.tobytes()) for i in made], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tie", "n", "frame"])
+
+    # written once, as the ranges are found by another reading of it
+    frames = common.checkpointed(docs.withColumn("tie", F.xxhash64("text")).mapInArrow(common.tidy(squeezed), "doc_id long, tie long, n long, frame binary"))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("tie"), F.col("frame")]
+    ordered = frames.repartitionByRange(common.shuffle_partitions(spark), order[0]).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, size = TaskContext.get().partitionId(), 0, 0
         held: list[tuple[int | None, int, bytes]] = []
-        own = _dictionary(dictionary)
-        squeeze = zstandard.ZstdCompressor(level=level, dict_data=own) if own else zstandard.ZstdCompressor(level=level)
 
         def row():
-            return pa.RecordBatch.from_pylist([{"part": part, "seq": seq, "n_docs": len(held), "n_ids": sum(h[1] for h in held), "image": image(held, width, dictionary)}], schema)
+            named = [h[0] for h in held if h[0] is not None]
+            return pa.RecordBatch.from_pylist(
+                [{"part": part, "seq": seq, "n_docs": len(held), "n_ids": sum(h[1] for h in held), "first_id": min(named, default=None), "last_id": max(named, default=None), "image": image(held, width, dictionary)}], schema
+            )
 
         for batch in batches:
-            for doc_id, ids in _encoded(batch, path, end_id, width):
-                held.append((doc_id, len(ids), squeeze.compress(ids.tobytes())))
-                size += len(held[-1][2]) + 25
+            for own in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "frame")), strict=True):
+                held.append(own)
+                size += len(own[2]) + 25
                 if size >= shard_bytes:
                     yield row()
                     held, seq, size = [], seq + 1, 0
         if held:
             yield row()
 
-    schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("image", pa.binary())])
+    schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("first_id", pa.int64()), ("last_id", pa.int64()), ("image", pa.binary())])
     # images are compressed already
-    ordered.mapInArrow(common.tidy(run), "part int, seq int, n_docs long, n_ids long, image binary").write.mode("errorifexists").option("compression", "none").parquet(f"{folder}/shards")
+    ordered.select("doc_id", "n", "frame").mapInArrow(common.tidy(run), "part int, seq int, n_docs long, n_ids long, first_id long, last_id long, image binary").write.mode("errorifexists").option("compression", "none").parquet(f"{folder}/shards")
     spark.createDataFrame([(hashlib.sha256(dictionary).hexdigest(), bytearray(dictionary))], "sha256 string, dictionary binary").coalesce(1).write.parquet(f"{folder}/dictionary")
     return dictionary
 
 
+def lookup(spark: SparkSession, folder: str, doc_ids: Iterable[int]) -> DataFrame:
+    """(doc_id, ids) of a list of ids: shards that can't hold one are not read, and only the asked frames are opened."""
+    wanted = sorted({int(i) for i in doc_ids})
+    dictionary = bytes(spark.read.parquet(f"{folder}/dictionary").first()["dictionary"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw in batch.column("image").to_pylist():
+                shard = Shard(raw, dictionary)
+                found = [(i, shard.ids(n).tolist()) for i in wanted for n in shard.places(i)]
+                yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.list_(pa.int64()))], ["doc_id", "ids"])
+
+    shards = spark.read.parquet(f"{folder}/shards")
+    if not wanted:
+        return spark.createDataFrame([], "doc_id long, ids array<long>")
+    # the ends of the list prune row groups; which of the others hold one is told by the list itself
+    near = shards.where((F.col("last_id") >= wanted[0]) & (F.col("first_id") <= wanted[-1]))
+    near = near.where(F.exists(F.lit(wanted), lambda w: (w >= F.col("first_id")) & (w <= F.col("last_id"))))
+    return near.select("image").mapInArrow(common.tidy(run), "doc_id long, ids array<long>")
+
+
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document of a folder, from its files."""
     dictionary = bytes(spark.read.parquet(f"{folder}/dictionary").first()["dictionary"])
@@ -281,9 +400,16 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stored(docs: DataFrame, path: str, end_id: int = 2, folder: str | None = None) -> DataFrame:
-    """Writes ``docs`` to a new folder (below the shared checkpoint folder if not named) and reads it back."""
+    """Writes ``docs`` to a new folder and reads it back.
+
+    Without ``folder``, a folder below the shared checkpoint folder serves; it
+    is removed when the digests of its documents are saved.
+    """
     spark = docs.sparkSession
-    if folder is None:
-        folder = f"{common.shared_folder(spark)}/token-store-{uuid.uuid4().hex}"
-    write(docs, folder, path, end_id)
-    return read(spark, folder)
+    own = folder or f"{common.shared_folder(spark)}/token-store-{uuid.uuid4().hex}"
+    write(docs, own, path, end_id)
+    if folder:
+        return read(spark, own)
+    out = common.checkpointed(read(spark, own))
+    common.remove(spark, own)
+    return out

@@ -126,9 +126,7 @@ ODD = ["a  b c  d  e it's  I'll 've <|endoftext|> x\n\n y \t z ", "", "   ", " 
 def tokenizer():
     from tokenizers import Tokenizer
 
-    out = Tokenizer.from_file(tokenizer_path())
-    out.encode_special_tokens = True
-    return out
+    return Tokenizer.from_file(tokenizer_path())
 
 
 def encode(tokenizer, text):
@@ -148,8 +146,24 @@ def test_pieces_encode_as_whole_texts(tokenizer):
         assert count.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
-def test_forgetting_changes_nothing(tokenizer, monkeypatch):
-    monkeypatch.setattr(token_store, "_KNOWN_MOST", 50)
+def test_special_strings_are_as_the_library_has_them(tokenizer):
+    texts = ["stop <|endoftext|> go", "<|endoftext|>", "a <|endof text|> b", "x <|endoftext|><|endoftext|>y", "plain"]
+    raw = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    ids, count = token_store.Encoder(tokenizer_path()).encode(data, offsets)
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [11338, 220, 50256, 467]
+    assert count.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    ids, count = token_store.Encoder(tokenizer_path(), special_as_text=True).encode(data, offsets)
+    assert 50256 not in ids.tolist() and tokenizer.decode(ids.tolist(), skip_special_tokens=False) == "".join(texts)
+
+
+@pytest.mark.parametrize("most,slots,same", [(50, 1 << 22, False), (2_500_000, 2, False), (2_500_000, 1 << 22, True)])
+def test_forgetting_full_slots_and_equal_hashes_change_nothing(tokenizer, monkeypatch, most, slots, same):
+    monkeypatch.setattr(token_store, "_KNOWN_MOST", most)
+    monkeypatch.setattr(token_store, "_SLOTS", slots)
+    if same:
+        monkeypatch.setattr(common, "word_hashes", lambda data, starts, ends, lower: (ends - starts).astype(np.uint64) % np.uint64(3))
     encoder = token_store.Encoder(tokenizer_path())
     for a in range(6):
         text = " ".join(f"w{a}x{i}" for i in range(40)).encode()
@@ -175,6 +189,9 @@ def test_store_reads_back_what_it_wrote(spark, docs, tokenizer, tmp_path):
     assert last.doc_ids[-1] == 3000 and last.ids(last.n - 1).tolist() == [2]
     with pytest.raises(ValueError):
         token_store.Shard(bytes(shards[0]["image"]), b"another")
+    got = {r["doc_id"]: list(r["ids"]) for r in token_store.lookup(spark, folder, [701, 3000, 5, 2001]).collect()}
+    assert got == {i: encode(tokenizer, t) for i, t in rows if i in (701, 3000, 2001)}
+    assert token_store.lookup(spark, folder, []).collect() == []
 
 
 def test_token_odd_rows(clashing, none, tokenizer):
@@ -191,7 +208,8 @@ def test_packed_integers_round_trip():
 
 def test_ids_wider_than_the_store_are_an_error():
     batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["some words"])], ["doc_id", "text"])
-    path = tokenizer_path()
+    encoder = token_store.Encoder(tokenizer_path())
     with pytest.raises(ValueError, match="does not fit"):
-        list(token_store._encoded(batch, path, 2**16, 2))
-    assert len(list(token_store._encoded(batch, path, 2**16, 4))) == 1
+        list(token_store._encoded(batch, encoder, 2**16, 2))
+    assert len(list(token_store._encoded(batch, encoder, 2**16, 4))) == 1
+    assert encoder.width(2) == 2 and encoder.width(2**16) == 4
