@@ -44,7 +44,7 @@ from quillspark.llm import common
 
 MAGIC = b"QSTOK1"
 _HEAD = struct.Struct("<6sB32sQ")
-_KNOWN_MOST = 2_500_000
+_KNOWN_MOST = 2_000_000
 _SLOTS = 1 << 22
 _TOKENIZERS: dict[tuple[str, bool], "Encoder"] = {}
 
@@ -94,8 +94,9 @@ class Encoder:
         # row 0 is nobody's: a slot without a piece points to it
         self.slots = np.zeros(_SLOTS, np.int32)
         self.rows, self.used_ids, self.used_raw = 1, 0, 0
-        self.known, self.size, self.at = np.zeros(1024, np.uint64), np.zeros(1024, np.int32), np.zeros(1024, np.int64)
-        self.begin, self.count, self.ids, self.raw = np.zeros(1024, np.int64), np.zeros(1024, np.int32), np.zeros(1024, np.uint32), np.zeros(1024, np.uint8)
+        # row i has bytes at[i] .. at[i + 1] - 1 of raw and ids begin[i] .. begin[i + 1] - 1
+        self.known, self.at, self.begin = np.zeros(1024, np.uint64), np.zeros(1024, np.int32), np.zeros(1024, np.int32)
+        self.ids, self.raw = np.zeros(1024, np.uint32), np.zeros(1024, np.uint8)
 
     def _put(self, name: str, used: int, values: np.ndarray) -> None:
         """Values behind the used part of an array that grows by halves."""
@@ -120,9 +121,9 @@ class Encoder:
         ordered = np.concatenate([rows, alone])
         sizes = np.fromiter((len(pieces[i]) for i in ordered), np.int64, len(pieces))
         until = np.searchsorted(np.cumsum(self.bytes_of[flat]), np.cumsum(sizes)) + 1
-        count = np.diff(until, prepend=0)
-        for name, values in (("begin", self.used_ids + until - count), ("count", count), ("at", self.used_raw + np.cumsum(sizes) - sizes), ("size", sizes), ("known", hashes[ordered])):
-            self._put(name, self.rows, values)
+        self._put("known", self.rows, hashes[ordered])
+        self._put("begin", self.rows + 1, self.used_ids + until)
+        self._put("at", self.rows + 1, self.used_raw + np.cumsum(sizes))
         self._put("ids", self.used_ids, flat)
         self._put("raw", self.used_raw, np.frombuffer(b"".join(pieces[i] for i in ordered), np.uint8))
         # a piece whose first slot is taken goes to its second, whoever was there
@@ -156,9 +157,10 @@ class Encoder:
         ends = np.append(starts[1:], len(data))
         doc = np.searchsorted(offsets, starts, "right") - 1
         at = self._places(data, raw, starts, ends)
-        count = self.count[at]
+        begin = self.begin[at]
+        count = self.begin[at + 1] - begin
         per = np.bincount(doc, count, texts).astype(np.int64)
-        ids = self.ids[np.repeat(self.begin[at], count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)]
+        ids = self.ids[np.repeat(begin, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)]
         return ids, per
 
     def _places(self, data: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -178,11 +180,12 @@ class Encoder:
             row = np.empty(len(unique), np.int64)
             row[np.searchsorted(unique, self.known[base : self.rows])] = np.arange(base, self.rows)
             at[new] = row[place]
-        edge = np.cumsum(sizes) - sizes
+        edge, begin = np.cumsum(sizes) - sizes, self.at[at]
         # pieces follow each other without gaps
-        same = data[starts[0] : ends[-1]] == self.raw[np.minimum(np.repeat(self.at[at] - edge, sizes) + np.arange(int(sizes.sum())), self.used_raw - 1)]
-        if not same.all() or (self.size[at] != sizes).any():
-            wrong = np.flatnonzero((np.add.reduceat(~same, edge) > 0) | (self.size[at] != sizes))
+        same = data[starts[0] : ends[-1]] == self.raw[np.minimum(np.repeat(begin - edge, sizes) + np.arange(int(sizes.sum())), self.used_raw - 1)]
+        longer = self.at[at + 1] - begin != sizes
+        if not same.all() or longer.any():
+            wrong = np.flatnonzero((np.add.reduceat(~same, edge) > 0) | longer)
             pieces = [raw[a:b] for a, b in zip(starts[wrong].tolist(), ends[wrong].tolist(), strict=True)]
             # two pieces of one hash: each gets a row of its own, that no slot leads to
             for i, piece in zip(wrong.tolist(), pieces, strict=True):
@@ -315,18 +318,24 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int, width: int | Non
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     dictionary = train(docs, path, end_id, width, special_as_text)
 
+    # ranges of ids from the ids alone, so that texts are read and encoded once and only frames move
+    parts = common.shuffle_partitions(spark)
+    found = docs.where("doc_id is not null").approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.1 / parts) if parts > 1 else []
+    bounds = np.unique(np.array(found, np.float64))
+
     def squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _dictionary(dictionary)
         squeeze = zstandard.ZstdCompressor(level=level, dict_data=own) if own else zstandard.ZstdCompressor(level=level)
         for batch in batches:
             for chunk, made in _encoded(batch, Encoder.of(path, special_as_text), end_id, width):
-                columns = [chunk.column("doc_id"), chunk.column("tie"), pa.array([len(i) for i in made], pa.int64()), pa.array([squeeze.compress(i.tobytes()) for i in made], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tie", "n", "frame"])
-
-    # written once, as the ranges are found by another reading of it
-    frames = common.checkpointed(docs.withColumn("tie", F.xxhash64("text")).mapInArrow(common.tidy(squeezed), "doc_id long, tie long, n long, frame binary"))
-    order = [F.col("doc_id").asc_nulls_first(), F.col("tie"), F.col("frame")]
-    ordered = frames.repartitionByRange(common.shuffle_partitions(spark), order[0]).sortWithinPartitions(*order)
+                ids = chunk.column("doc_id")
+                # equal ids have equal doubles and so one range; those without an id come first
+                to = np.searchsorted(bounds, ids.cast(pa.float64(), safe=False).fill_null(-np.inf).to_numpy(zero_copy_only=False), "left")
+                columns = [pa.array(to.astype(np.int32)), ids, chunk.column("tie"), pa.array([len(i) for i in made], pa.int64()), pa.array([squeeze.compress(i.tobytes()) for i in made], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "doc_id", "tie", "n", "frame"])
+
+    frames = docs.withColumn("tie", F.xxhash64("text")).mapInArrow(common.tidy(squeezed), "part int, doc_id long, tie long, n long, frame binary")
+    ordered = frames.repartitionById(parts, F.col("part")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie", "frame")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, size = TaskContext.get().partitionId(), 0, 0
