@@ -198,4 +198,5 @@ def components(edges: DataFrame, rows: int, rounds: int = 60) -> DataFrame:
         )
     else:
         raise RuntimeError("connected components did not settle")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    each = F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("component")), F.struct(F.col("v").alias("node"), F.col("v").alias("component")))
+    return now.select(F.explode(each).alias("x")).select("x.*").distinct()

@@ -1,33 +1,43 @@
 """N-gram Jaccard join by T-occurrence search (DivideSkip).
 
 Two documents link when their sets of ``k``-word shingles have a Jaccard
-similarity of at least ``percent`` / 100.  The search is exact:
+similarity of at least ``percent`` / 100.  Shingles are compared by 52 bits of a
+hash, so two sets are taken for what they are but for a chance of about
+n * m / 2**52 that two different shingles of sets of n and m fall together; beyond
+that no link is missed:
 
-1. Every text is cut into shingles (64-bit hashes of lower-cased words).  Texts
+1. Every text is cut into shingles (hashes of lower-cased words).  Texts
    with the same word sequence are collapsed on the way, in the task that reads
    them and then across tasks, so copies are never listed twice per task.
-2. A first reading finds shingles so frequent that their lists would be hot:
-   those common within one task's share of documents, summed over tasks, the
-   ``hot_most`` most frequent of them.  They come last in every order and need
-   no list.  All other postings go to inverted lists by hash range, as packed
-   blocks.  A list of one document is dropped there: it can't add to any
-   overlap.  The rest goes back to its documents with the exact list length.
+2. A first reading counts shingles that repeat within a share of a task and sums
+   them over tasks; the ``hot_most`` most frequent of them come last in every
+   order and need no list.  What is still listed has at most postings / hot_most
+   documents, or stays under about ``_COMMON`` documents and one a share in each
+   task, so no task gathers a hot list.  All other postings go to inverted lists by
+   hash range, as packed blocks; over ``fan`` ranges they take two hops, so that
+   blocks stay full however many ranges there are.  A list of one document is
+   dropped there: it can't add to any overlap.  The rest goes back to its
+   documents with the exact list length.
 3. A document needs T = ceil(percent * n / 100) shared shingles for any link,
    so one with fewer shared shingles leaves.  The others sort their lists by
    (length, hash): the n - T + 1 shortest are the short lists, and any link has
    one of them in common.
-4. Documents with a common short list form blocks (connected components).  In
-   each block, DivideSkip merges a document's short lists, keeps those that
-   reach T - L, and binary-probes its L long lists.  A pair already connected
-   is not probed again.  In a block over ``block_rows`` documents, every
-   document first meets a few pivots, which connects most of a large group of
-   near copies; then only pairs of sub-blocks that can still join something are
-   dealt out, so no task holds more than two of them.
+4. Documents with a common short list form blocks (connected components).  A
+   block is searched like a graph: a document asks those not yet reached, by
+   DivideSkip, which merges its short lists, keeps documents that reach T - L, and
+   binary-probes its L long lists; what it links to is reached and asks next.
+   So a group of near copies is merged about once, not once for each member.  Blocks
+   over ``block_rows`` documents or ``block_postings`` postings first meet a few
+   pivots, which connects most of a large group of near copies; then only pairs of
+   sub-blocks that can still join something are dealt out, so no task holds more
+   than two of them.
 
 Defined cases: null or empty text has no shingles and links with nothing; a
 text with fewer than ``k`` words has its whole word sequence as its one
-shingle; rows that repeat a doc_id and text count once; a null doc_id comes
-back as its own row with a null component; other columns are never read.
+shingle; texts of any length are read whole; every row is a document, so rows that
+repeat an id, or have none, are searched each with its own text, and a component
+is named by the smallest id in it (null if it has none); ties at the threshold
+link; an empty table gives no rows; other columns are never read.
 """
 
 from __future__ import annotations
@@ -38,7 +48,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm import common
@@ -50,8 +60,10 @@ _LISTED = "kind int, part int, a binary, b binary, c binary, d binary"
 _FOUND = "kind int, part int, u array<long>, v array<long>, a binary, b binary, c binary, d binary"
 _COLS = ["kind", "part", "u", "v", "a", "b", "c", "d"]
 _MU = 0.0085
-#: Texts of one share of a task that make a shingle a candidate for a hot one.
-_COMMON = 64
+#: Texts of a task that make a shingle a candidate for a hot one.
+_COMMON = 32
+#: Counts that a task holds before it drops small ones.
+_COUNTS = 4_000_000
 #: List length that stands for a hot list.
 _HOT = 1 << 40
 #: Rows to a file of documents with their lists.
@@ -84,14 +96,30 @@ def shingle_hashes(word_hash: np.ndarray, doc: np.ndarray, n_docs: int, k: int)
 
 
 def _common(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """(h, c) of shingles in ``_COMMON`` or more texts of one share of a task; texts that are equal count once."""
+    """(h, c) of shingles in ``_COMMON`` or more texts of a task; texts that are equal count once.
+
+    Within each share of a task a shingle in one text is not counted, so counts
+    are low by one a share at most.
+    """
     firsts: set[bytes] = set()
     held: list[np.ndarray] = []
+    seen = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+    pending: list[tuple[np.ndarray, np.ndarray]] = []
 
     def flush():
-        h, c = np.unique(np.concatenate([np.zeros(0, np.int64), *held]), return_counts=True)
-        held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(h[c >= _COMMON]), pa.array(c[c >= _COMMON].astype(np.int64))], ["h", "c"])
+        if held:
+            h, c = np.unique(np.concatenate(held), return_counts=True)
+            pending.append((h[c > 1], c[c > 1].astype(np.int64)))
+            held.clear()
+
+    def settle():
+        h, place = np.unique(np.concatenate([seen[0], *(p[0] for p in pending)]), return_inverse=True)
+        c = np.bincount(place, np.concatenate([seen[1], *(p[1] for p in pending)]), len(h)).astype(np.int64)
+        pending.clear()
+        while len(h) > _COUNTS // 2:
+            keep = c > np.median(c)
+            h, c = h[keep], c[keep]
+        seen[:] = h, c
 
     size = 0
     for batch in batches:
@@ -108,13 +136,80 @@ def _common(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
             held.append(h[fresh[of]])
             size += len(held[-1])
             if size >= _POSTINGS:
-                yield flush()
+                flush()
                 size = 0
-    yield flush()
+                if len(seen[0]) + sum(len(p[0]) for p in pending) > _COUNTS:
+                    settle()
+    flush()
+    settle()
+    h, c = seen
+    yield pa.RecordBatch.from_arrays([pa.array(h[c >= _COMMON]), pa.array(c[c >= _COMMON])], ["h", "c"])
+
+
+def _blocks(h: np.ndarray, ids: np.ndarray, n: np.ndarray, bounds: np.ndarray, first: int = 0) -> list[tuple]:
+    """Postings as packed blocks of kind 2, one to each range between the bounds."""
+    order = np.argsort(h, kind="stable")
+    h, ids, n = h[order], ids[order], n[order]
+    table, place = np.unique(ids, return_inverse=True)
+    sizes = np.zeros(len(table), np.int64)
+    sizes[place] = n
+    cuts, made = np.searchsorted(h, bounds), []
+    for p, own in enumerate(zip([0, *cuts], [*cuts, len(h)], strict=True)):
+        if own[0] < own[1]:
+            used, local = np.unique(place[own[0] : own[1]], return_inverse=True)
+            part = h[own[0] : own[1]]
+            made.append((2, first + p, common.pack(np.diff(part, prepend=0)), common.pack(local), common.pack(np.diff(table[used], prepend=0)), common.pack(sizes[used])))
+    return made
+
+
+def _unblocked(pdf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(h, id, n) of packed blocks."""
+    hs, ids, ns = [], [], []
+    for a, b, c, d in zip(pdf["a"], pdf["b"], pdf["c"], pdf["d"], strict=True):
+        local = common.unpack(b)
+        hs.append(np.cumsum(common.unpack(a)))
+        ids.append(np.cumsum(common.unpack(c))[local])
+        ns.append(common.unpack(d)[local])
+    return tuple(np.concatenate([np.zeros(0, np.int64), *x]) for x in (hs, ids, ns))
+
+
+def _starts(ranges: int) -> np.ndarray:
+    """Least hashes of the ranges but the first."""
+    return np.array([i * (1 << _BITS) // ranges for i in range(1, ranges)], np.int64)
+
+
+def _split(batches: Iterator[pa.RecordBatch], coarse: int, fine: int) -> Iterator[pa.RecordBatch]:
+    """Blocks of coarse ranges as blocks of the ``fine`` ranges inside each; blocks of other kinds pass."""
+    starts = _starts(coarse * fine)
+    held: dict[int, list[tuple]] = {}
+    size: dict[int, int] = {}
+
+    def flush(at: int):
+        own = pd.DataFrame(held.pop(at), columns=["a", "b", "c", "d"])
+        size.pop(at)
+        return _rows(_blocks(*_unblocked(own), starts[at * fine : (at + 1) * fine - 1], at * fine))
 
+    for batch in batches:
+        for kind, part, *blobs in zip(*(batch.column(c).to_pylist() for c in ("kind", "part", "a", "b", "c", "d")), strict=True):
+            if kind != 2:
+                yield _rows([(kind, part, *blobs)])
+                continue
+            held.setdefault(part, []).append(tuple(blobs))
+            # eight bytes a posting at most
+            size[part] = size.get(part, 0) + sum(map(len, blobs))
+            if size[part] >= 4 * _POSTINGS or sum(size.values()) >= 32 * _POSTINGS:
+                yield flush(max(size, key=size.get))
+    for at in list(held):
+        yield flush(at)
+
+
+def _rows(made: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in made], t) for i, t in enumerate(types)], ["kind", "part", "a", "b", "c", "d"])
 
-def _listed(batches: Iterator[pa.RecordBatch], ranges: int, parts: int, k: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Kind 0: documents with their sizes; 1: first texts of each word sequence; 2: postings by hash range; 3: hot postings by document.
+
+def _listed(batches: Iterator[pa.RecordBatch], ranges: int, coarse: int, parts: int, k: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Kind 0: documents with their sizes; 1: first texts of each word sequence; 2: postings by coarse hash range; 3: hot postings by document.
 
     Every block is dealt by (kind, part): kind 0 at random, the others by hash.
     """
@@ -123,11 +218,6 @@ def _listed(batches: Iterator[pa.RecordBatch], ranges: int, parts: int, k: int,
     docs: list[tuple[int, int, int]] = []
     sums: list[tuple[int, int, int]] = []
 
-    def rows(made):
-        names = ["kind", "part", "a", "b", "c", "d"]
-        types = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in made], t) for i, t in enumerate(types)], names)
-
     def flush():
         made = []
         if docs:
@@ -144,21 +234,11 @@ def _listed(batches: Iterator[pa.RecordBatch], ranges: int, parts: int, k: int,
                 found = hot[np.minimum(np.searchsorted(hot, h), len(hot) - 1)] == h
                 made += _by_document(h[found], ids[found], np.full(int(found.sum()), _HOT), n[found], parts)
                 h, ids, n = h[~found], ids[~found], n[~found]
-            order = np.argsort(h, kind="stable")
-            h, ids, n = h[order], ids[order], n[order]
-            table, place = np.unique(ids, return_inverse=True)
-            sizes = np.zeros(len(table), np.int64)
-            sizes[place] = n
-            cuts = np.searchsorted(h, np.array([i * (1 << _BITS) // ranges for i in range(1, ranges)], np.int64))
-            for p, own in enumerate(zip([0, *cuts], [*cuts, len(h)], strict=True)):
-                if own[0] < own[1]:
-                    used, local = np.unique(place[own[0] : own[1]], return_inverse=True)
-                    part = h[own[0] : own[1]]
-                    made.append((2, p, common.pack(np.diff(part, prepend=0)), common.pack(local), common.pack(np.diff(table[used], prepend=0)), common.pack(sizes[used])))
+            made += _blocks(h, ids, n, _starts(coarse))
         held.clear()
         docs.clear()
         sums.clear()
-        return rows(made)
+        return _rows(made)
 
     size = 0
     for batch in batches:
@@ -221,13 +301,7 @@ def _shared(key, pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
         new[1:] = digest[1:] != digest[:-1]
         least = ids[np.flatnonzero(new)][np.cumsum(new) - 1]
         return pd.DataFrame([[2, 0, ids[ids != least], least[ids != least], None, None, None, None]], columns=_COLS)
-    hs, ids, ns = [], [], []
-    for a, b, c, d in zip(pdf["a"], pdf["b"], pdf["c"], pdf["d"], strict=True):
-        local = common.unpack(b)
-        hs.append(np.cumsum(common.unpack(a)))
-        ids.append(np.cumsum(common.unpack(c))[local])
-        ns.append(common.unpack(d)[local])
-    h, ids, ns = np.concatenate(hs), np.concatenate(ids), np.concatenate(ns)
+    h, ids, ns = _unblocked(pdf)
     order = np.argsort(h, kind="stable")
     h = h[order]
     first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
@@ -279,43 +353,59 @@ def divide_skip(short: list[np.ndarray], long_lists: np.ndarray, keys: np.ndarra
 
 
 def linked_in_block(ids: np.ndarray, n: np.ndarray, lists: list[np.ndarray], percent: int, side: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Links enough to connect every linked pair of a block; with ``side``, only pairs across it."""
+    """Links enough to connect every linked pair of a block; with ``side``, only pairs across it.
+
+    The links are walked as a graph: each document asks once, among those not
+    yet reached.  A document that is reached needs no other link, and all that it
+    has links with is found when its own turn comes.
+    """
     m = len(ids)
-    sizes = np.array([len(x) for x in lists])
+    sizes = np.array([len(x) for x in lists], dtype=np.int64)
     token, number = np.unique(np.concatenate(lists) if m else np.zeros(0, np.int64), return_inverse=True)
-    doc = np.repeat(np.arange(m), sizes)
-    order = np.lexsort((doc, number))
-    posted = doc[order]
-    keys = number[order] * m + posted
-    begin = np.searchsorted(number[order], np.arange(len(token) + 1))
-    length = np.diff(begin)
+    number = number.astype(np.int32)
     at = np.cumsum(sizes) - sizes
-    root = list(range(m))
+    doc = np.repeat(np.arange(m, dtype=np.int32), sizes)
+    order = np.lexsort((doc, number))
+    by_number, posted = number[order], doc[order]
+    del order, doc
+    left = np.ones(m, dtype=bool)
+    listed = m
 
-    def top(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
+    def indexed():
+        keys = by_number.astype(np.int64) * m + posted
+        begin = np.searchsorted(by_number, np.arange(len(token) + 1))
+        return keys, begin, np.diff(begin)
 
+    keys, begin, length = indexed()
     links = []
-    for x in range(m):
-        own = number[at[x] : at[x] + sizes[x]]
-        own = own[length[own] > 1]
-        need = -(-percent * int(n[x]) // 100)
-        if len(own) < need:
-            continue
-        own = own[np.argsort(length[own], kind="stable")]
-        longest = min(need - 1, int(need / (_MU * np.log2(max(2, length[own[-1]])) + 1)))
-        cut = len(own) - longest
-        found, count = divide_skip([posted[begin[t] : begin[t + 1]] for t in own[:cut]], own[cut:], keys, m, need)
-        if side is not None:
-            keep = side[found] != side[x]
-            found, count = found[keep], count[keep]
-        good = (found != x) & (100 * count >= percent * (n[found] + n[x] - count))
-        for y in found[good].tolist():
-            if (a := top(x)) != (b := top(y)):
-                root[max(a, b)] = min(a, b)
+    for first in range(m):
+        todo = [first] if left[first] else []
+        left[first] = False
+        while todo:
+            x = todo.pop()
+            remain = int(left.sum())
+            if not remain:
+                break
+            if remain <= listed // 2:
+                # lists shrink as documents are reached
+                keep = left[posted]
+                by_number, posted, listed = by_number[keep], posted[keep], remain
+                keys, begin, length = indexed()
+            own = number[at[x] : at[x] + sizes[x]]
+            own = own[length[own] > 0]
+            need = -(-percent * int(n[x]) // 100)
+            if len(own) < need:
+                continue
+            own = own[np.argsort(length[own], kind="stable")]
+            longest = min(need - 1, int(need / (_MU * np.log2(max(2, length[own[-1]])) + 1)))
+            cut = len(own) - longest
+            found, count = divide_skip([posted[begin[t] : begin[t + 1]] for t in own[:cut]], own[cut:], keys, m, need)
+            good = left[found] & (100 * count >= percent * (n[found] + n[x] - count))
+            if side is not None:
+                good &= side[found] != side[x]
+            for y in found[good].tolist():
+                left[y] = False
+                todo.append(y)
                 links.append((int(ids[x]), int(ids[y])))
     return links
 
@@ -328,23 +418,27 @@ def _linked(key, pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["u", "v"])
 
 
-def _block_links(able: DataFrame, n_able: int, blocks: DataFrame, parts: int, percent: int, block_rows: int) -> DataFrame:
+def _block_links(able: DataFrame, n_able: int, blocks: DataFrame, parts: int, percent: int, block_rows: int, block_postings: int) -> DataFrame:
     """Links (u, v) that connect what is linked inside each block."""
     run = lambda df: df.groupBy("place", "i", "j").applyInPandas(lambda key, pdf: _freed(_linked(key, pdf, percent)), "u long, v long")
-    sizes = blocks.groupBy("component").agg(F.count(F.lit(1)).alias("rows"))
+    # how many blocks of the bound a set of documents makes, by documents or by postings
+    pieces = lambda rows, held: F.ceil(F.greatest(rows / block_rows, held / block_postings)).cast("int")
+    held = F.sum(F.octet_length("lists") / 8)
+    own = blocks.join(able.select("doc_id", F.octet_length("lists").alias("bytes")), F.col("doc_id") == F.col("node"))
+    sizes = own.groupBy("component").agg(pieces(F.count(F.lit(1)), F.sum(F.col("bytes") / 8)).alias("subs"))
     member = common.checkpointed(able.join(blocks.join(sizes, "component"), F.col("doc_id") == F.col("node")).drop("node"), n_able, _WIDE)
     none = F.lit(0)
-    small = member.where(F.col("rows") <= block_rows).select(F.pmod(F.xxhash64("component"), F.lit(parts)).alias("place"), none.alias("i"), none.alias("j"), none.alias("sub"), "doc_id", "n", "lists")
+    small = member.where("subs <= 1").select(F.pmod(F.xxhash64("component"), F.lit(parts)).alias("place"), none.alias("i"), none.alias("j"), none.alias("sub"), "doc_id", "n", "lists")
     links = run(small)
-    large = member.where(F.col("rows") > block_rows)
+    large = member.where("subs > 1")
     if large.isEmpty():
         return links
     # every document of a large block meets the block's pivots, in sub-blocks
     slot = F.pmod(F.xxhash64("doc_id", F.lit("pivot")), F.lit(_PIVOTS))
     pivots = large.groupBy("component", slot.alias("slot")).agg(F.min(F.struct(F.xxhash64("doc_id"), "doc_id", "n", "lists")).alias("p")).select("component", "p.doc_id", "p.n", "p.lists")
-    subs = large.select("component", F.ceil(F.col("rows") / block_rows).cast("int").alias("subs")).distinct()
+    subs = large.select("component", "subs").distinct()
     cut = lambda salt: F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.col("subs")).cast("int")
-    spread = large.join(pivots.select(F.col("doc_id").alias("__p")), F.col("doc_id") == F.col("__p"), "left_anti").join(subs, "component").withColumn("i", cut("meet"))
+    spread = large.join(pivots.select(F.col("doc_id").alias("__p")), F.col("doc_id") == F.col("__p"), "left_anti").withColumn("i", cut("meet"))
     meeting = spread.select(F.col("component").alias("place"), "i", "doc_id", "n", "lists").union(
         pivots.join(subs, "component").select(F.col("component").alias("place"), F.explode(F.sequence(none, F.col("subs") - 1)).alias("i"), "doc_id", "n", "lists")
     )
@@ -353,8 +447,9 @@ def _block_links(able: DataFrame, n_able: int, blocks: DataFrame, parts: int, pe
     # the largest component of a block needs no comparison inside itself
     named = large.join(known.select(F.col("node").alias("__n"), F.col("component").alias("got")), F.col("doc_id") == F.col("__n"), "left").drop("__n")
     named = common.checkpointed(named.withColumn("got", F.coalesce("got", "doc_id")), n_able, _WIDE)
-    counted = named.groupBy("component", "got").agg(F.count(F.lit(1)).alias("c"))
-    most = counted.groupBy("component").agg(F.max(F.struct("c", F.col("got").alias("main"))).alias("m"), F.sum("c").alias("all")).select(F.col("component").alias("__c"), "m.main", F.ceil(F.col("m.c") / block_rows).cast("int").alias("k"), F.ceil((F.col("all") - F.col("m.c")) / block_rows).cast("int").alias("r"))
+    counted = named.groupBy("component", "got").agg(F.count(F.lit(1)).alias("c"), held.alias("held"))
+    most = counted.groupBy("component").agg(F.max(F.struct("c", F.col("got").alias("main"), "held")).alias("m"), F.sum("c").alias("all"), F.sum("held").alias("held"))
+    most = most.select(F.col("component").alias("__c"), "m.main", pieces(F.col("m.c"), F.col("m.held")).alias("k"), pieces(F.col("all") - F.col("m.c"), F.col("held") - F.col("m.held")).alias("r"))
     dealt = named.join(most, F.col("component") == F.col("__c")).where("r > 0").withColumn("is_main", F.col("got") == F.col("main"))
     mine = F.when(F.col("is_main"), F.pmod(F.xxhash64("doc_id"), F.col("k"))).otherwise(F.col("k") + F.pmod(F.xxhash64("doc_id"), F.col("r"))).cast("int")
     others = F.sequence(F.when(F.col("is_main"), F.col("k")).otherwise(none), F.col("k") + F.col("r") - 1)
@@ -363,17 +458,50 @@ def _block_links(able: DataFrame, n_able: int, blocks: DataFrame, parts: int, pe
     return links.union(first).union(rest)
 
 
-def ngram_jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, block_rows: int = 1000, hot_most: int = 200_000) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document of ``docs`` (doc_id, text)."""
+def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` with a key of each row in ``__key``, and (__key, __own) of those whose id is no key.
+
+    An id that one row has is its key.  Rows that share an id or have none, few if
+    any, are written with keys above all ids.
+    """
+    ids = docs.select(F.col("doc_id").cast("long").alias("__id"))
+    shared = common.checkpointed(ids.groupBy("__id").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1 or __id is null").select("__id"))
+    if shared.isEmpty():
+        return docs.withColumn("__key", F.col("doc_id").cast("long")), None
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
+    top = ids.agg(F.coalesce(F.max("__id"), F.lit(0))).first()[0]
+    odd = common.checkpointed(docs.join(shared, same, "left_semi").withColumn("__key", F.lit(top) + 1 + F.monotonically_increasing_id()))
+    alone = docs.join(shared, same, "left_anti").withColumn("__key", F.col("doc_id").cast("long"))
+    return alone.union(odd), odd.select("__key", F.col("doc_id").cast("long").alias("__own"))
+
+
+def ngram_jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, **bounds) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
+    keyed, odd = _keyed(docs.select("doc_id", "text"))
+    found = _classes(keyed.select(F.col("__key").alias("doc_id"), "text"), k, percent, **bounds)
+    if odd is None:
+        return found
+    found = common.checkpointed(found)
+    named = found.join(odd, F.col("doc_id") == F.col("__key"), "left").withColumn("doc_id", F.when(F.col("__key").isNull(), F.col("doc_id")).otherwise(F.col("__own")))
+    least = named.groupBy(F.col("component_id").alias("__c")).agg(F.min("doc_id").alias("__least"))
+    return named.join(least, F.col("component_id") == F.col("__c")).select("doc_id", "n_shingles", F.col("__least").alias("component_id"))
+
+
+def _classes(docs: DataFrame, k: int, percent: int, block_rows: int = 1000, block_postings: int = 1_000_000, hot_most: int = 200_000, fan: int = 1024) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of ``docs`` (doc_id, text) with unique ids."""
     spark = docs.sparkSession
     # a task holds one range at a time; each range sends a block to each part of the documents
     parts = common.shuffle_partitions(spark)
-    ranges = 2 * parts
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # ranges, where they are more than a flush should be split into, are reached in two hops
+    fine = -(-2 * parts // fan)
+    coarse = -(-2 * parts // fine)
+    ranges = coarse * fine
     often = docs.select("text").mapInArrow(common.tidy(lambda it: _common(it, k)), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
     hot = np.sort(np.array([r["h"] for r in often.orderBy(F.desc("c"), "h").limit(hot_most).select("h").collect()], np.int64))
     hot = spark.sparkContext.broadcast(hot)
-    listed = docs.mapInArrow(common.tidy(lambda it: _listed(it, ranges, parts, k, hot.value)), _LISTED)
+    listed = docs.mapInArrow(common.tidy(lambda it: _listed(it, ranges, coarse, parts, k, hot.value)), _LISTED)
+    if fine > 1:
+        listed = listed.repartition(coarse, "kind", "part").mapInArrow(common.tidy(lambda it: _split(it, coarse, fine)), _LISTED)
     found = common.checkpointed(listed.groupBy("kind", "part").applyInPandas(lambda key, pdf: _freed(_shared(key, pdf, parts)), _FOUND))
     pairs = lambda kind: found.where(F.col("kind") == kind).select(F.explode(F.arrays_zip("u", "v")).alias("x")).select("x.u", "x.v")
     later = pairs(2)
@@ -388,36 +516,28 @@ def ngram_jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, blo
     short = able.select("doc_id", F.explode("short").alias("h"))
     heads = short.groupBy("h").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("c")).where("c > 1").select("h", "head")
     blocks = common.components(short.join(heads, "h").where("doc_id <> head").select(F.col("doc_id").alias("u"), F.col("head").alias("v")), n_able)
-    links = _block_links(able.drop("short"), n_able, blocks, parts, percent, block_rows)
+    links = _block_links(able.drop("short"), n_able, blocks, parts, percent, block_rows, block_postings)
     joined = common.components(pairs(1).union(later).union(links), n_docs)
-    sized = pairs(0).groupBy(F.col("u").alias("doc_id")).agg(F.max("v").alias("n_shingles"))
-    nameless = docs.where("doc_id is null")
-    lone = nameless.select("doc_id", shingle_count(F.col("text"), k).alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
-    return (
-        sized.join(joined, F.col("doc_id") == F.col("node"), "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-        .union(lone)
-    )
-
-
-def shingle_count(text, k: int):
-    """Size of a text's shingle set inside the JVM, for the rare rows without an id."""
-    cut = F.filter(F.split(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), common.GAP), lambda w: w != "")
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(cut) - k + 1)), lambda i: F.concat_ws(" ", F.slice(cut, i, k)))
-    return F.when(text.isNull() | (F.size(cut) == 0), F.lit(0)).otherwise(F.size(F.array_distinct(runs))).cast("long")
+    return pairs(0).join(joined, F.col("u") == F.col("node"), "left").select(F.col("u").alias("doc_id"), F.col("v").alias("n_shingles"), F.coalesce("component", "u").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, most_broadcast: int = 1_000_000) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each component the document with the smallest id stays.
+    """The rows of ``docs`` without near copies: of each group of links one row stays.
 
-    Of rows that repeat an id the first by text stays; rows without an id stay.
+    That is the one with the smallest id, those without an id last; of several
+    rows of that id any one.  A row that is nobody's copy stays, whatever its id; other
+    columns pass, whatever their names.
     """
-    classes = common.checkpointed(ngram_jaccard_components(docs, k, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")))
-    gone = F.broadcast(classes) if classes.count() <= most_broadcast else classes
-    left = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    repeated = common.checkpointed(left.groupBy(F.col("doc_id").alias("__twice")).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1 and __twice is not null").select("__twice"))
-    if repeated.isEmpty():
-        return left
-    same = F.col("doc_id") == F.col("__twice")
-    first = left.join(repeated, same, "left_semi").withColumn("__at", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("__at = 1").drop("__at")
-    return left.join(repeated, same, "left_anti").unionByName(first)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("doc_id"), F.col("text"))
+    keyed, odd = _keyed(whole)
+    found = _classes(keyed.select(F.col("__key").alias("doc_id"), "text"), k, percent)
+    if odd is None:
+        gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone"))
+    else:
+        found = common.checkpointed(found)
+        named = found.join(odd, F.col("doc_id") == F.col("__key"), "left").withColumn("__own", F.when(F.col("__key").isNull(), F.col("doc_id")).otherwise(F.col("__own")))
+        stays = named.groupBy("component_id").agg(F.min(F.struct(F.col("__own").isNull(), "__own", "doc_id")).alias("__m"))
+        gone = named.join(stays, "component_id").where(F.col("doc_id") != F.col("__m.doc_id")).select(F.col("doc_id").alias("__gone"))
+    gone = common.checkpointed(gone)
+    gone = F.broadcast(gone) if gone.count() <= most_broadcast else gone
+    return keyed.join(gone, F.col("__key") == F.col("__gone"), "left_anti").select("__row.*")

@@ -61,6 +61,48 @@ def test_hot_lists_and_large_blocks(docs, monkeypatch):
         assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == brute(rows)
 
 
+def test_ranges_in_two_hops_and_blocks_by_postings(docs):
+    rows = rows_of(13)
+    want = brute(rows)
+    for bounds in ({"fan": 2}, {"fan": 3, "block_postings": 300}, {"block_postings": 40, "block_rows": 50}):
+        out = ngram_join.ngram_jaccard_components(docs(*rows), **bounds).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == want
+
+
+def test_rows_that_share_an_id_are_documents_of_their_own(docs):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, None), (1, a), (1, b), (2, a + " end"), (None, b), (None, c), (7, c), (8, ""), (8, ""), (9, a)]
+    out = [tuple(r) for r in ngram_join.ngram_jaccard_components(docs(*rows)).collect()]
+    assert sorted(out, key=str) == sorted([(1, 0, 1), (1, 36, 1), (1, 36, 1), (2, 37, 1), (None, 36, 1), (None, 36, 7), (7, 36, 7), (8, 0, 8), (8, 0, 8), (9, 36, 1)], key=str)
+    kept = [(r["doc_id"], r["text"]) for r in ngram_join.one_of_each(docs(*rows)).collect()]
+    assert sorted(kept, key=str) == sorted([(1, None), (1, a), (1, b), (7, c), (8, ""), (8, "")], key=str)
+
+
+def test_long_near_copies_are_merged_about_once():
+    import time
+
+    rng = np.random.default_rng(4)
+    base = np.sort(rng.choice(1 << 40, 20_000, replace=False))
+    lists = []
+    for _ in range(150):
+        own = base.copy()
+        own[rng.integers(0, len(own), 200)] = rng.integers(1 << 40, 1 << 41, 200)
+        lists.append(np.unique(own))
+    began = time.perf_counter()
+    links = ngram_join.linked_in_block(np.arange(150), np.array([len(x) for x in lists]), lists, 80)
+    assert len(links) == 149 and time.perf_counter() - began < 20
+
+
+def test_clashing_names_pass(docs):
+    from pyspark.sql import functions as F
+
+    df = docs((1, "a b c d e f"), (2, "a b c d e f"), (2, "z"))
+    for name in ("__key", "__row", "__gone", "__own", "__id", "__n", "__twice", "__at", "__m", "__c", "node", "component"):
+        df = df.withColumn(name, F.lit(name))
+    out = ngram_join.one_of_each(df)
+    assert out.columns == df.columns and sorted((r["doc_id"], r["text"], r["__key"]) for r in out.collect()) == [(1, "a b c d e f", "__key"), (2, "z", "__key")]
+
+
 def test_other_sizes_and_thresholds(docs):
     rows = rows_of(5)
     out = ngram_join.ngram_jaccard_components(docs(*rows), k=3, percent=50).collect()
