@@ -1,32 +1,47 @@
 """PII surrogates: keyed, type-consistent replacements.
 
 Emails, phone numbers, IPv4 addresses, payment cards, social security numbers
-and titled names are found by pattern.  Numbers and mailboxes go through a keyed
-permutation of the strings of their own shape (a Feistel network with
-cycle walking), so different entities get different surrogates, equal ones equal
-surrogates wherever and however they are written, and separators, case,
-country code, card validity and address class stay.  Names get a given name
-of the same gender and a surname of the same script.
+and titled names are found by pattern; a name that a title told is also found without
+one in the same document, whole or by surname or given name alone.  Numbers and
+mailboxes go through a keyed permutation of the strings of their own shape (a
+Feistel network with cycle walking, one cycle over all strings, so that none is
+its own surrogate); different entities get different surrogates, equal ones
+equal surrogates wherever and however they are written, and separators, case,
+country code, card validity and address class stay.  A surname has one surrogate,
+a person one given name of their gender beside it; the script stays.  Gender comes
+from a title in the document, else from titles that the person has elsewhere, else
+from a list of given names, else from a hash.
 
 Collision checks: surrogates are compared with every entity found in the corpus
 and with each other, by joins; an entity whose surrogate is taken or is
-itself somebody's entity tries the next tweak, a name keeping its surname.  These exceptions are few; they
+itself somebody's entity tries the next tweak.  Surnames, given names and odd
+mailboxes grow by a syllable or letter with each tweak, so they all settle.  Where
+tries in a closed space (as that of x@y.com) settle nobody any more, too few of its
+strings are free: the whole space then keeps the plain permutation, distinct
+though its surrogates are other people's strings.  Exceptions are few; they
 are broadcast only up to ``most_broadcast`` rows and joined to their documents
 beyond that.
 
-Defined cases: null text stays null, empty text empty; a text without entities
-is unchanged; rows that repeat are rewritten alike; overlapping finds are
-taken by the order of the kinds; an empty table gives no rows; other columns
-pass unread.
+A test in the JVM sends only texts with something like an entity to Python.
+
+Defined cases: null text stays null, empty text empty; texts of any length are
+read whole; a text without entities is unchanged; rows that repeat are rewritten
+alike; overlapping finds are taken by the order of the kinds; as many titles for
+either gender elsewhere count as none; a word that the text also has in lower
+case is no name by itself; an empty table gives no rows; other columns pass
+unread, whatever their names.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import hmac
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,46 +57,130 @@ GIVEN = {
     ("cyrillic", "f"): ("Анна", "Вера", "Дарья", "Елена", "Ирина", "Мария", "Нина", "Ольга", "София", "Юлия"),
     ("cyrillic", "m"): ("Андрей", "Борис", "Виктор", "Денис", "Иван", "Кирилл", "Максим", "Олег", "Павел", "Сергей"),
 }
+# Further common given names by gender, known but not given out.
+KNOWN = {
+    "f": "Amy Angela Barbara Betty Carla Carmen Carol Catherine Charlotte Christine Claire Cristina Dolores Dorothy Elisabeth Elizabeth Emily Eva Françoise Grace Hannah Heike Ingrid Isabel Jane Jennifer Jessica Joan Katharina Karen Kate Linda Lisa Lucy Luisa Margaret Marie Marta Martha Mary Michelle Monika Monique Nancy Nathalie Patricia Petra Pilar Rachel Rebecca Ruth Sabine Sandra Sarah Sophie Susan Sylvie Teresa Ursula Valérie",
+    "m": "Alain Alejandro Alexander Andrew Antonio Arthur Benjamin Bernd Brian Charles Christian Christopher Diego Dieter Edward Eric Ernst Fernando Francisco François Frank Fritz George Hans Heinrich Henry Jacques Javier Jean Jeffrey John Jorge Joseph José Juan Jürgen Kevin Klaus Lukas Luis Manuel Mark Martin Matthew Max Michael Michel Miguel Nicolas Otto Pablo Patrick Pedro Philippe Pierre Rafael Richard Robert Ronald Samuel Stefan Steven Thomas Timothy Werner William Wolfgang",
+}
+_GENDER = {n.lower(): g for (_, g), names in GIVEN.items() for n in names} | {n.lower(): g for g, names in KNOWN.items() for n in names.split()}
 TITLES = {"mr": "m", "herr": "m", "señor": "m", "sr": "m", "monsieur": "m", "mrs": "f", "ms": "f", "miss": "f", "frau": "f", "señora": "f", "sra": "f", "madame": "f", "mme": "f", "dr": "", "prof": "", "г-н": "m", "г-жа": "f"}
 _SYLLABLES = {"latin": ("bdfgklmnprstvz", "aeiou"), "cyrillic": ("бвгдзклмнпрстф", "аеиоу")}
 _NAME = r"[A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]+|[А-ЯЁ][а-яё]+"
+_TITLE = "|".join(sorted(TITLES, key=len, reverse=True))
 
 # Patterns by kind; the order settles overlaps.
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}\b",
-    "card": r"(?<![\w.-])(?:\d{4}[ -]?){3}\d{4}(?![\w-])",
-    "ssn": r"(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)",
-    "phone": r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]?\d{4}(?!\w)",
-    "name": r"\b(?i:" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\b\.?[ ](?:" + _NAME + r")(?:[ ](?:" + _NAME + r"))?",
+    "card": r"(?<![\w.-])(?:[0-9]{4}[ -]?){3}[0-9]{4}(?![\w-])",
+    "ssn": r"(?<![\w.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
+    "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![\w]|\.[0-9])",
+    "phone": "|".join(
+        (
+            r"(?<![\w.+-])(?:\+?[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-]?[0-9]{4}(?!\w)",  # North America
+            r"(?<![\w.+-])\+(?:[1-9][0-9]{7,14}|[1-9][0-9]{0,2}(?:[ ./-]?\([0-9]{1,4}\)[0-9]{0,4}|[ ./-][0-9]{1,8}){1,6})(?![\w-])",  # any, with a country code
+            r"(?<![\w.+/-])0[1-9](?:[ .-][0-9]{2}){4}(?![\w-])",  # France
+            r"(?<![\w.+/-])\(?0[1-9][0-9]{1,3}\)?[ /-][0-9]{3,8}(?:[ -][0-9]{2,5})?(?![\w/.-])",  # Germany
+            r"(?<![\w.+/-])[679][0-9]{2}(?: [0-9]{2} [0-9]{2} [0-9]{2}| [0-9]{3} [0-9]{3})(?![\w-]| [0-9])",  # Spain
+            r"(?<![\w.+/-])8 ?\(?[0-9]{3}\)?[ -][0-9]{3}[ -][0-9]{2}[ -][0-9]{2}(?![\w-])",  # Russia
+        )
+    ),
+    "name": rf"\b(?i:{_TITLE})\b\.?[ ](?:{_NAME})(?:[ ](?:{_NAME}))?",
 }
 _COMPILED = {k: re.compile(p) for k, p in PATTERNS.items()}
-_DIGITS = re.compile(r"\d[\d .()-]{5,}\d")
-_TITLED = re.compile(r"\b(?i:" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\b\.?[ ]")
+_DIGITS = re.compile(r"[0-9][0-9 .()/-]{5,}[0-9]")
+_TITLED = re.compile(rf"\b(?i:{_TITLE})\b\.?[ ]")
+#: Java pattern of what every text with an entity has.
+HOPEFUL = rf"[A-Za-z0-9._%+-]@[A-Za-z0-9-]|[0-9][0-9 .()/-]{{5,}}[0-9]|(?iu:{_TITLE})\.? (?:[A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]|[А-ЯЁ][а-яё])"
+#: Digits of a phone number with a country code, and without.
+_PHONE_DIGITS = (8, 15), (9, 13)
+
+
+class Found(NamedTuple):
+    """An entity of a text: ``parts`` are (kind, canonical entity) of what is replaced in it, in order of surrogates."""
 
+    start: int
+    end: int
+    kind: str
+    parts: tuple[tuple[str, str], ...]
 
-def find(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of the entities of a text, in order, without overlaps."""
-    out: list[tuple[int, int, str]] = []
+
+def _phone(value: str) -> bool:
+    least, most = _PHONE_DIGITS[not value.startswith("+")]
+    return least <= sum(c.isdigit() for c in value) <= most
+
+
+def find(text: str) -> list[Found]:
+    """Entities of a text in order, without overlaps."""
+    taken: list[tuple[int, int]] = []
+    out: list[Found] = []
     digits, titled = _DIGITS.search(text) is not None, _TITLED.search(text) is not None
+    names: list[tuple[int, int, str]] = []
+
+    def free(a: int, b: int) -> bool:
+        # neighbours in order of place alone can overlap
+        i = bisect.bisect_left(taken, (a, b))
+        if (i and taken[i - 1][1] > a) or (i < len(taken) and taken[i][0] < b):
+            return False
+        taken.insert(i, (a, b))
+        return True
+
     for kind, pattern in _COMPILED.items():
         if "@" not in text if kind == "email" else not titled if kind == "name" else not digits:
             continue
         for m in pattern.finditer(text):
-            if all(m.end() <= a or m.start() >= b for a, b, _ in out):
-                out.append((m.start(), m.end(), kind))
+            if (kind != "phone" or _phone(m.group())) and free(m.start(), m.end()):
+                if kind == "name":
+                    names.append((m.start(), m.end(), m.group()))
+                else:
+                    out.append(Found(m.start(), m.end(), kind, ((kind, canonical(kind, m.group())),)))
+    if names:
+        out += _named(text, names, free)
     return sorted(out)
 
 
+def _named(text: str, names: list[tuple[int, int, str]], free) -> list[Found]:
+    """Titled names, and the same people without a title."""
+    people: dict[tuple[str, str], str] = {}
+    surnames, cut = set(), []
+    for a, b, value in names:
+        title, *own = value.split(" ")
+        cut.append((a + len(title) + 1, b, own))
+        surnames.add(own[-1].lower())
+        if len(own) == 2:
+            person = own[0].lower(), own[1].lower()
+            people[person] = people.get(person) or TITLES.get(title.rstrip(".").casefold(), "")
+    person = lambda g, s: ("given", f"{g} {s}/{people[g, s] or '?'}")
+    out = [Found(a, b, "name", (*([person(own[0].lower(), own[1].lower())] if len(own) == 2 else []), ("surname", own[-1].lower()))) for a, b, own in cut]
+    by_given: dict[str, str] = {}
+    for g, s in people:
+        by_given.setdefault(g, s)
+    single = {*surnames, *by_given}
+    # a name in lower case somewhere is a word of the language
+    common_words = {w for w in re.findall(r"\w+", text) if w in single}
+    for m in re.finditer(rf"\b({_NAME})(?:([ ])({_NAME}))?\b", text):
+        first, second = m.group(1).lower(), (m.group(3) or "").lower()
+        if (first, second) in people:
+            if free(*m.span()):
+                out.append(Found(m.start(), m.end(), "name", (person(first, second), ("surname", second))))
+            continue
+        for group, word in ((1, first), (3, second)):
+            if word in single and word not in common_words and len(word) > 2 and free(*m.span(group)):
+                out.append(Found(*m.span(group), "name", (("surname", word) if word in surnames else person(word, by_given[word]),)))
+    return out
+
+
 def canonical(kind: str, value: str) -> str:
     """One spelling for all spellings of an entity."""
-    if kind in ("email", "name"):
-        value = value.lower()
-        return value if kind == "email" else re.sub(r"\.? ", " ", value, count=1)
+    if kind == "email":
+        return value.lower()
     if kind == "ip":
         return ".".join(str(int(x)) for x in value.split("."))
-    digits = re.sub(r"\D", "", value)
-    return (digits[1:] if len(digits) == 11 and digits[0] == "1" else digits) if kind == "phone" else digits
+    digits = re.sub(r"[^0-9]", "", value)
+    if kind != "phone":
+        return digits
+    if len(digits) == 11 and digits[0] == "1":
+        return digits[1:]
+    return f"+{digits}" if value.startswith("+") else digits
 
 
 @lru_cache(maxsize=4096)
@@ -105,6 +204,27 @@ def permute(value: int, size: int, key: bytes, tweak: str) -> int:
             return value
 
 
+def unpermute(value: int, size: int, key: bytes, tweak: str) -> int:
+    """The inverse of ``permute``."""
+    if size < 2:
+        return value
+    half = max(1, ((size - 1).bit_length() + 1) // 2)
+    mask, secret = (1 << half) - 1, _round_key(key, f"{tweak}/{size}")
+    while True:
+        left, right = value >> half, value & mask
+        for r in range(7, -1, -1):
+            mixed = hashlib.blake2b(left.to_bytes((half + 7) // 8, "big") + bytes([r]), key=secret[:64], digest_size=min(64, (half + 7) // 8 + 8)).digest()
+            left, right = right ^ (int.from_bytes(mixed, "big") & mask), left
+        value = left << half | right
+        if value < size:
+            return value
+
+
+def cycled(value: int, size: int, key: bytes, tweak: str) -> int:
+    """A keyed permutation of 0 .. size - 1 that is one cycle, so that only a space of one has a fixed point."""
+    return unpermute((permute(value, size, key, tweak) + 1) % size, size, key, tweak) if size > 1 else value
+
+
 _ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
 
@@ -116,7 +236,7 @@ def reshape(text: str, key: bytes, tweak: str) -> str:
         if a:
             number, size = number * len(a) + a.index(c), size * len(a)
     shape = "".join("dlU"[_ALPHABETS.index(a)] if a else c for c, a in zip(text, slots, strict=True))
-    number = permute(number, size, key, f"{tweak}/{shape}")
+    number = cycled(number, size, key, f"{tweak}/{shape}")
     out = []
     for c, a in zip(reversed(text), reversed(slots), strict=True):
         if a:
@@ -131,17 +251,49 @@ def _luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _head(kind: str, canon: str) -> int:
+    """Leading characters that a number keeps."""
+    if kind == "card":
+        return 1
+    if kind == "phone":
+        return 3 if canon[0] == "+" else 0 if len(canon) == 10 and canon[0] != "0" else 1
+    if kind == "ip":
+        # a reserved block
+        a, b, *_ = canon.split(".")
+        two = (a, b) == ("192", "168") or (a == "172" and 16 <= int(b) < 32)
+        return len(f"{a}.{b}.") if two else len(f"{a}.") if a in ("0", "10", "127") else 0
+    return 0
+
+
 def _kept_class(kind: str, canon: str) -> tuple:
-    """What a surrogate keeps of its entity besides the shape."""
+    """What a surrogate keeps of its entity besides the shape and the head."""
     if kind == "card":
-        return (canon[0], _luhn(canon))
+        return (_luhn(canon),)
     if kind == "phone":
-        return (len(canon), len(canon) == 10 and canon[0] > "1" and canon[3] > "1")
+        return (len(canon) == 10 and canon[0] > "1" and canon[3] > "1",) if canon[0] != "+" else ()
     if kind == "ssn":
         return (canon[:3] not in ("000", "666") and canon[0] != "9", canon[3:5] != "00", canon[5:] != "0000")
-    a, b, *_ = map(int, canon.split("."))
-    private = a == 10 or (a, b) == (192, 168) or (a == 172 and 16 <= b < 32)
-    return (private and a, a in (0, 127) and a, a >= 224)
+    return (int(canon.split(".")[0]) >= 224, _head(kind, canon))
+
+
+def _shape(text: str) -> str:
+    return "".join(next(("dlU"[i] for i, a in enumerate(_ALPHABETS) if c in a), c) for c in text)
+
+
+def _odd_mailbox(canon: str) -> bool:
+    """Without a letter or digit before the last dot."""
+    return not any(c in a for c in canon.rpartition(".")[0] for a in _ALPHABETS)
+
+
+def space(kind: str, canon: str) -> str:
+    """Name of the closed set in which all tweaks of an entity stay; empty if they may grow."""
+    if kind in ("surname", "given") or (kind == "email" and _odd_mailbox(canon)):
+        return ""
+    if kind == "email":
+        host, _, tld = canon.rpartition(".")
+        return f"{_shape(host)}.{tld}"
+    n = _head(kind, canon)
+    return f"{canon[:n]}|{'ip' if kind == 'ip' else _shape(canon)}|{_kept_class(kind, canon)}"
 
 
 def surrogate(kind: str, canon: str, key: bytes, attempt: int = 0) -> str:
@@ -150,28 +302,29 @@ def surrogate(kind: str, canon: str, key: bytes, attempt: int = 0) -> str:
     if kind == "email":
         local, _, domain = canon.rpartition("@")
         host, _, tld = domain.rpartition(".")
-        if not any(c in a for c in local + host for a in _ALPHABETS):
-            return f"{_lettered(local, key, f'{tweak}/{canon}/local')}@{_lettered(host, key, f'{tweak}/{canon}/host')}.{tld}"
+        if _odd_mailbox(canon):
+            more = attempt * "-"
+            return f"{_lettered(local + more, key, f'{tweak}/{canon}/local')}@{_lettered(host, key, f'{tweak}/{canon}/host')}.{tld}"
         return f"{reshape(local, key, f'{tweak}/{domain}')}@{reshape(host, key, f'{tweak}/host')}.{tld}"
-    if kind == "name":
-        return _name(canon, key, attempt)
-    own = _kept_class(kind, canon)
-    value = canon
-    if kind == "ip":
-        while True:
-            number = permute(int.from_bytes(bytes(map(int, value.split("."))), "big"), 2**32, key, tweak)
-            value = ".".join(map(str, number.to_bytes(4, "big")))
-            if own[0] or own[1]:
-                # inside a reserved block only what follows its prefix moves
-                n = 2 if canon.startswith(("192.", "172.")) else 1
-                head = canon.split(".")[:n]
-                tail = int.from_bytes(bytes(map(int, canon.split(".")[n:])), "big")
-                moved = permute(tail, 256 ** (4 - n), key, f"{tweak}/{'.'.join(head)}")
-                return ".".join([*head, *map(str, moved.to_bytes(4 - n, "big"))])
-            if _kept_class(kind, value) == own:
-                return value
+    if kind == "surname":
+        script = _script(canon)
+        return _syllables(_drawn(key, f"{tweak}/{canon}"), min(24, 5 + attempt), script)
+    if kind == "given":
+        person, _, gender = canon.rpartition("/")
+        given, surname = person.split(" ")
+        pool = GIVEN[_script(given), gender]
+        out = pool[_drawn(key, f"{tweak}/{canon}") % len(pool)].lower()
+        # from the third tweak on each draws from a space 70 times as large
+        return f"{out + _syllables(_drawn(key, f'{tweak}/{canon}/more'), min(20, attempt - 1), _script(given)) if attempt > 2 else out}|{surname}"
+    n, own, value = _head(kind, canon), _kept_class(kind, canon), canon
     while True:
-        value = (value[0] + reshape(value[1:], key, f"{tweak}/{value[0]}")) if kind == "card" else reshape(value, key, tweak)
+        if kind == "ip":
+            kept = canon[:n].count(".")
+            size = 256 ** (4 - kept)
+            number = cycled(int.from_bytes(bytes(map(int, value.split(".")[kept:])), "big"), size, key, f"{tweak}/{canon[:n]}")
+            value = canon[:n] + ".".join(map(str, number.to_bytes(4 - kept, "big")))
+        else:
+            value = canon[:n] + reshape(value[n:], key, f"{tweak}/{canon[:n]}")
         if _kept_class(kind, value) == own:
             return value
 
@@ -195,34 +348,23 @@ def _syllables(number: int, count: int, script: str) -> str:
     return out
 
 
-def _name(canon: str, key: bytes, attempt: int) -> str:
-    title, *names = canon.split(" ")
-    script = "cyrillic" if any("а" <= c <= "я" or c == "ё" for c in names[0]) else "latin"
-    gender = TITLES.get(title, "")
-    if not gender:
-        gender = next((g for g in "fm" if names[0].capitalize() in GIVEN[script, g]), "fm"[hmac.new(key, names[0].encode(), hashlib.sha256).digest()[0] & 1])
-    # a surname keeps its surrogate alone and beside any given name; only a surname that collides by itself takes another
-    surname = _syllables(_drawn(key, f"name/{attempt if len(names) == 1 else 0}/{names[-1]}"), 5, script)
-    if len(names) == 1:
-        return f"{title} {surname}"
-    pool = GIVEN[script, gender]
-    given = pool[int.from_bytes(hmac.new(key, f"name/{attempt}/{' '.join(names)}".encode(), hashlib.sha256).digest()[:8], "big") % len(pool)].lower()
-    if attempt:
-        # each further tweak draws from a space 70 times as large
-        given += _syllables(_drawn(key, f"name/{attempt}/{' '.join(names)}/more"), min(20, 1 + attempt), script)
-    return f"{title} {given} {surname}"
+def _script(name: str) -> str:
+    return "cyrillic" if any("а" <= c <= "я" or c == "ё" for c in name) else "latin"
+
+
+def likely_gender(given: str, key: bytes) -> str:
+    """Gender of a person whom no title tells: by a list of names, else by a hash."""
+    return _GENDER.get(given) or "fm"[_drawn(key, f"gender/{given}") & 1]
 
 
 def spelled(kind: str, value: str, canon: str) -> str:
     """A canonical surrogate written in the way that ``value`` was."""
     if kind == "email":
-        return "".join(c.upper() if o.isupper() else c for o, c in zip(value, canon, strict=True))
-    if kind == "name":
-        title = re.match(r"\S+?\.?(?= )", value).group()
-        return " ".join([title, *(w.capitalize() for w in canon.split(" ")[1:])])
+        return "".join(c.upper() if o.isupper() else c for o, c in zip(value, canon, strict=True)) if len(value) == len(canon) else canon
     if kind == "ip":
         return canon
-    extra = len(re.sub(r"\D", "", value)) - len(canon)
+    canon = canon.lstrip("+")
+    extra = sum(c.isdigit() for c in value) - len(canon)
     digits = iter(canon)
     seen, out = 0, []
     for c in value:
@@ -233,64 +375,118 @@ def spelled(kind: str, value: str, canon: str) -> str:
     return "".join(out)
 
 
+def resolved(kind: str, canon: str, key: bytes, exceptions: dict[tuple[str, str], int]) -> str:
+    """``canon``, a person of no known gender with the gender that the corpus or the name tells."""
+    if kind != "given" or not canon.endswith("/?"):
+        return canon
+    told = exceptions.get(("gender", canon[:-2]))
+    return canon[:-1] + (likely_gender(canon.split(" ")[0], key) if told is None else "fm"[told])
+
+
 def rewrite(text: str, key: bytes, exceptions: dict[tuple[str, str], int]) -> tuple[str, list[str]]:
     """The text with its entities replaced, and their kinds."""
     found = find(text)
     if not found:
         return text, []
     out, at = [], 0
-    for a, b, kind in found:
-        canon = canonical(kind, text[a:b])
-        out += [text[at:a], spelled(kind, text[a:b], surrogate(kind, canon, key, exceptions.get((kind, canon), 0)))]
+    for a, b, kind, parts in found:
+        made = []
+        for k, c in parts:
+            c = resolved(k, c, key, exceptions)
+            made.append(surrogate(k, c, key, exceptions.get((k, c), 0)))
+        if kind == "name":
+            new = " ".join(m.partition("|")[0].capitalize() for m in made)
+        else:
+            new = spelled(kind, text[a:b], made[0])
+        out += [text[at:a], new]
         at = b
-    return "".join([*out, text[at:]]), [k for _, _, k in found]
+    return "".join([*out, text[at:]]), [f.kind for f in found]
+
+
+_ENTITY = "kind string, canon string, sur string, space string"
 
 
-def entities(docs: DataFrame, key: bytes) -> DataFrame:
-    """Distinct (kind, canon, sur) of all entities of ``docs``, sur being the first surrogate."""
+def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
+
+
+def entities(docs: DataFrame, key: bytes) -> tuple[DataFrame, DataFrame]:
+    """Distinct (kind, canon, sur, space) of all entities of ``docs``, sur being the first surrogate; and (canon, told) of people whose gender others' titles tell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen = set()
+            seen = Counter()
             for text in (t for part in common.slices(batch) for t in part.column("text").to_pylist()):
-                if text:
-                    seen |= {(kind, canonical(kind, text[a:b])) for a, b, kind in find(text)}
-            rows = [(k, c, surrogate(k, c, key)) for k, c in sorted(seen)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], ["kind", "canon", "sur"])
+                seen.update({p for f in find(text) for p in f.parts})
+            yield _batch([(k, c, n) for (k, c), n in sorted(seen.items())], ["kind", "canon", "n"], [pa.string(), pa.string(), pa.int64()])
+
+    found = docs.where(F.col("text").rlike(HOPEFUL)).select("text").mapInArrow(common.tidy(run), "kind string, canon string, n long").groupBy("kind", "canon").agg(F.sum("n").alias("n"))
+    found = common.checkpointed(found)
+    given = found.where("kind = 'given'").select(F.expr("left(canon, length(canon) - 2)").alias("person"), F.right("canon", F.lit(1)).alias("gender"), "n")
+    side = lambda g: F.sum(F.when(F.col("gender") == g, F.col("n")).otherwise(0))
+    people = given.groupBy("person").agg(F.max(F.col("gender") == "?").alias("open"), side("m").alias("m"), side("f").alias("f"))
 
-    return docs.select("text").mapInArrow(common.tidy(run), "kind string, canon string, sur string").distinct()
+    def settle(batches):
+        for batch in batches:
+            rows = []
+            for person, m, f in zip(*(batch.column(c).to_pylist() for c in ("person", "m", "f")), strict=True):
+                likely = likely_gender(person.split(" ")[0], key)
+                told = "m" if m > f else "f" if f > m else likely
+                rows.append(("given", f"{person}/{told}", None if told == likely else int(told == "m")))
+            yield _batch(rows, ["kind", "canon", "told"], [pa.string(), pa.string(), pa.int32()])
 
+    untold = common.checkpointed(people.where("open").select("person", "m", "f").mapInArrow(settle, "kind string, canon string, told int"))
+
+    def first(batches):
+        for batch in batches:
+            rows = [(k, c, surrogate(k, c, key), space(k, c)) for k, c in zip(batch.column("kind").to_pylist(), batch.column("canon").to_pylist(), strict=True)]
+            yield _batch(rows, ["kind", "canon", "sur", "space"], [pa.string()] * 4)
 
-def exceptions_of(found: DataFrame, key: bytes) -> DataFrame | None:
+    every = found.where("kind <> 'given' or canon not like '%/?'").select("kind", "canon").union(untold.select("kind", "canon")).distinct()
+    return every.mapInArrow(common.tidy(first), _ENTITY), untold.where("told is not null").select(F.lit("gender").alias("kind"), F.expr("left(canon, length(canon) - 2)").alias("canon"), F.col("told").alias("attempt"))
+
+
+def exceptions_of(found: DataFrame, key: bytes, patience: int = 4) -> DataFrame | None:
     """(kind, canon, attempt) of the entities that need another than the first tweak; None if none does.
 
-    Tries go on until all are settled; it is an error only where fifty tweaks in a row
-    settle nobody, as when every string of a shape is somebody's entity.
+    A closed space that ``patience`` rounds in a row leave as it was goes back to the first tweak for all.
     """
 
     def again(batches):
         for batch in batches:
-            kinds, canons, attempts = (batch.column(c).to_pylist() for c in ("kind", "canon", "attempt"))
-            sur = [surrogate(k, c, key, a) for k, c, a in zip(kinds, canons, attempts, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(canons, pa.string()), pa.array(sur, pa.string()), pa.array(attempts, pa.int32())], ["kind", "canon", "sur", "attempt"])
+            rows = [(k, c, surrogate(k, c, key, a), p, a, f) for k, c, p, a, f in zip(*(batch.column(c).to_pylist() for c in ("kind", "canon", "space", "attempt", "first")), strict=True)]
+            yield _batch(rows, ["kind", "canon", "sur", "space", "attempt", "first"], [*[pa.string()] * 4, pa.int32(), pa.string()])
 
+    names = ["kind", "canon", "sur", "space", "attempt", "first"]
+    schema = f"{_ENTITY}, attempt int, first string"
     originals = found.select("kind", F.col("canon").alias("sur")).withColumn("real", F.lit(True))
-    settled = found.select("kind", "canon", "sur", F.lit(0).alias("attempt"))
+    settled = found.select("kind", "canon", "sur", "space", F.lit(0).alias("attempt"), F.col("sur").alias("first"))
     attempt, least, idle = 0, None, 0
     while True:
-        # of the entities with one surrogate, that settled first, then the first in order, keeps it
+        # of the entities with one surrogate, that settled first, then the first in order, keeps it; -1 is for good
         holder = settled.groupBy("kind", "sur").agg(F.min(F.struct("attempt", "canon")).alias("own"))
-        clash = settled.join(originals, ["kind", "sur"], "left").join(holder, ["kind", "sur"]).withColumn("bad", F.col("real").isNotNull() | (F.struct("attempt", "canon") != F.col("own")))
-        clash = common.checkpointed(clash.select("kind", "canon", "sur", "attempt", "bad"))
-        left = clash.where("bad").count()
+        clash = settled.join(originals, ["kind", "sur"], "left").join(holder, ["kind", "sur"])
+        clash = clash.withColumn("bad", (F.col("attempt") >= 0) & (F.col("real").isNotNull() | (F.struct("attempt", "canon") != F.col("own"))))
+        clash = common.checkpointed(clash.select(*names, "bad"))
+        left, closed = clash.agg(F.count_if("bad"), F.count_if(F.col("bad") & (F.col("space") != ""))).first()
         if not left:
             return settled.where("attempt > 0").select("kind", "canon", "attempt") if attempt else None
-        moved = clash.where("bad").select("kind", "canon", F.lit(attempt + 1).alias("attempt")).mapInArrow(common.tidy(again), "kind string, canon string, sur string, attempt int")
-        settled = clash.where("not bad").select("kind", "canon", "sur", "attempt").union(moved)
-        least, idle = (left, 0) if least is None or left < least else (least, idle + 1)
-        if idle >= 50:
-            raise RuntimeError("surrogates still collide")
         attempt += 1
+        if closed:
+            least, idle = (closed, 0) if least is None or closed < least else (least, idle + 1)
+        if closed and idle >= patience:
+            # too few strings of these spaces are free: the first tweak is distinct inside them
+            full = clash.where("bad and space <> ''").select("kind", "space").distinct().withColumn("full", F.lit(True))
+            clash = clash.join(full, ["kind", "space"], "left").withColumn("full", F.coalesce("full", F.lit(False)))
+            clash = common.checkpointed(
+                clash.withColumn("bad", F.col("bad") & ~F.col("full"))
+                .withColumn("sur", F.when(F.col("full"), F.col("first")).otherwise(F.col("sur")))
+                .withColumn("attempt", F.when(F.col("full"), F.lit(-1)).otherwise(F.col("attempt")))
+                .select(*names, "bad")
+            )
+            least, idle = None, 0
+        moved = clash.where("bad").withColumn("attempt", F.lit(attempt)).drop("bad").mapInArrow(common.tidy(again), schema)
+        settled = clash.where("not bad").drop("bad").union(moved.select(*clash.drop("bad").columns))
 
 
 def surrogates(docs: DataFrame, key: str, kinds: str | None = "pii_kinds", most_broadcast: int = 100_000) -> DataFrame:
@@ -299,46 +495,51 @@ def surrogates(docs: DataFrame, key: str, kinds: str | None = "pii_kinds", most_
     A column of that name in ``docs`` gives way; with None there is none.
     """
     secret = key.encode()
-    found = common.checkpointed(entities(docs, secret))
-    special = exceptions_of(found, secret)
+    found, told = entities(docs, secret)
+    special = exceptions_of(common.checkpointed(found), secret)
+    special = told if special is None else special.union(told)
     fields = [f for f in docs.schema.fields if f.name != kinds]
     names = [f.name for f in fields]
     schema = T.StructType([*fields, *([T.StructField(kinds, T.ArrayType(T.StringType()))] if kinds else [])])
     few: dict[tuple[str, str], int] = {}
-    source, own = docs, "__exceptions"
-    if special is not None:
-        head = special.limit(most_broadcast + 1).collect()
-        if len(head) <= most_broadcast:
-            few = {(r["kind"], r["canon"]): r["attempt"] for r in head}
-        else:
-            source = _with_exceptions(docs, special, own)
+    hopeful = F.coalesce(F.col("text").rlike(HOPEFUL), F.lit(False))
+    plain, source, own = docs.where(~hopeful).select(*[F.col(f"`{n}`") for n in names]), docs.where(hopeful), common.fresh(docs, "exceptions")
+    if kinds:
+        plain = plain.withColumn(kinds, F.array().cast("array<string>"))
+    head = special.limit(most_broadcast + 1).collect()
+    if len(head) <= most_broadcast:
+        few = {(r["kind"], r["canon"]): r["attempt"] for r in head}
+    else:
+        source = _with_exceptions(source, special, own)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in common.slices(whole)):
             texts = batch.column("text").to_pylist()
             more = batch.column(own).to_pylist() if own in batch.schema.names else [None] * len(texts)
-            done = [(t, []) if not t else rewrite(t, secret, few if m is None else {(x["kind"], x["canon"]): x["attempt"] for x in m}) for t, m in zip(texts, more, strict=True)]
+            done = [rewrite(t, secret, few if m is None else {(x["kind"], x["canon"]): x["attempt"] for x in m}) for t, m in zip(texts, more, strict=True)]
             columns = [pa.array([d[0] for d in done], batch.schema.field("text").type) if n == "text" else batch.column(n) for n in names]
             if kinds:
                 columns.append(pa.array([d[1] for d in done], pa.list_(pa.string())))
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return source.mapInArrow(common.tidy(run), schema)
+    return plain.union(source.mapInArrow(common.tidy(run), schema))
 
 
 def _with_exceptions(docs: DataFrame, special: DataFrame, name: str) -> DataFrame:
     """Each row of ``docs`` with the exceptions among its own entities, by a join on the text's digest."""
-    digest = F.sha2(F.col("text").cast("binary"), 256)
 
     def run(batches):
         for batch in batches:
             rows = []
             for text in (t for part in common.slices(batch) for t in part.column("text").to_pylist()):
-                if text and (found := find(text)):
-                    h = hashlib.sha256(text.encode()).hexdigest()
-                    rows += [(h, k, canonical(k, text[a:b])) for a, b, k in found]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], ["__digest", "kind", "canon"])
-
-    held = docs.select("text").mapInArrow(common.tidy(run), "__digest string, kind string, canon string").distinct().join(special, ["kind", "canon"])
-    lists = held.groupBy("__digest").agg(F.collect_list(F.struct("kind", "canon", "attempt")).alias(name))
-    return docs.withColumn("__digest", digest).join(lists, "__digest", "left").withColumn(name, F.coalesce(name, F.array().cast("array<struct<kind: string, canon: string, attempt: int>>"))).drop("__digest")
+                own = {p for f in find(text) for p in f.parts}
+                # a person of no known gender is looked up under each
+                own |= {x for k, c in own if k == "given" and c.endswith("/?") for x in (("gender", c[:-2]), (k, f"{c[:-1]}m"), (k, f"{c[:-1]}f"))}
+                rows += [(hashlib.sha256(text.encode()).hexdigest(), k, c) for k, c in own]
+            yield _batch(rows, ["digest", "kind", "canon"], [pa.string()] * 3)
+
+    held = docs.select("text").mapInArrow(common.tidy(run), "digest string, kind string, canon string").distinct().join(special, ["kind", "canon"])
+    lists = held.groupBy("digest").agg(F.collect_list(F.struct("kind", "canon", "attempt")).alias("listed"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.sha2(F.col("text").cast("binary"), 256).alias("digest"))
+    some = F.coalesce("listed", F.array().cast("array<struct<kind: string, canon: string, attempt: int>>"))
+    return rows.join(lists, "digest", "left").select("row.*", some.alias(name))
