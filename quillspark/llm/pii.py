@@ -22,7 +22,8 @@ though its surrogates are other people's strings.  Exceptions are few; they
 are broadcast only up to ``most_broadcast`` rows and joined to their documents
 beyond that.
 
-A test in the JVM sends only texts with something like an entity to Python.
+One pattern, run over whole Arrow columns, tells the few texts that have something
+like an entity; only those become Python strings.
 
 Defined cases: null text stays null, empty text empty; texts of any length are
 read whole; a text without entities is unchanged; rows that repeat are rewritten
@@ -43,7 +44,9 @@ from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,8 +92,8 @@ PATTERNS = {
 _COMPILED = {k: re.compile(p) for k, p in PATTERNS.items()}
 _DIGITS = re.compile(r"[0-9][0-9 .()/-]{5,}[0-9]")
 _TITLED = re.compile(rf"\b(?i:{_TITLE})\b\.?[ ]")
-#: Java pattern of what every text with an entity has.
-HOPEFUL = rf"[A-Za-z0-9._%+-]@[A-Za-z0-9-]|[0-9][0-9 .()/-]{{5,}}[0-9]|(?iu:{_TITLE})\.? (?:[A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]|[А-ЯЁ][а-яё])"
+#: RE2 pattern of what every text with an entity has; Arrow looks for it in all texts of a batch at once.
+HOPEFUL = rf"[A-Za-z0-9._%+-]@[A-Za-z0-9-]|[0-9][0-9 .()/-]{{5,}}[0-9]|(?i:{_TITLE})\.? (?:[A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]|[А-ЯЁ][а-яё])"
 #: Digits of a phone number with a country code, and without.
 _PHONE_DIGITS = (8, 15), (9, 13)
 
@@ -138,6 +141,11 @@ def find(text: str) -> list[Found]:
     return sorted(out)
 
 
+def hopeful(texts: pa.Array) -> np.ndarray:
+    """Numbers of the texts that may hold an entity."""
+    return np.flatnonzero(pc.match_substring_regex(texts, HOPEFUL).fill_null(False).to_numpy(zero_copy_only=False))
+
+
 def _named(text: str, names: list[tuple[int, int, str]], free) -> list[Found]:
     """Titled names, and the same people without a title."""
     people: dict[tuple[str, str], str] = {}
@@ -416,11 +424,12 @@ def entities(docs: DataFrame, key: bytes) -> tuple[DataFrame, DataFrame]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen = Counter()
-            for text in (t for part in common.slices(batch) for t in part.column("text").to_pylist()):
-                seen.update({p for f in find(text) for p in f.parts})
+            texts = batch.column("text")
+            for i in hopeful(texts).tolist():
+                seen.update({p for f in find(texts[i].as_py()) for p in f.parts})
             yield _batch([(k, c, n) for (k, c), n in sorted(seen.items())], ["kind", "canon", "n"], [pa.string(), pa.string(), pa.int64()])
 
-    found = docs.where(F.col("text").rlike(HOPEFUL)).select("text").mapInArrow(common.tidy(run), "kind string, canon string, n long").groupBy("kind", "canon").agg(F.sum("n").alias("n"))
+    found = docs.select("text").mapInArrow(common.tidy(run), "kind string, canon string, n long").groupBy("kind", "canon").agg(F.sum("n").alias("n"))
     found = common.checkpointed(found)
     given = found.where("kind = 'given'").select(F.expr("left(canon, length(canon) - 2)").alias("person"), F.right("canon", F.lit(1)).alias("gender"), "n")
     side = lambda g: F.sum(F.when(F.col("gender") == g, F.col("n")).otherwise(0))
@@ -502,10 +511,7 @@ def surrogates(docs: DataFrame, key: str, kinds: str | None = "pii_kinds", most_
     names = [f.name for f in fields]
     schema = T.StructType([*fields, *([T.StructField(kinds, T.ArrayType(T.StringType()))] if kinds else [])])
     few: dict[tuple[str, str], int] = {}
-    hopeful = F.coalesce(F.col("text").rlike(HOPEFUL), F.lit(False))
-    plain, source, own = docs.where(~hopeful).select(*[F.col(f"`{n}`") for n in names]), docs.where(hopeful), common.fresh(docs, "exceptions")
-    if kinds:
-        plain = plain.withColumn(kinds, F.array().cast("array<string>"))
+    source, own = docs, common.fresh(docs, "exceptions")
     head = special.limit(most_broadcast + 1).collect()
     if len(head) <= most_broadcast:
         few = {(r["kind"], r["canon"]): r["attempt"] for r in head}
@@ -513,16 +519,23 @@ def surrogates(docs: DataFrame, key: str, kinds: str | None = "pii_kinds", most_
         source = _with_exceptions(source, special, own)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in common.slices(whole)):
-            texts = batch.column("text").to_pylist()
-            more = batch.column(own).to_pylist() if own in batch.schema.names else [None] * len(texts)
-            done = [rewrite(t, secret, few if m is None else {(x["kind"], x["canon"]): x["attempt"] for x in m}) for t, m in zip(texts, more, strict=True)]
-            columns = [pa.array([d[0] for d in done], batch.schema.field("text").type) if n == "text" else batch.column(n) for n in names]
+        for batch in (part for whole in batches for part in common.slices(whole, 2048)):
+            texts = batch.column("text")
+            at = hopeful(texts)
+            done = {}
+            for i in at.tolist():
+                more = few if own not in batch.schema.names else {(x["kind"], x["canon"]): x["attempt"] for x in batch.column(own)[i].as_py()}
+                done[i] = rewrite(texts[i].as_py(), secret, more)
+            if done:
+                mask = np.zeros(len(texts), dtype=bool)
+                mask[at] = True
+                texts = pc.replace_with_mask(texts, pa.array(mask), pa.array([d[0] for d in done.values()], texts.type))
+            columns = [texts if n == "text" else batch.column(n) for n in names]
             if kinds:
-                columns.append(pa.array([d[1] for d in done], pa.list_(pa.string())))
+                columns.append(pa.array([done[i][1] if i in done else [] for i in range(len(texts))], pa.list_(pa.string())))
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return plain.union(source.mapInArrow(common.tidy(run), schema))
+    return source.mapInArrow(common.tidy(run), schema)
 
 
 def _with_exceptions(docs: DataFrame, special: DataFrame, name: str) -> DataFrame:
@@ -531,7 +544,8 @@ def _with_exceptions(docs: DataFrame, special: DataFrame, name: str) -> DataFram
     def run(batches):
         for batch in batches:
             rows = []
-            for text in (t for part in common.slices(batch) for t in part.column("text").to_pylist()):
+            texts = batch.column("text")
+            for text in (texts[i].as_py() for i in hopeful(texts).tolist()):
                 own = {p for f in find(text) for p in f.parts}
                 # a person of no known gender is looked up under each
                 own |= {x for k, c in own if k == "given" and c.endswith("/?") for x in (("gender", c[:-2]), (k, f"{c[:-1]}m"), (k, f"{c[:-1]}f"))}

@@ -6,8 +6,6 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from pyspark.sql import functions as F
-
 from quillspark.llm import common, pii, token_store
 from quillspark.llm.queries import tokenizer_path
 
@@ -133,11 +131,11 @@ def test_corpus_against_planted_entities(docs):
             assert now.split()[1].startswith(pii.GIVEN["latin", "m" if old.startswith("Mr.") else "f"])
 
 
-def test_the_first_test_lets_every_entity_through(spark, docs):
+def test_the_first_test_lets_every_entity_through():
     rng = random.Random(10)
     bits = ["Mr. ", "mRs ", "г-н ", "Г-Н ", "Иван", "Doe", "Ét", "é", "@", "a", "b.co", ".", "12", "345-678-9012", "+49 30 ", "1.2.3.4", " ", "\n", "(0", ")", "ſr. Doe", "x"]
     rows = [(i, "".join(rng.choice(bits) for _ in range(rng.randint(1, 9)))) for i in range(3000)]
-    through = {r["doc_id"] for r in docs(*rows).where(F.col("text").rlike(pii.HOPEFUL)).collect()}
+    through = set(pii.hopeful(pa.array([t for _, t in rows] + [None])).tolist())
     with_entity = {i for i, t in rows if pii.find(t)}
     assert with_entity <= through and len(with_entity) > 300
 
