@@ -452,6 +452,8 @@ def entities(docs: DataFrame, key: bytes) -> tuple[DataFrame, DataFrame]:
             yield _batch(rows, ["kind", "canon", "sur", "space"], [pa.string()] * 4)
 
     every = found.where("kind <> 'given' or canon not like '%/?'").select("kind", "canon").union(untold.select("kind", "canon")).distinct()
+    # few bytes but much arithmetic: a partition each, that adaptive execution leaves alone
+    every = every.repartition(common.shuffle_partitions(docs.sparkSession))
     return every.mapInArrow(common.tidy(first), _ENTITY), untold.where("told is not null").select(F.lit("gender").alias("kind"), F.expr("left(canon, length(canon) - 2)").alias("canon"), F.col("told").alias("attempt"))
 
 
@@ -470,7 +472,7 @@ def exceptions_of(found: DataFrame, key: bytes, patience: int = 4) -> DataFrame
     schema = f"{_ENTITY}, attempt int, first string"
     originals = found.select("kind", F.col("canon").alias("sur")).withColumn("real", F.lit(True))
     settled = found.select("kind", "canon", "sur", "space", F.lit(0).alias("attempt"), F.col("sur").alias("first"))
-    attempt, least, idle = 0, None, 0
+    attempt, least, idle, parts = 0, None, 0, common.shuffle_partitions(found.sparkSession)
     while True:
         # of the entities with one surrogate, that settled first, then the first in order, keeps it; -1 is for good
         holder = settled.groupBy("kind", "sur").agg(F.min(F.struct("attempt", "canon")).alias("own"))
@@ -494,7 +496,7 @@ def exceptions_of(found: DataFrame, key: bytes, patience: int = 4) -> DataFrame
                 .select(*names, "bad")
             )
             least, idle = None, 0
-        moved = clash.where("bad").withColumn("attempt", F.lit(attempt)).drop("bad").mapInArrow(common.tidy(again), schema)
+        moved = clash.where("bad").withColumn("attempt", F.lit(attempt)).drop("bad").repartition(parts).mapInArrow(common.tidy(again), schema)
         settled = clash.where("not bad").drop("bad").union(moved.select(*clash.drop("bad").columns))
 
 

@@ -130,30 +130,37 @@ SELECT doc_id, license, CAST(count(*) AS BIGINT) AS n_units, round(max(dice), 6)
 def _secret_sql(scope: int = 200) -> str:
     passes = {
         "assign": f"length(regexp_extract(t, $${secrets.ASSIGN}$$, 2)) >= 12",
-        "access": "length(t) >= 18",
-        "hex": "length(t) >= 16",
+        "access": "true",
+        "hex": "true",
         "link_access": "regexp_matches(t, '[A-Z]') AND regexp_matches(t, '[0-9]')",
         "link_secret": "regexp_matches(t, '[A-Z]') AND regexp_matches(t, '[a-z]') AND regexp_matches(t, '[0-9]')",
         "link_endpoint": "true",
     }
     spans = []
-    for i, (kind, pattern, _, role) in enumerate(secrets._KINDS):
+    for i, (kind, pattern, _, role) in enumerate(secrets.KINDS):
         spans.append(
-            f"SELECT doc_id, {i} AS k, '{kind}' AS kind, '{role}' AS role, coalesce(list_sum(list_transform(b[1:n], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[1:n - 1], lambda x: length(x))), 0) AS a, m[n] AS t"
-            f" FROM (SELECT doc_id, string_split_regex(text, $${pattern}$$) AS b, m, unnest(range(1, len(m) + 1)) AS n FROM (SELECT doc_id, text, regexp_extract_all(text, $${pattern}$$, 0) AS m FROM d)) WHERE {passes[kind].replace('(t,', '(m[n],').replace('(t)', '(m[n])')}"
+            f"SELECT doc_id, text, {i} AS k, '{kind}' AS kind, '{role}' AS role, CAST(coalesce(list_sum(list_transform(b[1:n], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[1:n - 1], lambda x: length(x))), 0) AS BIGINT) AS a, m[n] AS t"
+            f" FROM (SELECT doc_id, text, string_split_regex(text, $${pattern}$$) AS b, m, unnest(range(1, len(m) + 1)) AS n FROM (SELECT doc_id, text, regexp_extract_all(text, $${pattern}$$, 0) AS m FROM d)) WHERE {passes[kind].replace('(t,', '(m[n],').replace('(t)', '(m[n])')}"
         )
+    far = "greatest({1}.a - {0}.e, {0}.a - {1}.e)"
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-p AS (SELECT *, a + length(t) AS e FROM ({' UNION ALL '.join(spans)})),
+p AS (SELECT *, a + length(t) AS e, length(left(text, a)) - length(replace(left(text, a), chr(10), '')) AS line, len(string_split_regex(left(text, a), '{secrets.EMPTY_LINE}')) AS block FROM ({' UNION ALL '.join(spans)})),
 base AS (SELECT doc_id, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access, count(*) FILTER (WHERE k = 2) AS n_hex,
-  coalesce(string_agg(kind || ':' || CAST(a AS BIGINT) || ':' || CAST(e AS BIGINT), ',' ORDER BY a, k), '') AS written FROM p WHERE k <= 2 GROUP BY 1),
-w AS (SELECT * FROM p x WHERE k > 2 AND NOT EXISTS (SELECT 1 FROM p y WHERE y.doc_id = x.doc_id AND y.k <= 2 AND y.a <= x.a AND y.e >= x.e)),
-l AS (SELECT * FROM w WHERE (role = 'access' AND EXISTS (SELECT 1 FROM p y WHERE y.doc_id = w.doc_id AND y.role = 'secret' AND abs(y.a - w.a) <= {scope}))
-  OR (role = 'secret' AND EXISTS (SELECT 1 FROM p y WHERE y.doc_id = w.doc_id AND y.role = 'access' AND abs(y.a - w.a) <= {scope}))
-  OR (role = 'endpoint' AND EXISTS (SELECT 1 FROM p y WHERE y.doc_id = w.doc_id AND y.role = 'access' AND abs(y.a - w.a) <= {scope}) AND EXISTS (SELECT 1 FROM p y WHERE y.doc_id = w.doc_id AND y.role = 'secret' AND abs(y.a - w.a) <= {scope}))),
-every AS (SELECT doc_id, string_agg(kind || ':' || CAST(a AS BIGINT) || ':' || CAST(e AS BIGINT), ',' ORDER BY a, k) AS written FROM (SELECT * FROM p WHERE k <= 2 UNION ALL SELECT * FROM l) GROUP BY 1)
-SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(b.written, '')) AS base_sha256, coalesce(v.written, '') AS spans
-FROM d LEFT JOIN base b ON b.doc_id = d.doc_id LEFT JOIN every v ON v.doc_id = d.doc_id
+  coalesce(string_agg(kind || ':' || a || ':' || e, ',' ORDER BY a, k), '') AS written FROM p WHERE k <= 2 GROUP BY 1),
+w AS (SELECT * FROM p x WHERE k <= 2 OR NOT EXISTS (SELECT 1 FROM p y WHERE y.doc_id = x.doc_id AND y.k <= 2 AND y.a <= x.a AND y.e >= x.e)),
+pairs AS (SELECT x.doc_id, x.a, x.e, x.k, y.a AS sa, y.e AS se, y.k AS sk, CASE WHEN x.line = y.line THEN 'line' WHEN x.block = y.block THEN 'block' ELSE 'near' END AS scope
+  FROM w x JOIN w y ON x.doc_id = y.doc_id AND x.role = 'access' AND y.role = 'secret' AND {far.format('x', 'y')} BETWEEN 0 AND {scope}),
+ends AS (SELECT z.a AS za, z.e AS ze, z.doc_id, x.role, x.a, x.e, x.k, {far.format('x', 'z')} AS far FROM w z JOIN w x ON z.doc_id = x.doc_id AND z.role = 'endpoint' AND x.role IN ('access', 'secret') AND {far.format('x', 'z')} <= {scope}),
+told AS (SELECT p.*, (SELECT min([greatest(x.far, y.far), x.za, x.ze]) FROM ends x JOIN ends y ON x.doc_id = y.doc_id AND x.za = y.za
+  WHERE x.doc_id = p.doc_id AND x.role = 'access' AND x.a = p.a AND x.k = p.k AND y.role = 'secret' AND y.a = p.sa AND y.k = p.sk) AS z FROM pairs p),
+links AS (SELECT doc_id, string_agg(a || '-' || e || '/' || sa || '-' || se || '/' || coalesce(z[2] || '-' || z[3], 'none') || '/' || scope, ',' ORDER BY a, k, sa, sk) AS links FROM told GROUP BY 1),
+l AS (SELECT w.* FROM w WHERE k > 2 AND ((role = 'access' AND EXISTS (SELECT 1 FROM pairs p WHERE p.doc_id = w.doc_id AND p.a = w.a AND p.k = w.k))
+  OR (role = 'secret' AND EXISTS (SELECT 1 FROM pairs p WHERE p.doc_id = w.doc_id AND p.sa = w.a AND p.sk = w.k))
+  OR (role = 'endpoint' AND (SELECT count(DISTINCT role) FROM ends x WHERE x.doc_id = w.doc_id AND x.za = w.a) = 2))),
+every AS (SELECT doc_id, string_agg(kind || ':' || a || ':' || e, ',' ORDER BY a, k) AS written FROM (SELECT * FROM p WHERE k <= 2 UNION ALL SELECT * FROM l) GROUP BY 1)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(b.written, '')) AS base_sha256, coalesce(v.written, '') AS spans, coalesce(links.links, '') AS links
+FROM d LEFT JOIN base b ON b.doc_id = d.doc_id LEFT JOIN every v ON v.doc_id = d.doc_id LEFT JOIN links ON links.doc_id = d.doc_id
 """
 
 
