@@ -1,52 +1,58 @@
 """License scans in DataFrame functions only.
 
-Lines, paragraphs and whole texts are normalised (lower case, runs of other
-characters than letters and digits as one space) and compared to license
-templates by the Dice coefficient of their sets of word bigrams.  A unit of a
-bigrams can reach ``least`` with a template of b only if a lies between
-least / (2 - least) * b and its inverse times b, so other templates are
-pruned by size.  Texts without an anchor word leave before that: a match
-shares at least least / (2 - least) of a template's bigrams, and each template's
-anchors touch more than the rest.
-
-Defined cases: null and empty texts have no unit and no row; a unit of one word
-has no bigram; the same line twice counts twice in n_units; rows that repeat a
-doc_id are one document; an empty table gives no rows; only doc_id and text are
-read.
+Texts and templates are normalised (lower case, runs of other characters than
+letters and digits as one space, so that wrapped lines and comment marks don't
+matter) and compared by the Dice coefficient of their sets of word bigrams.  What
+is compared is a window of a template's length, wherever in a text it may stand: at
+each place where bigrams with the template's anchor words line up with the
+template's own.  A window of a bigrams can reach ``least`` with a template of b only
+if a lies between least / (2 - least) * b and its inverse times b, so other
+templates are pruned by size.
+
+A match shares at least least / (2 - least) of a template's bigrams and the
+anchors touch more than the rest, so every match has an anchor bigram, and texts
+without an anchor word leave at once.  A place counts if a sixteenth of the anchor
+bigrams line up there, so a repeated word of a long template makes no places.
+
+Templates are rows of two broadcast tables of a size that ``most_bytes`` bounds, not
+parts of an expression.  Of windows that begin within ``near`` words of each other
+the best counts, so a license is not taken for its sister.
+
+Defined cases: null and empty texts have no row, nor has a text of one word; texts
+of any length are read whole; equally good licenses at one place all count; n_units
+is the number of places of a license, those of one template that overlap as one; rows
+that repeat a doc_id are one document; an empty table gives no rows; only doc_id and
+text are read.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Short notices of well-known licenses.
-TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "This project is licensed under the terms of the MIT license."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-)
+from quillspark.llm import common
+from quillspark.llm.license_texts import TEMPLATES
+
+#: Part of a template's anchor bigrams that have to line up.
+_VOTES = 16
+
+
+def words(text: str) -> list[str]:
+    return re.sub(r"[^0-9a-z]+", " ", text.lower()).split()
 
 
 def bigrams(text: str) -> list[str]:
-    cut = re.sub(r"[^0-9a-z]+", " ", text.lower()).split()
+    cut = words(text)
     return sorted({f"{a} {b}" for a, b in zip(cut, cut[1:], strict=False)})
 
 
 def anchors(grams: list[str], least: float) -> set[str]:
-    """Words, long ones first, of which any unit that reaches ``least`` has one."""
+    """Words, long ones first, of which any window that reaches ``least`` has one."""
     may_miss = len(grams) - least / (2 - least) * len(grams) + 1e-9
     left, chosen = list(grams), set()
     while len(grams) - len(left) <= may_miss:
@@ -57,27 +63,54 @@ def anchors(grams: list[str], least: float) -> set[str]:
     return chosen
 
 
-def license_scan(docs: DataFrame, least: float = 0.8, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> DataFrame:
+def tables(templates: tuple[tuple[str, str], ...] = TEMPLATES, least: float = 0.8) -> tuple[list[tuple], list[tuple], set[str]]:
+    """(number, license, words, votes, bigrams) of each template; (bigram, number, place) of its anchor bigrams; all anchor words."""
+    known, lined, needed = [], [], set()
+    for license, text in templates:
+        cut, grams = words(text), bigrams(text)
+        if grams:
+            own = anchors(grams, least)
+            places = [(f"{a} {b}", len(known), i) for i, (a, b) in enumerate(zip(cut, cut[1:], strict=False)) if own & {a, b}]
+            known.append((len(known), license, len(cut), math.ceil(len(places) / _VOTES), grams))
+            lined += places
+            needed |= own
+    return known, lined, needed
+
+
+def _broadcast(spark: SparkSession, rows: list[tuple], ddl: str, most_bytes: int) -> DataFrame:
+    size = sum(len(x) if isinstance(x, str) else 8 if isinstance(x, int) else sum(map(len, x)) for r in rows for x in r)
+    if size > most_bytes:
+        raise ValueError(f"templates of {size} bytes are more than most_bytes")
+    return F.broadcast(spark.createDataFrame(rows, ddl))
+
+
+def license_scan(docs: DataFrame, least: float = 0.8, templates: tuple[tuple[str, str], ...] = TEMPLATES, near: int = 8, most_bytes: int = 50_000_000) -> DataFrame:
     """(doc_id, license, n_units, dice): licenses found in each document, dice the best, to 6 places."""
-    known = [(name, grams) for name, text in templates if (grams := bigrams(text))]
-    needed = sorted(set().union(*(anchors(g, least) for _, g in known)))
-    # words of the normalised text are whole runs of letters and digits
-    has_anchor = rf"(?<![0-9a-z])(?:{'|'.join(map(re.escape, needed))})(?![0-9a-z])"
+    spark = docs.sparkSession
+    known, lined, needed = tables(templates, least)
+    known = _broadcast(spark, known, "number int, license string, n int, votes int, grams array<string>", most_bytes)
+    lined = _broadcast(spark, lined, "gram string, number int, place int", most_bytes)
     low = F.lower("text")
-    hopeful = docs.where(low.rlike(has_anchor)).select("doc_id", low.alias("text"))
-    # a unit of several kinds, as a text of one line is, is looked at once
-    whole = F.array(F.col("text"))
-    paragraphs = F.filter(F.split("text", r"\n[\x20\x09-\x0D]*\n"), lambda u: u.contains("\n") & (u != F.col("text")))
-    lines = F.filter(F.split("text", "\n"), lambda u: u != F.col("text"))
-    units = hopeful.select("doc_id", F.explode(F.concat(whole, paragraphs, lines)).alias("unit")).where(F.col("unit").rlike(has_anchor))
-    cut = units.select("doc_id", F.filter(F.split(F.regexp_replace("unit", "[^0-9a-z]+", " "), " "), lambda w: w != "").alias("w"))
-    pairs = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat_ws(" ", F.slice("w", i, 2)))
-    grams = cut.where("size(w) > 1").select("doc_id", F.array_distinct(pairs).alias("g"))
-    scores = []
-    for name, own in known:
-        b, share = len(own), least / (2 - least)
-        dice = 2.0 * F.size(F.array_intersect("g", F.array(*map(F.lit, own)))) / (F.size("g") + b)
-        fits = (F.size("g") >= share * b - 1e-9) & (F.size("g") <= b / share + 1e-9)
-        scores.append(F.struct(F.lit(name).alias("license"), F.when(fits, dice).alias("dice")))
-    hits = grams.select("doc_id", F.explode(F.array(*scores)).alias("s")).where(F.col("s.dice") >= least)
-    return hits.groupBy("doc_id", F.col("s.license").alias("license")).agg(F.count(F.lit(1)).alias("n_units"), F.round(F.max("s.dice"), 6).alias("dice"))
+    # bytes are searched faster than patterns
+    hopeful = docs.where(reduce(or_, [F.contains(low, F.lit(w)) for w in sorted(needed)], F.lit(False)))
+    cut = hopeful.select("doc_id", F.monotonically_increasing_id().alias("row"), F.split(F.trim(F.regexp_replace(low, "[^0-9a-z]+", " ")), " ").alias("w"))
+    cut = common.checkpointed(cut.where("size(w) > 1"))
+    grams = cut.select("row", F.posexplode(F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.concat_ws(" ", a, b))).alias("at", "gram"))
+    places = grams.join(lined, "gram").groupBy("row", "number", (F.col("at") - F.col("place")).alias("start")).agg(F.count(F.lit(1)).alias("c"))
+    places = places.join(known.drop("grams"), "number").where("c >= votes").select("row", "number", "license", "n", "start")
+    first = F.greatest(F.col("start"), F.lit(0))
+    window = F.slice("w", first + 1, F.col("n") + F.col("start") - first)
+    own = F.array_distinct(F.zip_with(F.slice("v", 1, F.size("v") - 1), F.slice("v", 2, F.size("v") - 1), lambda a, b: F.concat_ws(" ", a, b)))
+    seen = places.join(cut, "row").select("doc_id", "row", "number", "license", "n", first.alias("start"), window.alias("v")).where("size(v) > 1").withColumn("g", own).drop("v")
+    share = least / (2 - least)
+    fits = (F.size("g") >= share * F.size("grams") - 1e-9) & (F.size("g") <= F.size("grams") / share + 1e-9)
+    dice = 2.0 * F.size(F.array_intersect("g", "grams")) / (F.size("g") + F.size("grams"))
+    scored = seen.join(known.select("number", "grams"), "number").where(fits).withColumn("dice", dice).where(F.col("dice") >= least)
+    around = Window.partitionBy("row").orderBy("start").rangeBetween(-near, near)
+    best = scored.select("doc_id", "row", "number", "license", "n", "start", "dice", F.max("dice").over(around).alias("top")).where("dice = top")
+    # windows of a template that overlap are one place
+    before = F.lag("start").over(Window.partitionBy("row", "number").orderBy("start"))
+    units = best.withColumn("new", F.when(F.coalesce(F.col("start") - before >= F.col("n"), F.lit(True)), 1).otherwise(0))
+    per = units.groupBy("doc_id", "row", "license", "number").agg(F.sum("new").alias("units"), F.max("dice").alias("dice"))
+    per = per.groupBy("doc_id", "row", "license").agg(F.max("units").alias("units"), F.max("dice").alias("dice"))
+    return per.groupBy("doc_id", "license").agg(F.sum("units").alias("n_units"), F.round(F.max("dice"), 6).alias("dice"))

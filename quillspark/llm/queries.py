@@ -114,16 +114,23 @@ SELECT doc_id, size, source_size, target, CAST(copies AS BIGINT) AS copies, CAST
 
 def _license_sql() -> str:
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
-    known = ", ".join(f"({quoted(n)}, [{', '.join(map(quoted, licenses.bigrams(t)))}])" for n, t in licenses.TEMPLATES)
+    templates, places, _ = licenses.tables()
+    known = ", ".join(f"({t}, {quoted(name)}, {n}, {votes}, [{', '.join(map(quoted, grams))}])" for t, name, n, votes, grams in templates)
+    lined = ", ".join(f"({quoted(g)}, {t}, {at})" for g, t, at in places)
+    pairs = "list_transform(range(1, len({0})), lambda i: {0}[i] || ' ' || {0}[i + 1])"
     return rf"""
-WITH k(license, grams) AS (VALUES {known}),
-t AS (SELECT doc_id, lower(text) AS text FROM documents WHERE text IS NOT NULL),
-u AS (SELECT doc_id, unnest([text] || list_filter(string_split_regex(text, '\n[\x20\x09-\x0D]*\n'), lambda x: contains(x, chr(10)) AND x <> text) || list_filter(string_split(text, chr(10)), lambda x: x <> text)) AS unit FROM t),
-w AS (SELECT doc_id, list_filter(string_split(regexp_replace(unit, '[^0-9a-z]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM u),
-g AS (SELECT doc_id, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM w WHERE len(w) > 1),
-s AS (SELECT doc_id, license, 2.0::DOUBLE * len(list_intersect(g, grams)) / (len(g) + len(grams)) AS dice FROM g JOIN k
-  ON len(g) <= 1.5 * len(grams) AND len(grams) <= 1.5 * len(g))
-SELECT doc_id, license, CAST(count(*) AS BIGINT) AS n_units, round(max(dice), 6) AS dice FROM s WHERE dice >= 0.8 GROUP BY 1, 2
+WITH k(t, license, n, votes, grams) AS (VALUES {known}),
+p(gram, t, place) AS (VALUES {lined}),
+w AS (SELECT doc_id, list_filter(string_split(regexp_replace(lower(text), '[^0-9a-z]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL),
+g AS (SELECT doc_id, unnest(range(1, len(w))) - 1 AS pos, unnest({pairs.format('w')}) AS gram FROM w),
+s AS (SELECT doc_id, p.t, pos - place AS start FROM g JOIN p ON p.gram = g.gram GROUP BY 1, 2, 3 HAVING count(*) >= (SELECT votes FROM k WHERE k.t = p.t)),
+v AS (SELECT doc_id, t, license, n, grams, greatest(start, 0) AS start, w[greatest(start, 0) + 1:start + n] AS v FROM s JOIN k USING (t) JOIN w USING (doc_id)),
+d AS (SELECT *, list_distinct({pairs.format('v')}) AS own FROM v WHERE len(v) > 1),
+m AS (SELECT *, 2.0::DOUBLE * len(list_intersect(own, grams)) / (len(own) + len(grams)) AS dice FROM d WHERE len(own) <= 1.5 * len(grams) AND len(grams) <= 1.5 * len(own)),
+b AS (SELECT *, max(dice) OVER (PARTITION BY doc_id ORDER BY start RANGE BETWEEN 8 PRECEDING AND 8 FOLLOWING) AS top FROM m WHERE dice >= 0.8),
+u AS (SELECT *, CASE WHEN start - lag(start) OVER (PARTITION BY doc_id, t ORDER BY start) < n THEN 0 ELSE 1 END AS new FROM b WHERE dice = top),
+c AS (SELECT doc_id, license, t, sum(new) AS units, max(dice) AS dice FROM u GROUP BY 1, 2, 3)
+SELECT doc_id, license, CAST(max(units) AS BIGINT) AS n_units, round(max(dice), 6) AS dice FROM c GROUP BY 1, 2
 """
 
 
