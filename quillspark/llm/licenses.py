@@ -29,8 +29,6 @@ from __future__ import annotations
 
 import math
 import re
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -51,25 +49,47 @@ def bigrams(text: str) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(cut, cut[1:], strict=False)})
 
 
-def anchors(grams: list[str], least: float) -> set[str]:
-    """Words, long ones first, of which any window that reaches ``least`` has one."""
-    may_miss = len(grams) - least / (2 - least) * len(grams) + 1e-9
-    left, chosen = list(grams), set()
-    while len(grams) - len(left) <= may_miss:
-        words = {w for g in left for w in g.split()}
-        best = max(words, key=lambda w: (len(w) > 5, sum(w in g.split() for g in left), len(w), w))
-        chosen.add(best)
-        left = [g for g in left if best not in g.split()]
+def anchors(grams: list[list[str]], least: float) -> list[set[str]]:
+    """Words of each template, of which any window that reaches ``least`` with it has one.
+
+    Long words first, and those that serve most templates, so that all have few.
+    """
+    missable = [len(g) - least / (2 - least) * len(g) + 1e-9 for g in grams]
+    of: dict[str, list[tuple[int, str]]] = {}
+    for t, own in enumerate(grams):
+        for g in own:
+            for w in set(g.split()):
+                of.setdefault(w, []).append((t, g))
+    touched: list[set[str]] = [set() for _ in grams]
+    chosen: list[set[str]] = [set() for _ in grams]
+    open_ = set(range(len(grams)))
+    while open_:
+        gains = {w: sum(1 / missable[t] for t, g in hits if t in open_ and g not in touched[t]) for w, hits in of.items()}
+        best = max((w for w, gain in gains.items() if gain), key=lambda w: (len(w) > 5, gains[w], len(w), w))
+        for t, g in of[best]:
+            if t in open_:
+                touched[t].add(g)
+                chosen[t].add(best)
+        open_ = {t for t in open_ if len(touched[t]) <= missable[t]}
     return chosen
 
 
+def any_word(words: set[str]) -> str:
+    """A pattern of any of some words as a whole, by first letter."""
+    by: dict[str, list[str]] = {}
+    for w in sorted(words):
+        by.setdefault(w[0], []).append(re.escape(w[1:]))
+    return rf"(?<![0-9a-z])(?:{'|'.join(f'{c}(?:{"|".join(rest)})' for c, rest in by.items())})(?![0-9a-z])"
+
+
 def tables(templates: tuple[tuple[str, str], ...] = TEMPLATES, least: float = 0.8) -> tuple[list[tuple], list[tuple], set[str]]:
     """(number, license, words, votes, bigrams) of each template; (bigram, number, place) of its anchor bigrams; all anchor words."""
     known, lined, needed = [], [], set()
-    for license, text in templates:
+    templates = [t for t in templates if bigrams(t[1])]
+    chosen = anchors([bigrams(text) for _, text in templates], least)
+    for (license, text), own in zip(templates, chosen, strict=True):
         cut, grams = words(text), bigrams(text)
-        if grams:
-            own = anchors(grams, least)
+        if own:
             places = [(f"{a} {b}", len(known), i) for i, (a, b) in enumerate(zip(cut, cut[1:], strict=False)) if own & {a, b}]
             known.append((len(known), license, len(cut), math.ceil(len(places) / _VOTES), grams))
             lined += places
@@ -88,19 +108,21 @@ def license_scan(docs: DataFrame, least: float = 0.8, templates: tuple[tuple[str
     """(doc_id, license, n_units, dice): licenses found in each document, dice the best, to 6 places."""
     spark = docs.sparkSession
     known, lined, needed = tables(templates, least)
+    # texts with no anchor bigram keep no words
+    marks = F.array(*[F.lit(g) for g in sorted({g for g, _, _ in lined})]).cast("array<string>")
     known = _broadcast(spark, known, "number int, license string, n int, votes int, grams array<string>", most_bytes)
     lined = _broadcast(spark, lined, "gram string, number int, place int", most_bytes)
     low = F.lower("text")
-    # bytes are searched faster than patterns
-    hopeful = docs.where(reduce(or_, [F.contains(low, F.lit(w)) for w in sorted(needed)], F.lit(False)))
+    pairs = lambda w: F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat_ws(" ", a, b))
+    hopeful = docs.where(low.rlike(any_word(needed)) if needed else F.lit(False))
     cut = hopeful.select("doc_id", F.monotonically_increasing_id().alias("row"), F.split(F.trim(F.regexp_replace(low, "[^0-9a-z]+", " ")), " ").alias("w"))
-    cut = common.checkpointed(cut.where("size(w) > 1"))
-    grams = cut.select("row", F.posexplode(F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.concat_ws(" ", a, b))).alias("at", "gram"))
+    cut = common.checkpointed(cut.where("size(w) > 1").where(F.arrays_overlap(pairs("w"), marks)))
+    grams = cut.select("row", F.posexplode(pairs("w")).alias("at", "gram"))
     places = grams.join(lined, "gram").groupBy("row", "number", (F.col("at") - F.col("place")).alias("start")).agg(F.count(F.lit(1)).alias("c"))
     places = places.join(known.drop("grams"), "number").where("c >= votes").select("row", "number", "license", "n", "start")
     first = F.greatest(F.col("start"), F.lit(0))
     window = F.slice("w", first + 1, F.col("n") + F.col("start") - first)
-    own = F.array_distinct(F.zip_with(F.slice("v", 1, F.size("v") - 1), F.slice("v", 2, F.size("v") - 1), lambda a, b: F.concat_ws(" ", a, b)))
+    own = F.array_distinct(pairs("v"))
     seen = places.join(cut, "row").select("doc_id", "row", "number", "license", "n", first.alias("start"), window.alias("v")).where("size(v) > 1").withColumn("g", own).drop("v")
     share = least / (2 - least)
     fits = (F.size("g") >= share * F.size("grams") - 1e-9) & (F.size("g") <= F.size("grams") / share + 1e-9)
