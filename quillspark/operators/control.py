@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark import schemas
@@ -93,6 +93,13 @@ def error_rows(failures: DataFrame, message: str = "message", code: str = "code"
     return failures.withColumns({"error_category": X.error_category(F.col(message)), "error_code": F.upper(F.trim(F.coalesce(F.col(code), F.lit("UNKNOWN_ERROR")))), "error_summary": F.trim(F.coalesce(F.col(message), F.lit("")))})
 
 
+# Texts of the drafts by layer.
+DRAFT = {
+    "B2S": "Transform Designer (B2S) draft proposal generated. This proposal is read-only and NOT auto-applied. Playbook focus: contract alignment, normalization, metadata propagation, deterministic dedup keys, and DQ/deadletter routing. Change type: %s. Source: %s. Target: %s. Problem: %s.",
+    "S2G": "Transform Designer (S2G) draft proposal generated. This proposal is read-only and NOT auto-applied. Playbook focus: KPI logic, curated dimensional outputs, publish-readiness checks, and partition/clustering suitability. Change type: %s. Source: %s. Target: %s. Problem: %s.",
+}
+
+
 def design_artifacts(proposals: DataFrame) -> DataFrame:
     """Paths and texts of the drafts of transform proposals, with a confidence by layer.
 
@@ -104,9 +111,8 @@ def design_artifacts(proposals: DataFrame) -> DataFrame:
     stem = F.format_string("%s_%s_to_%s", safe("change_type"), safe("source_table"), safe("target_table"))
     files = F.array(*[F.concat(prefix, F.lit(f"/{kind}_"), stem, F.lit(end)) for kind, end in (("mapping_spec", ".json"), ("test_plan", ".md"), ("schema_preview", ".json"))])
     silver = F.col("layer") == "B2S"
-    focus = F.when(silver, "contracts, normalization, metadata, deduplication keys, rules and dead letters").otherwise("measures, curated outputs, readiness to publish, partitioning")
     problem = F.coalesce(F.col("problem_statement"), F.lit("")) if "problem_statement" in proposals.columns else F.lit("")
-    text = F.format_string("Draft of a %s transform, read-only and not applied. Focus: %s. Change type: %s. Source: %s. Target: %s. Problem: %s.", F.col("layer"), focus, F.col("change_type"), F.col("source_table"), F.col("target_table"), problem)
+    text = F.when(silver, F.format_string(DRAFT["B2S"], "change_type", "source_table", "target_table", problem)).otherwise(F.format_string(DRAFT["S2G"], "change_type", "source_table", "target_table", problem))
     return proposals.select("proposal_id", files.alias("generated_artifacts"), text.alias("proposal_text"), F.when(silver, 0.78).otherwise(0.8).alias("confidence_score"))
 
 
@@ -114,6 +120,23 @@ def in_session(events: DataFrame, session: str, key: str = "session_id") -> Data
     return events.where(F.col(key) == session)
 
 
+def log_rows(events: DataFrame, name: str, defaults: dict[str, Column] | None = None) -> DataFrame:
+    """Events as rows of a control table: its columns in its order, absent ones from ``defaults`` or null, a time if there is none.
+
+    Serves sessions, tool calls, responses and proposals alike; what it gives can be appended.
+    """
+    defaults = {"created_ts": F.current_timestamp(), "updated_ts": F.current_timestamp(), "event_id": F.expr("uuid()")} | (defaults or {})
+    fields = schemas.parse(schemas.OPS_TABLES[name][0]).fields
+    given = lambda f: F.col(f.name) if f.name in events.columns else defaults.get(f.name, F.lit(None))
+    return events.select(*[F.coalesce(given(f), defaults.get(f.name, F.lit(None))).cast(f.dataType).alias(f.name) for f in fields])
+
+
+def next_versions(current: DataFrame, judged: DataFrame, now: Column | None = None) -> DataFrame:
+    """New versions of the proposals whose requests were granted, to be appended."""
+    granted = judged.where("outcome = 'ok'").select("proposal_id", F.col("resulting_status").alias("status"))
+    return current.drop("status", "updated_ts").join(granted, "proposal_id").withColumn("updated_ts", F.current_timestamp() if now is None else now)
+
+
 def ops_table(spark: SparkSession, name: str) -> DataFrame:
     """An empty control table."""
     return spark.createDataFrame([], schemas.OPS_TABLES[name][0])

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark import schemas
@@ -28,16 +30,16 @@ def required(name: str, rule_id: str, severity: str) -> Rule:
     return Rule(f"missing_{name}", f"{name} IS NULL OR length(trim({name})) = 0", rule_id, severity, f"{name} must be present and non-empty")
 
 
-#: Rules of the feedback table, in the order in which reasons are listed.
+# Reasons, rule ids, severities and descriptions of the feedback table's rules, in the order in which reasons are listed.
 FEEDBACK_RULES = (
     required("run_id", "DQ_RUN_ID_REQUIRED", "CRITICAL"),
     required("record_hash", "DQ_RECORD_HASH_REQUIRED", "CRITICAL"),
     required("prompt_id", "DQ_PROMPT_ID_REQUIRED", "HIGH"),
     required("query_text", "DQ_QUERY_TEXT_REQUIRED", "HIGH"),
-    Rule("missing_evaluated_step_index", "evaluated_step_index IS NULL", "DQ_EVALUATED_STEP_INDEX_VALID", "HIGH", "evaluated_step_index must be there"),
-    Rule("invalid_evaluated_step_index", "evaluated_step_index < 0", "DQ_EVALUATED_STEP_INDEX_VALID", "HIGH", "evaluated_step_index must not be negative"),
-    Rule("invalid_final_overall_label", f"final_overall_label NOT IN {schemas.LABELS}", "DQ_FINAL_OVERALL_LABEL_ALLOWED", "HIGH", "the final label must be a known one"),
-    *(Rule(f"out_of_range_{m}", f"final_{m} < 0 OR final_{m} > 5", "DQ_METRIC_RANGE_0_5", "HIGH", "resolved metrics lie between 0 and 5") for m in schemas.METRICS),
+    Rule("missing_evaluated_step_index", "evaluated_step_index IS NULL", "DQ_EVALUATED_STEP_INDEX_VALID", "HIGH", "evaluated_step_index must be non-null and >= 0"),
+    Rule("invalid_evaluated_step_index", "evaluated_step_index < 0", "DQ_EVALUATED_STEP_INDEX_VALID", "HIGH", "evaluated_step_index must be non-null and >= 0"),
+    Rule("invalid_final_overall_label", f"final_overall_label NOT IN {schemas.LABELS}", "DQ_FINAL_OVERALL_LABEL_ALLOWED", "HIGH", "final_overall_label must be one of allowed labels"),
+    *(Rule(f"out_of_range_{m}", f"final_{m} < 0 OR final_{m} > 5", "DQ_METRIC_RANGE_0_5", "HIGH", "resolved metric fields must be in range [0, 5]") for m in schemas.METRICS),
 )
 
 
@@ -80,9 +82,16 @@ def dead_letter_summary(letters: DataFrame, stage: str = "silver") -> DataFrame:
 
 def rule_results(letters: DataFrame, stage: str = "silver", table: str = "feedback_step", samples: int = 20) -> DataFrame:
     """Failures per run and rule, with the first ``samples`` distinct hashes in order."""
-    sample = F.slice(F.array_sort(F.collect_set("record_hash")), 1, samples)
-    return letters.groupBy("run_id", F.lit(stage).alias("stage"), F.lit(table).alias("table_name"), "rule_id", "severity").agg(
-        F.count(F.lit(1)).alias("failed_count"), sample.alias("sample_record_hashes"), F.lit(False).alias("dq_pass")
+    keys = ["run_id", "rule_id", "severity"]
+    counts = letters.groupBy(*keys).agg(F.count(F.lit(1)).alias("failed_count"))
+    # the first distinct hashes: a rank that Spark cuts before the shuffle, so that no task holds all hashes of a rule
+    place = F.dense_rank().over(Window.partitionBy(*keys).orderBy("record_hash"))
+    first = letters.where("record_hash is not null").select(*keys, "record_hash").withColumn("__at", place).where(F.col("__at") <= samples)
+    first = first.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.array_sort(F.collect_set("record_hash")).alias("sample_record_hashes"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    out = counts.join(first, same, "left")
+    return out.select(
+        "run_id", F.lit(stage).alias("stage"), F.lit(table).alias("table_name"), "rule_id", "severity", "failed_count", F.coalesce("sample_record_hashes", F.array().cast("array<string>")).alias("sample_record_hashes"), F.lit(False).alias("dq_pass")
     )
 
 

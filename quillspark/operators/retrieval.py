@@ -45,15 +45,13 @@ def cases(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(CASES), "case_id string, query string, expected_route string, intent_hint string, expected_uris array<string>")
 
 
-def hybrid_top_k(queries: DataFrame, docs: DataFrame, k: int, tag: Column | None = None, query_id: str = "query_id", most_docs: int | None = None, block: int = 1000) -> DataFrame:
+def hybrid_top_k(queries: DataFrame, docs: DataFrame, k: int, tag: Column | None = None, query_id: str = "query_id", most_broadcast: int = 10_000, block: int = 1000) -> DataFrame:
     """(query_id, doc_id, uri, score, rank) of the ``k`` best documents of each query.
 
     Score: 0.7 cosine (0 where there are no ``embedding`` columns) + 0.3 lexical
     overlap + 1 / (place + 1000), the place counting candidates with the tag from 0.
-    Every document with the tag is scored, however many there are; up to 10,000
-    ``docs`` are broadcast, beyond that the queries are, in blocks of about ``block``.
-    Only a caller that names ``most_docs`` gets, for more documents than that, a
-    join by shared token, which leaves out documents that share none.
+    Every document with the tag is scored, however many there are; up to
+    ``most_broadcast`` ``docs`` are broadcast, beyond that the queries are, in blocks of about ``block``.
     """
     k = max(1, k)
     tagged = F.lit(True) if tag is None else F.array_contains("tags", tag)
@@ -66,11 +64,7 @@ def hybrid_top_k(queries: DataFrame, docs: DataFrame, k: int, tag: Column | None
         rank = F.row_number().over(Window.partitionBy(query_id).orderBy(F.desc("score"), "position"))
         return scored.withColumn("rank", rank).where(F.col("rank") <= k).select(query_id, "doc_id", "uri", "score", "rank")
 
-    if most_docs is not None and n > most_docs:
-        by_token = docs.select("*", F.explode(X.tokens(F.col("text"))).alias("__t")).select("__t", "doc_id")
-        shared = queries.select(query_id, F.explode(X.tokens(F.col("query"))).alias("__t")).join(by_token, "__t").select(query_id, "doc_id").distinct()
-        return best(queries.join(shared, query_id).join(docs, "doc_id").where(tagged))
-    if n <= 10_000:
+    if n <= most_broadcast:
         return best(queries.join(F.broadcast(docs), tagged))
     return _over_blocks(queries, query_id, block, lambda part: best(docs.join(F.broadcast(part), tagged)))
 

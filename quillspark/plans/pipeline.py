@@ -1,8 +1,9 @@
 """The layered feedback pipeline: raw, bronze, silver, gold, star.
 
 Each stage works on any number of runs at once, writes by dynamic partition
-overwrite and then leaves a manifest per run, so that it can be repeated after a
-crash.  A stage computes its shared input once and counts while it writes.
+overwrite and then leaves a manifest per run and day, so that it can be repeated
+after a crash.  What a stage's tables share is computed once, each table is
+evaluated once, and its rows are counted by run in the files that were written.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -63,7 +66,11 @@ def checked(rows: DataFrame) -> DataFrame:
 
 def silver(rows: DataFrame) -> dict[str, DataFrame]:
     """Bronze rows as the silver tables."""
-    tested = checked(rows)
+    return silver_tables(checked(rows))
+
+
+def silver_tables(tested: DataFrame) -> dict[str, DataFrame]:
+    """Tested rows as the silver tables."""
     clean = tested.where("dq_pass")
     return {
         "feedback_step": reshape.feedback_step(clean),
@@ -85,51 +92,77 @@ def gold(feedback: DataFrame, ratings: DataFrame, violations: DataFrame) -> dict
     }
 
 
-def _runs(df: DataFrame) -> list[tuple[str, str]]:
-    return [(r["run_id"], str(r["ingest_date"])) for r in df.select("run_id", "ingest_date").distinct().collect()]
+Run = tuple[str, str]
+
+
+def _runs(df: DataFrame) -> set[Run]:
+    """(run_id, day) of the rows that have a run."""
+    return {(r["run_id"], str(r["ingest_date"])) for r in df.where("run_id is not null and ingest_date is not null").select("run_id", "ingest_date").distinct().collect()}
+
+
+def _done(spark: SparkSession, lake: Lake, stage: str, runs: Iterable[Run]) -> set[Run]:
+    return {(r, d) for r, d in runs if readers.path_exists(spark, writers.manifest_path(lake.manifests, stage, d, r))}
 
 
-def _done(spark: SparkSession, lake: Lake, stage: str, runs: Iterable[tuple[str, str]]) -> set[str]:
-    return {r for r, d in runs if readers.path_exists(spark, writers.manifest_path(lake.manifests, stage, d, r))}
+def _written(spark: SparkSession, root: str, name: str, rows: DataFrame) -> dict[tuple, int]:
+    """Rows of a table by run and day, or day alone, among the partitions of ``rows``: no column is read."""
+    path = f"{root}/{name}"
+    if not readers.has_rows(spark, path):
+        return {}
+    have = spark.read.parquet(path)
+    keys = [c for c in ("run_id", "ingest_date") if c in have.columns]
+    own = rows.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+    # a partition's value is read as what it looks like; a run's name stays text
+    same = reduce(and_, [F.col(k).cast("string").eqNullSafe(F.col(f"__{k}").cast("string")) for k in keys])
+    return {tuple(None if r[k] is None else str(r[k]) for k in keys): r["count"] for r in have.join(F.broadcast(own), same, "left_semi").groupBy(*keys).count().collect()}
+
+
+def _manifests(spark: SparkSession, lake: Lake, stage: str, counts: dict[str, dict[tuple, int]], runs: Iterable[Run]) -> dict[str, int]:
+    """Writes each run's counts to its manifest; the totals."""
+    for r, d in sorted(runs):
+        writers.write_manifest(spark, lake.manifests, stage, d, r, counts={t: by.get((r, d), by.get((d,), 0)) for t, by in counts.items()})
+    return {t: sum(by.values()) for t, by in counts.items()}
 
 
 def run_bronze(spark: SparkSession, lake: Lake, days: list[str] | None = None, force: bool = False) -> int:
+    """Lands what has no manifest of its run and day yet; rows without a run always, for the rules to tell."""
     rows = bronze(readers.read_raw(spark, lake.raw, days)).withColumn("bronze_ingest_ts", F.current_timestamp()).persist(StorageLevel.DISK_ONLY)
     try:
         runs = _runs(rows)
-        left = rows if force else rows.where(~F.col("run_id").isin(sorted(_done(spark, lake, "bronze", runs)) or [""]))
-        count = left.count()
+        done = set() if force else _done(spark, lake, "bronze", runs)
+        left = rows
+        if done:
+            known = F.broadcast(spark.createDataFrame(sorted(done), "__run string, __day string"))
+            left = rows.join(known, (F.col("run_id") == F.col("__run")) & (F.col("ingest_date").cast("string") == F.col("__day")), "left_anti")
         writers.write_layer(left, lake.bronze, "feedback", ("ingest_date", "run_id", "source_type"))
-        for r, d in runs:
-            writers.write_manifest(spark, lake.manifests, "bronze", d, r)
-        return count
+        counts = {"feedback": _written(spark, lake.bronze, "feedback", left)}
+        return _manifests(spark, lake, "bronze", counts, runs - done)["feedback"]
     finally:
         rows.unpersist()
 
 
 def run_silver(spark: SparkSession, lake: Lake, run_ids: list[str] | None = None) -> dict[str, int]:
+    """The silver tables of some runs, or of all; rows per table."""
     rows = spark.read.parquet(f"{lake.bronze}/feedback")
     rows = metadata.nonempty(rows if run_ids is None else rows.where(F.col("run_id").isin(*run_ids)), "bronze rows of these runs")
-    tables = silver(rows.persist(StorageLevel.DISK_ONLY))
+    tested = checked(rows).persist(StorageLevel.DISK_ONLY)
     try:
-        counts = {}
+        tables, counts = silver_tables(tested), {}
         for name, df in tables.items():
             writers.write_layer(df.withColumn("silver_processed_ts", F.current_timestamp()), lake.silver, name)
-            counts[name] = df.count()
+            counts[name] = _written(spark, lake.silver, name, tested)
         letters = tables["deadletter"]
-        writers.append_ops(spark, lake.ops, "deadletter_summary", quality.dead_letter_summary(letters))
-        writers.append_ops(spark, lake.ops, "dq_results", quality.rule_results(letters))
-        for r, d in _runs(rows):
-            writers.write_manifest(spark, lake.manifests, "silver", d, r, counts=counts)
-        return counts
+        writers.replace_ops(spark, lake.ops, "deadletter_summary", quality.dead_letter_summary(letters))
+        writers.replace_ops(spark, lake.ops, "dq_results", quality.rule_results(letters))
+        return _manifests(spark, lake, "silver", counts, _runs(tested))
     finally:
-        rows.unpersist()
+        tested.unpersist()
 
 
 def _silver_table(spark: SparkSession, lake: Lake, name: str, like: DataFrame) -> DataFrame:
-    """A silver table, empty with the right columns if none was written."""
+    """A silver table, empty with the right columns if it has no rows."""
     path = f"{lake.silver}/{name}"
-    return spark.read.parquet(path) if readers.path_exists(spark, path) else like
+    return spark.read.parquet(path) if readers.has_rows(spark, path) else like
 
 
 def run_gold(spark: SparkSession, lake: Lake, run_ids: list[str] | None = None) -> dict[str, int]:
@@ -148,17 +181,15 @@ def run_gold(spark: SparkSession, lake: Lake, run_ids: list[str] | None = None)
     counts = {}
     for name, df in tables.items():
         writers.write_layer(df.withColumn("gold_processed_ts", F.current_timestamp()), lake.gold, name)
-        counts[name] = df.count()
-    for r, d in _runs(feedback):
-        writers.write_manifest(spark, lake.manifests, "gold", d, r, counts=counts)
-    return counts
+        counts[name] = _written(spark, lake.gold, name, feedback)
+    return _manifests(spark, lake, "gold", counts, _runs(feedback))
 
 
 def run_star(spark: SparkSession, lake: Lake) -> None:
     breakdown = f"{lake.gold}/model_eval_failure_breakdown"
     steps = spark.read.parquet(f"{lake.gold}/model_eval_step_metrics")
     empty = spark.createDataFrame([], "ingest_date date, run_id string, task_type string, model_version string, failure_type string, failure_value string, failure_count bigint")
-    tables = star.star(steps, spark.read.parquet(breakdown) if readers.path_exists(spark, breakdown) else empty)
+    tables = star.star(steps, spark.read.parquet(breakdown) if readers.has_rows(spark, breakdown) else empty)
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{lake.star}/{name}")
 
@@ -168,17 +199,31 @@ def register_schemas(spark: SparkSession, lake: Lake, run_id: str, df: DataFrame
     rows = spark.createDataFrame([(json.dumps(sorted(df.columns)), run_id, source_type)], "schema_json string, first_seen_run_id string, source_type string")
     rows = rows.withColumn("schema_hash", F.sha2("schema_json", 256))
     path = f"{lake.ops}/schema_registry"
-    new = control.first_seen(rows, spark.read.parquet(path) if readers.path_exists(spark, path) else None)
+    new = control.first_seen(rows, spark.read.parquet(path) if readers.has_rows(spark, path) else None)
     found = [r.asDict() for r in new.collect()]
     return writers.append_ops(spark, lake.ops, "schema_registry", found)
 
 
 def reconcile(spark: SparkSession, lake: Lake, stage: str, day: str, run_id: str, tables: Iterable[str]) -> DataFrame:
-    """(table, expected, actual): manifest counts against the rows that a layer holds of a run."""
+    """(table, expected, actual): a manifest's counts against the rows that a layer holds of its run and day.
+
+    A table without runs, as the daily mart, is counted over the day.
+    """
     manifest = json.loads(writers.get_text(spark, writers.manifest_path(lake.manifests, stage, day, run_id)))
-    counts = manifest.get("counts", {})
-    rows = []
+    counts, rows, root = manifest.get("counts", {}), [], getattr(lake, stage)
     for t in tables:
-        path = f"{getattr(lake, stage)}/{t}"
-        rows.append((t, counts.get(t), readers.read_table(spark, getattr(lake, stage), t, run_id).count() if readers.path_exists(spark, path) else 0))
+        actual = 0
+        if readers.has_rows(spark, f"{root}/{t}"):
+            have = readers.read_table(spark, root, t, ingest_date=day)
+            actual = (have.where(F.col("run_id") == run_id) if "run_id" in have.columns else have).count()
+        rows.append((t, counts.get(t), actual))
     return spark.createDataFrame(rows, "table string, expected bigint, actual bigint")
+
+
+def ingest_rest(spark: SparkSession, lake: Lake, urls: Iterable[str], schema: str, run_id: str, day: str, fetch=readers.fetch_json_list, legacy: bool = False) -> str:
+    """REST sources to the raw layer in one go; ``legacy`` rows come under their old names."""
+    rows = readers.read_rest(spark, urls, schema, fetch)
+    if legacy:
+        old = ingest.normalize_legacy(rows)
+        rows = old.select(F.col("feedback_id").alias("prompt_id"), F.col("comment").alias("query_text"), F.col("rating").cast("string").alias("reviewer_comments"))
+    return land_raw(spark, lake, rows, run_id, day, source_type="rest", source_uri=next(iter(urls), "rest") if isinstance(urls, (list, tuple)) else "rest")

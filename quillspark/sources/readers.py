@@ -69,7 +69,10 @@ def read_raw(spark: SparkSession, root: str, days: Iterable[str] | None = None,
     the scan to the folders of those dates.
     """
     payload = payload or schemas.PAYLOAD_DDL
-    paths = [f"{root}/*/dt={d}" for d in days] if days is not None else [root]
+    # a day may have no folder
+    paths = [root] if days is None else [f"{root}/*/dt={d}" for d in days if matches(spark, f"{root}/*/dt={d}")]
+    if not paths:
+        return spark.createDataFrame([], f"meta struct<{schemas.META_DDL}>, payload struct<{payload}>, raw_path string")
     reader = spark.read.schema(f"meta struct<{schemas.META_DDL}>, payload struct<{payload}>").option("recursiveFileLookup", True)
     return reader.json(paths).withColumn("raw_path", F.col("_metadata.file_path"))
 
@@ -82,12 +85,26 @@ def read_table(spark: SparkSession, root: str, name: str, run_id: str | None = N
     return df if run_id is None else df.where(F.col("run_id") == run_id)
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path matches a glob pattern."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def path_exists(spark: SparkSession, uri: str) -> bool:
     """Whether a path exists in whatever store its scheme names."""
     path = spark._jvm.org.apache.hadoop.fs.Path(uri)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
+def has_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a table's folder holds anything but marks of jobs."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.exists(place) and any(not f.getPath().getName().startswith(("_", ".")) for f in store.listStatus(place))
+
+
 def list_runs(spark: SparkSession, root: str, day: str) -> list[str]:
     """Run ids among the raw files of a day, in order."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{root}/*/dt={day}").select("path")

@@ -7,12 +7,18 @@ partitions and nothing else, whether or not a crash came before the manifest.
 from __future__ import annotations
 
 import json
+import tempfile
+import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillspark import schemas
+from quillspark.sources import readers
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
@@ -34,15 +40,22 @@ def get_text(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first()[0]
 
 
-def write_layer(df: DataFrame, root: str, name: str, by: Sequence[str] = ("ingest_date", "run_id"), skip_empty: bool = True) -> bool:
-    """Replaces the partitions of ``df`` in a table; whether anything was written."""
-    if skip_empty and df.isEmpty():
-        return False
+def write_layer(df: DataFrame, root: str, name: str, by: Sequence[str] = ("ingest_date", "run_id")) -> None:
+    """Replaces the partitions of ``df`` in a table, in one evaluation of it; an empty one writes no rows."""
     by = [c for c in by if c in df.columns]
     # files follow partitions; a large partition is split by adaptive execution
     df = df.hint("rebalance", *by) if by else df
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(f"{root.rstrip('/')}/{name}")
-    return True
+
+
+def scratch(spark: SparkSession) -> str:
+    """A folder for intermediate files that all nodes share: the session's checkpoint folder, a temporary one only on one machine."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
+        named = tempfile.mkdtemp(prefix="quillspark-")
+    return f"{named.rstrip('/')}/scratch-{uuid.uuid4().hex}"
 
 
 def manifest_path(root: str, stage: str, day: str, run_id: str) -> str:
@@ -63,14 +76,39 @@ def append_ops(spark: SparkSession, root: str, name: str, rows: Sequence[dict] |
         return 0
     else:
         df = spark.createDataFrame([tuple(r.get(f.name) for f in target.fields) for r in rows], target)
-    stamps = {c: F.coalesce(F.col(c), F.current_timestamp()) if c in df.columns else F.current_timestamp() for c in ("created_ts", "updated_ts") if c in target.names}
-    df = df.withColumns(stamps)
-    df = df.select(*[F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in target.fields])
-    seen = df.withColumn("created_date", F.to_date("created_ts")).sortWithinPartitions(*cluster)
+    seen = _shaped(df, target).withColumn("created_date", F.to_date("created_ts")).sortWithinPartitions(*cluster)
     seen.write.mode("append").partitionBy("created_date").parquet(f"{root.rstrip('/')}/{name}")
     return len(rows) if not isinstance(rows, DataFrame) else -1
 
 
+def replace_ops(spark: SparkSession, root: str, name: str, rows: DataFrame, keys: Sequence[str] = ("run_id", "stage")) -> None:
+    """Rows of a control table in place of those of the same keys, so that a stage can be repeated.
+
+    They take the day of those before them; only the days that are touched are written.
+    """
+    path = f"{root.rstrip('/')}/{name}"
+    target = schemas.parse(schemas.OPS_TABLES[name][0])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    if readers.has_rows(spark, path):
+        have = spark.read.parquet(path)
+        own = rows.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+        old = have.join(own, same, "left_semi")
+        first = old.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.min("created_ts").alias("__first"))
+        rows = rows.join(first, same, "left").withColumn("created_ts", F.coalesce("__first", F.current_timestamp())).drop(*[f"__{k}" for k in keys], "__first")
+        kept = have.join(old.select("created_date").distinct(), "created_date", "left_semi").join(own, same, "left_anti")
+        # what is read is replaced only when the job commits
+        out = _shaped(rows, target).unionByName(kept.drop("created_date"))
+    else:
+        out = _shaped(rows, target)
+    out.withColumn("created_date", F.to_date("created_ts")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("created_date").parquet(path)
+
+
+def _shaped(df: DataFrame, target: T.StructType) -> DataFrame:
+    stamps = {c: F.coalesce(F.col(c), F.current_timestamp()) if c in df.columns else F.current_timestamp() for c in ("created_ts", "updated_ts") if c in target.names}
+    df = df.withColumns(stamps)
+    return df.select(*[F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in target.fields])
+
+
 def publish(tables: dict[str, DataFrame], format: str, options: dict[str, str], prefix: str = "gold_") -> list[str]:
     """Appends each non-empty table through a Spark data source; the names that went out.
 

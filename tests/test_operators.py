@@ -125,7 +125,10 @@ def test_retrieval(spark):
     asked = spark.createDataFrame([(1, "pipeline", [0.99, 0.01])], "query_id int, query string, query_embedding array<double>")
     assert [r["doc_id"] for r in retrieval.hybrid_top_k(asked, docs, 1).collect()] == ["a"]
     assert [r["doc_id"] for r in retrieval.hybrid_top_k(asked, docs, 0).collect()] == ["a"]  # at least one
-    assert [r["doc_id"] for r in retrieval.hybrid_top_k(asked, docs, 2, most_docs=1).collect()] == ["a"]  # by shared token
+    both = [tuple(r) for r in retrieval.hybrid_top_k(asked, docs, 2).collect()]
+    assert [r[1] for r in both] == ["a", "b"]  # b shares no token
+    # on the other side of the bound, and in blocks
+    assert [tuple(r) for r in retrieval.hybrid_top_k(asked, docs, 2, most_broadcast=1, block=1).collect()] == both
     report = retrieval.evaluation_report(retrieval.evaluate(spark)).first()
     assert report["gate_passed"] and report["recall_at_k"] == 1.0
     top = {r["case_id"]: r["uris"][0].rpartition(".")[2] for r in retrieval.evaluate(spark, 5, routed=False).collect()}

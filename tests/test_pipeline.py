@@ -65,7 +65,11 @@ def test_star_keys_meet(spark, lake):
 
 def test_manifests_reconcile_and_tell_the_plan(spark, lake):
     lake, counts = lake
-    assert json.loads(writers.get_text(spark, writers.manifest_path(lake.manifests, "silver", DAY, "run-auto")))["counts"] == counts["silver"]
+    per = {r: json.loads(writers.get_text(spark, writers.manifest_path(lake.manifests, "silver", DAY, r)))["counts"] for r in ("run-auto", "run-both", "run-human")}
+    assert {t: sum(c[t] for c in per.values()) for t in per["run-auto"]} == counts["silver"]
+    for r in per:
+        for stage, tables in (("bronze", ["feedback"]), ("silver", list(counts["silver"])), ("gold", list(counts["gold"]))):
+            assert all(x["expected"] == x["actual"] for x in pipeline.reconcile(spark, lake, stage, DAY, r, tables).collect()), (r, stage)
     assert readers.list_runs(spark, lake.raw, DAY) == ["run-auto", "run-both", "run-human"]
     out = pipeline.reconcile(spark, lake, "silver", DAY, "run-auto", ["feedback_step", "deadletter"]).collect()
     assert [r["actual"] for r in out] == [sample.feedback_rows(spark, "auto").count(), 0]
@@ -85,6 +89,41 @@ def test_bad_records_are_dead_letters(spark, tmp_path):
     assert all(r["failed_count"] == 3 and r["dq_pass"] is False and r["sample_record_hashes"] for r in results)
 
 
+def test_rows_without_a_run_and_late_days_are_kept(spark, tmp_path):
+    lake = pipeline.Lake(str(tmp_path))
+    rows = sample.feedback_rows(spark, "human", 2)
+    pipeline.land_raw(spark, lake, rows, "r", DAY)
+    stray = {"meta": {"source_type": "json", "ingest_ts": f"{DAY}T00:00:00Z"}, "payload": {"prompt_id": "p", "query_text": "q", "evaluated_step_index": "1"}}
+    (tmp_path / f"raw/other/dt={DAY}").mkdir(parents=True)
+    (tmp_path / f"raw/other/dt={DAY}/stray.json").write_text(json.dumps(stray))
+    assert pipeline.run_bronze(spark, lake) == rows.count() + 1
+    late = sample.feedback_rows(spark, "human", 3, seed=7)
+    pipeline.land_raw(spark, lake, late, "r", "2026-01-16")
+    # the run's first day is done, its second is not, and a row without a run is never done
+    assert pipeline.run_bronze(spark, lake) == late.count() + 1
+    assert spark.read.parquet(f"{lake.bronze}/feedback").count() == rows.count() + late.count() + 1
+    for _ in range(2):
+        counts = pipeline.run_silver(spark, lake)
+        summary = {(r["run_id"], r["rule_id"], r["count"]) for r in spark.read.parquet(f"{lake.ops}/deadletter_summary").collect()}
+        assert counts["deadletter"] == 1 and summary == {(None, "DQ_RUN_ID_REQUIRED", 1)}
+        assert spark.read.parquet(f"{lake.ops}/dq_results").count() == 1
+    assert pipeline.run_bronze(spark, lake, ["2026-02-01"]) == 0
+
+
+def test_places_are_dense_over_partitions(spark):
+    df = spark.range(0, 1000, 1, 7).select(F.col("id").cast("string").alias("prompt_id")).where("id % 3 = 0")
+    out = ingest.raw_envelope(df, {"run_id": "r"}).select("meta.row_number", "payload.prompt_id").collect()
+    assert sorted((r[0], int(r[1])) for r in out) == [(i + 1, 3 * i) for i in range(334)]
+
+
+def test_rest_to_raw_in_one_go(spark, tmp_path):
+    lake = pipeline.Lake(str(tmp_path))
+    fetch = lambda url: [{"id": f"{url}{i}", "text": "fine", "rating": 4} for i in range(3)]
+    pipeline.ingest_rest(spark, lake, ["a", "b"], "id string, text string, rating int", "r", DAY, fetch, legacy=True)
+    rows = readers.read_raw(spark, lake.raw).select("meta.source_type", "payload.prompt_id", "payload.query_text", "meta.row_number").collect()
+    assert sorted(map(tuple, rows))[0][:3] == ("rest", "a0", "fine") and sorted(r[3] for r in rows) == list(range(1, 7))
+
+
 def test_schema_registry_takes_each_schema_once(spark, lake):
     lake, _ = lake
     df = spark.range(1)
