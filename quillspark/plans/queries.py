@@ -229,10 +229,13 @@ def dq_results(spark, sf_dir):
     return quality.rule_results(quality.dead_letters(_checked(spark, sf_dir))).withColumn("sample_record_hashes", F.array_join("sample_record_hashes", ","))
 
 
-@query("""SELECT * FROM (VALUES ('DQ_RUN_ID_REQUIRED', 'CRITICAL'), ('DQ_RECORD_HASH_REQUIRED', 'CRITICAL'), ('DQ_PROMPT_ID_REQUIRED', 'HIGH'), ('DQ_QUERY_TEXT_REQUIRED', 'HIGH'),
- ('DQ_EVALUATED_STEP_INDEX_VALID', 'HIGH'), ('DQ_FINAL_OVERALL_LABEL_ALLOWED', 'HIGH'), ('DQ_METRIC_RANGE_0_5', 'HIGH')) t(rule_id, severity)""")
+@query("""SELECT rule_id, lower(substr(rule_id, 4)) AS name, description, severity, 'feedback_step' AS target_table, 'data-platform' AS owner, true AS enabled FROM (VALUES
+ ('DQ_RUN_ID_REQUIRED', 'run_id must be present and non-empty', 'CRITICAL'), ('DQ_RECORD_HASH_REQUIRED', 'record_hash must be present and non-empty', 'CRITICAL'),
+ ('DQ_PROMPT_ID_REQUIRED', 'prompt_id must be present and non-empty', 'HIGH'), ('DQ_QUERY_TEXT_REQUIRED', 'query_text must be present and non-empty', 'HIGH'),
+ ('DQ_EVALUATED_STEP_INDEX_VALID', 'evaluated_step_index must be non-null and >= 0', 'HIGH'), ('DQ_FINAL_OVERALL_LABEL_ALLOWED', 'final_overall_label must be one of allowed labels', 'HIGH'),
+ ('DQ_METRIC_RANGE_0_5', 'resolved metric fields must be in range [0, 5]', 'HIGH')) t(rule_id, description, severity)""")
 def dq_rule_registry(spark, sf_dir):
-    return quality.rule_registry(spark).select("rule_id", "severity")
+    return quality.rule_registry(spark).drop("logic_reference")
 
 
 # ---- star ------------------------------------------------------------------------------------------------------------
@@ -305,11 +308,18 @@ def wide_to_long(spark, sf_dir):
 
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events")
-def explode_child(spark, sf_dir):
+def ensure_struct(spark, sf_dir):
     props = C.as_struct(_t(spark, sf_dir, "events"), "props", "struct<k: int>")
     return _t(spark, sf_dir, "events").select("event_id", props.alias("p")).select("event_id", "p.k")
 
 
+@query("SELECT page_id, 'url' AS part_of, x AS part FROM (SELECT page_id, unnest(string_split(url, '/')) AS x FROM pages) WHERE trim(x, ' ') <> ''")
+def explode_child(spark, sf_dir):
+    rows = _t(spark, sf_dir, "pages").select("page_id", F.to_json(F.split("url", "/")).alias("parts"))
+    rows = rows.select("page_id", C.as_strings(rows, "parts"))
+    return reshape.tagged_items(rows, ["page_id"], {"url": F.col("parts")}, "part_of", "part")
+
+
 @query("SELECT s_nationkey AS nationkey, 'supplier' AS party, s_name AS name FROM supplier UNION ALL SELECT c_nationkey, 'customer', c_name FROM customer")
 def tag_union(spark, sf_dir):
     s, c = _t(spark, sf_dir, "supplier"), _t(spark, sf_dir, "customer")
@@ -384,12 +394,13 @@ def tokenize(spark, sf_dir):
     return _t(spark, sf_dir, "benchmark").select("item_id", F.size(X.tokens(F.col("text"))).cast("long").alias("n_tokens"))
 
 
-@query(f"""WITH q AS (SELECT item_id, {_TOKENS_SQL.format('text')} AS t FROM benchmark), d AS (SELECT page_id, {_TOKENS_SQL.format('url')} AS t FROM pages)
-SELECT item_id, page_id, round(len(list_intersect(q.t, d.t)) / greatest(1, len(q.t)), 6) AS overlap FROM q, d WHERE page_id % 10 = item_id % 10""")
+@query(f"""WITH q AS (SELECT item_id, {_TOKENS_SQL.format('text')} AS t FROM benchmark WHERE item_id % 100 = 0), d AS (SELECT page_id, {_TOKENS_SQL.format('html')} AS t FROM pages)
+SELECT item_id, page_id, round(len(list_intersect(q.t, d.t)) / greatest(1, len(q.t)), 6) AS overlap FROM q, d""")
 def lexical_overlap(spark, sf_dir):
-    q = _t(spark, sf_dir, "benchmark").select("item_id", "text", (F.col("item_id") % 10).alias("slot"))
-    d = _t(spark, sf_dir, "pages").select("page_id", "url", (F.col("page_id") % 10).alias("slot"))
-    return q.join(d, "slot").select("item_id", "page_id", F.round(X.lexical_overlap(F.col("text"), F.col("url")), 6).alias("overlap"))
+    """A search: items with an id divisible by 100 against every page's whole text."""
+    q = _t(spark, sf_dir, "benchmark").where("item_id % 100 = 0").select("item_id", F.col("text").alias("query"))
+    d = _t(spark, sf_dir, "pages").select("page_id", F.col("html").alias("text"))
+    return retrieval.overlaps(q, d, "item_id", "page_id").withColumn("overlap", F.round("overlap", 6))
 
 
 @query(f"""WITH q AS (SELECT item_id, {_TOKENS_SQL.format('text')} AS t FROM benchmark), d AS (SELECT page_id, {_TOKENS_SQL.format('html')} AS t FROM pages)
@@ -400,22 +411,11 @@ def lexical_overlap_all(spark, sf_dir):
     return retrieval.overlaps(q, d, "item_id", "page_id").withColumn("overlap", F.round("overlap", 6))
 
 
-_NEAR_SQL = "SELECT q.vec_id AS query_id, e.vec_id AS item_id, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])) AS c FROM embeddings e, (SELECT * FROM embeddings ORDER BY vec_id LIMIT 5) q"
+_NEAR_SQL = "SELECT q.vec_id AS query_id, e.vec_id AS item_id, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])) AS c FROM embeddings e, (SELECT * FROM embeddings WHERE vec_id % 100 = 0) q"
 
 
 @query(f"SELECT query_id, item_id, round(c, 6) AS cosine, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY c DESC, item_id) AS rank FROM ({_NEAR_SQL})) WHERE rank <= 10")
 def cosine_topk(spark, sf_dir):
-    items = _t(spark, sf_dir, "embeddings")
-    queries = items.orderBy("vec_id").limit(5).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_embedding"))
-    out = retrieval.cosine_top_k(queries, items.select(F.col("vec_id").alias("item_id"), "embedding"), 10)
-    return out.withColumns({"cosine": F.round("cosine", 6), "rank": F.col("rank").cast("long")})
-
-
-_NEAR_ALL_SQL = "SELECT q.vec_id AS query_id, e.vec_id AS item_id, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])) AS c FROM embeddings e, (SELECT * FROM embeddings WHERE vec_id % 100 = 0) q"
-
-
-@query(f"SELECT query_id, item_id, round(c, 6) AS cosine, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY c DESC, item_id) AS rank FROM ({_NEAR_ALL_SQL})) WHERE rank <= 10")
-def cosine_topk_hundreds(spark, sf_dir):
     items = _t(spark, sf_dir, "embeddings")
     queries = items.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_embedding"))
     out = retrieval.cosine_top_k(queries, items.select(F.col("vec_id").alias("item_id"), "embedding"), 10)
@@ -571,11 +571,17 @@ def newest_rows(spark, sf_dir):
     return latest.newest_rows(_t(spark, sf_dir, "events").select("event_id", "ts", "event_type"), 100_000, "ts", ["event_id"])
 
 
-@query("""SELECT p_partkey AS proposal_id, 'gs://agent-proposals/env=dev/layer=b2s/run_id=latest_failed_run/proposal_id=' || p_partkey || '/mapping_spec_add_column_' || s || '_to_gold_t.json' AS mapping_spec, 0.78::DOUBLE AS confidence_score
- FROM (SELECT p_partkey, coalesce(nullif(regexp_replace(regexp_replace(lower(p_brand), '[^a-z0-9]', '_', 'g'), '^_+|_+$', '', 'g'), ''), 'na') AS s FROM part)""")
+@query("""SELECT p_partkey AS proposal_id, 'gs://agent-proposals/env=dev/layer=' || lower(layer) || '/run_id=latest_failed_run/proposal_id=' || p_partkey || '/' AS prefix, 'mapping_spec_add_column_' || s || '_to_gold_t.json' AS mapping_spec,
+ 'test_plan_add_column_' || s || '_to_gold_t.md' AS test_plan, 'schema_preview_add_column_' || s || '_to_gold_t.json' AS schema_preview, CASE layer WHEN 'B2S' THEN 0.78::DOUBLE ELSE 0.8::DOUBLE END AS confidence_score,
+ 'Transform Designer (' || layer || ') draft proposal generated. This proposal is read-only and NOT auto-applied. Playbook focus: ' || CASE layer WHEN 'B2S' THEN 'contract alignment, normalization, metadata propagation, deterministic dedup keys, and DQ/deadletter routing'
+ ELSE 'KPI logic, curated dimensional outputs, publish-readiness checks, and partition/clustering suitability' END || '. Change type: add column. Source: ' || p_brand || '. Target: gold.t. Problem: ' || p_type || '.' AS proposal_text
+ FROM (SELECT *, CASE WHEN p_partkey % 2 = 0 THEN 'B2S' ELSE 'S2G' END AS layer, coalesce(nullif(regexp_replace(regexp_replace(lower(p_brand), '[^a-z0-9]', '_', 'g'), '^_+|_+$', '', 'g'), ''), 'na') AS s FROM part)""")
 def design_artifacts(spark, sf_dir):
-    rows = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("proposal_id"), F.lit("B2S").alias("layer"), F.lit("add column").alias("change_type"), F.col("p_brand").alias("source_table"), F.lit("gold.t").alias("target_table"), F.lit("").alias("run_id"), F.lit("dev").alias("env"))
-    return control.design_artifacts(rows).select("proposal_id", F.col("generated_artifacts")[0].alias("mapping_spec"), "confidence_score")
+    layer = F.when(F.col("p_partkey") % 2 == 0, "B2S").otherwise("S2G")
+    rows = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("proposal_id"), layer.alias("layer"), F.lit("add column").alias("change_type"), F.col("p_brand").alias("source_table"), F.lit("gold.t").alias("target_table"), F.lit("").alias("run_id"), F.lit("dev").alias("env"), F.col("p_type").alias("problem_statement"))
+    name = lambda i: F.element_at(F.split(F.col("generated_artifacts")[i], "/"), -1)
+    prefix = F.regexp_extract(F.col("generated_artifacts")[0], "^(.*/)", 1)
+    return control.design_artifacts(rows).select("proposal_id", prefix.alias("prefix"), name(0).alias("mapping_spec"), name(1).alias("test_plan"), name(2).alias("schema_preview"), "confidence_score", "proposal_text")
 
 
 # ---- trajectories, the flat feedback table, legacy rows ---------------------------------------------------------------
@@ -605,7 +611,14 @@ def normalize_legacy(spark, sf_dir):
     return ingest.normalize_legacy(rows).select("feedback_id", "comment", "model", "rating")
 
 
-@query("SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01 00:00:00' AND o_orderstatus = 'O' AND trim(o_orderpriority) <> ''")
+@query("""SELECT o_orderkey, o_orderpriority FROM orders WHERE CAST(o_orderdate AS DATE) = (SELECT max(CAST(o_orderdate AS DATE)) FROM orders) UNION ALL
+ SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus = 'O' AND o_custkey % 5 = 1""")
 def run_filter(spark, sf_dir):
-    orders = _t(spark, sf_dir, "orders").where((F.col("o_orderdate") >= F.lit("1997-01-01 00:00:00").cast("timestamp_ntz")) & (F.col("o_orderstatus") == "O"))
-    return orders.where(~C.blank(F.col("o_orderpriority"))).select("o_orderkey", "o_orderpriority")
+    """By day through the date operator, by run and by batch through theirs."""
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus", F.to_date("o_orderdate").alias("ingest_date"), F.concat(F.lit("raw/batch_id="), (F.col("o_custkey") % 5).cast("string"), F.lit("/x")).alias("raw_path"))
+    last = str(orders.agg(F.max("ingest_date")).first()[0])
+    by_batch = metadata.in_batch(metadata.nonempty(orders, "orders"), "1").where("o_orderstatus = 'O'")
+    return metadata.with_ingest_date(orders, last).select("o_orderkey", "o_orderpriority").union(by_batch.select("o_orderkey", "o_orderpriority"))
+
+
+from quillspark.plans import layer_queries  # noqa: E402, F401  registers the queries of sources, sinks and layers
