@@ -63,15 +63,17 @@ def _label_sql(side: int) -> str:
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed records: curators, no reviewers but for every fifth, an automatic rating, violations."""
-    rating = lambda side, when="true": f"CASE WHEN {when} THEN " + "named_struct(" + ", ".join(f"'{m}', {_score_sql(side, m)}" for m in schemas.METRICS) + f", 'overall_label', {_label_sql(side)}) END"
+    # each side's rating is made once and used under several names: less code than one method may have to be compiled
+    rating = lambda side: "named_struct(" + ", ".join(f"'{m}', {_score_sql(side, m)}" for m in schemas.METRICS) + f", 'overall_label', {_label_sql(side)})"
     keys = _KEY_SQL.replace("AS VARCHAR", "AS STRING")
-    return _t(spark, sf_dir, "lineitem").selectExpr(
+    made = _t(spark, sf_dir, "lineitem").selectExpr("*", f"{rating(0)} AS r0", f"{rating(1)} AS r1")
+    return made.selectExpr(
         *_split(keys),
-        f"{rating(0)} AS curator_1_rating",
-        f"{rating(1)} AS curator_2_rating",
-        f"{rating(1, 'l_orderkey % 5 = 0')} AS reviewer_curator_1_rating",
-        f"{rating(0, 'l_orderkey % 5 = 1')} AS reviewer_curator_2_rating",
-        f"CASE WHEN l_linenumber % 2 = 0 THEN named_struct('scores', {rating(1)}, 'violations', CASE WHEN l_quantity < 5 THEN array('HALLUCINATION', ' ') END) END AS auto_rater",
+        "r0 AS curator_1_rating",
+        "r1 AS curator_2_rating",
+        "CASE WHEN l_orderkey % 5 = 0 THEN r1 END AS reviewer_curator_1_rating",
+        "CASE WHEN l_orderkey % 5 = 1 THEN r0 END AS reviewer_curator_2_rating",
+        "CASE WHEN l_linenumber % 2 = 0 THEN named_struct('scores', r1, 'violations', CASE WHEN l_quantity < 5 THEN array('HALLUCINATION', ' ') END) END AS auto_rater",
         "CASE WHEN l_discount >= 0.09 THEN array('POLICY') WHEN l_discount >= 0.08 THEN array('POLICY', 'TOXICITY') ELSE CAST(array() AS array<string>) END AS violations",
         "CASE WHEN l_tax = 0 THEN '' ELSE 'query ' || l_returnflag END AS query_text",
         "'answer ' || CAST(l_partkey AS STRING) AS final_answer",
