@@ -13,9 +13,10 @@ tasks return counts and a spanning set of links, never all pairs.
 
 Defined cases: vectors that are null, of zero norm, or hold null, NaN or
 infinite components link with nothing and are their own component; vectors of
-different lengths never link; rows that repeat an id and vector count once; a
+different lengths never link; a cosine equal to the threshold links; an id names one
+vector: rows that repeat it count once, with the vector of the smallest digest; a
 null id comes back as its own row with a null component; labels and other
-columns are not read.  Every vector is indexed: nothing is fitted or sampled.
+columns are not read; an empty table gives no rows.  Every vector is indexed: nothing is fitted or sampled.
 """
 
 from __future__ import annotations

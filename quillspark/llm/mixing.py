@@ -7,10 +7,13 @@ comes from one pass over the sources in order of cap / weight.  A source's
 repetition rate is target / size; each document is emitted floor(rate) times,
 and once more if a uniform hash of (seed, doc_id) is under the fraction.
 
-Defined cases: null or empty text has size 0 and takes nothing; a null source is
-a source of its own, last in order; a source of size 0 has target 0; a null
-doc_id hashes as null; equal rows get equal draws; an empty table gives an empty
-mix.  Only doc_id, source and text are read to decide; ``mixed`` returns
+Sources are ranked in one task, a small row each; up to 100,000 are broadcast.
+
+Defined cases: null or empty text has size 0 and takes nothing; texts of any length
+count whole; a null source is a source of its own, last in order; a source of size 0
+has target 0; sources that reach their cap at the same level do so in order of name; a
+null doc_id hashes as null; equal rows and rows of one id get equal draws; an empty
+table gives an empty mix.  Only doc_id, source and text are read to decide; ``mixed`` returns
 every other column as it is, whatever its name.
 """
 
@@ -72,7 +75,8 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, limit: float =
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, limit: float = 3.0, seed: int = 17) -> DataFrame:
     """The rows of ``docs``, each as many times as the mix takes it, in the same columns."""
     sized = docs.select("source", common.word_count(F.col("text")).alias("size"))
-    rates = _small(source_rates(sized, weights, limit).select(F.struct("source", "rate").alias("__mix")))
-    times = copies(F.col("doc_id"), F.coalesce(F.col("__mix.rate"), F.lit(0.0)), seed)
-    joined = docs.join(rates, F.col("source").eqNullSafe(F.col("__mix.source")), "left")
-    return joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = common.fresh(docs, "mix")
+    rates = _small(source_rates(sized, weights, limit).select(F.struct("source", "rate").alias(own)))
+    times = copies(F.col("doc_id"), F.coalesce(F.col(f"{own}.rate"), F.lit(0.0)), seed)
+    joined = docs.join(rates, F.col("source").eqNullSafe(F.col(f"{own}.source")), "left")
+    return joined.withColumn(own, F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,15 +1,17 @@
-"""Packing into optimal length buckets, with DataFrame functions and one small histogram.
+"""Packing into optimal length buckets, over one small histogram.
 
 Lengths fall into a fixed grid: every length up to 512 and 128 steps per
 doubling beyond, so the histogram of any corpus has a bounded number of rows.
 Dynamic programming over it chooses at most ``buckets`` boundaries with the
 least padding, counting a document as padded to its bucket's longest document.
-Inside a bucket, batches take as many documents as fit ``budget`` words at
+A length is what the tokenizer makes of a text, with its end id, or its words
+without one.  Inside a bucket, batches take as many documents as fit ``budget`` tokens at
 the padded length.  Buckets are dealt to shards of about ``shard_rows``
 documents by hash, so no task ranks a whole hot bucket; each shard's last batch
 may be short.
 
-Defined cases: null or empty text has length 0; a document longer than the
+Defined cases: null or empty text has the end id alone, or length 0 in words; texts of
+any length are measured whole; a document longer than the
 budget is a batch of its own; ties in length are broken by hash of id and text,
 and rows that repeat are interchangeable; an empty table gives no rows; other
 columns pass unread.
@@ -18,10 +20,12 @@ columns pass unread.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.llm import common
+from quillspark.llm.token_store import Encoder
 
 _EXACT, _STEPS = 512, 128
 
@@ -66,9 +70,26 @@ def histogram(sized: DataFrame) -> list:
     return sized.groupBy(grid(F.col("length")).alias("place")).agg(F.max("length").alias("top"), F.count(F.lit(1)).alias("count"), F.sum("length").alias("total")).orderBy("place").collect()
 
 
-def packed(docs: DataFrame, buckets: int = 16, budget: int = 65_536, shard_rows: int = 20_000) -> DataFrame:
+def token_lengths(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, length, tie) of each row: ids of its text by a tokenizer file, the end id among them."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            for chunk, data, offsets in common.text_chunks(batch, "text"):
+                _, counts = Encoder.of(path).encode(data, offsets)
+                yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), pa.array(counts + 1), chunk.column("tie")], ["doc_id", "length", "tie"])
+
+    return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("tie")).mapInArrow(common.tidy(run), f"doc_id {kind}, length long, tie long")
+
+
+def packed(docs: DataFrame, tokenizer: str | None = None, buckets: int = 16, budget: int = 65_536, shard_rows: int = 20_000) -> DataFrame:
     """(doc_id, length, bucket, bucket_length, batch_id, position) of each row of ``docs`` (doc_id, text)."""
-    sized = common.checkpointed(docs.select("doc_id", common.word_count(F.col("text")).alias("length"), F.xxhash64("doc_id", "text").alias("tie")))
+    if tokenizer is None:
+        sized = docs.select("doc_id", common.word_count(F.col("text")).alias("length"), F.xxhash64("doc_id", "text").alias("tie"))
+    else:
+        sized = token_lengths(docs, tokenizer)
+    sized = common.checkpointed(sized)
     rows = histogram(sized)
     top, count, total = (np.array([r[c] for r in rows], dtype=np.int64) for c in ("top", "count", "total"))
     places = np.array([r["place"] for r in rows], dtype=np.int64)

@@ -5,8 +5,9 @@ language, id and labels are no inputs.  Trees grow level by level on binned
 statistics of a bounded sample of labelled rows, and are flattened into arrays
 (tree x node) that numpy walks for all rows of a batch at once.
 
-Defined cases: null text is an empty text and gets a score like any other;
-rows with the same text get the same score; labels without a match are unused,
+Defined cases: null text is an empty text and gets a score like any other; texts of
+any length are counted whole; a score equal to the threshold predicts 1; rows with
+the same text get the same score; of a labelled id with several rows one is learnt; labels without a match are unused,
 a document labelled twice counts by its larger label; without two classes of
 labels the score is the share of good labels (0.5 without any); an empty table
 gives no rows.  Only doc_id and text are read.
@@ -122,7 +123,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = 12_000, **grown)
     """A model from at most ``rows`` labelled documents outside the held-out fold, the first by hash of their ids."""
     own = labels.where("doc_id is not null and quality is not null").where(~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").alias("of")).agg(F.max("quality").alias("quality"))
     picked = F.broadcast(own.orderBy(F.xxhash64("of"), "of").limit(rows))
-    seen = _featured(docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("of"), "left_semi")).join(picked, F.col("doc_id") == F.col("of")).select("doc_id", "x", "quality").toPandas()
+    seen = _featured(docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("of"), "left_semi")).join(picked, F.col("doc_id") == F.col("of"))
+    # one row to an id, so that the bound holds where ids repeat
+    seen = seen.groupBy("doc_id").agg(F.min("x").alias("x"), F.max("quality").alias("quality")).toPandas()
     if not len(seen):
         return grow(np.zeros((0, 1)), np.zeros(0), **grown)
     x = np.array(seen["x"].tolist(), dtype=float)

@@ -35,7 +35,7 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(_table(spark, sf_dir, "documents"))
+    return packing.packed(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op5_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,9 @@ path length over random splits says how anomalous it is.  The cut is calibrated
 on all labelled rows that grew no tree, scored where they lie: it leaves at most ``good_loss`` of the good
 ones and falls no lower than the bad ones need.
 
-Defined cases: null text is an empty text; a text without words fails the base
-rule; rows that repeat are judged alike; an empty table gives no rows; without
+Defined cases: null text is an empty text; texts of any length are counted whole; a
+text without words fails the base rule; a score equal to the cut is rejected; rows that
+repeat are judged alike; of a labelled id with several rows one counts for the trees; an empty table gives no rows; without
 usable labels only the base rule decides.  Only doc_id, text and the labels are
 read; ``passing`` returns every column as it is.
 """
@@ -195,7 +196,10 @@ def labelled_counts(docs: DataFrame, labels: DataFrame, rows: int) -> pd.DataFra
     """Counts and label of at most ``rows`` labelled documents, the first by hash of their ids."""
     picked = _labels(labels).orderBy(F.xxhash64("of"), "of").limit(rows)
     # the limited side is small by that bound
-    return counted(docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("of"), "left_semi")).join(F.broadcast(picked), F.col("doc_id") == F.col("of")).drop("of").toPandas()
+    every = counted(docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("of"), "left_semi")).join(F.broadcast(picked), F.col("doc_id") == F.col("of")).drop("of")
+    # one row to an id, so that the bound holds where ids repeat
+    names = [c for c in every.columns if c != "doc_id"]
+    return every.groupBy("doc_id").agg(F.min(F.struct(*names)).alias("s")).select("doc_id", "s.*").toPandas()
 
 
 def _scored(docs: DataFrame, forest: dict[str, np.ndarray]) -> DataFrame:

@@ -25,7 +25,7 @@ def clashing(docs):
 
     long = " ".join(f"w{i % 977}x{i % 31}" for i in range(30_000))
     df = docs((1, None), (2, ""), (3, " \t\n "), (4, long, None), (5, "one"), (5, "one"), (None, "no id here at all"), (None, None, None), (6, "Ünï cödé 日本語 \U0001f600 text with more words"))
-    for name in ("size", "n", "target", "copies", "length", "tie", "rate", "of", "source_size", "node", "component", "h", "v", "place", "bucket", "n_words", "kept", "score", "parts", "row", "start", "pii_kinds", "at", "x"):
+    for name in ("size", "n", "target", "copies", "length", "tie", "rate", "of", "source_size", "node", "component", "h", "v", "place", "bucket", "n_words", "kept", "score", "parts", "row", "start", "pii_kinds", "at", "x", "mix", "mix_", "exceptions", "digest", "listed", "__mix", "__copy", "__key", "__row", "__gone", "__own", "__digest", "__exceptions", "__id", "w", "number", "license", "lists", "kind", "role"):
         df = df.withColumn(name, F.lit(name))
     return df
 

@@ -100,3 +100,19 @@ def test_recall_of_the_one_grid_at_the_edge(spark):
     due = np.count_nonzero(np.triu(v @ v.T >= 0.9, 1))
     found = sum(r["n_links"] for r in lattice.near_duplicates(as_table(spark, rows)).collect()) / 2
     assert 0.97 * due <= found <= due
+
+
+@pytest.mark.parametrize("dim", [16, 64, 256, 768])
+def test_recall_at_the_threshold(dim):
+    """Pairs at cosine 0.9 just meet: the share that lives or probes where the other lives."""
+    rng = np.random.default_rng(dim)
+    n = 400
+    a = rng.normal(size=(n, dim))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b = rng.normal(size=(n, dim))
+    b -= (a * b).sum(axis=1)[:, None] * a
+    b = 0.9005 * a + np.sqrt(1 - 0.9005**2) * b / np.linalg.norm(b, axis=1)[:, None]
+    tables, blocks, width = lattice.GRID
+    (ha, na), (hb, nb) = (lattice.cells(v, tables, blocks, 3, width, 11) for v in (a, b))
+    meets = (ha == hb) | (na == hb[:, :, None]).any(axis=2) | (nb == ha[:, :, None]).any(axis=2)
+    assert meets.any(axis=1).mean() >= 0.9

@@ -107,3 +107,36 @@ def test_packing_odd_rows(clashing, none):
     out = packing.packed(clashing).collect()
     assert len(out) == clashing.count() and {r["length"] for r in out if r["doc_id"] in (1, 2, 3)} == {0}
     assert packing.packed(none).collect() == []
+
+
+def plain_packing(lengths, ends, tops, budget):
+    """Sizes of the batches of each bucket, one document after the other."""
+    out = []
+    for b, (low, high) in enumerate(zip([-1, *ends], ends, strict=False)):
+        own = [n for n in lengths if low < n <= high]
+        fits = max(1, budget // max(1, tops[b]))
+        out += [(b, min(fits, len(own) - i)) for i in range(0, len(own), fits)]
+    return sorted(out)
+
+
+def test_batches_are_filled_as_plainly(docs):
+    from collections import Counter
+
+    from tokenizers import Tokenizer
+
+    from quillspark.llm.queries import tokenizer_path
+
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(["word"] * int(rng.choice([0, 1, 3, 30, 200, 450])))) for i in range(300)]
+    for path in (None, tokenizer_path()):
+        tokens = Tokenizer.from_file(path) if path else None
+        lengths = [len(tokens.encode(t, add_special_tokens=False).ids) + 1 if path else len(words(t)) for _, t in rows]
+        out = packing.packed(docs(*rows), path, buckets=3, budget=2000).collect()
+        assert {r["doc_id"]: r["length"] for r in out} == dict(enumerate(lengths))
+        # the best three buckets by trying all
+        seen = sorted(set(lengths))
+        cost = lambda ends: sum(min(e for e in ends if e >= n) - n for n in lengths)
+        least = min(cost((*ends, seen[-1])) for k in range(3) for ends in itertools.combinations(seen[:-1], k))
+        tops = sorted({r["bucket_length"] for r in out})
+        assert sum(r["bucket_length"] - r["length"] for r in out) == least == cost(tops)
+        assert sorted(Counter(r["batch_id"] for r in out).values()) == sorted(n for _, n in plain_packing(lengths, tops, tops, 2000))

@@ -5,6 +5,8 @@ from collections import Counter
 import duckdb
 import pytest
 
+from tokenizers import Tokenizer
+
 import corpus_pipeline
 from llm_tools import words
 from quillspark.llm import pii, queries, rules
@@ -47,11 +49,12 @@ def test_pipeline_matches_a_plain_one(spark, sf_dir):
     for i, t in clean.items():
         sizes[rows[i]["source"]] += len(words(t))
     target = shares(dict(sizes))
+    tokens = Tokenizer.from_file(queries.tokenizer_path())
     want = Counter()
     for i, t in clean.items():
         s = rows[i]["source"]
         rate = target[s] / sizes[s] if sizes[s] else 0.0
-        want[i, len(words(t))] += int(rate + 1e-12) + (_draw(i) < rate - int(rate + 1e-12))
+        want[i, len(tokens.encode(t, add_special_tokens=False).ids) + 1] += int(rate + 1e-12) + (_draw(i) < rate - int(rate + 1e-12))
     out = corpus_pipeline.run(spark, sf_dir).collect()
     assert Counter((r["doc_id"], r["length"]) for r in out) == +want
     batches = Counter(r["batch_id"] for r in out)

@@ -139,3 +139,69 @@ def test_quantiles_of_a_table_are_those_of_the_array(spark, n, q):
     values = np.random.default_rng(n).random(n)
     table = spark.createDataFrame([(float(v),) for v in values], "score double")
     assert rules._quantile(table, q, n) == pytest.approx(np.quantile(values, q), abs=1e-12)
+
+
+def plain_grown(x, y, trees, depth, rate, least, shrink):
+    """Margins of boosted trees by trying every cut of every feature at every node, one row at a time."""
+    share = sum(y) / len(y)
+    margin = [np.log(share / (1 - share))] * len(y)
+
+    def leaf(rows, g, h):
+        return -rate * sum(g[i] for i in rows) / (sum(h[i] for i in rows) + shrink)
+
+    def fall(rows, g, h, left):
+        best = (1e-9, None)
+        for f in range(len(x[0])):
+            for cut in sorted({x[i][f] for i in rows})[:-1]:
+                low, high = [i for i in rows if x[i][f] <= cut], [i for i in rows if x[i][f] > cut]
+                part = lambda r: sum(g[i] for i in r) ** 2 / (sum(h[i] for i in r) + shrink)
+                gain = part(low) + part(high) - part(rows)
+                if min(len(low), len(high)) >= least and gain > best[0] + 1e-9:
+                    best = (gain, (low, high))
+        if not left or best[1] is None:
+            return {i: leaf(rows, g, h) for i in rows}
+        return fall(best[1][0], g, h, left - 1) | fall(best[1][1], g, h, left - 1)
+
+    for _ in range(trees):
+        p = [1 / (1 + np.exp(-m)) for m in margin]
+        step = fall(list(range(len(y))), [a - b for a, b in zip(p, y, strict=True)], [a * (1 - a) for a in p], depth)
+        margin = [m + step[i] for i, m in enumerate(margin)]
+    return margin
+
+
+def test_grown_trees_match_plain_ones():
+    rng = np.random.default_rng(6)
+    # few distinct values, so that bins and values are the same cuts
+    x = rng.integers(0, 6, (60, 3)).astype(float)
+    y = ((x[:, 0] > 2) ^ (rng.random(60) < 0.2)).astype(float)
+    model = quality.grow(x, y, trees=4, depth=2, rate=0.3, bins=64, least=5)
+    want = plain_grown(x.tolist(), y.tolist(), 4, 2, 0.3, 5, 1.0)
+    assert np.allclose(quality.score(model, x), 1 / (1 + np.exp(-np.array(want))))
+
+
+def test_path_lengths_match_a_plain_walk():
+    rng = np.random.default_rng(7)
+    rows = rng.normal(size=(300, 4))
+    forest = rules.grow_forest(rows, trees=20, sample=64, seed=3)
+    probe = np.concatenate([rows[:30], rng.normal(size=(30, 4)) * 5])
+
+    def depth(x):
+        total = 0.0
+        for feature, cut, path in zip(forest["feature"], forest["cut"], forest["path"], strict=True):
+            at, level = 0, 0
+            while feature[at] >= 0:
+                at, level = 2 * at + (1 if x[feature[at]] < cut[at] else 2), level + 1
+            assert path[at] >= level
+            total += path[at]
+        return total / 20
+
+    want = [2 ** (-depth(x) / forest["norm"][0]) for x in probe]
+    assert np.allclose(rules.anomaly(forest, probe), want)
+    harmonic = lambda n: sum(1 / i for i in range(1, n))
+    assert all(abs(rules._mean_path(n) - (2 * harmonic(n) - 2 * (n - 1) / n)) < 1.1 / (n - 1) for n in range(3, 40))
+
+
+def test_repeated_labelled_ids_are_learnt_once(docs, spark):
+    rows = [(i % 5, f"word{i} of a text " * 20) for i in range(50)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(5)], "doc_id long, quality int, toxic int")
+    assert len(rules.labelled_counts(docs(*rows), labels, 4)) == 4
