@@ -63,7 +63,7 @@ _MU = 0.0085
 #: Texts of a task that make a shingle a candidate for a hot one.
 _COMMON = 32
 #: Counts that a task holds before it drops small ones.
-_COUNTS = 4_000_000
+_COUNTS = 1_000_000
 #: List length that stands for a hot list.
 _HOT = 1 << 40
 #: Rows to a file of documents with their lists.

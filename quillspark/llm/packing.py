@@ -75,10 +75,15 @@ def token_lengths(docs: DataFrame, path: str) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
-            for chunk, data, offsets in common.text_chunks(batch, "text"):
-                _, counts = Encoder.of(path).encode(data, offsets)
-                yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), pa.array(counts + 1), chunk.column("tie")], ["doc_id", "length", "tie"])
+        encoder = Encoder.of(path)
+        try:
+            for batch in batches:
+                for chunk, data, offsets in common.text_chunks(batch, "text"):
+                    _, counts = encoder.encode(data, offsets)
+                    yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), pa.array(counts + 1), chunk.column("tie")], ["doc_id", "length", "tie"])
+        finally:
+            # a worker lives on for other stages
+            encoder.forget()
 
     return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("tie")).mapInArrow(common.tidy(run), f"doc_id {kind}, length long, tie long")
 

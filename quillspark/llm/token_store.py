@@ -77,7 +77,7 @@ class Encoder:
         self.bytes_of = np.zeros(self.largest + 1, np.int64)
         for token, i in vocabulary.items():
             self.bytes_of[i] = len(token)
-        self._forget()
+        self.forget()
 
     @staticmethod
     def of(path: str, special_as_text: bool = False) -> "Encoder":
@@ -90,7 +90,8 @@ class Encoder:
         """Bytes that every id and the end id fit."""
         return 2 if max(self.largest, end_id) < 1 << 16 else 4
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Drops the known pieces; the tokenizer stays."""
         # row 0 is nobody's: a slot without a piece points to it
         self.slots = np.zeros(_SLOTS, np.int32)
         self.rows, self.used_ids, self.used_raw = 1, 0, 0
@@ -167,7 +168,7 @@ class Encoder:
         """Row of each piece among the known ones; new ones are learnt, and no hash is believed."""
         hashes = common.word_hashes(data, starts, ends, lower=False)
         if self.rows > _KNOWN_MOST:
-            self._forget()
+            self.forget()
         at = self.slots[_slot(hashes)].astype(np.int64)
         sizes = ends - starts
         other = np.flatnonzero((self.known[at] != hashes) | (at == 0))
