@@ -131,7 +131,7 @@ def sink_ops(spark, sf_dir):
 
 
 @query("SELECT * FROM (VALUES " + ", ".join(f"('{t}', {i}, '{f.split()[0]}', '{f.split()[1]}')" for t, (ddl, _) in schemas.OPS_TABLES.items() for i, f in enumerate(ddl.split(", "))) + ") t(table_name, place, field, type)")
-def ops_ddl(spark, sf_dir):
+def control_tables(spark, sf_dir):
     """Columns and types of every control table as written and read again."""
     root, rows = writers.scratch(spark), []
     for name in schemas.OPS_TABLES:

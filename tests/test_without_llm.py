@@ -6,12 +6,16 @@ import shutil
 import subprocess
 import sys
 
+import pytest
+
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
-def test_entry_imports_without_them(tmp_path):
-    shutil.copytree(ROOT, tmp_path / "r", ignore=shutil.ignore_patterns("llm", ".git", "__pycache__", "corpus_pipeline.py"))
-    code = "import __spark_entry__ as e; q, s = e.queries(), e.oracle_sql(); assert q and set(q) == set(s), set(q) ^ set(s); assert not any(n.startswith('op') for n in q)"
+@pytest.mark.parametrize("gone", [("llm",), ("llm", "corpus_pipeline.py")])
+def test_entry_works_without_them(tmp_path, gone):
+    shutil.copytree(ROOT, tmp_path / "r", ignore=shutil.ignore_patterns(".git", "__pycache__", *gone))
+    run = "from pyspark.sql import SparkSession; s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate(); assert e.entry(s).count() > 0"
+    code = "import __spark_entry__ as e; q, s = e.queries(), e.oracle_sql(); assert q and set(q) == set(s), set(q) ^ set(s); assert not any(n.startswith('op') for n in q); " + run
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "r", env=env, check=True)
 
