@@ -52,19 +52,24 @@ _KEY_SQL = """CAST(l_shipdate AS DATE) AS ingest_date, 'run_' || CAST(l_orderkey
  CASE WHEN l_linestatus = 'F' THEN 'final' ELSE 'search' END AS step_type, CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) || '-' || CAST(l_extendedprice AS VARCHAR) AS record_hash"""
 
 
+def _absent_sql(side: int) -> str:
+    """Rows that a side did not rate, other ones on each side."""
+    return f"((l_orderkey + l_linenumber) % {7 + 2 * side} = {side})"
+
+
 def _score_sql(side: int, metric: str) -> str:
-    """A score that is null for some rows, other ones on each side."""
-    return f"CASE WHEN (l_orderkey + l_linenumber) % {7 + 2 * side} = {side} THEN NULL ELSE CAST({_SCORES[metric][side]} AS DOUBLE) END"
+    return f"CASE WHEN {_absent_sql(side)} THEN NULL ELSE CAST({_SCORES[metric][side]} AS DOUBLE) END"
 
 
 def _label_sql(side: int) -> str:
-    return f"CASE WHEN (l_orderkey + l_linenumber) % {7 + 2 * side} = {side} THEN NULL ELSE {_LABEL.format(f'(l_partkey + {side})')} END"
+    return f"CASE WHEN {_absent_sql(side)} THEN NULL ELSE {_LABEL.format(f'(l_partkey + {side})')} END"
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed records: curators, no reviewers but for every fifth, an automatic rating, violations."""
-    # each side's rating is made once and used under several names: less code than one method may have to be compiled
-    rating = lambda side: "named_struct(" + ", ".join(f"'{m}', {_score_sql(side, m)}" for m in schemas.METRICS) + f", 'overall_label', {_label_sql(side)})"
+    # each side's rating is made once, null as a whole; the filter, which is not compiled into its stage, keeps the stages' methods small enough to be compiled
+    struct = lambda side: "named_struct(" + ", ".join(f"'{m}', CAST({_SCORES[m][side]} AS DOUBLE)" for m in schemas.METRICS) + f", 'overall_label', {_LABEL.format(f'(l_partkey + {side})')})"
+    rating = lambda side: f"get(filter(array({struct(side)}), x -> NOT {_absent_sql(side)}), 0)"
     keys = _KEY_SQL.replace("AS VARCHAR", "AS STRING")
     made = _t(spark, sf_dir, "lineitem").selectExpr("*", f"{rating(0)} AS r0", f"{rating(1)} AS r1")
     return made.selectExpr(
