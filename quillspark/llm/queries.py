@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import lattice, licenses, mixing, ngram_join, packing, pii, quality, rules, secrets, token_store
+from quillspark.llm import lattice, licenses, mixing, ngram_join, packing, pii, quality, rules, secrets, suffixes, token_store
 
 #: Key of the surrogates in these queries; a deployment names its own.
 SURROGATE_KEY = "quillspark-demonstration-key"
@@ -62,6 +62,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(_table(spark, sf_dir, "documents"))
 
 
+def op12_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(_table(spark, sf_dir, "documents"), length=400)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -75,6 +79,7 @@ QUERIES = {
         op8_secret_scan,
         op9_quality_rules,
         op10_license_scan,
+        op12_suffix_array_dedup,
     )
 }
 
