@@ -381,7 +381,7 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(c) for c in zip(*out, strict=True)]], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def repeated_spans(keyed: DataFrame, length: int = 400, sample_docs: int = 4000, bucket_rows: int = 250_000, most: int = 8192) -> DataFrame:
+def repeated_spans(keyed: DataFrame, length: int = 400, sample_docs: int = 4000, bucket_rows: int = 32_000, most: int = 8192) -> DataFrame:
     """(a, b, lo, hi): window starts from ``lo`` to ``hi`` of document (a, b) whose strings start elsewhere too.
 
     ``keyed``: (a, b, data), the document's key and bytes.
@@ -437,7 +437,7 @@ def repeated_spans(keyed: DataFrame, length: int = 400, sample_docs: int = 4000,
     return spans
 
 
-def without_repeats(docs: DataFrame, length: int = 400, sample_docs: int = 4000, bucket_rows: int = 250_000, most: int = 8192) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = 400, sample_docs: int = 4000, bucket_rows: int = 32_000, most: int = 8192) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row of ``docs`` (doc_id, text)."""
     doc_id, text = F.col("doc_id"), F.coalesce("text", F.lit(""))
     keyed = docs.select("doc_id", F.coalesce(doc_id.cast("long"), F.lit(0).cast("long")).alias("a"), F.xxhash64(text, doc_id.isNull()).alias("b"), text.cast("binary").alias("data"))
