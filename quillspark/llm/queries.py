@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import lattice, licenses, mixing, ngram_join, packing, pii, quality, rules, secrets, suffixes, token_store
+from quillspark.llm import filter_audit, lattice, licenses, mixing, ngram_join, packing, pii, quality, rules, secrets, suffixes, token_store, turns
 
 #: Key of the surrogates in these queries; a deployment names its own.
 SURROGATE_KEY = "quillspark-demonstration-key"
@@ -62,10 +62,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repaired(_table(spark, sf_dir, "conversations"))
+
+
 def op12_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.without_repeats(_table(spark, sf_dir, "documents"), length=400)
 
 
+def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.interactions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -79,7 +87,9 @@ QUERIES = {
         op8_secret_scan,
         op9_quality_rules,
         op10_license_scan,
+        op11_conversation_repair,
         op12_suffix_array_dedup,
+        op13_filter_interactions,
     )
 }
 
@@ -185,4 +195,20 @@ r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l
 SELECT v.vec_id, (SELECT count(*) FROM l WHERE l.a = v.vec_id) AS n_links, min(r.b) AS component_id, min(r.b) = v.vec_id AS kept FROM v JOIN r ON r.a = v.vec_id GROUP BY v.vec_id
 """
 
-ORACLE_SQL = {"op2_ngram_jaccard_join": _NGRAM_SQL, "op3_source_mixing": _MIX_SQL, "op7_lattice_near_duplicates": _VECTOR_SQL, "op8_secret_scan": _secret_sql(), "op10_license_scan": _license_sql()}
+_FILTER_SQL = r"""
+WITH w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+l AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY 1),
+m AS (SELECT w.part, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic, CAST(len(w) < 200 AS INTEGER) + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INTEGER)
+ + 4 * CAST(100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text) AS INTEGER) + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INTEGER)
+ + 16 * CAST(coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY text), false) AS INTEGER) AS mask FROM w LEFT JOIN l ON l.doc_id = w.doc_id),
+c AS (SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM m GROUP BY 1, 2),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+o AS (SELECT a.f || b.f || c.f || d.f || e.f AS o FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+s AS (SELECT o AS filter_order, CAST(step AS INTEGER) AS step, o[step] AS f, 1 << (ascii(o[step]) - 65) AS own, CAST(coalesce(list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(o[i]) - 65))), 0) AS BIGINT) AS before FROM o, (SELECT unnest(range(1, 6)) AS step)),
+r AS (SELECT part, filter_order, step, f, sum(n) FILTER (WHERE mask & (before | own) = 0) AS kept, sum(n) FILTER (WHERE mask & before = 0 AND mask & own <> 0) AS removed, sum(n) FILTER (WHERE mask & before <> 0 AND mask & own <> 0) AS redundant,
+ sum(n) FILTER (WHERE mask = own) AS unique_fails, sum(good) FILTER (WHERE mask & before = 0 AND mask & own <> 0) AS good_lost, sum(toxic) FILTER (WHERE mask & before = 0 AND mask & own <> 0) AS toxic_lost FROM c, s GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+ CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost, CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM r
+"""
+
+ORACLE_SQL = {"op2_ngram_jaccard_join": _NGRAM_SQL, "op3_source_mixing": _MIX_SQL, "op7_lattice_near_duplicates": _VECTOR_SQL, "op8_secret_scan": _secret_sql(), "op10_license_scan": _license_sql(), "op13_filter_interactions": _FILTER_SQL}
