@@ -70,8 +70,8 @@ def dead_letters(checked: DataFrame, rules: Sequence[Rule] = FEEDBACK_RULES, car
     record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in checked.columns if c not in ("dq_reasons", "dq_pass")]))
     path = F.col("raw_path") if "raw_path" in have else F.lit(None).cast("string")
     digest = F.col("record_hash") if "record_hash" in have else F.lit(None).cast("string")
-    # a record that passes has no reason, so the explode drops it without a test of its own
-    out = checked.select(*have, F.explode("dq_reasons").alias("failure_reason"), record.alias("raw_record_json"))
+    # an inner explode would make Spark test the size of the reasons first, and push that test with all rules in it down to the scan
+    out = checked.select(*have, F.explode_outer("dq_reasons").alias("failure_reason"), record.alias("raw_record_json")).where(F.col("failure_reason").isNotNull())
     out = out.withColumn("rule_id", rule_id_of(F.col("failure_reason"), rules))
     return out.withColumns({"severity": severity_of(F.col("rule_id"), rules), "evidence_ref": evidence_ref(path, digest), "failure_stage": F.lit(stage)})
 
@@ -81,12 +81,17 @@ def dead_letter_summary(letters: DataFrame, stage: str = "silver") -> DataFrame:
 
 
 def rule_results(letters: DataFrame, stage: str = "silver", table: str = "feedback_step", samples: int = 20) -> DataFrame:
-    """Failures per run and rule, with the first ``samples`` distinct hashes in order."""
+    """Failures per run and rule, with the first ``samples`` distinct hashes in order.
+
+    The letters are counted by hash once; the counts add up to those of the rules, and the first hashes
+    are a rank over the same counts that Spark cuts before its shuffle, so no task holds all hashes of a rule.
+    """
     keys = ["run_id", "rule_id", "severity"]
-    counts = letters.groupBy(*keys).agg(F.count(F.lit(1)).alias("failed_count"))
-    # the first distinct hashes: a rank that Spark cuts before the shuffle, so that no task holds all hashes of a rule
-    place = F.dense_rank().over(Window.partitionBy(*keys).orderBy("record_hash"))
-    first = letters.where("record_hash is not null").select(*keys, "record_hash").withColumn("__at", place).where(F.col("__at") <= samples)
+    each = letters.groupBy(*keys, "record_hash").agg(F.count(F.lit(1)).alias("__n"))
+    counts = each.groupBy(*keys).agg(F.sum("__n").alias("failed_count"))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("record_hash").asc_nulls_last()))
+    # the test of the count keeps it, so that both sides read one and the same exchange
+    first = each.where("__n > 0").withColumn("__at", place).where(F.col("__at") <= samples)
     first = first.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.array_sort(F.collect_set("record_hash")).alias("sample_record_hashes"))
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
     out = counts.join(first, same, "left")

@@ -165,7 +165,7 @@ def test_cosine_blocks_change_nothing(spark):
 
 def test_cosine_query_asks_every_hundredth(spark, sf_dir):
     due = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where("vec_id % 100 = 0").count()
-    assert queries.QUERIES["cosine_topk_hundreds"](spark, sf_dir).groupBy("query_id").count().where("count = 10").count() == due
+    assert queries.QUERIES["cosine_topk"](spark, sf_dir).groupBy("query_id").count().where("count = 10").count() == due
 
 
 def test_hybrid_scores_documents_that_share_no_token(spark):
@@ -199,3 +199,24 @@ def test_plans_push_filters_and_prune_columns(spark, sf_dir):
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double>" in plan
     long = reshape.wide_to_long(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), ["l_orderkey"], {"g": {"q": F.col("l_quantity"), "t": F.col("l_tax")}}, "g", "m", "v")._jdf.queryExecution().executedPlan().toString()
     assert long.count("FileScan") == 1
+
+
+def test_rules_are_not_pushed_below_the_letters(spark, sf_dir):
+    for name in ("dq_deadletter", "dq_summary", "dq_results"):
+        plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert not any("missing_query_text" in line.partition("Filter")[2] for line in plan.splitlines() if line.lstrip(" +-:").startswith("Filter")), name
+
+
+def test_rule_results_count_the_letters_once(spark):
+    letters = spark.sql("select concat('r', id % 2) run_id, if(id % 3 = 0, null, concat('R', id % 5)) rule_id, 'HIGH' severity, if(id % 7 = 0, null, lpad(id % 50, 2, '0')) record_hash from range(300)")
+    out = quality.rule_results(letters, samples=4)
+    rows = [tuple(r) for r in letters.collect()]
+    want = {}
+    for *key, digest in rows:
+        n, seen = want.get(tuple(key), (0, set()))
+        want[tuple(key)] = (n + 1, seen | ({digest} - {None}))
+    got = {(r["run_id"], r["rule_id"], r["severity"]): (r["failed_count"], r["sample_record_hashes"]) for r in out.collect()}
+    assert got == {k: (n, sorted(seen)[:4]) for k, (n, seen) in want.items()}
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan.partition("Initial Plan")[0] and "WindowGroupLimit" in plan
