@@ -2,7 +2,11 @@
 
 Emails, phone numbers, IPv4 addresses, payment cards, social security numbers
 and titled names are found by pattern; a name that a title told is also found without
-one in the same document, whole or by surname or given name alone.  Numbers and
+one in the same document, whole or by surname or given name alone.  A name is up to
+four words after one or more titles, taken whole with hyphens, apostrophes and inner
+capitals; particles, initials' dots, hyphens and capitals stay as they are written.
+The last word is the surname; words behind the first that the text also has in
+lower case are none of the name.  Numbers and
 mailboxes go through a keyed permutation of the strings of their own shape (a
 Feistel network with cycle walking, one cycle over all strings, so that none is
 its own surrogate); different entities get different surrogates, equal ones
@@ -42,11 +46,13 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import takewhile
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,12 +74,17 @@ KNOWN = {
 _GENDER = {n.lower(): g for (_, g), names in GIVEN.items() for n in names} | {n.lower(): g for g, names in KNOWN.items() for n in names.split()}
 TITLES = {"mr": "m", "herr": "m", "señor": "m", "sr": "m", "monsieur": "m", "mrs": "f", "ms": "f", "miss": "f", "frau": "f", "señora": "f", "sra": "f", "madame": "f", "mme": "f", "dr": "", "prof": "", "г-н": "m", "г-жа": "f"}
 _SYLLABLES = {"latin": ("bdfgklmnprstvz", "aeiou"), "cyrillic": ("бвгдзклмнпрстф", "аеиоу")}
-_NAME = r"[A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]+|[А-ЯЁ][а-яё]+"
 _TITLE = "|".join(sorted(TITLES, key=len, reverse=True))
+# Words between a given name and a surname.
+PARTICLES = ("af", "al", "av", "bin", "da", "de", "del", "della", "den", "der", "di", "dos", "du", "el", "ibn", "la", "le", "ten", "ter", "van", "von", "zu", "zur")
+_BETWEEN = rf"(?:(?:{'|'.join(PARTICLES)})[ ])*"
+#: A word of a name: two letters at least, with what hyphens and apostrophes tie to it but a possessive; or an initial.
+_NAME = rf"(?:[dDlL]['’])?(?=[\p{{Latin}}\p{{Cyrillic}}])(?!(?i:{_TITLE})\b)\p{{Lu}}(?=[\p{{L}}'’‐-])[\p{{L}}\p{{M}}]*(?:(?!['’]s(?!\p{{L}}))['’‐-]\p{{L}}[\p{{L}}\p{{M}}]*)*(?![\p{{L}}\p{{M}}\p{{N}}_])"
+_INITIAL = r"(?=[\p{Latin}\p{Cyrillic}])\p{Lu}\.(?=[ ])"
 
 # Patterns by kind; the order settles overlaps.
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}\b",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}\b",
     "card": r"(?<![\w.-])(?:[0-9]{4}[ -]?){3}[0-9]{4}(?![\w-])",
     "ssn": r"(?<![\w.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![\w]|\.[0-9])",
@@ -87,24 +98,27 @@ PATTERNS = {
             r"(?<![\w.+/-])8 ?\(?[0-9]{3}\)?[ -][0-9]{3}[ -][0-9]{2}[ -][0-9]{2}(?![\w-])",  # Russia
         )
     ),
-    "name": rf"\b(?i:{_TITLE})\b\.?[ ](?:{_NAME})(?:[ ](?:{_NAME}))?",
+    "name": rf"\b(?P<titles>(?i:{_TITLE})\b\.?(?:[ ](?i:{_TITLE})\b\.?)*)[ ](?P<own>{_BETWEEN}(?:{_NAME}|{_INITIAL})(?:[ ]{_BETWEEN}(?:{_NAME}|{_INITIAL})){{0,3}})",
 }
-_COMPILED = {k: re.compile(p) for k, p in PATTERNS.items()}
+_COMPILED = {k: (regex if k == "name" else re).compile(p) for k, p in PATTERNS.items()}
+_PART = regex.compile(rf"{_NAME}|{_INITIAL}")
+_ONE_TITLE = re.compile(rf"(?i:{_TITLE})\b")
+_GAP_OF_NAME = re.compile(rf"[ ]{_BETWEEN}")
 _DIGITS = re.compile(r"[0-9][0-9 .()/-]{5,}[0-9]")
 _TITLED = re.compile(rf"\b(?i:{_TITLE})\b\.?[ ]")
 #: RE2 pattern of what every text with an entity has; Arrow looks for it in all texts of a batch at once.
-HOPEFUL = rf"[A-Za-z0-9._%+-]@[A-Za-z0-9-]|[0-9][0-9 .()/-]{{5,}}[0-9]|(?i:{_TITLE})\.? (?:[A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]|[А-ЯЁ][а-яё])"
+HOPEFUL = rf"[A-Za-z0-9._%+-]@[A-Za-z0-9-]|[0-9][0-9 .()/-]{{5,}}[0-9]|(?i:{_TITLE})\.? {_BETWEEN}(?:[dDlL]['’])?\p{{Lu}}"
 #: Digits of a phone number with a country code, and without.
 _PHONE_DIGITS = (8, 15), (9, 13)
 
 
 class Found(NamedTuple):
-    """An entity of a text: ``parts`` are (kind, canonical entity) of what is replaced in it, in order of surrogates."""
+    """An entity of a text: ``parts`` is its (kind, canonical entity)."""
 
     start: int
     end: int
     kind: str
-    parts: tuple[tuple[str, str], ...]
+    parts: tuple[tuple[str, str]]
 
 
 def _phone(value: str) -> bool:
@@ -117,7 +131,7 @@ def find(text: str) -> list[Found]:
     taken: list[tuple[int, int]] = []
     out: list[Found] = []
     digits, titled = _DIGITS.search(text) is not None, _TITLED.search(text) is not None
-    names: list[tuple[int, int, str]] = []
+    names: list[tuple[int, int, str]] = []  # own words from and to, titles
 
     def free(a: int, b: int) -> bool:
         # neighbours in order of place alone can overlap
@@ -133,7 +147,7 @@ def find(text: str) -> list[Found]:
         for m in pattern.finditer(text):
             if (kind != "phone" or _phone(m.group())) and free(m.start(), m.end()):
                 if kind == "name":
-                    names.append((m.start(), m.end(), m.group()))
+                    names.append((*m.span("own"), m.group("titles")))
                 else:
                     out.append(Found(m.start(), m.end(), kind, ((kind, canonical(kind, m.group())),)))
     if names:
@@ -146,34 +160,73 @@ def hopeful(texts: pa.Array) -> np.ndarray:
     return np.flatnonzero(pc.match_substring_regex(texts, HOPEFUL).fill_null(False).to_numpy(zero_copy_only=False))
 
 
+def _plain(word: str) -> str:
+    return word.lower().replace("’", "'").replace("‐", "-")
+
+
 def _named(text: str, names: list[tuple[int, int, str]], free) -> list[Found]:
-    """Titled names, and the same people without a title."""
+    """Titled names, and the same people without a title; given names and surnames are found apart.
+
+    Of a person whom a title tells by several given names, the first alone is a mention too.
+    """
+    words = set(re.findall(r"\w+", text))
+    told = []
+    for a, b, titles in names:
+        # what follows a word tells whether it is one, so the search may not end with the name
+        own = [(m.start(), m.end(), _plain(m.group())) for m in takewhile(lambda m, b=b: m.start() < b, _PART.finditer(text, a))]
+        # a name in lower case somewhere is a word of the language, and an initial is no surname
+        while len(own) > 1 and (own[-1][2] in words or own[-1][2].endswith(".")):
+            own.pop()
+        if own[-1][2].endswith("."):
+            continue
+        told.append((own, "".join(TITLES.get(t.casefold(), "") for t in _ONE_TITLE.findall(titles))[:1]))
+    alone = {own[0][2] for own, _ in told if len(own) == 1}
     people: dict[tuple[str, str], str] = {}
-    surnames, cut = set(), []
-    for a, b, value in names:
-        title, *own = value.split(" ")
-        cut.append((a + len(title) + 1, b, own))
-        surnames.add(own[-1].lower())
-        if len(own) == 2:
-            person = own[0].lower(), own[1].lower()
-            people[person] = people.get(person) or TITLES.get(title.rstrip(".").casefold(), "")
-    person = lambda g, s: ("given", f"{g} {s}/{people[g, s] or '?'}")
-    out = [Found(a, b, "name", (*([person(own[0].lower(), own[1].lower())] if len(own) == 2 else []), ("surname", own[-1].lower()))) for a, b, own in cut]
-    by_given: dict[str, str] = {}
+    whole = []
+    for own, gender in told:
+        # the surname that stands alone elsewhere ends the name here
+        end = next((i for i in range(1, len(own)) if own[i][2] in alone), len(own) - 1)
+        own = own[: end + 1]
+        whole.append(own)
+        if len(own) > 1:
+            person = "_".join(w for *_, w in own[:-1]), own[-1][2]
+            people[person] = people.get(person) or gender
+    surnames = {own[-1][2] for own in whole}
+    called: dict[tuple[str, str], tuple[str, str]] = {}
+    by_given: dict[str, tuple[str, str]] = {}
     for g, s in people:
-        by_given.setdefault(g, s)
-    single = {*surnames, *by_given}
-    # a name in lower case somewhere is a word of the language
-    common_words = {w for w in re.findall(r"\w+", text) if w in single}
-    for m in re.finditer(rf"\b({_NAME})(?:([ ])({_NAME}))?\b", text):
-        first, second = m.group(1).lower(), (m.group(3) or "").lower()
-        if (first, second) in people:
-            if free(*m.span()):
-                out.append(Found(m.start(), m.end(), "name", (person(first, second), ("surname", second))))
-            continue
-        for group, word in ((1, first), (3, second)):
-            if word in single and word not in common_words and len(word) > 2 and free(*m.span(group)):
-                out.append(Found(*m.span(group), "name", (("surname", word) if word in surnames else person(word, by_given[word]),)))
+        called[g, s] = g, s
+    for g, s in people:
+        called.setdefault((g.partition("_")[0], s), (g, s))
+        for one in (g, g.partition("_")[0]):
+            by_given.setdefault(one, (g, s))
+    single = {w for w in (*surnames, *by_given) if len(w) > 2 and w not in words}
+
+    def found(own: list[tuple[int, int, str]]) -> list[Found]:
+        last = Found(*own[-1][:2], "name", (("surname", own[-1][2]),))
+        if len(own) == 1:
+            return [last]
+        g, s = called["_".join(w for *_, w in own[:-1]), own[-1][2]]
+        return [Found(own[0][0], own[-2][1], "name", (("given", f"{g} {s}/{people[g, s] or '?'}"),)), last]
+
+    out = [f for own in whole for f in found(own)]
+    every = [(m.start(), m.end(), _plain(m.group())) for m in _PART.finditer(text)]
+    at = 0
+    while at < len(every):
+        length = 1
+        while length < 4 and at + length < len(every) and _GAP_OF_NAME.fullmatch(text, every[at + length - 1][1], every[at + length][0]):
+            length += 1
+        while length > 1 and ("_".join(w for *_, w in every[at : at + length - 1]), every[at + length - 1][2]) not in called:
+            length -= 1
+        own = every[at : at + length]
+        word = own[0][2]
+        if length > 1:
+            if free(own[0][0], own[-1][1]):
+                out += found(own)
+        elif word in single and free(*own[0][:2]):
+            g, s = by_given.get(word, ("", ""))
+            out.append(Found(*own[0][:2], "name", (("surname", word) if word in surnames else ("given", f"{g} {s}/{people[g, s] or '?'}"),)))
+        at += length
     return out
 
 
@@ -316,14 +369,21 @@ def surrogate(kind: str, canon: str, key: bytes, attempt: int = 0) -> str:
         return f"{reshape(local, key, f'{tweak}/{domain}')}@{reshape(host, key, f'{tweak}/host')}.{tld}"
     if kind == "surname":
         script = _script(canon)
-        return _syllables(_drawn(key, f"{tweak}/{canon}"), min(24, 5 + attempt), script)
+        more = [_syllables(_drawn(key, f"{tweak}/{canon}/{i}"), 4, script) for i in range(canon.count("-"))]
+        return "-".join([_syllables(_drawn(key, f"{tweak}/{canon}"), min(24, 5 + attempt), script), *more])
     if kind == "given":
         person, _, gender = canon.rpartition("/")
         given, surname = person.split(" ")
-        pool = GIVEN[_script(given), gender]
-        out = pool[_drawn(key, f"{tweak}/{canon}") % len(pool)].lower()
+        first, *rest = re.split("([_-])", given)
+        pool = [n.lower() for n in GIVEN[_script(first), gender] if n.lower() != first]
+        out = pool[_drawn(key, f"{tweak}/{canon}") % len(pool)]
         # from the third tweak on each draws from a space 70 times as large
-        return f"{out + _syllables(_drawn(key, f'{tweak}/{canon}/more'), min(20, attempt - 1), _script(given)) if attempt > 2 else out}|{surname}"
+        out = out + _syllables(_drawn(key, f"{tweak}/{canon}/more"), min(20, attempt - 1), _script(first)) if attempt > 2 else out
+        for i, (mark, more) in enumerate(zip(rest[::2], rest[1::2], strict=True)):
+            number, pool = _drawn(key, f"{tweak}/{canon}/{i}"), [n.lower() for n in GIVEN[_script(more), gender] if n.lower() != more]
+            father = {"вич": "ович", "вна": "овна"}.get(more[-3:])
+            out += mark + (_syllables(number, 2, "cyrillic")[:-1] + father if father else pool[number % len(pool)])
+        return f"{out}|{surname}"
     n, own, value = _head(kind, canon), _kept_class(kind, canon), canon
     while True:
         if kind == "ip":
@@ -362,7 +422,7 @@ def _script(name: str) -> str:
 
 def likely_gender(given: str, key: bytes) -> str:
     """Gender of a person whom no title tells: by a list of names, else by a hash."""
-    return _GENDER.get(given) or "fm"[_drawn(key, f"gender/{given}") & 1]
+    return _GENDER.get(re.split("[_-]", given)[0]) or "fm"[_drawn(key, f"gender/{given}") & 1]
 
 
 def spelled(kind: str, value: str, canon: str) -> str:
@@ -383,6 +443,19 @@ def spelled(kind: str, value: str, canon: str) -> str:
     return "".join(out)
 
 
+def named(value: str, canon: str) -> str:
+    """The words of a surrogate in place of those of ``value``, with its particles, hyphens, initials and capitals."""
+    words, out = re.split("[_-]", canon), []
+    for i, own in enumerate(re.split(r"([ ‐-])", value)):
+        if i % 2 or own in PARTICLES:
+            out.append(own)
+            continue
+        new = words[0] if len(words) == 1 else words.pop(0)
+        new = f"{new[0].upper()}." if own.endswith(".") else new.upper() if own.isupper() and len(own) > 1 else new.capitalize()
+        out.append(new)
+    return "".join(out)
+
+
 def resolved(kind: str, canon: str, key: bytes, exceptions: dict[tuple[str, str], int]) -> str:
     """``canon``, a person of no known gender with the gender that the corpus or the name tells."""
     if kind != "given" or not canon.endswith("/?"):
@@ -397,16 +470,10 @@ def rewrite(text: str, key: bytes, exceptions: dict[tuple[str, str], int]) -> tu
     if not found:
         return text, []
     out, at = [], 0
-    for a, b, kind, parts in found:
-        made = []
-        for k, c in parts:
-            c = resolved(k, c, key, exceptions)
-            made.append(surrogate(k, c, key, exceptions.get((k, c), 0)))
-        if kind == "name":
-            new = " ".join(m.partition("|")[0].capitalize() for m in made)
-        else:
-            new = spelled(kind, text[a:b], made[0])
-        out += [text[at:a], new]
+    for a, b, kind, ((k, c),) in found:
+        c = resolved(k, c, key, exceptions)
+        made = surrogate(k, c, key, exceptions.get((k, c), 0))
+        out += [text[at:a], named(text[a:b], made.partition("|")[0]) if kind == "name" else spelled(kind, text[a:b], made)]
         at = b
     return "".join([*out, text[at:]]), [f.kind for f in found]
 
