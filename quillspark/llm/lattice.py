@@ -120,18 +120,36 @@ def _filed(batches: Iterator[pa.RecordBatch], kind: str, how: tuple) -> Iterator
                 )
 
 
-def _unit(vectors: list[np.ndarray]) -> np.ndarray:
+def _unit(vectors: list[np.ndarray] | np.ndarray) -> np.ndarray:
     x = np.array(vectors, dtype=np.float64)
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
+def _near(unit: np.ndarray, raw: np.ndarray, rows: np.ndarray, here: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of ``rows`` and ``here`` with at least this cosine.
+
+    Products of rounded unit vectors decide but for those next to the threshold, where
+    the product of the vectors themselves over the root of their squares does.
+    """
+    like = unit[rows] @ unit[here].T
+    r, c = np.nonzero(like >= cosine - 1e-9)
+    edge = np.flatnonzero(like[r, c] <= cosine + 1e-9)
+    keep = np.ones(len(r), bool)
+    for a in range(0, len(edge), 20_000):
+        part = edge[a : a + 20_000]
+        x, y = raw[rows[r[part]]], raw[here[c[part]]]
+        keep[part] = (x * y).sum(axis=1) / np.sqrt((x * x).sum(axis=1) * (y * y).sum(axis=1)) >= cosine
+    return rows[r[keep]], here[c[keep]]
+
+
 def _met(t: int, pdf: pd.DataFrame, cosine: float, kind: str, how: tuple, across: bool) -> tuple[dict[int, int], list[tuple[int, int]]]:
     """Links of one cell: counts by id and links that span what is linked here."""
     home = pdf["home"].to_numpy(bool)
     if not home.any() or len(pdf) < 2:
         return {}, []
     ids, weight, sub = pdf["id"].to_numpy(np.int64), pdf["weight"].to_numpy(np.int64), pdf["sub"].to_numpy()
-    unit = _unit([np.frombuffer(v, kind) for v in pdf["v"]])
+    raw = np.array([np.frombuffer(v, kind) for v in pdf["v"]], dtype=np.float64)
+    unit = _unit(raw)
     keys: dict[int, np.ndarray] = {}
     here = np.flatnonzero(home)
     counts: dict[int, int] = {}
@@ -145,8 +163,7 @@ def _met(t: int, pdf: pd.DataFrame, cosine: float, kind: str, how: tuple, across
 
     for a in range(0, len(pdf), 512):
         rows = np.arange(a, min(a + 512, len(pdf)))
-        r, c = np.nonzero(unit[rows] @ unit[here].T >= cosine)
-        r, c = rows[r], here[c]
+        r, c = _near(unit, raw, rows, here, cosine)
         # of two residents once; a prober and a resident as they stand
         ok = (ids[r] != ids[c]) & (~home[r] | (ids[r] < ids[c]))
         if across:

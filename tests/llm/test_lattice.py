@@ -60,6 +60,26 @@ def test_recall_on_pairs_at_the_edge(spark):
     assert 0.9 * 300 <= found <= 300
 
 
+def test_pairs_at_the_threshold_itself(spark):
+    """Vectors of small integers, of which many pairs have a cosine of exactly 0.9; integers tell what is due."""
+    every = np.array(np.meshgrid(*[np.arange(8)] * 4)).reshape(4, -1).T
+    every = every[(every.sum(axis=1) > 0) & (np.gcd.reduce(every, axis=1) == 1)]
+    dot, size = every @ every.T, (every**2).sum(axis=1)
+    a, b = np.nonzero(np.triu(100 * dot**2 == 81 * np.multiply.outer(size, size)))
+    assert len(a) > 780
+    some = np.unique(np.concatenate([a, b])[np.random.default_rng(3).permutation(2 * len(a))[:500]])
+    rows = [(1, [0, 1, 2, 2]), (2, [1, 3, 9, 3]), *[(10 + i, every[v].tolist()) for i, v in enumerate(some)]]
+    v = np.array([v for _, v in rows])
+    dot, size = v @ v.T, (v**2).sum(axis=1)
+    near = 100 * dot**2 >= 81 * np.multiply.outer(size, size)
+    exact = (100 * dot**2 == 81 * np.multiply.outer(size, size)).sum() // 2
+    table = as_table(spark, [(i, [float(c) for c in v]) for i, v in rows])
+    out = {r["vec_id"]: r["n_links"] for r in lattice.near_duplicates(table).collect()}
+    assert exact > 100 and [out[i] for i, _ in rows] == (near.sum(axis=1) - 1).tolist()
+    only = {r["vec_id"]: tuple(r)[1:] for r in lattice.near_duplicates(as_table(spark, [(i, [float(c) for c in v]) for i, v in rows[:2]])).collect()}
+    assert only == {1: (1, 1, True), 2: (1, 1, False)}
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, [1.0, 0.0]), (8, [3.0, 0.0]), (9, [1.0]), (10, [1e-30, 0.0]), (11, [-1.0, 0.0])]
