@@ -65,11 +65,11 @@ def _small(rates: DataFrame, most: int = 100_000) -> DataFrame:
 
 
 def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, limit: float = 3.0, seed: int = 17) -> DataFrame:
-    """(doc_id, size, source_size, target, copies, taken) of each row of ``docs``."""
+    """(doc_id, size, source_size, target, taken, copies) of each row of ``docs``."""
     sized = common.checkpointed(docs.select("doc_id", "source", common.word_count(F.col("text")).alias("size")))
     rates = _small(source_rates(sized, weights, limit).withColumnRenamed("source", "of"))
     out = sized.join(rates, F.col("source").eqNullSafe(F.col("of")), "left").withColumn("copies", copies(F.col("doc_id"), F.col("rate"), seed))
-    return out.select("doc_id", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, limit: float = 3.0, seed: int = 17) -> DataFrame:

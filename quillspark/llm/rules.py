@@ -153,13 +153,28 @@ def calibrated(good: np.ndarray, bad: np.ndarray, good_loss: float) -> float:
     return (edge + float(np.quantile(above, 0.02))) / 2 if len(above) else edge + 1e-9
 
 
+def _ranked(scores: DataFrame, rank: int, bins: int = 4096, few: int = 10_000) -> float:
+    """The score at ``rank`` from 0, by histograms that narrow down to ``few`` rows."""
+    while True:
+        least, most, n = scores.agg(F.min("score"), F.max("score"), F.count(F.lit(1))).first()
+        if least == most:
+            return least
+        if n <= few:
+            return scores.orderBy("score").select("score").collect()[rank][0]
+        bin_of = F.least(F.lit(bins - 1), F.floor((F.col("score") - least) / (most - least) * bins))
+        counts = sorted((r["bin"], r["count"]) for r in scores.groupBy(bin_of.alias("bin")).count().collect())
+        for at, count in counts:
+            if rank < count:
+                break
+            rank -= count
+        scores = scores.where(bin_of == at)
+
+
 def _quantile(scores: DataFrame, q: float, n: int) -> float:
-    """``np.quantile`` of the ``n`` scores, from the rows at the nearer end alone."""
+    """``np.quantile`` of the ``n`` scores."""
     at = (n - 1) * q
     a, b = int(np.floor(at)), int(np.ceil(at))
-    low = b + 1 <= n - a
-    end = [r[0] for r in scores.select("score").orderBy(F.asc("score") if low else F.desc("score")).limit(b + 1 if low else n - a).collect()]
-    x, y = (end[a], end[b]) if low else (end[n - 1 - a], end[n - 1 - b])
+    x, y = _ranked(scores, a), _ranked(scores, b)
     return x + (y - x) * (at - a)
 
 
@@ -215,8 +230,11 @@ def _scored(docs: DataFrame, forest: dict[str, np.ndarray]) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(common.tidy(run), f"doc_id {kind}, score double")
 
 
-def fit_rules(docs: DataFrame, labels: DataFrame, rows: int = 4000, good_loss: float = 0.001, trees: int = 200, seed: int = 5) -> tuple[dict[str, np.ndarray] | None, float]:
-    """A forest from at most ``rows`` labelled rows, and its cut from all others; (None, 2.0) without good ones."""
+def fit_rules(docs: DataFrame, labels: DataFrame, rows: int = 4000, good_loss: float = 0.001, trees: int = 200, seed: int = 5, most_broadcast: int = 500_000) -> tuple[dict[str, np.ndarray] | None, float]:
+    """A forest from at most ``rows`` labelled rows, and its cut from all others; (None, 2.0) without good ones.
+
+    Up to ``most_broadcast`` labels go to the texts, beyond that both are joined by a shuffle.
+    """
     seen = labelled_counts(docs, labels, rows).sort_values(["doc_id", *COUNTS])
     counts = seen[[*COUNTS, *EXTRA]].to_numpy(np.int64)
     able = ~base_failed(counts)
@@ -228,8 +246,11 @@ def fit_rules(docs: DataFrame, labels: DataFrame, rows: int = 4000, good_loss: f
     grew = seen["doc_id"].to_numpy()[able][good][::2].tolist()
     # at most half of ``rows``
     spent = docs.sparkSession.createDataFrame([(v,) for v in grew], f"spent {labels.schema['doc_id'].dataType.simpleString()}").distinct()
-    held = _labels(labels).join(F.broadcast(spent), F.col("of") == F.col("spent"), "left_anti")
-    scores = _scored(docs, forest).join(held, F.col("doc_id") == F.col("of")).select("score", (F.col("quality") == 1).alias("good"))
+    held = common.checkpointed(_labels(labels).join(F.broadcast(spent), F.col("of") == F.col("spent"), "left_anti"), 0)
+    # only labelled texts are scored here
+    held = F.broadcast(held) if held.count() <= most_broadcast else held
+    some = docs.select("doc_id", "text").join(held.select("of"), F.col("doc_id") == F.col("of"), "left_semi")
+    scores = _scored(some, forest).join(held, F.col("doc_id") == F.col("of")).select("score", (F.col("quality") == 1).alias("good"))
     return forest, calibrated_over(common.checkpointed(scores), good_loss)
 
 
@@ -244,7 +265,7 @@ def _judge(counts: np.ndarray, forest, cut: float) -> tuple[np.ndarray, np.ndarr
 
 
 def judged(docs: DataFrame, labels: DataFrame, **fit) -> DataFrame:
-    """(doc_id, COUNTS, base_failed, anomaly, kept) of each row of ``docs``."""
+    """(doc_id, COUNTS, base_failed, kept, anomaly) of each row of ``docs``."""
     forest, cut = fit_rules(docs, labels, **fit)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -252,9 +273,10 @@ def judged(docs: DataFrame, labels: DataFrame, **fit) -> DataFrame:
         for batch in batches:
             for chunk, data, offsets in common.text_chunks(batch, "text"):
                 counts = text_counts(data, offsets)
-                yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), *map(pa.array, [*counts.T[: len(COUNTS)], *_judge(counts, forest, cut)])], ["doc_id", *COUNTS, "base_failed", "anomaly", "kept"])
+                failed, score, kept = _judge(counts, forest, cut)
+                yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), *map(pa.array, [*counts.T[: len(COUNTS)], failed, kept, score])], ["doc_id", *COUNTS, "base_failed", "kept", "anomaly"])
 
-    schema = f"doc_id {kind}, " + ", ".join(f"{n} long" for n in COUNTS) + ", base_failed boolean, anomaly double, kept boolean"
+    schema = f"doc_id {kind}, " + ", ".join(f"{n} long" for n in COUNTS) + ", base_failed boolean, kept boolean, anomaly double"
     return docs.select("doc_id", "text").mapInArrow(common.tidy(run), schema)
 
 

@@ -141,6 +141,13 @@ def test_quantiles_of_a_table_are_those_of_the_array(spark, n, q):
     assert rules._quantile(table, q, n) == pytest.approx(np.quantile(values, q), abs=1e-12)
 
 
+def test_ranks_by_histograms(spark):
+    values = np.round(np.random.default_rng(8).random(700) ** 9, 3)
+    table = spark.createDataFrame([(float(v),) for v in values], "score double")
+    for rank in (0, 1, 350, 690, 699):
+        assert rules._ranked(table, rank, bins=8, few=5) == np.sort(values)[rank]
+
+
 def plain_grown(x, y, trees, depth, rate, least, shrink):
     """Margins of boosted trees by trying every cut of every feature at every node, one row at a time."""
     share = sum(y) / len(y)
