@@ -3,17 +3,16 @@
 Each stage works on any number of runs at once, writes by dynamic partition
 overwrite and then leaves a manifest per run and day, so that it can be repeated
 after a crash.  What a stage's tables share is computed once, each table is
-evaluated once, and its rows are counted by run in the files that were written.
+evaluated once, and its rows are counted by run in the job that writes them.  Each
+execution leaves rows in ``pipeline_runs``, a failed one too, and registers new schemas.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 from quillspark import schemas
 from quillspark.functions import columns as C
 from quillspark.operators import control, ingest, latest, marts, metadata, quality, reshape, star
+from quillspark.plans import lifecycle
 from quillspark.sources import readers, writers
 
 
@@ -36,7 +36,7 @@ class Lake:
         return f"{self.root.rstrip('/')}/{layer}"
 
 
-def land_raw(spark: SparkSession, lake: Lake, rows: DataFrame, run_id: str, day: str, source_type: str = "json", source_name: str = "feedback", source_uri: str = "memory") -> str:
+def land_raw(spark: SparkSession, lake: Lake, rows: DataFrame, run_id: str, day: str, source_type: str = "json", source_name: str = "feedback", source_uri: str = "memory", code_version: str | None = None) -> str:
     """Source rows as raw JSONL envelopes; payload values as text or JSON text."""
     typed = ingest.normalize_payload(rows)
     batch = ingest.batch_id(typed, source_uri)
@@ -44,15 +44,30 @@ def land_raw(spark: SparkSession, lake: Lake, rows: DataFrame, run_id: str, day:
     text = text.select(*[F.col(c).cast("string").alias(c) for c in schemas.PAYLOAD_TEXT])
     meta = {"run_id": run_id, "ingest_ts": f"{day}T00:00:00Z", "source_type": source_type, "source_name": source_name, "source_file": source_uri.rpartition("/")[2], "source_uri": source_uri}
     path = f"{lake.raw}/{source_name}/dt={day}/run_id={run_id}/batch_id={batch}"
-    writers.write_jsonl(ingest.raw_envelope(text, meta), path)
-    writers.write_manifest(spark, lake.manifests, "raw", day, run_id, output_paths=[path])
+    with lifecycle.Stage(spark, lake.ops, "raw", code_version, [source_uri], [path]) as stage:
+        stage.expect([(run_id, day)])
+        n = writers.write_jsonl(ingest.raw_envelope(text, meta), path)
+        # a run's batches land one after another and share its manifest
+        before = writers.manifest_path(lake.manifests, "raw", day, run_id)
+        batches = json.loads(writers.get_text(spark, before)).get("batches", {}) if readers.path_exists(spark, before) else {}
+        batches[path] = n
+        written = writers.write_manifest(spark, lake.manifests, "raw", day, run_id, output_paths=sorted(batches), batches=batches, counts={source_name: sum(batches.values())})
+        stage.done((run_id, day), input_count=n, output_count=n, deadletter_count=0, manifest_path=written)
     return path
 
 
+def landed(raw: DataFrame, day: str | None = None) -> DataFrame:
+    """Raw envelopes as flat rows."""
+    rows = metadata.with_ingest_date(metadata.normalize_raw(raw), day)
+    return metadata.trim_strings(metadata.require(rows))
+
+
 def bronze(raw: DataFrame, day: str | None = None) -> DataFrame:
     """Raw envelopes as flat, deduplicated rows."""
-    rows = metadata.with_ingest_date(metadata.normalize_raw(raw), day)
-    rows = metadata.trim_strings(metadata.require(rows))
+    return _unique(landed(raw, day))
+
+
+def _unique(rows: DataFrame) -> DataFrame:
     return latest.deduplicate(rows, ["run_id", "record_hash"], ["raw_path", "ingest_ts"])
 
 
@@ -92,71 +107,67 @@ def gold(feedback: DataFrame, ratings: DataFrame, violations: DataFrame) -> dict
     }
 
 
-Run = tuple[str, str]
+Run = lifecycle.Run
 
 
-def _runs(df: DataFrame) -> set[Run]:
-    """(run_id, day) of the rows that have a run."""
-    return {(r["run_id"], str(r["ingest_date"])) for r in df.where("run_id is not null and ingest_date is not null").select("run_id", "ingest_date").distinct().collect()}
+def _runs(df: DataFrame) -> dict[Run, int]:
+    """Rows by (run_id, day), of those that have both: one for each manifest to write."""
+    counts = df.where("run_id is not null and ingest_date is not null").groupBy(F.col("run_id").cast("string").alias("run_id"), F.col("ingest_date").cast("string").alias("ingest_date")).count()
+    return {(r["run_id"], r["ingest_date"]): r["count"] for r in counts.collect()}
 
 
 def _done(spark: SparkSession, lake: Lake, stage: str, runs: Iterable[Run]) -> set[Run]:
     return {(r, d) for r, d in runs if readers.path_exists(spark, writers.manifest_path(lake.manifests, stage, d, r))}
 
 
-def _written(spark: SparkSession, root: str, name: str, rows: DataFrame) -> dict[tuple, int]:
-    """Rows of a table by run and day, or day alone, among the partitions of ``rows``: no column is read."""
-    path = f"{root}/{name}"
-    if not readers.has_rows(spark, path):
-        return {}
-    have = spark.read.parquet(path)
-    keys = [c for c in ("run_id", "ingest_date") if c in have.columns]
-    own = rows.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
-    # a partition's value is read as what it looks like; a run's name stays text
-    same = reduce(and_, [F.col(k).cast("string").eqNullSafe(F.col(f"__{k}").cast("string")) for k in keys])
-    return {tuple(None if r[k] is None else str(r[k]) for k in keys): r["count"] for r in have.join(F.broadcast(own), same, "left_semi").groupBy(*keys).count().collect()}
-
-
-def _manifests(spark: SparkSession, lake: Lake, stage: str, counts: dict[str, dict[tuple, int]], runs: Iterable[Run]) -> dict[str, int]:
-    """Writes each run's counts to its manifest; the totals."""
-    for r, d in sorted(runs):
-        writers.write_manifest(spark, lake.manifests, stage, d, r, counts={t: by.get((r, d), by.get((d,), 0)) for t, by in counts.items()})
+def _manifests(lake: Lake, stage: lifecycle.Stage, main: str, counts: dict[str, dict[tuple, int]], inputs: dict[Run, int], schema_hash: str) -> dict[str, int]:
+    """Writes each run's counts to its manifest and row; the totals of the tables."""
+    for r, d in sorted(stage.expected):
+        own = {t: by.get((r, d), by.get((d,), 0)) for t, by in counts.items()}
+        facts = {"input_count": inputs.get((r, d), 0), "output_count": own[main], "deadletter_count": own.get("deadletter", 0), "schema_hash": schema_hash}
+        path = writers.write_manifest(stage.spark, lake.manifests, stage.name, d, r, counts=own, **{k: v for k, v in stage.facts.items() if k != "stage"}, **stage.times(), **facts)
+        stage.done((r, d), manifest_path=path, **facts)
     return {t: sum(by.values()) for t, by in counts.items()}
 
 
-def run_bronze(spark: SparkSession, lake: Lake, days: list[str] | None = None, force: bool = False) -> int:
+def run_bronze(spark: SparkSession, lake: Lake, days: list[str] | None = None, force: bool = False, code_version: str | None = None) -> int:
     """Lands what has no manifest of its run and day yet; rows without a run always, for the rules to tell."""
-    rows = bronze(readers.read_raw(spark, lake.raw, days)).withColumn("bronze_ingest_ts", F.current_timestamp()).persist(StorageLevel.DISK_ONLY)
-    try:
-        runs = _runs(rows)
-        done = set() if force else _done(spark, lake, "bronze", runs)
-        left = rows
-        if done:
-            known = F.broadcast(spark.createDataFrame(sorted(done), "__run string, __day string"))
-            left = rows.join(known, (F.col("run_id") == F.col("__run")) & (F.col("ingest_date").cast("string") == F.col("__day")), "left_anti")
-        writers.write_layer(left, lake.bronze, "feedback", ("ingest_date", "run_id", "source_type"))
-        counts = {"feedback": _written(spark, lake.bronze, "feedback", left)}
-        return _manifests(spark, lake, "bronze", counts, runs - done)["feedback"]
-    finally:
-        rows.unpersist()
-
-
-def run_silver(spark: SparkSession, lake: Lake, run_ids: list[str] | None = None) -> dict[str, int]:
+    with lifecycle.Stage(spark, lake.ops, "bronze", code_version, [lake.raw], [lake.bronze]) as stage:
+        read = writers.Counts(landed(readers.read_raw(spark, lake.raw, days)), ["run_id", "ingest_date"])
+        rows = _unique(read.df).withColumn("bronze_ingest_ts", F.current_timestamp()).persist(StorageLevel.DISK_ONLY)
+        try:
+            runs = _runs(rows)
+            done = set() if force else _done(spark, lake, "bronze", runs)
+            stage.expect(runs.keys() - done)
+            left = rows
+            if done:
+                known = spark.createDataFrame(sorted(done), "__run string, __day string")
+                left = rows.join(known, (F.col("run_id") == F.col("__run")) & (F.col("ingest_date").cast("string") == F.col("__day")), "left_anti")
+            counts = {"feedback": writers.write_layer(left, lake.bronze, "feedback", ("ingest_date", "run_id", "source_type"))}
+            return _manifests(lake, stage, "feedback", counts, read.get(), _registered(spark, lake, stage, rows))["feedback"]
+        finally:
+            rows.unpersist()
+
+
+def run_silver(spark: SparkSession, lake: Lake, run_ids: list[str] | None = None, code_version: str | None = None) -> dict[str, int]:
     """The silver tables of some runs, or of all; rows per table."""
-    rows = spark.read.parquet(f"{lake.bronze}/feedback")
-    rows = metadata.nonempty(rows if run_ids is None else rows.where(F.col("run_id").isin(*run_ids)), "bronze rows of these runs")
-    tested = checked(rows).persist(StorageLevel.DISK_ONLY)
-    try:
-        tables, counts = silver_tables(tested), {}
-        for name, df in tables.items():
-            writers.write_layer(df.withColumn("silver_processed_ts", F.current_timestamp()), lake.silver, name)
-            counts[name] = _written(spark, lake.silver, name, tested)
-        letters = tables["deadletter"]
-        writers.replace_ops(spark, lake.ops, "deadletter_summary", quality.dead_letter_summary(letters))
-        writers.replace_ops(spark, lake.ops, "dq_results", quality.rule_results(letters))
-        return _manifests(spark, lake, "silver", counts, _runs(tested))
-    finally:
-        tested.unpersist()
+    with lifecycle.Stage(spark, lake.ops, "silver", code_version, [lake.bronze], [lake.silver]) as stage:
+        stage.expect((r, None) for r in run_ids or ())
+        rows = spark.read.parquet(f"{lake.bronze}/feedback")
+        rows = metadata.nonempty(rows if run_ids is None else rows.where(F.col("run_id").isin(*run_ids)), "bronze rows of these runs")
+        tested = checked(rows).persist(StorageLevel.DISK_ONLY)
+        try:
+            inputs = _runs(tested)
+            stage.expected = set(inputs)
+            tables, counts = silver_tables(tested), {}
+            for name, df in tables.items():
+                counts[name] = writers.write_layer(df.withColumn("silver_processed_ts", F.current_timestamp()), lake.silver, name)
+            letters = tables["deadletter"]
+            writers.replace_ops(spark, lake.ops, "deadletter_summary", quality.dead_letter_summary(letters))
+            writers.replace_ops(spark, lake.ops, "dq_results", quality.rule_results(letters))
+            return _manifests(lake, stage, "feedback_step", counts, inputs, _registered(spark, lake, stage, tables["feedback_step"]))
+        finally:
+            tested.unpersist()
 
 
 def _silver_table(spark: SparkSession, lake: Lake, name: str, like: DataFrame) -> DataFrame:
@@ -165,24 +176,24 @@ def _silver_table(spark: SparkSession, lake: Lake, name: str, like: DataFrame) -
     return spark.read.parquet(path) if readers.has_rows(spark, path) else like
 
 
-def run_gold(spark: SparkSession, lake: Lake, run_ids: list[str] | None = None) -> dict[str, int]:
+def run_gold(spark: SparkSession, lake: Lake, run_ids: list[str] | None = None, code_version: str | None = None) -> dict[str, int]:
     """The marts; the daily mart is made over whole days, whatever the runs."""
-    feedback = spark.read.parquet(f"{lake.silver}/feedback_step")
-    keys = "ingest_date date, run_id string, record_hash string, prompt_id string, evaluated_step_index int"
-    ratings = _silver_table(spark, lake, "ratings_long", spark.createDataFrame([], f"{keys}, step_type string, task_type string, rater_type string, overall_label string, metric_name string, metric_score double"))
-    violations = _silver_table(spark, lake, "violations", spark.createDataFrame([], f"{keys}, violation_source string, violation string"))
-    days = feedback
-    if run_ids is not None:
-        ours = F.col("run_id").isin(*run_ids)
-        days = feedback.join(feedback.where(ours).select("ingest_date").distinct(), "ingest_date", "left_semi")
-        feedback, ratings, violations = feedback.where(ours), ratings.where(ours), violations.where(ours)
-    metadata.nonempty(feedback, "silver rows of these runs")
-    tables = gold(feedback, ratings, violations) | {"model_comparison_daily": marts.model_comparison_daily(days)}
-    counts = {}
-    for name, df in tables.items():
-        writers.write_layer(df.withColumn("gold_processed_ts", F.current_timestamp()), lake.gold, name)
-        counts[name] = _written(spark, lake.gold, name, feedback)
-    return _manifests(spark, lake, "gold", counts, _runs(feedback))
+    with lifecycle.Stage(spark, lake.ops, "gold", code_version, [lake.silver], [lake.gold]) as stage:
+        stage.expect((r, None) for r in run_ids or ())
+        feedback = spark.read.parquet(f"{lake.silver}/feedback_step")
+        keys = "ingest_date date, run_id string, record_hash string, prompt_id string, evaluated_step_index int"
+        ratings = _silver_table(spark, lake, "ratings_long", spark.createDataFrame([], f"{keys}, step_type string, task_type string, rater_type string, overall_label string, metric_name string, metric_score double"))
+        violations = _silver_table(spark, lake, "violations", spark.createDataFrame([], f"{keys}, violation_source string, violation string"))
+        days = feedback
+        if run_ids is not None:
+            ours = F.col("run_id").isin(*run_ids)
+            days = feedback.join(feedback.where(ours).select("ingest_date").distinct(), "ingest_date", "left_semi")
+            feedback, ratings, violations = feedback.where(ours), ratings.where(ours), violations.where(ours)
+        inputs = _runs(metadata.nonempty(feedback, "silver rows of these runs"))
+        stage.expected = set(inputs)
+        tables = gold(feedback, ratings, violations) | {"model_comparison_daily": marts.model_comparison_daily(days)}
+        counts = {name: writers.write_layer(df.withColumn("gold_processed_ts", F.current_timestamp()), lake.gold, name) for name, df in tables.items()}
+        return _manifests(lake, stage, "training_supervised_examples", counts, inputs, _registered(spark, lake, stage, tables["training_supervised_examples"]))
 
 
 def run_star(spark: SparkSession, lake: Lake) -> None:
@@ -200,8 +211,39 @@ def register_schemas(spark: SparkSession, lake: Lake, run_id: str, df: DataFrame
     rows = rows.withColumn("schema_hash", F.sha2("schema_json", 256))
     path = f"{lake.ops}/schema_registry"
     new = control.first_seen(rows, spark.read.parquet(path) if readers.has_rows(spark, path) else None)
-    found = [r.asDict() for r in new.collect()]
-    return writers.append_ops(spark, lake.ops, "schema_registry", found)
+    return writers.append_ops(spark, lake.ops, "schema_registry", [r.asDict() for r in new.collect()])
+
+
+def _registered(spark: SparkSession, lake: Lake, stage: lifecycle.Stage, df: DataFrame) -> str:
+    """The schema's hash; it is registered under the first of the stage's runs."""
+    run = min((r for r, _ in stage.expected), default=None)
+    if run is not None:
+        register_schemas(spark, lake, run, df, stage.name)
+    return hashlib.sha256(json.dumps(sorted(df.columns)).encode()).hexdigest()
+
+
+def plan(spark: SparkSession, lake: Lake, days: Iterable[str], force: bool = False) -> DataFrame:
+    """(run_id, ingest_date, action): the stages that each run of these days still needs, by raw files and manifests."""
+    runs = [(r, d) for d in days for r in readers.list_runs(spark, lake.raw, d)]
+    name = lambda run: json.dumps(run)
+    table = lambda some: spark.createDataFrame([(name(x),) for x in sorted(some)], "run_id string")
+    done = {stage: table(_done(spark, lake, stage, runs)) for stage in ("bronze", "silver", "gold")}
+    out = control.stage_plan(table(runs), done, force).select(F.from_json("run_id", "array<string>").alias("run"), "action")
+    return out.select(F.col("run")[0].alias("run_id"), F.col("run")[1].alias("ingest_date"), "action")
+
+
+def run_planned(spark: SparkSession, lake: Lake, days: list[str], force: bool = False, code_version: str | None = None) -> dict[Run, str]:
+    """Carries out the plan of some days: each stage over the runs that need it, then the star; the actions by run."""
+    actions = {(r["run_id"], r["ingest_date"]): r["action"] for r in plan(spark, lake, days, force).collect()}
+    needs = lambda stage: sorted({r for (r, _), a in actions.items() if stage in a.split(",")})
+    if needs("bronze"):
+        run_bronze(spark, lake, days, force, code_version)
+    if runs := needs("silver"):
+        run_silver(spark, lake, runs, code_version)
+    if runs := needs("gold"):
+        run_gold(spark, lake, runs, code_version)
+        run_star(spark, lake)
+    return actions
 
 
 def reconcile(spark: SparkSession, lake: Lake, stage: str, day: str, run_id: str, tables: Iterable[str]) -> DataFrame:

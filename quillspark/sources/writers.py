@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,8 +22,47 @@ from quillspark import schemas
 from quillspark.sources import readers
 
 
-def write_jsonl(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+class Counts:
+    """Rows by the values of some columns, as the job that passes them by sees them.
+
+    The counts are observed metrics of that job: nothing is read again.  Keys are text, null as None.  A
+    sketch of ``most`` keys counts them, exactly as long as there are no more, and the
+    total beside it proves that.  Observe last before a write: further down, tasks that
+    are repeated for lost shuffle files may count twice.
+    """
+
+    def __init__(self, df: DataFrame, keys: Sequence[str], most: int = 100_000) -> None:
+        self.seen, self.keys = Observation(), list(keys)
+        key = F.to_json(F.array(*[F.col(f"`{k}`").cast("string") for k in keys])) if keys else F.lit("[]")
+        name = "__key"
+        self.df = df.withColumn(name, key).observe(self.seen, F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k({name}, {most // 2}, {most})").alias("by")).drop(name)
+
+    def _told(self) -> dict:
+        try:
+            return self.seen.get
+        except Py4JJavaError as error:
+            # a plan that is known to be empty loses its metrics: a row without fields comes back
+            if "toPyRow" not in str(error):
+                raise
+            return {"rows": 0, "by": []}
+
+    def total(self) -> int:
+        """Rows of the action that ended."""
+        return self._told()["rows"]
+
+    def get(self) -> dict[tuple, int]:
+        """Rows by key of the action that ended."""
+        by = {tuple(json.loads(r["item"])): r["count"] for r in self._told()["by"] or ()}
+        if sum(by.values()) != self.total():
+            raise ValueError(f"more values of {', '.join(self.keys)} than one job can count")
+        return by
+
+
+def write_jsonl(df: DataFrame, path: str) -> int:
+    """Rows as lines of JSON, replacing any; how many."""
+    counts = Counts(df, [])
+    counts.df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    return counts.total()
 
 
 def put_text(spark: SparkSession, path: str, text: str) -> str:
@@ -40,12 +80,16 @@ def get_text(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first()[0]
 
 
-def write_layer(df: DataFrame, root: str, name: str, by: Sequence[str] = ("ingest_date", "run_id")) -> None:
-    """Replaces the partitions of ``df`` in a table, in one evaluation of it; an empty one writes no rows."""
+def write_layer(df: DataFrame, root: str, name: str, by: Sequence[str] = ("ingest_date", "run_id")) -> dict[tuple, int]:
+    """Replaces the partitions of ``df`` in a table, in one evaluation of it; an empty one writes no rows.
+
+    Gives the rows written by (run_id, ingest_date), or by the one of them that there is.
+    """
     by = [c for c in by if c in df.columns]
     # files follow partitions; a large partition is split by adaptive execution
-    df = df.hint("rebalance", *by) if by else df
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(f"{root.rstrip('/')}/{name}")
+    counts = Counts(df.hint("rebalance", *by) if by else df, [c for c in ("run_id", "ingest_date") if c in df.columns])
+    counts.df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(f"{root.rstrip('/')}/{name}")
+    return counts.get()
 
 
 def scratch(spark: SparkSession) -> str:
@@ -67,7 +111,7 @@ def write_manifest(spark: SparkSession, root: str, stage: str, day: str, run_id:
 
 
 def append_ops(spark: SparkSession, root: str, name: str, rows: Sequence[dict] | DataFrame) -> int:
-    """Appends rows to a control table, by day and clustered; none is no write."""
+    """Appends rows to a control table, by day and clustered; how many.  An empty list is no write."""
     ddl, cluster = schemas.OPS_TABLES[name]
     target = schemas.parse(ddl)
     if isinstance(rows, DataFrame):
@@ -76,9 +120,9 @@ def append_ops(spark: SparkSession, root: str, name: str, rows: Sequence[dict] |
         return 0
     else:
         df = spark.createDataFrame([tuple(r.get(f.name) for f in target.fields) for r in rows], target)
-    seen = _shaped(df, target).withColumn("created_date", F.to_date("created_ts")).sortWithinPartitions(*cluster)
-    seen.write.mode("append").partitionBy("created_date").parquet(f"{root.rstrip('/')}/{name}")
-    return len(rows) if not isinstance(rows, DataFrame) else -1
+    counts = Counts(_shaped(df, target).withColumn("created_date", F.to_date("created_ts")).sortWithinPartitions(*cluster), [])
+    counts.df.write.mode("append").partitionBy("created_date").parquet(f"{root.rstrip('/')}/{name}")
+    return counts.total()
 
 
 def replace_ops(spark: SparkSession, root: str, name: str, rows: DataFrame, keys: Sequence[str] = ("run_id", "stage")) -> None:

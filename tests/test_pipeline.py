@@ -197,3 +197,67 @@ def test_metadata_guards(spark):
     assert row["run_id"] == "r9" and row["source_type"] == "unknown" and len(row["record_hash"]) == 64
     assert metadata.with_ingest_date(paths.drop("ingest_date"), "2026-01-02").count() == 2
     assert metadata.in_batch(paths, "b1").count() == 2 and metadata.in_batch(paths, "b").count() == 0
+
+
+def _ran(spark, lake, **by):
+    rows = spark.read.parquet(f"{lake.ops}/pipeline_runs").orderBy("start_ts").collect()
+    return [r for r in rows if all(r[k] == v for k, v in by.items())]
+
+
+def test_every_execution_is_a_row(spark, lake):
+    lake, counts = lake
+    for stage, table in (("bronze", "feedback"), ("silver", "feedback_step"), ("gold", "training_supervised_examples")):
+        first = {}
+        for r in reversed(_ran(spark, lake, stage=stage, status="SUCCEEDED")):
+            first[r["run_id"]] = r
+        expected = {"run-auto", "run-human", "run-both"}
+        assert expected <= first.keys() and all(first[r]["duration_ms"] >= 0 and first[r]["start_ts"] <= first[r]["end_ts"] and first[r]["schema_hash"] for r in expected)
+        total = counts[stage] if stage == "bronze" else counts[stage][table]
+        assert sum(first[r]["output_count"] for r in expected) == total
+        for r in expected:
+            manifest = json.loads(writers.get_text(spark, first[r]["manifest_path"]))
+            assert manifest["counts"][table] == first[r]["output_count"] == manifest["output_count"] and first[r]["partition_keys"] == [f"ingest_date={DAY}", f"run_id={r}"]
+    assert {r["run_id"] for r in _ran(spark, lake, stage="raw")} == expected
+    assert spark.read.parquet(f"{lake.ops}/schema_registry").where("source_type in ('bronze', 'silver', 'gold')").count() == 3
+
+
+def test_a_failed_stage_leaves_its_row(spark, tmp_path):
+    lake = pipeline.Lake(str(tmp_path))
+    pipeline.land_raw(spark, lake, sample.feedback_rows(spark, "human", 2), "r", DAY)
+    assert pipeline.run_planned(spark, lake, [DAY], code_version="v1") == {("r", DAY): "bronze,silver,gold"}
+    assert pipeline.run_planned(spark, lake, [DAY]) == {("r", DAY): "skip"}
+    assert pipeline.plan(spark, lake, [DAY], force=True).first()["action"] == "bronze,silver,gold"
+    with pytest.raises(ValueError, match="no rows"):
+        pipeline.run_silver(spark, lake, ["absent"])
+    (row,) = _ran(spark, lake, status="FAILED")
+    assert (row["run_id"], row["stage"], row["error_code"], row["error_category"], row["output_count"]) == ("absent", "silver", "VALUEERROR", "RUNTIME", None) and "no rows" in row["error_summary"]
+    missing = pipeline.Lake(str(tmp_path / "none"))
+    with pytest.raises(Exception, match="(?i)path"):
+        pipeline.run_gold(spark, missing)
+    (row,) = _ran(spark, missing)
+    assert (row["run_id"], row["stage"], row["status"]) == (None, "gold", "FAILED") and row["error_code"]
+    # a stage that breaks between its tables leaves rows of the runs that it worked on
+    broken = pytest.MonkeyPatch()
+    broken.setattr(quality, "rule_results", lambda letters: 1 / 0)
+    with broken.context(), pytest.raises(ZeroDivisionError):
+        pipeline.run_silver(spark, lake)
+    broken.undo()
+    assert [r["run_id"] for r in _ran(spark, lake, status="FAILED", error_code="ZERODIVISIONERROR")] == ["r"]
+    assert {(r["stage"], r["code_version"]) for r in _ran(spark, lake, status="SUCCEEDED")} == {("raw", None), *((s, "v1") for s in ("bronze", "silver", "gold"))}
+
+
+def test_writers_count_what_they_write(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 5).selectExpr("id", "if(id % 7 = 0, null, concat('r\"', id % 3)) run_id", "date'2026-01-01' + cast(id % 2 as int) ingest_date")
+    want = {}
+    for r in df.collect():
+        key = r["run_id"], str(r["ingest_date"])
+        want[key] = want.get(key, 0) + 1
+    assert writers.write_layer(df, str(tmp_path), "t") == want
+    assert writers.write_layer(df.where("id < 0"), str(tmp_path), "none") == {}
+    assert writers.write_layer(df.drop("run_id"), str(tmp_path), "days") == {("2026-01-01",): 500, ("2026-01-02",): 500}
+    assert writers.write_jsonl(df, str(tmp_path / "j")) == 1000 and writers.write_jsonl(df.limit(0), str(tmp_path / "k")) == 0
+    assert writers.append_ops(spark, str(tmp_path), "deadletter_summary", df.selectExpr("run_id", "'s' stage")) == 1000
+    few = writers.Counts(df, ["id"], most=64)
+    few.df.write.format("noop").mode("overwrite").save()
+    with pytest.raises(ValueError, match="more values of id"):
+        few.get()
