@@ -5,6 +5,9 @@ What they write goes to a folder of their own below the shared one.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,15 +84,17 @@ def bronze_rows(spark, sf_dir):
     return readers.read_table(spark, lake.bronze, "feedback").select("run_id", "prompt_id", "query_text", "ingest_date", "source_type")
 
 
-@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND CAST(o_orderdate AS DATE) = (SELECT min(CAST(o_orderdate AS DATE)) FROM orders WHERE o_orderstatus = 'F')")
+@query("""SELECT 'run' AS read_by, o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'
+ UNION ALL SELECT 'month', o_orderkey, o_totalprice FROM orders WHERE date_trunc('month', o_orderdate) = (SELECT max(date_trunc('month', o_orderdate)) FROM orders)
+ UNION ALL SELECT 'both', o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'O' AND date_trunc('month', o_orderdate) = (SELECT min(date_trunc('month', o_orderdate)) FROM orders WHERE o_orderstatus = 'O')""")
 def src_table(spark, sf_dir):
-    """A layer's table, read by run and day."""
+    """A layer's table of all orders by month, read by run, by day and by both."""
     root = writers.scratch(spark)
-    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.col("o_orderstatus").alias("run_id"), F.to_date("o_orderdate").alias("ingest_date"))
-    day = orders.where("run_id = 'F'").agg(F.min("ingest_date")).first()[0]
-    few = orders.where((F.col("ingest_date") <= day) | (F.dayofyear("ingest_date") == 1))
-    writers.write_layer(few, root, "orders")
-    return readers.read_table(spark, root, "orders", "F", str(day)).select("o_orderkey", "o_totalprice")
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.col("o_orderstatus").alias("run_id"), F.trunc("o_orderdate", "month").alias("ingest_date"))
+    writers.write_layer(orders, root, "orders")
+    last, first = orders.agg(F.max("ingest_date"), F.min(F.when(F.col("run_id") == "O", F.col("ingest_date")))).first()
+    reads = {"run": ("F", None), "month": (None, str(last)), "both": ("O", str(first))}
+    return reshape.union_by_name(*[readers.read_table(spark, root, "orders", run, day).select(F.lit(k).alias("read_by"), "o_orderkey", "o_totalprice") for k, (run, day) in reads.items()])
 
 
 @query("""SELECT * FROM (VALUES ('there', 'true'), ('nowhere', 'false'), ('text', 'ö 1'), ('manifest', '{"counts": {"t": 2}, "ingest_date": "2026-01-15", "run_id": "r", "stage": "raw"}'),
@@ -154,20 +159,55 @@ t AS (SELECT run_id, unnest([
 SELECT run_id, x.stage AS stage, x.tab AS table_name, CAST(x.n AS BIGINT) AS expected, CAST(x.n AS BIGINT) AS actual FROM t""")
 def layer_counts(spark, sf_dir):
     """All layers over two runs: each manifest's counts beside the rows that its layer holds."""
+    lake = _layers(spark, sf_dir)
+    manifests = spark.read.schema("run_id string, stage string, ingest_date string, counts map<string, bigint>").option("recursiveFileLookup", True).json([f"{lake.manifests}/{s}" for s in ("bronze", "silver", "gold")])
+    told = manifests.select("run_id", "stage", "ingest_date", F.explode("counts").alias("table_name", "expected"))
+    held = []
+    for stage, tables in (("bronze", ["feedback"]), ("silver", [*_SILVER]), ("gold", [*_MARTS])):
+        for t in tables:
+            if readers.has_rows(spark, f"{getattr(lake, stage)}/{t}"):
+                have = readers.read_table(spark, getattr(lake, stage), t)
+                run = F.col("run_id") if "run_id" in have.columns else F.lit(None).cast("string")
+                held.append(have.groupBy(run.alias("run"), F.col("ingest_date").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("actual")).select(F.lit(stage).alias("of"), F.lit(t).alias("t"), "run", "day", "actual"))
+    held = reshape.union_by_name(*held)
+    same = (F.col("of") == F.col("stage")) & (F.col("t") == F.col("table_name")) & (F.col("day") == F.col("ingest_date")) & (F.col("run").isNull() | (F.col("run") == F.col("run_id")))
+    return told.join(held, same, "left").select("run_id", "stage", "table_name", "expected", F.coalesce("actual", F.lit(0).cast("long")).alias("actual"))
+
+
+_SILVER = ("feedback_step", "ratings_long", "execution_steps", "violations", "deadletter")
+_MARTS = ("training_supervised_examples", "model_eval_step_metrics", "model_eval_failure_breakdown", "model_comparison_daily", "rater_agreement")
+
+
+def _layers(spark, sf_dir) -> pipeline.Lake:
+    """Parts as scored records of two runs through all layers; every tenth breaks a rule."""
     lake = pipeline.Lake(writers.scratch(spark))
     score = (F.col("p_size") % 6).cast("double")
     rating = F.struct(*[score.alias(m) for m in schemas.METRICS], F.when(score < 2, schemas.LABELS[0]).otherwise(schemas.LABELS[2]).alias("overall_label"))
     rows = _t(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("string").alias("prompt_id"), F.when(F.col("p_partkey") % 10 == 0, F.lit(None)).otherwise(F.col("p_name")).alias("query_text"), F.lit("1").alias("evaluated_step_index"), F.lit("t").alias("task_type"), F.to_json(rating).alias("curator_1_rating"), F.col("p_partkey") % 2
+        (F.col("p_partkey") % 2).alias("of"), F.col("p_partkey").cast("string").alias("prompt_id"), F.when(F.col("p_partkey") % 10 == 0, F.lit(None)).otherwise(F.col("p_name")).alias("query_text"), F.lit("1").alias("evaluated_step_index"), F.lit("t").alias("task_type"), F.to_json(rating).alias("curator_1_rating")
     )
     for i in (0, 1):
-        pipeline.land_raw(spark, lake, rows.where(F.col(rows.columns[-1]) == i).drop(rows.columns[-1]), f"run{i}", DAY)
-    counts = {"bronze": {"feedback": pipeline.run_bronze(spark, lake)}, "silver": pipeline.run_silver(spark, lake), "gold": pipeline.run_gold(spark, lake)}
-    out = []
-    for run in ("run0", "run1"):
-        for stage, tables in counts.items():
-            out += [(run, stage, *r) for r in pipeline.reconcile(spark, lake, stage, DAY, run, tables).collect()]
-    return spark.createDataFrame(out, "run_id string, stage string, table_name string, expected bigint, actual bigint")
+        pipeline.land_raw(spark, lake, rows.where(F.col("of") == i).drop("of"), f"run{i}", DAY)
+    pipeline.run_planned(spark, lake, [DAY])
+    return lake
+
+
+@query(f"""WITH r AS ({_STEPS_SQL}), c AS (SELECT run_id, count(*) AS every, count(*) FILTER (WHERE NOT bad) AS clean, count(*) FILTER (WHERE bad) AS dead FROM r GROUP BY 1)
+SELECT run_id, stage, 'SUCCEEDED' AS status, CASE stage WHEN 'gold' THEN clean ELSE every END AS input_count, CASE stage WHEN 'raw' THEN every WHEN 'bronze' THEN every ELSE clean END AS output_count, CASE stage WHEN 'silver' THEN dead ELSE 0 END AS deadletter_count,
+ CAST(NULL AS VARCHAR) AS error_category, true AS timed, true AS told, 1 AS attempts FROM c, (SELECT unnest(['raw', 'bronze', 'silver', 'gold']) AS stage)
+UNION ALL SELECT 'absent', 'gold', 'FAILED', NULL, NULL, NULL, 'RUNTIME', true, false, 2""")
+def pipeline_runs(spark, sf_dir):
+    """What the stages left in their control table: counts of two runs, and two attempts at a run that is not there."""
+    lake = _layers(spark, sf_dir)
+    for _ in range(2):
+        try:
+            pipeline.run_gold(spark, lake, ["absent"])
+        except ValueError:
+            continue
+    rows = spark.read.parquet(f"{lake.ops}/pipeline_runs")
+    facts = ["run_id", "stage", "status", "input_count", "output_count", "deadletter_count", "error_category"]
+    timed = (F.col("duration_ms") >= 0) & (F.col("start_ts") <= F.col("end_ts"))
+    return rows.groupBy(*facts, timed.alias("timed"), F.col("manifest_path").isNotNull().alias("told")).agg(F.count(F.lit(1)).cast("int").alias("attempts"))
 
 
 @query("SELECT kind, CAST(30 AS BIGINT) AS prompts, true AS dense, true AS steps_in_bounds, kind <> 'auto' AS has_humans, kind <> 'human' AS has_auto FROM (VALUES ('auto'), ('human'), ('both')) t(kind)")
@@ -297,22 +337,21 @@ def eval_retrieval_only(spark, sf_dir):
     return retrieval.evaluate(spark, 5, routed=False).select("case_id", F.array_join("uris", " ").alias("uris"), "recall_hit")
 
 
-@query("""SELECT 'agent_sessions' AS table_name, session_id, count(*) AS n, bool_and(filled) AS filled FROM (SELECT 's' || user_id AS session_id, true AS filled FROM events) GROUP BY 2 HAVING session_id IN ('s1', 's2')
- UNION ALL SELECT 'agent_tool_calls', 's' || user_id, count(*), true FROM events WHERE event_type = 'click' AND user_id IN (1, 2) GROUP BY 2
- UNION ALL SELECT 'agent_responses', 's' || user_id, count(*), true FROM events WHERE event_type <> 'click' AND user_id IN (1, 2) GROUP BY 2""")
+@query("""SELECT 'agent_sessions' AS table_name, 's' || user_id AS session_id, count(*) AS n, true AS filled, 0 AS other FROM events GROUP BY user_id
+ UNION ALL SELECT 'agent_tool_calls', 's' || user_id, count(*), true, 0 FROM events WHERE event_type = 'click' GROUP BY user_id
+ UNION ALL SELECT 'agent_responses', 's' || user_id, count(*), true, 0 FROM events WHERE event_type <> 'click' GROUP BY user_id
+ UNION ALL SELECT 'in_session', 's1', count(*), true, 0 FROM events WHERE user_id = 1 HAVING count(*) > 0""")
 def audit_log(spark, sf_dir):
-    """Sessions, tool calls and responses as rows of their control tables, of two sessions."""
+    """All sessions, tool calls and responses as rows of their control tables, and one session picked out."""
     events = _t(spark, sf_dir, "events").select(F.concat(F.lit("s"), F.col("user_id").cast("string")).alias("session_id"), "event_type", F.col("ts").alias("created_ts"), F.lit("ops").alias("route"))
     logs = {"agent_sessions": events, "agent_tool_calls": events.where("event_type = 'click'").withColumn("tool_name", F.lit("t")), "agent_responses": events.where("event_type <> 'click'")}
+    logs = {name: control.log_rows(rows, name, {"read_only": F.lit(True), "mode": F.lit("ops")}) for name, rows in logs.items()}
+    logs["in_session"] = control.in_session(logs["agent_sessions"], "s1")
     out = []
     for name, rows in logs.items():
-        rows = control.log_rows(rows, name, {"read_only": F.lit(True), "mode": F.lit("ops")})
-        own = reshape.union_by_name(*[control.in_session(rows, s) for s in ("s1", "s2")])
-        needed = [c for c in ("event_id", "created_ts", "mode", "read_only") if c in rows.columns]
-        filled = F.lit(True)
-        for c in needed:
-            filled = filled & F.col(c).isNotNull()
-        out.append(own.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"), F.bool_and(filled).alias("filled")).select(F.lit(name).alias("table_name"), "session_id", "n", "filled"))
+        filled = reduce(and_, [F.col(c).isNotNull() for c in ("event_id", "created_ts", "mode", "read_only") if c in rows.columns])
+        picked = F.count_if(F.col("session_id") != "s1") if name == "in_session" else F.lit(0)
+        out.append(rows.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"), F.bool_and(filled).alias("filled"), picked.cast("int").alias("other")).select(F.lit(name).alias("table_name"), "session_id", "n", "filled", "other"))
     return reshape.union_by_name(*out)
 
 
