@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from quillspark import schemas
 from quillspark.functions import columns as C
+from quillspark.operators import places
 
 
 def normalize_payload(df: DataFrame) -> DataFrame:
@@ -39,20 +40,14 @@ def raw_envelope(df: DataFrame, meta: dict[str, str], order: str | None = None)
     """(meta, payload) rows; the row number is the place in the file.
 
     ``order`` names a column that gives the place.  Without it the rows' own
-    order counts, from 1 and without gaps: the rows before a partition, counted
-    first, and the place in it, so no task holds the batch.
+    order counts, from 1 and without gaps: the batch is written once and numbered by file and row
+    in it, so no task holds it and nothing depends on how often it is evaluated.
     """
     data = [c for c in df.columns if c != order]
     if order:
-        place = F.col(order).cast("int")
+        place = F.col(order).cast("long")
     else:
-        counts = {r["part"]: r["count"] for r in df.groupBy(F.spark_partition_id().alias("part")).count().collect()}
-        before = [0]
-        for part in range(max(counts, default=-1) + 1):
-            before.append(before[-1] + counts.get(part, 0))
-        # the lower 33 bits of the id are the place in the partition
-        at = F.monotonically_increasing_id()
-        place = (F.element_at(F.lit(before), F.shiftright(at, 33).cast("int") + 1) + at.bitwiseAND(F.lit((1 << 33) - 1)) + 1).cast("int")
+        df, place = places.dense_places(df, name="__place"), F.col("__place") + 1
     fields = {k: F.lit(v) for k, v in meta.items()} | {"schema_hash": C.schema_hash(data), "record_hash": C.record_hash(data), "row_number": place}
     names = schemas.parse(schemas.META_DDL).names
     return df.select(F.struct(*[fields.get(n, F.lit(None).cast("string")).alias(n) for n in names]).alias("meta"), F.struct(*[F.col(f"`{c}`") for c in data]).alias("payload"))

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as X
-from quillspark.functions import vectors as V
+from quillspark.operators import blocks, places
 
 # The built-in evidence documents, in order.
 EVIDENCE = (
@@ -45,71 +44,70 @@ def cases(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(CASES), "case_id string, query string, expected_route string, intent_hint string, expected_uris array<string>")
 
 
-def hybrid_top_k(queries: DataFrame, docs: DataFrame, k: int, tag: Column | None = None, query_id: str = "query_id", most_broadcast: int = 10_000, block: int = 1000) -> DataFrame:
+def _best(found: DataFrame, k: int) -> DataFrame:
+    """The first ``k`` of each query among the best of each task."""
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), blocks.TIE))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def hybrid_top_k(queries: DataFrame, docs: DataFrame, k: int, tag: Column | None = None, query_id: str = "query_id", block: int = 1000) -> DataFrame:
     """(query_id, doc_id, uri, score, rank) of the ``k`` best documents of each query.
 
     Score: 0.7 cosine (0 where there are no ``embedding`` columns) + 0.3 lexical
     overlap + 1 / (place + 1000), the place counting candidates with the tag from 0.
-    Every document with the tag is scored, however many there are; up to
-    ``most_broadcast`` ``docs`` are broadcast, beyond that the queries are, in blocks of about ``block``.
+    Every document with the tag is scored, however many there are; places are numbered
+    once per tag, before queries and documents meet by blocks of about ``block`` queries, and each task keeps its best ``k``.
     """
     k = max(1, k)
-    tagged = F.lit(True) if tag is None else F.array_contains("tags", tag)
-    n = docs.count()
-
-    def best(pairs: DataFrame) -> DataFrame:
-        place = F.row_number().over(Window.partitionBy(query_id).orderBy("position")) - 1
-        near = V.cosine(F.col("query_embedding"), F.col("embedding")) if "embedding" in docs.columns and "query_embedding" in queries.columns else F.lit(0.0)
-        scored = pairs.withColumn("score", 0.7 * near + 0.3 * X.lexical_overlap(F.col("query"), F.col("text")) + 1.0 / (place + 1000))
-        rank = F.row_number().over(Window.partitionBy(query_id).orderBy(F.desc("score"), "position"))
-        return scored.withColumn("rank", rank).where(F.col("rank") <= k).select(query_id, "doc_id", "uri", "score", "rank")
-
-    if n <= most_broadcast:
-        return best(queries.join(F.broadcast(docs), tagged))
-    return _over_blocks(queries, query_id, block, lambda part: best(docs.join(F.broadcast(part), tagged)))
-
-
-def overlaps(queries: DataFrame, docs: DataFrame, query_id: str = "query_id", doc_id: str = "doc_id", block: int = 1000) -> DataFrame:
+    vectors, tagged = "embedding" in docs.columns and "query_embedding" in queries.columns, tag is not None
+    asked = queries.select(F.col(query_id).alias("query"), X.tokens(F.col("query")).alias("tokens"), *([F.col("query_embedding").alias("vector")] if vectors else []), *([tag.alias("tag")] if tagged else []))
+    items = docs.select("doc_id", "uri", F.col("position").alias(blocks.TIE), X.tokens(F.col("text")).alias("tokens"), *([F.col("embedding").alias("vector")] if vectors else []), *([F.explode(F.array_distinct("tags")).alias("tag")] if tagged else []))
+    items = places.dense_places(items.where("tag is not null") if tagged else items, [F.col(blocks.TIE)], "tag" if tagged else None)
+
+    def score(own: blocks.Asked, part, pairs=None):
+        lexical = own.overlap(part.column("tokens"))
+        rows = 1.0 / (part.column("place").to_numpy() + 1000)
+        out = 0.3 * lexical + rows[:, None] if pairs is None else 0.3 * lexical[pairs] + rows[pairs[0]]
+        if vectors:
+            out = 0.7 * own.cosine(part.column("vector"), pairs) + out
+        if tagged and pairs is None:
+            have = np.array(part.column("tag").to_pylist(), dtype=object)
+            out = np.where(have[:, None] == own.tags[None, :], out, -np.inf)
+        return out
+
+    found = blocks.top_k(asked, items, k, score, ["doc_id", "uri"], block)
+    return _best(found, k).select(F.col("query").alias(query_id), "doc_id", "uri", "score", "rank")
+
+
+def overlaps(queries: DataFrame, docs: DataFrame, query_id: str = "query_id", doc_id: str = "doc_id", block: int = 1000, shared: bool = False) -> DataFrame:
     """(query_id, doc_id, overlap) of every query with every document, none left out: the share of the query's tokens that the text has.
 
-    Each text is cut into tokens once; queries are broadcast in blocks of about ``block``.
+    ``shared`` gives the pairs that share a token; all others have 0.  Each text is cut into tokens once and looked up
+    in the words of a block of queries.
     """
-    asked = queries.select(query_id, X.tokens(F.col("query")).alias("__q"))
-    cut = docs.select(doc_id, X.tokens(F.col("text")).alias("__d")).repartition(_ranges(docs), doc_id)
-    share = F.size(F.array_intersect("__q", "__d")) / F.greatest(F.lit(1), F.size("__q"))
-    return _over_blocks(asked, query_id, block, lambda part: cut.join(F.broadcast(part), F.lit(True)).select(query_id, doc_id, share.alias("overlap")))
-
-
-def _ranges(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    asked = queries.select(F.col(query_id).alias("query"), X.tokens(F.col("query")).alias("tokens"))
+    items = docs.select(F.col(doc_id).alias("item"), X.tokens(F.col("text")).alias("tokens"))
+    out = blocks.overlaps(asked, _spread(items, "item"), block, all_pairs=not shared)
+    return out.select(F.col("query").alias(query_id), F.col("item").alias(doc_id), "overlap")
 
 
-def _over_blocks(queries: DataFrame, query_id: str, block: int, ask) -> DataFrame:
-    """``ask`` of each block of queries, together; a query is in one block, blocks hold about ``block`` rows."""
-    n = -(-queries.count() // max(1, block))
-    if n <= 1:
-        return ask(queries)
-    return reduce(DataFrame.unionAll, [ask(queries.where(F.pmod(F.xxhash64(query_id), F.lit(n)) == i)) for i in range(n)])
+def _spread(items: DataFrame, key: str, rows: int = 20_000) -> DataFrame:
+    """A table in so few files that only some cores would read it, over more tasks; others as they are."""
+    spark = items.sparkSession
+    if items.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
+        return items
+    return items.repartition(max(1, min(2 * spark.sparkContext.defaultParallelism, -(-items.count() // rows))), key)
 
 
 def cosine_top_k(queries: DataFrame, items: DataFrame, k: int, block: int = 1000) -> DataFrame:
     """(query_id, item_id, cosine, rank): the ``k`` nearest items of each query, ties by id.
 
-    Queries are counted and broadcast in blocks of about ``block``; partial top-k per partition runs before the shuffle.
+    One pass over the items against blocks of about ``block`` queries; each task keeps its best ``k``.
     """
-    norm = lambda v: F.sqrt(V.dot(v, v))
-    asked = queries.select("query_id", "query_embedding", norm(F.col("query_embedding")).alias("__q"))
-    filed = items.select("item_id", "embedding", norm(F.col("embedding")).alias("__n")).repartition(_ranges(items), "item_id")
-    size = F.col("__q") * F.col("__n")
-    able = (F.size("query_embedding") == F.size("embedding")) & (F.size("embedding") > 0) & (size > 0)
-    near = F.coalesce(F.when(able, V.dot(F.col("query_embedding"), F.col("embedding")) / size), F.lit(0.0))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("cosine"), "item_id"))
-
-    def ask(part: DataFrame) -> DataFrame:
-        pairs = filed.join(F.broadcast(part), F.lit(True)).select("query_id", "item_id", near.alias("cosine"))
-        return pairs.withColumn("rank", rank).where(F.col("rank") <= k)
-
-    return _over_blocks(asked, "query_id", block, ask)
+    asked = queries.select(F.col("query_id").alias("query"), F.col("query_embedding").alias("vector"))
+    filed = items.select(F.col("item_id").alias(blocks.TIE), F.col("embedding").alias("vector"))
+    found = blocks.top_k(asked, filed, k, lambda own, part, pairs=None: own.cosine(part.column("vector"), pairs), [], block)
+    return _best(found, k).select(F.col("query").alias("query_id"), F.col(blocks.TIE).alias("item_id"), F.col("score").alias("cosine"), "rank")
 
 
 def evaluate(spark: SparkSession, k: int = 3, routed: bool = True) -> DataFrame:

@@ -418,6 +418,16 @@ def lexical_overlap_all(spark, sf_dir):
     return retrieval.overlaps(q, d, "item_id", "page_id").withColumn("overlap", F.round("overlap", 6))
 
 
+@query(f"""WITH q AS (SELECT item_id, {_TOKENS_SQL.format('text')} AS t FROM benchmark), d AS (SELECT page_id, {_TOKENS_SQL.format('html')} AS t FROM pages)
+SELECT page_id, count(*) AS items, round(sum(len(list_intersect(q.t, d.t)) / greatest(1, len(q.t))), 4) AS overlap FROM q, d WHERE len(list_intersect(q.t, d.t)) > 0 GROUP BY 1""")
+def lexical_shared(spark, sf_dir):
+    """Of each page, how many items it shares a token with, and their overlaps added up."""
+    q = _t(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("query"))
+    d = _t(spark, sf_dir, "pages").select("page_id", F.col("html").alias("text"))
+    pairs = retrieval.overlaps(q, d, "item_id", "page_id", shared=True)
+    return pairs.groupBy("page_id").agg(F.count(F.lit(1)).alias("items"), F.round(F.sum("overlap"), 4).alias("overlap"))
+
+
 _NEAR_SQL = "SELECT q.vec_id AS query_id, e.vec_id AS item_id, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])) AS c FROM embeddings e, (SELECT * FROM embeddings WHERE vec_id % 100 = 0) q"
 
 

@@ -29,7 +29,7 @@ NESTED = {
     **{f"{r}_rating": f"struct<{RATING_DDL}>" for r in HUMAN_RATERS},
 }
 
-META_DDL = "run_id string, ingest_ts string, source_type string, source_name string, source_file string, source_uri string, pod_name string, pod_type string, task_type string, schema_hash string, record_hash string, row_number int"
+META_DDL = "run_id string, ingest_ts string, source_type string, source_name string, source_file string, source_uri string, pod_name string, pod_type string, task_type string, schema_hash string, record_hash string, row_number bigint"
 PAYLOAD_TEXT = ("pod_name", "pod_type", "task_type", "batch_id", "batch_name", "set_id", "prompt_id", "query_text", "step_index", "evaluated_step_index", "step_type", *JSON_COLUMNS, "reviewer_comments")
 PAYLOAD_DDL = ", ".join(f"{c} string" for c in PAYLOAD_TEXT)
 BRONZE_REQUIRED = ("run_id", "ingest_ts", "schema_hash", "record_hash", "source_type", "raw_path")

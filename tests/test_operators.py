@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillspark import schemas
-from quillspark.operators import control, latest, marts, quality, reshape, retrieval, star
+from quillspark.operators import control, latest, marts, places, quality, reshape, retrieval, star
 from quillspark.plans import queries
 
 FEEDBACK = "ingest_date string, run_id string, prompt_id string, evaluated_step_index int, task_type string, step_type string, model_version string, query_text string, final_answer string, " + ", ".join(f"final_{m} double" for m in schemas.METRICS) + ", final_overall_label string"
@@ -128,7 +128,7 @@ def test_retrieval(spark):
     both = [tuple(r) for r in retrieval.hybrid_top_k(asked, docs, 2).collect()]
     assert [r[1] for r in both] == ["a", "b"]  # b shares no token
     # on the other side of the bound, and in blocks
-    assert [tuple(r) for r in retrieval.hybrid_top_k(asked, docs, 2, most_broadcast=1, block=1).collect()] == both
+    assert [tuple(r) for r in retrieval.hybrid_top_k(asked.union(asked.selectExpr('7', 'query', 'query_embedding')), docs, 2, block=1).where('query_id = 1').collect()] == both
     report = retrieval.evaluation_report(retrieval.evaluate(spark)).first()
     assert report["gate_passed"] and report["recall_at_k"] == 1.0
     top = {r["case_id"]: r["uris"][0].rpartition(".")[2] for r in retrieval.evaluate(spark, 5, routed=False).collect()}
@@ -220,3 +220,44 @@ def test_rule_results_count_the_letters_once(spark):
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan.partition("Initial Plan")[0] and "WindowGroupLimit" in plan
+
+
+def test_matrices_are_one_pass_and_shuffle_the_best_alone(spark):
+    items = spark.range(0, 5000, 1, 6).selectExpr("id item_id", "array(double(id % 91), double(id % 17) - 8, 1D) embedding")
+    asked = items.where("item_id % 100 = 0").toDF("query_id", "query_embedding")
+    want = [tuple(r) for r in retrieval.cosine_top_k(asked, items, 4).orderBy("query_id", "rank").collect()]
+    for block in (1000, 7):
+        out = retrieval.cosine_top_k(asked, items, 4, block=block)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan and plan.count("Range (0, 5000") <= 2
+        assert [tuple(r) for r in out.orderBy("query_id", "rank").collect()] == want
+    docs = spark.range(0, 300, 1, 3).selectExpr("id doc_id", "'u' uri", "concat('w', id % 11, ' w', id % 7) text", "if(id % 3 = 0, array('a', 'b', 'a'), array('b', cast(null as string))) tags", "int(1000 - id) position")
+    ask = spark.createDataFrame([(i, f"w{i} w{i + 1}", "ab"[i % 2]) for i in range(9)] + [(9, "w1", None), (10, "", "a")], "query_id int, query string, tag string")
+    rows, words = docs.orderBy("position").collect(), lambda t: set(t.split())
+    for block in (100, 2):
+        got = {}
+        for r in retrieval.hybrid_top_k(ask, docs, 5, F.col("tag"), block=block).orderBy("rank").collect():
+            got.setdefault(r["query_id"], []).append((r["doc_id"], round(r["score"], 9)))
+        for q in ask.collect():
+            own = [r for r in rows if q["tag"] in [t for t in r["tags"] if t is not None]]
+            scored = [(0.3 * len(words(q["query"]) & words(r["text"])) / max(1, len(words(q["query"]))) + 1 / (n + 1000), r) for n, r in enumerate(own)]
+            best = sorted(scored, key=lambda x: (-x[0], x[1]["position"]))[:5]
+            assert got.get(q["query_id"], []) == [(r["doc_id"], round(s, 9)) for s, r in best], q
+
+
+def test_shared_overlaps_leave_out_zeros_alone(spark):
+    asked = spark.createDataFrame([(i, t) for i, t in enumerate(["red green", "blue", "", None, "red red blue", "none"])], "query_id int, query string")
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["Red, blue", "green", "", None, "x " * 50 + "RED green blue"])], "doc_id int, text string")
+    for block in (1000, 2):
+        every, some = (sorted(map(tuple, retrieval.overlaps(asked, docs, block=block, shared=s).collect())) for s in (False, True))
+        assert len(every) == 30 and [r for r in every if r[2]] == some and len(some) == 7
+
+
+def test_dense_places_of_groups(spark):
+    df = spark.range(0, 500, 1, 7).selectExpr("id", "if(id % 5 = 0, null, id % 3) g", "(id * 37) % 501 o").repartition(5, "g")
+    out = places.dense_places(df, [F.col("o")], "g").collect()
+    for g in (None, 0, 1, 2):
+        own = sorted((r for r in out if r["g"] == g), key=lambda r: r["o"])
+        assert [r["place"] for r in own] == list(range(len(own))) and own
+    assert sorted(r["place"] for r in places.dense_places(df).collect()) == list(range(500))
+    assert places.dense_places(df.limit(0), [F.col("o")]).collect() == []
