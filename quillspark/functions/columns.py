@@ -1,11 +1,14 @@
-"""Column expressions: parsing, resolving and hashing.  All run in the JVM, none throws on bad data."""
+"""Column expressions: parsing, resolving and hashing.  All but the canonical form of fractions run in the JVM, none throws on bad data."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import hashlib
+import json
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 from operator import add
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -108,9 +111,72 @@ def date_of_path(path: Column) -> Column:
     return F.try_to_date(day)
 
 
-def record_hash(columns: Sequence[str]) -> Column:
-    """SHA-256 of the row's JSON, columns in order of name."""
-    return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(columns)])), 256)
+#: What JSON text escapes by a letter, and what by a number.
+_ESCAPES = (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\f", "\\f"), ("\b", "\\b"))
+_NUMBERED = tuple(c for c in map(chr, range(32)) if c not in "\n\r\t\f\b")
+
+
+def _quoted(c: Column) -> Column:
+    escaped = c
+    for a, b in (*_ESCAPES, *((x, f"\\u{ord(x):04x}") for x in _NUMBERED)):
+        escaped = F.replace(escaped, F.lit(a), F.lit(b))
+    # few texts have any of these
+    return F.concat(F.lit('"'), F.when(c.rlike(r'[\x00-\x1f"\\\\]'), escaped).otherwise(c), F.lit('"'))
+
+
+def _has_floats(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_floats(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _has_floats(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _has_floats(kind.valueType)
+    return isinstance(kind, (T.FloatType, T.DoubleType, T.VariantType))
+
+
+def _canonical(c: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StructType):
+        parts = [F.concat(_quoted(F.lit(f.name)), F.lit(":"), _canonical(c.getField(f.name), f.dataType)) for f in sorted(kind.fields, key=lambda f: f.name)]
+        out = F.when(c.isNotNull(), F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")))
+    elif isinstance(kind, T.ArrayType):
+        out = F.concat(F.lit("["), F.array_join(F.transform(c, lambda x: _canonical(x, kind.elementType)), ","), F.lit("]"))
+    elif isinstance(kind, T.MapType):
+        items = F.transform(F.array_sort(F.map_entries(c)), lambda e: F.concat(_quoted(e["key"].cast("string")), F.lit(":"), _canonical(e["value"], kind.valueType)))
+        out = F.concat(F.lit("{"), F.array_join(items, ","), F.lit("}"))
+    elif isinstance(kind, (T.IntegralType, T.BooleanType, T.DecimalType)):
+        out = c.cast("string")
+    else:
+        out = _quoted(c.cast("string"))
+    return F.coalesce(out, F.lit("null"))
+
+
+def canonical_json(c: Column, kind: T.DataType) -> Column:
+    """JSON text of a value in one form: keys in order at every depth, no spaces, nulls kept, other letters as they are.
+
+    Numbers with a fraction are written by Python, the shortest way that reads back the same, over Arrow columns;
+    all else is an expression.  Dates and times are text.
+    """
+    return _written(c, lambda text: text) if _has_floats(kind) else _canonical(c, kind)
+
+
+def _written(c: Column, then: Callable[[str], str]) -> Column:
+    """``then`` of the canonical JSON that Python writes."""
+
+    @F.pandas_udf("string")
+    def written(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: then(json.dumps(json.loads(t)["v"], sort_keys=True, separators=(",", ":"), ensure_ascii=False)), na_action="ignore")
+
+    # the name spares Spark making one from the expression, which it can't for a struct inside a Python function
+    return written(F.to_json(F.struct(c.alias("v")), {"ignoreNullFields": "false"})).alias("canonical")
+
+
+def record_hash(df: DataFrame, columns: Sequence[str]) -> Column:
+    """SHA-256 of the row's canonical JSON over some columns of ``df``."""
+    kind = T.StructType([T.StructField(c, df.schema[c].dataType) for c in columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in columns])
+    if _has_floats(kind):
+        return _written(row, lambda text: hashlib.sha256(text.encode()).hexdigest())
+    return F.sha2(_canonical(row, kind), 256)
 
 
 def schema_hash(columns: Sequence[str]) -> Column:

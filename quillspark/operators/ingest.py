@@ -48,7 +48,7 @@ def raw_envelope(df: DataFrame, meta: dict[str, str], order: str | None = None)
         place = F.col(order).cast("long")
     else:
         df, place = places.dense_places(df, name="__place"), F.col("__place") + 1
-    fields = {k: F.lit(v) for k, v in meta.items()} | {"schema_hash": C.schema_hash(data), "record_hash": C.record_hash(data), "row_number": place}
+    fields = {k: F.lit(v) for k, v in meta.items()} | {"schema_hash": C.schema_hash(data), "record_hash": C.record_hash(df, data), "row_number": place}
     names = schemas.parse(schemas.META_DDL).names
     return df.select(F.struct(*[fields.get(n, F.lit(None).cast("string")).alias(n) for n in names]).alias("meta"), F.struct(*[F.col(f"`{c}`") for c in data]).alias("payload"))
 

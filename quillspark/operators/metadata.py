@@ -49,7 +49,7 @@ def normalize_raw(df: DataFrame, now: Column | None = None, unhashed: Iterable[s
     )
     outside = {"meta", "schema_hash", "record_hash", "raw_path", "ingest_ts", "source_type", "ingest_date", *unhashed}
     data = [c for c in df.columns if c not in outside] or ["run_id"]
-    df = df.withColumns({"schema_hash": from_meta(df, "schema_hash", C.schema_hash(data)), "record_hash": from_meta(df, "record_hash", C.record_hash(data))})
+    df = df.withColumns({"schema_hash": from_meta(df, "schema_hash", C.schema_hash(data)), "record_hash": from_meta(df, "record_hash", C.record_hash(df, data))})
     return df.drop("meta")
 
 

@@ -520,7 +520,16 @@ def path_dates(spark, sf_dir):
 
 @query("SELECT c_custkey, sha256('{\"c_custkey\":' || c_custkey || ',\"c_name\":\"' || c_name || '\"}') AS record_hash FROM customer")
 def record_hash(spark, sf_dir):
-    return _t(spark, sf_dir, "customer").select("c_custkey", C.record_hash(["c_name", "c_custkey"]).alias("record_hash"))
+    rows = _t(spark, sf_dir, "customer")
+    return rows.select("c_custkey", C.record_hash(rows, ["c_name", "c_custkey"]).alias("record_hash"))
+
+
+@query("""SELECT o_orderkey, sha256('{"m":[' || o_custkey || ',null],"name":"a\\\\\\"b","price":' || CAST(o_totalprice AS VARCHAR) || ',"z":{"a":' || o_orderkey || ',"b":' || CASE WHEN o_orderstatus = 'F' THEN 'null' ELSE '"' || o_orderstatus || '"' END || '}}') AS record_hash FROM orders""")
+def record_hash_nested(spark, sf_dir):
+    """Nested values with nulls and fractions."""
+    z = F.struct(F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")).alias("b"), F.col("o_orderkey").alias("a"))
+    rows = _t(spark, sf_dir, "orders").select("o_orderkey", z.alias("z"), F.col("o_totalprice").alias("price"), F.lit('a\\"b').alias("name"), F.array("o_custkey", F.lit(None)).alias("m"))
+    return rows.select("o_orderkey", C.record_hash(rows, ["z", "price", "name", "m"]).alias("record_hash"))
 
 
 @query("SELECT p_partkey, trim(p_name, ' ') AS p_name, coalesce(nullif(p_brand, ''), p_type) AS model FROM part")
