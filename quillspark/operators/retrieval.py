@@ -110,11 +110,12 @@ def cosine_top_k(queries: DataFrame, items: DataFrame, k: int, block: int = 1000
     return _best(found, k).select(F.col("query").alias("query_id"), F.col(blocks.TIE).alias("item_id"), F.col("score").alias("cosine"), "rank")
 
 
-def evaluate(spark: SparkSession, k: int = 3, routed: bool = True) -> DataFrame:
-    """Each case with what retrieval returned, its route and whether it hit."""
-    asked = cases(spark).withColumn("route", X.route(F.col("query"), F.col("intent_hint")))
+def evaluate(spark: SparkSession, k: int = 3, routed: bool = True, labelled: DataFrame | None = None, docs: DataFrame | None = None) -> DataFrame:
+    """Each case with what retrieval returned, its route and whether it hit; the built-in cases and documents if no others are given."""
+    labelled, docs = cases(spark) if labelled is None else labelled, evidence(spark) if docs is None else docs
+    asked = labelled.withColumn("route", X.route(F.col("query"), F.col("intent_hint")))
     tag = F.col("route") if routed else F.col("expected_route")
-    found = hybrid_top_k(asked, evidence(spark), k, tag, "case_id").groupBy("case_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "uri"))), lambda x: x["uri"]).alias("uris"))
+    found = hybrid_top_k(asked, docs, k, tag, "case_id").groupBy("case_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "uri"))), lambda x: x["uri"]).alias("uris"))
     out = asked.join(found, "case_id", "left").withColumn("uris", F.coalesce("uris", F.array().cast("array<string>")))
     return out.select(
         "case_id", "route", "uris", F.arrays_overlap("uris", "expected_uris").alias("recall_hit"), (F.col("route") == F.col("expected_route")).alias("route_hit"), (F.size("uris") > 0).alias("grounded")

@@ -5,6 +5,7 @@ What they write goes to a folder of their own below the shared one.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 from operator import and_
 
@@ -16,7 +17,7 @@ from quillspark.functions import columns as C
 from quillspark.functions import text as X
 from quillspark.operators import control, ingest, latest, metadata, quality, reshape, retrieval
 from quillspark.plans import pipeline
-from quillspark.plans.queries import _CASES_SQL, _EVIDENCE_SQL, _TOKENS_SQL, _feedback, _t, query
+from quillspark.plans.queries import _CASES_OF_ITEMS_SQL, _CASES_SQL, _EVIDENCE_SQL, _TOKENS_SQL, _cases_of_items, _feedback, _t, query
 from quillspark.sources import readers, sample, writers
 
 DAY = "2026-01-15"
@@ -52,10 +53,14 @@ def src_dispatch(spark, sf_dir):
     return reshape.union_by_name(*[readers.read_source(spark, kind, f"{root}/{kind}").select(F.lit(kind).alias("source_type"), "r_regionkey", "r_name") for kind in ("json", "csv")])
 
 
-@query("SELECT url, CAST(i AS BIGINT) AS place FROM (VALUES ('http://a'), ('http://b'), ('http://c')) u(url), range(4) r(i)")
+@query("SELECT 'http://regions/' || r_regionkey AS url, CAST(i AS BIGINT) AS place, n_name FROM region JOIN nation ON n_regionkey = r_regionkey, range(4) r(i)")
 def src_rest(spark, sf_dir):
+    """A source for each region, its rows joined to the region's nations."""
+    urls = [f"http://regions/{r[0]}" for r in _t(spark, sf_dir, "region").select("r_regionkey").collect()]
     fetch = lambda url: [{"url": url, "place": i} for i in range(4)]  # noqa: E731  stands for a server
-    return readers.read_rest(spark, ["http://a", "http://b", "http://c"], "url string, place long", fetch)
+    rows = readers.read_rest(spark, urls, "url string, place long", fetch)
+    nation = _t(spark, sf_dir, "nation").select(F.concat(F.lit("http://regions/"), F.col("n_regionkey").cast("string")).alias("url"), "n_name")
+    return rows.join(nation, "url").select("url", "place", "n_name")
 
 
 _LANDED_SQL = "SELECT 'run' || CAST(s_suppkey % 2 AS VARCHAR) AS run_id, CAST(s_suppkey AS VARCHAR) AS prompt_id, s_name AS query_text FROM supplier"
@@ -135,15 +140,38 @@ def sink_ops(spark, sf_dir):
     return spark.read.parquet(f"{root}/deadletter_summary").select("run_id", "stage", "rule_id", "failure_reason", "count")
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{t}', {i}, '{f.split()[0]}', '{f.split()[1]}')" for t, (ddl, _) in schemas.OPS_TABLES.items() for i, f in enumerate(ddl.split(", "))) + ") t(table_name, place, field, type)")
+@query("SELECT t.*, (SELECT count(*) FROM supplier) AS rows FROM (VALUES " + ", ".join(f"('{t}', {i}, '{f.split()[0]}', '{f.split()[1]}')" for t, (ddl, _) in schemas.OPS_TABLES.items() for i, f in enumerate(ddl.split(", "))) + ") t(table_name, place, field, type)")
 def control_tables(spark, sf_dir):
-    """Columns and types of every control table as written and read again."""
-    root, rows = writers.scratch(spark), []
+    """Columns and types of every control table as written and read again, with the rows that it got."""
+    root, out = writers.scratch(spark), []
+    rows = _t(spark, sf_dir, "supplier").select(F.col("s_name").alias("run_id"), F.col("s_name").alias("session_id"))
     for name in schemas.OPS_TABLES:
-        writers.append_ops(spark, root, name, [{"run_id": "r", "session_id": "s"}])
-        found = spark.read.parquet(f"{root}/{name}").drop("created_date")
-        rows += [(name, i, f.name, f.dataType.simpleString()) for i, f in enumerate(found.schema.fields)]
-    return spark.createDataFrame(rows, "table_name string, place int, field string, type string")
+        writers.append_ops(spark, root, name, rows)
+        found = spark.read.parquet(f"{root}/{name}")
+        each = [F.struct(F.lit(i).alias("place"), F.lit(f.name).alias("field"), F.lit(f.dataType.simpleString()).alias("type")) for i, f in enumerate(found.drop("created_date").schema.fields)]
+        out.append(found.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), F.explode(F.array(*each)).alias("x"), "rows").select("table_name", "x.*", "rows"))
+    return reshape.union_by_name(*out)
+
+
+_AGED_SQL = "SELECT *, ts + to_days(CAST(event_id % 5 AS INTEGER)) AS changed, min(ts) OVER () + INTERVAL 228 HOUR AS cutoff FROM events"
+
+
+@query(f"""WITH e AS ({_AGED_SQL}), t AS (SELECT 'agent_sessions' AS table_name, ts, ts AS aged, cutoff FROM e UNION ALL SELECT 'agent_tool_calls', ts, ts, cutoff FROM e WHERE event_type = 'click'
+ UNION ALL SELECT 'agent_responses', ts, ts, cutoff FROM e WHERE event_type <> 'click' UNION ALL SELECT 'agent_proposals', ts, changed, cutoff FROM e)
+SELECT table_name, CAST(ts AS DATE) AS created_date, count(*) AS rows FROM t WHERE aged >= cutoff GROUP BY ALL
+UNION ALL SELECT 'removed from ' || table_name, CAST(NULL AS DATE), count(*) FROM t WHERE aged < cutoff GROUP BY ALL""")
+def purge_stored(spark, sf_dir):
+    """Stored audit tables after purges of all events up to an hour inside a day, by day, and what the purges removed."""
+    root = writers.scratch(spark)
+    events = _t(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("event_id"), F.col("event_id").cast("string").alias("proposal_id"), F.concat(F.lit("s"), "user_id").alias("session_id"), "event_type", F.col("ts").alias("created_ts"), F.expr("ts + make_interval(0, 0, 0, int(event_id % 5))").alias("updated_ts"))
+    kinds = {"agent_sessions": events, "agent_tool_calls": events.where("event_type = 'click'"), "agent_responses": events.where("event_type <> 'click'"), "agent_proposals": events}
+    for name, rows in kinds.items():
+        writers.append_ops(spark, root, name, control.log_rows(rows, name))
+    first = events.agg(F.min("created_ts")).first()[0]
+    removed = [writers.purge_audit(spark, root, 0, first + dt.timedelta(hours=h)) for h in (100, 228, 228)]
+    told = spark.createDataFrame([(f"removed from {name}", n) for turn in removed for name, n in turn.items()], "table_name string, n bigint")
+    told = told.groupBy("table_name").agg(F.sum("n").alias("rows")).select("table_name", F.lit(None).cast("date").alias("created_date"), "rows")
+    return reshape.union_by_name(*[spark.read.parquet(f"{root}/{n}").groupBy("created_date").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "created_date", "rows") for n in kinds], told)
 
 
 # ---- layers -----------------------------------------------------------------------------------------------------------
@@ -210,12 +238,12 @@ def pipeline_runs(spark, sf_dir):
     return rows.groupBy(*facts, timed.alias("timed"), F.col("manifest_path").isNotNull().alias("told")).agg(F.count(F.lit(1)).cast("int").alias("attempts"))
 
 
-@query("SELECT kind, CAST(30 AS BIGINT) AS prompts, true AS dense, true AS steps_in_bounds, kind <> 'auto' AS has_humans, kind <> 'human' AS has_auto FROM (VALUES ('auto'), ('human'), ('both')) t(kind)")
+@query("SELECT kind, (SELECT count(*) FROM supplier) AS prompts, true AS dense, true AS steps_in_bounds, kind <> 'auto' AS has_humans, kind <> 'human' AS has_auto FROM (VALUES ('auto'), ('human'), ('both')) t(kind)")
 def gen_sample(spark, sf_dir):
-    """Facts that hold of every generated batch."""
-    out = []
+    """Facts that hold of every generated batch, of a prompt a supplier."""
+    out, n = [], _t(spark, sf_dir, "supplier").count()
     for kind in ("auto", "human", "both"):
-        per = sample.feedback_rows(spark, kind).groupBy("prompt_id").agg(
+        per = sample.feedback_rows(spark, kind, n).groupBy("prompt_id").agg(
             F.count(F.lit(1)).alias("n"), F.max("step_index").alias("top"), F.max(F.size("execution_json.steps")).alias("steps"), F.count("curator_1_rating").alias("humans"), F.count("auto_rater").alias("autos")
         )
         out.append(per.agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("prompts"), F.bool_and(F.col("n") == F.col("top") + 1).alias("dense"), F.bool_and(F.col("steps").between(3, 8)).alias("steps_in_bounds"), (F.sum("humans") > 0).alias("has_humans"), (F.sum("autos") > 0).alias("has_auto")))
@@ -327,14 +355,18 @@ def hybrid_embeddings(spark, sf_dir):
     return out.withColumns({"score": F.round("score", 6), "rank": F.col("rank").cast("long")})
 
 
-@query(f"""WITH asked AS (SELECT * FROM {_CASES_SQL}),
+@query(f"""WITH {_CASES_OF_ITEMS_SQL}, asked AS (SELECT * FROM cases UNION ALL SELECT 'built in ' || case_id, query, expected_route, intent_hint, expected_uris FROM {_CASES_SQL}),
+docs AS (SELECT uri, text, tags, position FROM items UNION ALL SELECT uri, text, tags, position FROM {_EVIDENCE_SQL}),
 pairs AS (SELECT a.case_id, a.expected_uris, d.uri, d.position, row_number() OVER (PARTITION BY case_id ORDER BY position) - 1 AS place,
- len(list_intersect({_TOKENS_SQL.format('query')}, {_TOKENS_SQL.format('d.text')})) / greatest(1, len({_TOKENS_SQL.format('query')})) AS lexical FROM asked a JOIN {_EVIDENCE_SQL} d ON list_contains(d.tags, a.expected_route)),
+ len(list_intersect({_TOKENS_SQL.format('query')}, {_TOKENS_SQL.format('d.text')})) / greatest(1, len({_TOKENS_SQL.format('query')})) AS lexical FROM asked a JOIN docs d ON list_contains(d.tags, a.expected_route)),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY 0.3::DOUBLE * lexical + 1.0::DOUBLE / (place + 1000) DESC, position) AS rank FROM pairs)
 SELECT case_id, string_agg(uri, ' ' ORDER BY rank) AS uris, bool_or(list_contains(expected_uris, uri)) AS recall_hit FROM ranked WHERE rank <= 5 GROUP BY 1""")
 def eval_retrieval_only(spark, sf_dir):
-    """The retrieval-only suite: five documents by the expected route."""
-    return retrieval.evaluate(spark, 5, routed=False).select("case_id", F.array_join("uris", " ").alias("uris"), "recall_hit")
+    """The retrieval-only suite over the benchmark's items and the built-in documents: five documents by the expected route."""
+    labelled, docs = _cases_of_items(_t(spark, sf_dir, "benchmark"))
+    own = retrieval.cases(spark).withColumn("case_id", F.concat(F.lit("built in "), "case_id"))
+    out = retrieval.evaluate(spark, 5, routed=False, labelled=labelled.unionByName(own), docs=docs.unionByName(retrieval.evidence(spark)))
+    return out.select("case_id", F.array_join("uris", " ").alias("uris"), "recall_hit")
 
 
 @query("""SELECT 'agent_sessions' AS table_name, 's' || user_id AS session_id, count(*) AS n, true AS filled, 0 AS other FROM events GROUP BY user_id

@@ -236,13 +236,20 @@ def dq_results(spark, sf_dir):
     return quality.rule_results(quality.dead_letters(_checked(spark, sf_dir))).withColumn("sample_record_hashes", F.array_join("sample_record_hashes", ","))
 
 
-@query("""SELECT rule_id, lower(substr(rule_id, 4)) AS name, description, severity, 'feedback_step' AS target_table, 'data-platform' AS owner, true AS enabled FROM (VALUES
+_LOGIC = {r.rule_id: r.broken for r in reversed(quality.FEEDBACK_RULES)}
+
+
+@query(f"""WITH {_CHECKED_SQL}, n AS (SELECT rule_id, count(*) AS failures FROM ruled GROUP BY 1)
+SELECT t.rule_id, lower(substr(t.rule_id, 4)) AS name, description, severity, 'feedback_step' AS target_table, logic_reference, 'data-platform' AS owner, true AS enabled, coalesce(failures, 0) AS failures FROM (VALUES
  ('DQ_RUN_ID_REQUIRED', 'run_id must be present and non-empty', 'CRITICAL'), ('DQ_RECORD_HASH_REQUIRED', 'record_hash must be present and non-empty', 'CRITICAL'),
  ('DQ_PROMPT_ID_REQUIRED', 'prompt_id must be present and non-empty', 'HIGH'), ('DQ_QUERY_TEXT_REQUIRED', 'query_text must be present and non-empty', 'HIGH'),
  ('DQ_EVALUATED_STEP_INDEX_VALID', 'evaluated_step_index must be non-null and >= 0', 'HIGH'), ('DQ_FINAL_OVERALL_LABEL_ALLOWED', 'final_overall_label must be one of allowed labels', 'HIGH'),
- ('DQ_METRIC_RANGE_0_5', 'resolved metric fields must be in range [0, 5]', 'HIGH')) t(rule_id, description, severity)""")
+ ('DQ_METRIC_RANGE_0_5', 'resolved metric fields must be in range [0, 5]', 'HIGH')) t(rule_id, description, severity)
+ JOIN (VALUES {', '.join("('" + i + "', '" + b.replace("'", "''") + "')" for i, b in _LOGIC.items())}) l(rule_id, logic_reference) ON l.rule_id = t.rule_id LEFT JOIN n ON n.rule_id = t.rule_id""")
 def dq_rule_registry(spark, sf_dir):
-    return quality.rule_registry(spark).drop("logic_reference")
+    """The registry beside the failures of each rule."""
+    failures = quality.dead_letters(_checked(spark, sf_dir)).groupBy("rule_id").agg(F.count(F.lit(1)).alias("failures"))
+    return quality.rule_registry(spark).join(failures, "rule_id", "left").withColumn("failures", F.coalesce("failures", F.lit(0).cast("long")))
 
 
 # ---- star ------------------------------------------------------------------------------------------------------------
@@ -447,24 +454,40 @@ def _values(rows, names: str) -> str:
 _CASES_SQL = _values(retrieval.CASES, "case_id, query, expected_route, intent_hint, expected_uris")
 _EVIDENCE_SQL = _values([(*e, i) for i, e in enumerate(retrieval.EVIDENCE)], "doc_id, uri, text, tags, position")
 _ROUTE_SQL = "CASE WHEN {1} IN ('ops', 'dq') THEN {1} WHEN " + " OR ".join(f"contains(lower({{0}}), '{w}')" for w in X.DQ_WORDS) + " THEN 'dq' ELSE 'ops' END"
-_FOUND_SQL = f"""asked AS (SELECT *, {_ROUTE_SQL.format('query', 'intent_hint')} AS route FROM {_CASES_SQL}),
-pairs AS (SELECT a.*, d.doc_id, d.uri, d.position, row_number() OVER (PARTITION BY case_id ORDER BY position) - 1 AS place,
+@query(f"""WITH asked AS (SELECT conv_id, turn, conv_id || ':' || turn AS query_id, text AS query, {_ROUTE_SQL.format('text', 'role')} AS route FROM conversations WHERE conv_id % 100 = 0),
+pairs AS (SELECT a.*, d.uri, d.position, row_number() OVER (PARTITION BY query_id ORDER BY position) - 1 AS place,
  len(list_intersect({_TOKENS_SQL.format('query')}, {_TOKENS_SQL.format('d.text')})) / greatest(1, len({_TOKENS_SQL.format('query')})) AS lexical FROM asked a JOIN {_EVIDENCE_SQL} d ON list_contains(d.tags, a.route)),
-ranked AS (SELECT *, 0.3::DOUBLE * lexical + 1.0::DOUBLE / (place + 1000) AS score FROM pairs),
-found AS (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY score DESC, position) AS rank FROM ranked)"""
-
-
-@query(f"WITH {_FOUND_SQL} SELECT case_id, doc_id, uri, round(score, 9) AS score, rank FROM found WHERE rank <= 3")
+ranked AS (SELECT *, 0.3::DOUBLE * lexical + 1.0::DOUBLE / (place + 1000) AS score FROM pairs)
+SELECT query_id, uri, round(score, 9) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, position) AS rank FROM ranked) WHERE rank <= 3""")
 def hybrid_topk(spark, sf_dir):
-    asked = retrieval.cases(spark).withColumn("route", X.route(F.col("query"), F.col("intent_hint")))
-    out = retrieval.hybrid_top_k(asked, retrieval.evidence(spark), 3, F.col("route"), "case_id")
+    """The built-in evidence for every turn of a conversation whose id is divisible by 100, by the turn's route."""
+    turns = _t(spark, sf_dir, "conversations").where("conv_id % 100 = 0")
+    asked = turns.select(F.concat(F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string")).alias("query_id"), F.col("text").alias("query"), X.route(F.col("text"), F.col("role")).alias("route"))
+    out = retrieval.hybrid_top_k(asked, retrieval.evidence(spark), 3, F.col("route")).drop("doc_id")
     return out.withColumns({"score": F.round("score", 9), "rank": F.col("rank").cast("long")})
 
 
-@query(f"""WITH {_FOUND_SQL}, g AS (SELECT case_id, any_value(route) = any_value(expected_route) AS route_hit, bool_or(list_contains(expected_uris, uri)) AS hit FROM found WHERE rank <= 3 GROUP BY 1)
-SELECT avg(CAST(hit AS DOUBLE)) AS recall_at_k, avg(CAST(route_hit AS DOUBLE)) AS route_accuracy, 1.0::DOUBLE AS grounding_rate, 0.0::DOUBLE AS unsupported_rate, avg(CAST(hit AS DOUBLE)) >= 0.8 AND avg(CAST(route_hit AS DOUBLE)) >= 1 AS gate_passed FROM g""")
+#: Each item of the benchmark as a document, and as a case that should find it.
+_CASES_OF_ITEMS_SQL = f"""items AS (SELECT 'i' || item_id AS doc_id, 'item://' || item_id AS uri, text, [{_ROUTE_SQL.format('text', "''")}] AS tags, 100 + item_id AS position FROM benchmark),
+cases AS (SELECT doc_id AS case_id, text AS query, tags[1] AS expected_route, CAST(NULL AS VARCHAR) AS intent_hint, [uri] AS expected_uris FROM items)"""
+
+
+def _cases_of_items(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    docs = items.select(F.concat(F.lit("i"), F.col("item_id").cast("string")).alias("doc_id"), F.concat(F.lit("item://"), F.col("item_id").cast("string")).alias("uri"), "text", F.array(X.route(F.col("text"))).alias("tags"), (100 + F.col("item_id")).cast("int").alias("position"))
+    return docs.select(F.col("doc_id").alias("case_id"), F.col("text").alias("query"), F.col("tags")[0].alias("expected_route"), F.lit(None).cast("string").alias("intent_hint"), F.array("uri").alias("expected_uris")), docs
+
+
+@query(f"""WITH {_CASES_OF_ITEMS_SQL}, asked AS (SELECT *, {_ROUTE_SQL.format('query', 'intent_hint')} AS route FROM cases),
+pairs AS (SELECT a.*, d.uri, d.position, row_number() OVER (PARTITION BY case_id ORDER BY d.position) - 1 AS place,
+ len(list_intersect({_TOKENS_SQL.format('query')}, {_TOKENS_SQL.format('d.text')})) / greatest(1, len({_TOKENS_SQL.format('query')})) AS lexical FROM asked a LEFT JOIN items d ON list_contains(d.tags, a.route)),
+found AS (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY 0.3::DOUBLE * lexical + 1.0::DOUBLE / (place + 1000) DESC, position) AS rank FROM pairs),
+g AS (SELECT case_id, any_value(route) = any_value(expected_route) AS route_hit, coalesce(bool_or(list_contains(expected_uris, uri)), false) AS hit, count(uri) > 0 AS grounded FROM found WHERE rank <= 3 GROUP BY 1)
+SELECT avg(CAST(hit AS DOUBLE)) AS recall_at_k, avg(CAST(route_hit AS DOUBLE)) AS route_accuracy, avg(CAST(grounded AS DOUBLE)) AS grounding_rate, 1 - avg(CAST(grounded AS DOUBLE)) AS unsupported_rate,
+ avg(CAST(hit AS DOUBLE)) >= 0.8 AND avg(CAST(route_hit AS DOUBLE)) >= 1 AND avg(CAST(grounded AS DOUBLE)) >= 1 AS gate_passed FROM g""")
 def eval_metrics(spark, sf_dir):
-    return retrieval.evaluation_report(retrieval.evaluate(spark))
+    """The suite's report over the benchmark: each item should find itself among all."""
+    labelled, docs = _cases_of_items(_t(spark, sf_dir, "benchmark"))
+    return retrieval.evaluation_report(retrieval.evaluate(spark, labelled=labelled, docs=docs))
 
 
 @query(f"SELECT conv_id, turn, role, {_ROUTE_SQL.format('text', 'role')} AS route FROM conversations")

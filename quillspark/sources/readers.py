@@ -4,20 +4,26 @@ from __future__ import annotations
 
 import json
 import urllib.request
-from collections.abc import Callable, Iterable
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from quillspark import schemas
 from quillspark.functions import columns as C
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Rows of a JSON file whose top level is a list; anything else is an error."""
-    head = spark.read.text(path, wholetext=True).select(F.ltrim(F.regexp_replace("value", r"\A\x{FEFF}?\s*", "")).substr(1, 1).alias("c"))
-    if not head.where("c <> '[' or c is null").isEmpty():
+    """Rows of a JSON file whose top level is a list; anything else is an error.
+
+    The first line that has anything tells, so no file becomes one string here.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"), F.ltrim(F.regexp_replace("value", r"\A[\s\x{FEFF}]+", "")).substr(1, 1).alias("c"))
+    heads = lines.where("c <> ''").groupBy("file").agg(F.min_by("c", "at").alias("c"))
+    if heads.isEmpty() or not heads.where("c <> '['").isEmpty():
         raise ValueError(f"{path}: the top level must be a list")
     reader = spark.read.option("multiLine", True)
     return (reader.schema(schema) if schema else reader).json(path)
@@ -45,21 +51,55 @@ def fetch_json_list(url: str, timeout: float = 30.0) -> list[dict]:
     return rows
 
 
-def read_rest(spark: SparkSession, urls: Iterable[str], schema: str, fetch: Callable[[str], list[dict]] = fetch_json_list) -> DataFrame:
-    """Rows of several REST sources; each is fetched in a task of its own."""
-    urls = list(urls)
-    if not urls:
-        return spark.createDataFrame([], schema)
+class RestSource(DataSource):
+    """Sources that answer with a JSON list, as a Spark data source: one partition each, fetched where it is read.
+
+    Options: ``urls``, a JSON list; ``timeout`` in seconds.  Rows are (url, row) with the row's JSON.  A
+    source that fails, answers late or with anything but a list fails its task; a task that runs again fetches again.
+    """
+
+    #: How a source is asked; subclasses may do it otherwise.
+    fetch = staticmethod(fetch_json_list)
+
+    @classmethod
+    def name(cls) -> str:
+        return "rest_json_lists"
+
+    def schema(self) -> str:
+        return "url string, row string"
 
-    def run(batches):
-        import pyarrow as pa
+    def reader(self, schema: T.StructType) -> RestReader:
+        return RestReader(json.loads(self.options.get("urls", "[]")), float(self.options.get("timeout", 30)), self.fetch)
 
-        for batch in batches:
-            for url in batch.column("url").to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array([json.dumps(r) for r in fetch(url)], pa.string())], ["row"])
 
-    asked = spark.createDataFrame([(u,) for u in urls], "url string").repartition(len(urls))
-    return asked.mapInArrow(run, "row string").select(F.from_json("row", schema).alias("r")).select("r.*")
+class RestReader(DataSourceReader):
+    def __init__(self, urls: list[str], timeout: float, fetch: Callable[..., list[dict]]) -> None:
+        self.urls, self.timeout, self.fetch = urls, timeout, fetch
+
+    def partitions(self) -> list[InputPartition]:
+        return [InputPartition(url) for url in self.urls]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple[str, str]]:
+        for row in self.fetch(partition.value, self.timeout):
+            yield partition.value, json.dumps(row)
+
+
+def read_rest(spark: SparkSession, urls: Iterable[str], schema: str, fetch: Callable[..., list[dict]] | None = None, timeout: float = 30.0) -> DataFrame:
+    """Rows of several REST sources; each is fetched in a task of its own.
+
+    ``fetch(url)`` asks a source in another way than by a plain GET.
+    """
+    urls = list(urls)
+    if not urls:
+        return spark.createDataFrame([], schema)
+    source = RestSource
+    if fetch is not None:
+        own = lambda url, _: fetch(url)
+        label = f"rest_json_lists_{uuid.uuid4().hex}"
+        source = type("OwnRestSource", (RestSource,), {"fetch": staticmethod(own), "name": classmethod(lambda cls: label)})
+    spark.dataSource.register(source)
+    rows = spark.read.format(source.name()).option("urls", json.dumps(urls)).option("timeout", str(timeout)).load()
+    return rows.select(F.from_json("row", schema).alias("r")).select("r.*")
 
 
 def read_raw(spark: SparkSession, root: str, days: Iterable[str] | None = None, payload: str | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ partitions and nothing else, whether or not a crash came before the manifest.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import tempfile
 import uuid
@@ -147,6 +148,47 @@ def replace_ops(spark: SparkSession, root: str, name: str, rows: DataFrame, keys
     out.withColumn("created_date", F.to_date("created_ts")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("created_date").parquet(path)
 
 
+def purge_ops(spark: SparkSession, root: str, name: str, cutoff: dt.datetime, by: str = "created_ts") -> tuple[int, int]:
+    """Takes the rows whose ``by`` is before ``cutoff``, or null, out of a control table; rows before and after.
+
+    Only days up to the cutoff's are looked at, as nothing is changed before it is made.  Of these, days
+    that keep nothing lose their folder and days that keep some rows are written anew,
+    in that order of safety: the rewritten ones replace theirs when the job commits, and what a
+    crash leaves is found by the next run.  A repeat removes nothing.
+    """
+    path = f"{root.rstrip('/')}/{name}"
+    if not readers.has_rows(spark, path):
+        return 0, 0
+    have = spark.read.parquet(path)
+    limit = F.lit(cutoff)
+    old = have.where((F.col("created_date") <= F.to_date(limit)) | F.col("created_date").isNull())
+    stays = F.coalesce(F.col(by) >= limit, F.lit(False))
+    # a row a day
+    days = [(r["created_date"], r["rows"], r["kept"]) for r in old.groupBy("created_date").agg(F.count(F.lit(1)).alias("rows"), F.count_if(stays).alias("kept")).collect()]
+    before = have.count()
+    if some := [day for day, rows, kept in days if 0 < kept < rows]:
+        target = schemas.parse(schemas.OPS_TABLES[name][0])
+        left = old.where(F.col("created_date").isin(some)).where(stays).select(*target.names, "created_date")
+        left.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("created_date").parquet(path)
+    for day, _, kept in days:
+        if not kept:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/created_date={day if day is not None else '__HIVE_DEFAULT_PARTITION__'}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    spark.catalog.refreshByPath(path)
+    return before, before - sum(rows - kept for _, rows, kept in days)
+
+
+#: Audit tables and the time by which their rows age.
+AUDIT = {"agent_sessions": "created_ts", "agent_tool_calls": "created_ts", "agent_responses": "created_ts", "agent_proposals": "updated_ts"}
+
+
+def purge_audit(spark: SparkSession, root: str, max_age_seconds: int, now: dt.datetime | None = None) -> dict[str, int]:
+    """Purges the stored audit tables of what is older; rows removed by table."""
+    cutoff = (now or dt.datetime.now(dt.UTC)) - dt.timedelta(seconds=max_age_seconds)
+    counts = {name: purge_ops(spark, root, name, cutoff, by) for name, by in AUDIT.items()}
+    return {name: before - after for name, (before, after) in counts.items()}
+
+
 def _shaped(df: DataFrame, target: T.StructType) -> DataFrame:
     stamps = {c: F.coalesce(F.col(c), F.current_timestamp()) if c in df.columns else F.current_timestamp() for c in ("created_ts", "updated_ts") if c in target.names}
     df = df.withColumns(stamps)

@@ -261,3 +261,69 @@ def test_writers_count_what_they_write(spark, tmp_path):
     few.df.write.format("noop").mode("overwrite").save()
     with pytest.raises(ValueError, match="more values of id"):
         few.get()
+
+
+@pytest.fixture
+def server():
+    """A local HTTP server: /list, /object, /missing, /slow."""
+    import http.server
+    import threading
+    import time
+
+    class Answer(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            if self.path == "/slow":
+                time.sleep(3)
+            status = 404 if self.path == "/missing" else 200
+            body = json.dumps({"a": 1} if self.path == "/object" else [{"id": self.path, "n": i, "more": {"x": None}} for i in range(3)]).encode()
+            self.send_response(status)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    own = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Answer)
+    threading.Thread(target=own.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{own.server_port}"
+    own.shutdown()
+
+
+def test_rest_source_asks_a_server(spark, server):
+    rows = readers.read_rest(spark, [f"{server}/list", f"{server}/other"], "id string, n int, more struct<x: string>")
+    assert rows.rdd.getNumPartitions() == 2 and rows.schema.names == ["id", "n", "more"]
+    assert sorted((r["id"], r["n"]) for r in rows.collect()) == [(p, i) for p in ("/list", "/other") for i in range(3)]
+    for path, told in (("missing", "404"), ("object", "JSON list"), ("slow", "timed out")):
+        with pytest.raises(Exception, match=told):
+            readers.read_rest(spark, [f"{server}/{path}"], "id string", timeout=0.5).collect()
+
+
+def test_purge_of_stored_tables(spark, tmp_path):
+    import datetime as dt
+
+    day = dt.datetime(2026, 1, 10, 12)
+    rows = [{"session_id": f"s{i}", "created_ts": day - dt.timedelta(hours=6 * i)} for i in range(40)]
+    assert writers.append_ops(spark, str(tmp_path), "agent_sessions", rows) == 40
+    cutoff = day - dt.timedelta(days=3)
+    read = lambda: {r[0] for r in spark.read.parquet(f"{tmp_path}/agent_sessions").select("session_id").collect()}
+    files = {p for p in tmp_path.rglob("*.parquet") if "2026-01-09" in str(p)}
+    assert writers.purge_ops(spark, str(tmp_path), "agent_sessions", cutoff) == (40, 13) and read() == {f"s{i}" for i in range(13)}
+    assert files == {p for p in tmp_path.rglob("*.parquet") if "2026-01-09" in str(p)} and files  # newer days are not touched
+    assert writers.purge_ops(spark, str(tmp_path), "agent_sessions", cutoff) == (13, 13)
+    assert writers.purge_audit(spark, str(tmp_path), 0, day) == {"agent_sessions": 12, "agent_tool_calls": 0, "agent_responses": 0, "agent_proposals": 0}
+    # a crash before old days go: they are still there, and the next run takes them
+    crash = pytest.MonkeyPatch()
+    writers.append_ops(spark, str(tmp_path), "agent_responses", [{"event_id": str(i), "created_ts": day - dt.timedelta(hours=6 * i)} for i in range(40)])
+    with crash.context() as c, pytest.raises(RuntimeError):
+        c.setattr(type(spark.catalog), "refreshByPath", lambda *_: (_ for _ in ()).throw(RuntimeError("gone")))
+        writers.purge_ops(spark, str(tmp_path), "agent_responses", cutoff)
+    assert writers.purge_ops(spark, str(tmp_path), "agent_responses", cutoff) == (13, 13)
+
+
+def test_json_lists_are_told_by_their_first_sign(spark, tmp_path):
+    (tmp_path / "a.json").write_text("﻿\n\n  [\n {\"x\": 1},\n {\"x\": 2}]\n")
+    assert sorted(r["x"] for r in readers.read_json_array(spark, str(tmp_path / "a.json"), "x int").collect()) == [1, 2]
+    for text in ("", "  \n", '{"x": [1]}', "x [1]"):
+        (tmp_path / "b.json").write_text(text)
+        with pytest.raises(ValueError, match="list"):
+            readers.read_json_array(spark, str(tmp_path / "b.json"), "x int")
