@@ -150,50 +150,73 @@ def _met(t: int, pdf: pd.DataFrame, cosine: float, kind: str, how: tuple, across
     ids, weight, sub = pdf["id"].to_numpy(np.int64), pdf["weight"].to_numpy(np.int64), pdf["sub"].to_numpy()
     raw = np.array([np.frombuffer(v, kind) for v in pdf["v"]], dtype=np.float64)
     unit = _unit(raw)
-    keys: dict[int, np.ndarray] = {}
-    here = np.flatnonzero(home)
-    counts: dict[int, int] = {}
-    links, root = [], list(range(len(pdf)))
-
-    def top(a: int) -> int:
-        while root[a] != a:
-            root[a] = root[root[a]]
-            a = root[a]
-        return a
-
-    for a in range(0, len(pdf), 512):
-        rows = np.arange(a, min(a + 512, len(pdf)))
+    n, here = len(pdf), np.flatnonzero(home)
+    keys, known = np.zeros((n, how[0], 1 + how[2]), np.int64), np.zeros(n, bool)
+    counts, group, links = np.zeros(n), np.arange(n), []
+    for a in range(0, n, 512):
+        rows = np.arange(a, min(a + 512, n))
         r, c = _near(unit, raw, rows, here, cosine)
         # of two residents once; a prober and a resident as they stand
         ok = (ids[r] != ids[c]) & (~home[r] | (ids[r] < ids[c]))
         if across:
             ok &= sub[r] != sub[c]
         r, c = r[ok], c[ok]
-        if len(new := np.array(sorted({*r.tolist(), *c.tolist()} - keys.keys()), dtype=np.int64)):
+        used = np.zeros(n, bool)
+        used[r] = used[c] = True
+        if len(new := np.flatnonzero(used & ~known)):
             home_keys, near_keys = cells(unit[new], *how)
-            keys.update(zip(new.tolist(), np.concatenate([home_keys[:, :, None], near_keys], axis=2), strict=True))
+            keys[new], known[new] = np.concatenate([home_keys[:, :, None], near_keys], axis=2), True
         for e in range(0, len(r), 20_000):
             i, j = r[e : e + 20_000], c[e : e + 20_000]
-            ki, kj = (np.array([keys[v] for v in x.tolist()]) for x in (i, j))
+            ki, kj = keys[i, : t + 1], keys[j, : t + 1]
             # met in table s: one probes or lives where the other lives
-            meets = ((ki[:, : t + 1] == kj[:, : t + 1, :1]) | (kj[:, : t + 1] == ki[:, : t + 1, :1])).any(axis=2)
+            meets = ((ki == kj[:, :, :1]) | (kj == ki[:, :, :1])).any(axis=2)
             first = ~meets[:, :t].any(axis=1)
             # within this table a pair may meet in both home cells; it counts in the one of the smaller id's home
-            lived = np.where(ids[i] < ids[j], ki[:, t, 0], kj[:, t, 0])
-            other = np.where(ids[i] < ids[j], kj[:, t, 0], ki[:, t, 0])
+            less = ids[i] < ids[j]
+            lived, other = np.where(less, ki[:, t, 0], kj[:, t, 0]), np.where(less, kj[:, t, 0], ki[:, t, 0])
             cell = kj[:, t, 0]
-            small_probed = (np.where((ids[i] < ids[j])[:, None], kj[:, t], ki[:, t]) == lived[:, None]).any(axis=1)
+            small_probed = (np.where(less[:, None], kj[:, t], ki[:, t]) == lived[:, None]).any(axis=1)
             first &= (cell == lived) | (~small_probed & (cell == other))
             i, j = i[first], j[first]
-            for n, m in zip(i.tolist(), j.tolist(), strict=True):
-                if (p := top(n)) != (q := top(m)):
-                    root[max(p, q)] = min(p, q)
-                    links.append((int(ids[n]), int(ids[m])))
             for k, o in ((i, j), (j, i)):
-                both, place = np.unique(ids[k], return_inverse=True)
-                for b, v in zip(both.tolist(), np.bincount(place, weight[o]).tolist(), strict=True):
-                    counts[b] = counts.get(b, 0) + int(v)
-    return counts, links
+                counts += np.bincount(k, weight[o], n)
+            links += [(int(ids[i[x]]), int(ids[j[x]])) for x in _joining(group, i, j)]
+    found = np.flatnonzero(counts)
+    total: dict[int, int] = {}
+    for x, y in zip(ids[found].tolist(), counts[found].astype(np.int64).tolist(), strict=True):
+        total[x] = total.get(x, 0) + y
+    return total, links
+
+
+def _joining(group: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[int]:
+    """Places of the pairs that join two groups; ``group`` then has the joined ones.
+
+    Only one pair of each two groups is looked at singly, so pairs inside a group cost a comparison.
+    """
+    low, high = np.minimum(group[i], group[j]), np.maximum(group[i], group[j])
+    apart = np.flatnonzero(low != high)
+    if not len(apart):
+        return []
+    _, first = np.unique(low[apart] * len(group) + high[apart], return_index=True)
+    up = np.arange(len(group))
+
+    def top(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    out = []
+    for x in apart[first].tolist():
+        p, q = top(low[x]), top(high[x])
+        if p != q:
+            up[max(p, q)] = min(p, q)
+            out.append(x)
+    while (up[up] != up).any():
+        up = up[up]
+    group[:] = up[group]
+    return out
 
 
 def _cell_links(key, pdf: pd.DataFrame, cosine: float, kind: str, how: tuple) -> pd.DataFrame:
