@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -70,16 +71,21 @@ def neighbours(x: np.ndarray, home: np.ndarray, count: int) -> tuple[np.ndarray,
     return home[:, None, :] + (2 * ROOTS).astype(np.int64)[best], np.take_along_axis(more, best, axis=1)
 
 
+@lru_cache(maxsize=16)
+def _projections(tables: int, blocks: int, dim: int, seed: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """Weights of the keys, and basis and shift of each table."""
+    rng = np.random.default_rng([seed, dim])
+    weigh = rng.integers(1, 2**62, (tables, blocks, 8), dtype=np.int64) * 2 + 1
+    return weigh, [(np.linalg.qr(rng.standard_normal((max(dim, 8 * blocks), 8 * blocks)))[0][:dim], rng.uniform(0, 1, 8 * blocks)) for _ in range(tables)]
+
+
 def cells(unit: np.ndarray, tables: int, blocks: int, probes: int, width: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys of each vector's own cells (n, tables) and of those it probes (n, tables, probes)."""
     n, dim = unit.shape
     home = np.zeros((n, tables), np.int64)
     near = np.zeros((n, tables, probes), np.int64)
-    rng = np.random.default_rng([seed, dim])
-    weigh = rng.integers(1, 2**62, (tables, blocks, 8), dtype=np.int64) * 2 + 1
-    for t in range(tables):
-        basis = np.linalg.qr(rng.standard_normal((max(dim, 8 * blocks), 8 * blocks)))[0][:dim]
-        shift = rng.uniform(0, 1, 8 * blocks)
+    weigh, projections = _projections(tables, blocks, dim, seed)
+    for t, (basis, shift) in enumerate(projections):
         at = unit @ basis * (np.sqrt(dim) / width) + shift
         points = [at[:, 8 * b : 8 * b + 8] for b in range(blocks)]
         found = [nearest_e8(p) for p in points]
@@ -142,51 +148,71 @@ def _near(unit: np.ndarray, raw: np.ndarray, rows: np.ndarray, here: np.ndarray,
     return rows[r[keep]], here[c[keep]]
 
 
-def _met(t: int, pdf: pd.DataFrame, cosine: float, kind: str, how: tuple, across: bool) -> tuple[dict[int, int], list[tuple[int, int]]]:
-    """Links of one cell: counts by id and links that span what is linked here."""
-    home = pdf["home"].to_numpy(bool)
-    if not home.any() or len(pdf) < 2:
-        return {}, []
-    ids, weight, sub = pdf["id"].to_numpy(np.int64), pdf["weight"].to_numpy(np.int64), pdf["sub"].to_numpy()
-    raw = np.array([np.frombuffer(v, kind) for v in pdf["v"]], dtype=np.float64)
-    unit = _unit(raw)
-    n, here = len(pdf), np.flatnonzero(home)
-    keys, known = np.zeros((n, how[0], 1 + how[2]), np.int64), np.zeros(n, bool)
-    counts, group, links = np.zeros(n), np.arange(n), []
-    for a in range(0, n, 512):
-        rows = np.arange(a, min(a + 512, n))
-        r, c = _near(unit, raw, rows, here, cosine)
-        # of two residents once; a prober and a resident as they stand
-        ok = (ids[r] != ids[c]) & (~home[r] | (ids[r] < ids[c]))
-        if across:
-            ok &= sub[r] != sub[c]
-        r, c = r[ok], c[ok]
-        used = np.zeros(n, bool)
-        used[r] = used[c] = True
-        if len(new := np.flatnonzero(used & ~known)):
-            home_keys, near_keys = cells(unit[new], *how)
-            keys[new], known[new] = np.concatenate([home_keys[:, :, None], near_keys], axis=2), True
-        for e in range(0, len(r), 20_000):
-            i, j = r[e : e + 20_000], c[e : e + 20_000]
-            ki, kj = keys[i, : t + 1], keys[j, : t + 1]
-            # met in table s: one probes or lives where the other lives
-            meets = ((ki == kj[:, :, :1]) | (kj == ki[:, :, :1])).any(axis=2)
-            first = ~meets[:, :t].any(axis=1)
-            # within this table a pair may meet in both home cells; it counts in the one of the smaller id's home
-            less = ids[i] < ids[j]
-            lived, other = np.where(less, ki[:, t, 0], kj[:, t, 0]), np.where(less, kj[:, t, 0], ki[:, t, 0])
-            cell = kj[:, t, 0]
-            small_probed = (np.where(less[:, None], kj[:, t], ki[:, t]) == lived[:, None]).any(axis=1)
-            first &= (cell == lived) | (~small_probed & (cell == other))
-            i, j = i[first], j[first]
-            for k, o in ((i, j), (j, i)):
-                counts += np.bincount(k, weight[o], n)
-            links += [(int(ids[i[x]]), int(ids[j[x]])) for x in _joining(group, i, j)]
-    found = np.flatnonzero(counts)
-    total: dict[int, int] = {}
-    for x, y in zip(ids[found].tolist(), counts[found].astype(np.int64).tolist(), strict=True):
-        total[x] = total.get(x, 0) + y
-    return total, links
+class _Cell:
+    """The entries of one cell, or of two of its sub-blocks."""
+
+    def __init__(self, t: int, pdf: pd.DataFrame, cosine: float, kind: str, across: bool) -> None:
+        self.t, self.cosine, self.across = t, cosine, across
+        self.home, self.ids = pdf["home"].to_numpy(bool), pdf["id"].to_numpy(np.int64)
+        self.weight, self.sub = pdf["weight"].to_numpy(np.int64), pdf["sub"].to_numpy()
+        self.raw = np.array([np.frombuffer(v, kind) for v in pdf["v"]], dtype=np.float64)
+        self.unit, self.here = _unit(self.raw), np.flatnonzero(self.home)
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Near pairs, a few hundred rows at a time: of two residents once, a prober and a resident as they stand."""
+        for a in range(0, len(self.ids), 512):
+            r, c = _near(self.unit, self.raw, np.arange(a, min(a + 512, len(self.ids))), self.here, self.cosine)
+            ok = (self.ids[r] != self.ids[c]) & (~self.home[r] | (self.ids[r] < self.ids[c]))
+            if self.across:
+                ok &= self.sub[r] != self.sub[c]
+            yield r[ok], c[ok]
+
+    def used(self) -> np.ndarray:
+        """Entries that have a near one."""
+        out = np.zeros(len(self.ids), bool)
+        for r, c in self.pairs():
+            out[r] = out[c] = True
+        return np.flatnonzero(out)
+
+    def links(self, keys: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+        """Links counted here of each entry, and links that span them; ``keys`` of the entries that are used."""
+        t, ids, n = self.t, self.ids, len(self.ids)
+        counts, group, links = np.zeros(n), np.arange(n), []
+        for r, c in self.pairs():
+            for e in range(0, len(r), 20_000):
+                i, j = r[e : e + 20_000], c[e : e + 20_000]
+                ki, kj = keys[i, : t + 1], keys[j, : t + 1]
+                # met in table s: one probes or lives where the other lives
+                meets = ((ki == kj[:, :, :1]) | (kj == ki[:, :, :1])).any(axis=2)
+                first = ~meets[:, :t].any(axis=1)
+                # within this table a pair may meet in both home cells; it counts in the one of the smaller id's home
+                less = ids[i] < ids[j]
+                lived, other = np.where(less, ki[:, t, 0], kj[:, t, 0]), np.where(less, kj[:, t, 0], ki[:, t, 0])
+                cell = kj[:, t, 0]
+                small_probed = (np.where(less[:, None], kj[:, t], ki[:, t]) == lived[:, None]).any(axis=1)
+                first &= (cell == lived) | (~small_probed & (cell == other))
+                i, j = i[first], j[first]
+                for k, o in ((i, j), (j, i)):
+                    counts += np.bincount(k, self.weight[o], n)
+                links += [(int(ids[i[x]]), int(ids[j[x]])) for x in _joining(group, i, j)]
+        return counts, links
+
+
+def _keys(own: list[tuple[_Cell, np.ndarray]], how: tuple) -> Iterator[np.ndarray]:
+    """Keys of the used entries of each cell; those of several cells are made together, an id's once."""
+    ids = np.concatenate([c.ids[u] for c, u in own])
+    units = np.concatenate([c.unit[u] for c, u in own])
+    every, first, back = np.unique(ids, return_index=True, return_inverse=True)
+    made = np.empty((len(every), how[0], 1 + how[2]), np.int64)
+    for a in range(0, len(every), 2000):
+        home, near = cells(units[first[a : a + 2000]], *how)
+        made[a : a + 2000, :, 0], made[a : a + 2000, :, 1:] = home, near
+    at = 0
+    for c, u in own:
+        keys = np.zeros((len(c.ids), how[0], 1 + how[2]), np.int64)
+        keys[u] = made[back[at : at + len(u)]]
+        at += len(u)
+        yield keys
 
 
 def _joining(group: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[int]:
@@ -221,10 +247,31 @@ def _joining(group: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[int]:
 
 def _cell_links(key, pdf: pd.DataFrame, cosine: float, kind: str, how: tuple) -> pd.DataFrame:
     """Rows (id, n, null) of counts and (u, null, v) of links, over the cells of one group."""
-    out = []
-    for (t, _, _), own in pdf.groupby(["t", "cell", "dim"], sort=True):
-        counts, links = _met(int(t), own, cosine, kind, how, key[1] != key[2])
-        out += [(i, n, 0, False) for i, n in counts.items()] + [(u, 0, v, True) for u, v in links]
+    out: list[tuple[int, int, int, bool]] = []
+    held: dict[int, list[tuple[_Cell, np.ndarray]]] = {}
+    size = 0
+
+    def settle() -> None:
+        for own in held.values():
+            for (cell, _), keys in zip(own, _keys(own, how), strict=True):
+                counts, links = cell.links(keys)
+                some = np.flatnonzero(counts)
+                out.extend((i, n, 0, False) for i, n in zip(cell.ids[some].tolist(), counts[some].astype(np.int64).tolist(), strict=True))
+                out.extend((u, 0, v, True) for u, v in links)
+        held.clear()
+
+    for (t, _, dim), own in pdf.groupby(["t", "cell", "dim"], sort=True):
+        if len(own) < 2 or not own["home"].any():
+            continue
+        cell = _Cell(int(t), own, cosine, kind, key[1] != key[2])
+        if len(used := cell.used()):
+            held.setdefault(int(dim), []).append((cell, used))
+            size += len(used)
+        # so many entries' keys are held at once
+        if size >= 8192:
+            settle()
+            size = 0
+    settle()
     return pd.DataFrame(out, columns=["id", "n", "v", "link"]).astype({"id": "int64", "n": "int64", "v": "int64", "link": "bool"})
 
 
