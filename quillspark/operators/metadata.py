@@ -53,6 +53,17 @@ def normalize_raw(df: DataFrame, now: Column | None = None, unhashed: Iterable[s
     return df.drop("meta")
 
 
+def legacy_bronze(df: DataFrame) -> DataFrame:
+    """Raw envelopes as the older bronze table has them: flat rows whose batch falls back to the
+    source file and whose evaluated step falls back to the step; the day is that of the ingest time."""
+    require(df, ["meta", "payload"])
+    field = lambda of, name: F.col(f"{of}.{name}") if name in df.schema[of].dataType.names else F.lit(None).cast("string")
+    meta = {n: field("meta", n) for n in ("run_id", "ingest_ts", "source_name", "source_type", "pod_name", "pod_type", "task_type")}
+    payload = {n: field("payload", n) for n in ("set_id", "prompt_id", "step_index")}
+    made = {"ingest_date": F.to_date(F.try_to_timestamp(meta["ingest_ts"])), "batch_id": F.coalesce(field("payload", "batch_id"), field("meta", "source_file")), "evaluated_step_index": F.coalesce(field("payload", "evaluated_step_index"), payload["step_index"])}
+    return df.select("*", *[c.alias(n) for n, c in (meta | made | payload).items()])
+
+
 def trim_strings(df: DataFrame) -> DataFrame:
     """Every text column without spaces at its ends, in one projection."""
     text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}

@@ -80,6 +80,16 @@ def src_raw_jsonl(spark, sf_dir):
     return readers.read_raw(spark, lake.raw, [DAY, "2026-02-01"]).select("meta.run_id", "payload.prompt_id", "payload.query_text")
 
 
+@query(f"""SELECT 'run' || CAST(s_suppkey % 2 AS VARCHAR) AS run_id, CAST(s_suppkey AS VARCHAR) AS prompt_id, DATE '{DAY}' AS ingest_date, 'memory' AS batch_id, CASE WHEN s_suppkey % 3 = 0 THEN '7' ELSE CAST(s_suppkey % 5 AS VARCHAR) END AS evaluated_step_index FROM supplier""")
+def legacy_bronze(spark, sf_dir):
+    """The older bronze rows: no batch of their own, some without an evaluated step."""
+    lake = pipeline.Lake(writers.scratch(spark))
+    rows = _t(spark, sf_dir, "supplier").select(F.concat(F.lit("run"), (F.col("s_suppkey") % 2).cast("string")).alias("run_id"), F.col("s_suppkey").cast("string").alias("prompt_id"), (F.col("s_suppkey") % 5).cast("string").alias("step_index"), F.when(F.col("s_suppkey") % 3 == 0, "7").alias("evaluated_step_index"))
+    for run in ("run0", "run1"):
+        pipeline.land_raw(spark, lake, rows.where(F.col("run_id") == run).drop("run_id"), run, DAY, source_name="suppliers")
+    return metadata.legacy_bronze(readers.read_raw(spark, lake.raw)).select("run_id", "prompt_id", "ingest_date", "batch_id", "evaluated_step_index")
+
+
 @query(f"SELECT run_id, prompt_id, query_text, DATE '{DAY}' AS ingest_date, 'json' AS source_type FROM ({_LANDED_SQL})")
 def bronze_rows(spark, sf_dir):
     lake = pipeline.Lake(writers.scratch(spark))

@@ -35,7 +35,7 @@ PAYLOAD_DDL = ", ".join(f"{c} string" for c in PAYLOAD_TEXT)
 BRONZE_REQUIRED = ("run_id", "ingest_ts", "schema_hash", "record_hash", "source_type", "raw_path")
 
 _RUN = "run_id string, stage string"
-#: Control tables: DDL and clustering columns; all are partitioned by the day of created_ts.
+# Control tables with their columns, types and clustering columns, in order; all are partitioned by the day of created_ts.
 OPS_TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
     "pipeline_runs": (
         f"{_RUN}, status string, start_ts timestamp, end_ts timestamp, duration_ms bigint, input_count bigint, output_count bigint, deadletter_count bigint, schema_hash string, "
@@ -53,7 +53,7 @@ OPS_TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
     "agent_proposals": ("proposal_id string, session_id string, route string, title string, proposal_text string, evidence_refs array<string>, status string, created_ts timestamp, updated_ts timestamp", ("proposal_id", "session_id", "status")),
 }
 
-#: Contracts: keys, required fields and lineage fields of published tables.
+# Contracts, with keys, required fields and lineage fields of published tables.
 CONTRACTS = {
     "feedback_step": {"keys": ("run_id", "record_hash"), "required": ("ingest_date", "run_id", "record_hash", "schema_hash", "prompt_id", "evaluated_step_index"), "lineage": ("run_id", "ingest_ts", "schema_hash", "record_hash", "raw_path")},
     "training_supervised_examples": {"keys": ("run_id", "prompt_id"), "required": ("ingest_date", "run_id", "prompt_id", "task_type", "final_answer"), "lineage": ("run_id", "ingest_ts", "schema_hash", "record_hash")},
