@@ -29,9 +29,9 @@ def looks_like_json(c: Column) -> Column:
     return F.substring(F.ltrim(c), 1, 1).isin("[", "{")
 
 
-def json_error(c: Column, name: str) -> Column:
-    """``json_parse_error:<name>`` where a text that begins like JSON is none."""
-    return F.when(looks_like_json(c) & F.try_parse_json(c).isNull(), F.lit(f"json_parse_error:{name}"))
+def json_variant(c: Column) -> Column:
+    """Text that begins like JSON as a variant; null for other text and for what can't be parsed."""
+    return F.when(looks_like_json(c), F.try_parse_json(c))
 
 
 def digits_to_int(c: Column) -> Column:
@@ -62,6 +62,13 @@ def as_struct(df: DataFrame, name: str, ddl: str) -> Column:
     return F.lit(None).cast(target).alias(name)
 
 
+def as_variant(df: DataFrame, name: str) -> Column:
+    """Column ``name`` as a variant: nested values as they are, null fields left out; plain values as themselves."""
+    have = df.schema[name].dataType
+    nested = isinstance(have, (T.StructType, T.ArrayType, T.MapType))
+    return (F.try_parse_json(F.to_json(F.col(name))) if nested else F.col(name).cast("variant")).alias(name)
+
+
 def as_strings(df: DataFrame, name: str) -> Column:
     """Column ``name`` as an array of strings.
 

@@ -260,6 +260,15 @@ def gen_sample(spark, sf_dir):
     return reshape.union_by_name(*out)
 
 
+@query("""SELECT t.batch_id, 'prompt_' || (1000 + i) AS prompt_id, 'set_' || lpad(CAST(1 + i // 3 AS VARCHAR), 3, '0') AS set_id, CAST(i % 6 AS INTEGER) AS step_index, CASE WHEN i % 2 = 0 THEN 'tool' ELSE 'search' END AS step_type,
+ 2 AS steps, 3.8::DOUBLE AS reasoning, 4.1::DOUBLE AS reviewed, 0 AS faults FROM generate_series(0, (SELECT count(*) - 1 FROM supplier)) s(i), (VALUES ('auto_batch'), ('human_batch')) t(batch_id)""")
+def gen_source_batches(spark, sf_dir):
+    """A record a supplier, nested and as text, both through the normaliser."""
+    batches = sample.source_batches(spark, _t(spark, sf_dir, "supplier").count())
+    facts = [F.size("execution_json.steps").alias("steps"), F.col("curator_1_rating.reasoning").alias("reasoning"), F.col("reviewer_curator_2_rating.reasoning").alias("reviewed"), F.size("parse_errors").alias("faults")]
+    return reshape.union_by_name(*[ingest.normalize_payload(b).select("batch_id", "prompt_id", "set_id", "step_index", "step_type", *facts) for b in batches.values()])
+
+
 # ---- normalisers ------------------------------------------------------------------------------------------------------
 
 
@@ -296,6 +305,25 @@ def payload_defaults(spark, sf_dir):
     return ingest.normalize_payload(rows).select("s_suppkey", F.col("curator_1_rating.reasoning").alias("own"), F.col("reviewer_curator_1_rating.reasoning").alias("reviewed"), F.array_join("violations", "|").alias("violations"))
 
 
+@query("""SELECT DISTINCT 'execution_json' AS "column", key AS field, 'bigint' AS type FROM (SELECT unnest(json_keys(props)) AS key FROM events) UNION SELECT 'execution_json', 'steps[].took', 'bigint' FROM events
+ UNION SELECT 'curator_1_rating', 'note', 'string' FROM events UNION SELECT 'reviewer_curator_1_rating', 'note', 'string' FROM events""")
+def payload_drift(spark, sf_dir):
+    """Fields of all events' properties, of steps and of ratings that the declared types don't have; every ninth text is no JSON."""
+    steps = F.to_json(F.struct(F.array(F.struct(F.lit("tool").alias("step_type"), F.col("event_id").alias("took"))).alias("steps")))
+    execution = F.when(F.col("event_id") % 9 == 0, '{"bad').when(F.col("event_id") % 2 == 0, F.col("props")).otherwise(steps)
+    rating = F.to_json(F.struct((F.col("event_id") % 6).cast("double").alias("reasoning"), F.col("event_type").alias("note")))
+    rows = _t(spark, sf_dir, "events").select("event_id", execution.alias("execution_json"), rating.alias("curator_1_rating"))
+    return ingest.payload_drift(ingest.normalize_payload(rows, "variant"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 9 = 0 THEN '{\"bad' WHEN event_id % 9 = 1 THEN 'plain' ELSE '{\"a\":' || event_id || ',\"k\":' || json_extract_string(props, '$.k') || '}' END AS kept, CASE WHEN event_id % 9 < 2 THEN NULL ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k, CASE WHEN event_id % 9 = 0 THEN 1 ELSE 0 END AS faults FROM events")
+def payload_variant(spark, sf_dir):
+    """Undeclared fields are kept, in the order of their keys; text that is no JSON stays a string."""
+    execution = F.when(F.col("event_id") % 9 == 0, '{"bad').when(F.col("event_id") % 9 == 1, "plain").otherwise(F.concat(F.lit('{ "k" : '), F.get_json_object("props", "$.k"), F.lit(', "a" : '), F.col("event_id").cast("string"), F.lit("}")))
+    out = ingest.normalize_payload(_t(spark, sf_dir, "events").select("event_id", execution.alias("execution_json")), "variant")
+    return out.select("event_id", F.try_variant_get("execution_json", "$", "string").alias("kept"), F.try_variant_get("execution_json", "$.k", "bigint").alias("k"), F.size("parse_errors").alias("faults"))
+
+
 @query("SELECT count(*) AS rows, 1 AS first, count(*) AS last, count(*) AS places, 'b7' AS named, 'orders_1' AS by_stem FROM orders")
 def batch_places(spark, sf_dir):
     """Row numbers of a batch are dense; its id is the first row's, else the file's stem."""

@@ -14,7 +14,7 @@ import json
 from collections.abc import Iterable
 from dataclasses import dataclass
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark import schemas
@@ -37,21 +37,27 @@ class Lake:
 
 
 def land_raw(spark: SparkSession, lake: Lake, rows: DataFrame, run_id: str, day: str, source_type: str = "json", source_name: str = "feedback", source_uri: str = "memory", code_version: str | None = None) -> str:
-    """Source rows as raw JSONL envelopes; payload values as text or JSON text."""
-    typed = ingest.normalize_payload(rows)
+    """Source rows as raw JSONL envelopes; payload values as text or JSON text, with all fields that the source has."""
+    typed = ingest.normalize_payload(rows, "variant")
     batch = ingest.batch_id(typed, source_uri)
-    text = C.jsonify(typed, [f.name for f in typed.schema.fields])
-    text = text.select(*[F.col(c).cast("string").alias(c) for c in schemas.PAYLOAD_TEXT])
+    seen = Observation()
+    kinds = dict(typed.dtypes)
+    value = lambda c: F.try_variant_get(F.col(c), "$", "string") if kinds[c] == "variant" else F.col(c).cast("string")
+    text = typed.observe(seen, *ingest.nested_types(typed).values()).select(*[value(c).alias(c) for c in schemas.PAYLOAD_TEXT])
     meta = {"run_id": run_id, "ingest_ts": f"{day}T00:00:00Z", "source_type": source_type, "source_name": source_name, "source_file": source_uri.rpartition("/")[2], "source_uri": source_uri}
     path = f"{lake.raw}/{source_name}/dt={day}/run_id={run_id}/batch_id={batch}"
     with lifecycle.Stage(spark, lake.ops, "raw", code_version, [source_uri], [path]) as stage:
         stage.expect([(run_id, day)])
         n = writers.write_jsonl(ingest.raw_envelope(text, meta), path)
+        # the fields as the one evaluation of the source saw them
+        types = {c: t for c, t in seen.get.items() if t and t.startswith("OBJECT")}
+        drift = [list(f) for f in ingest.undeclared(types)]
+        register_schemas(spark, lake, run_id, rows, source_type, types)
         # a run's batches land one after another and share its manifest
         before = writers.manifest_path(lake.manifests, "raw", day, run_id)
         batches = json.loads(writers.get_text(spark, before)).get("batches", {}) if readers.path_exists(spark, before) else {}
         batches[path] = n
-        written = writers.write_manifest(spark, lake.manifests, "raw", day, run_id, output_paths=sorted(batches), batches=batches, counts={source_name: sum(batches.values())})
+        written = writers.write_manifest(spark, lake.manifests, "raw", day, run_id, output_paths=sorted(batches), batches=batches, counts={source_name: sum(batches.values())}, undeclared_fields=drift)
         stage.done((run_id, day), input_count=n, output_count=n, deadletter_count=0, manifest_path=written)
     return path
 
@@ -205,9 +211,10 @@ def run_star(spark: SparkSession, lake: Lake) -> None:
         df.write.mode("overwrite").parquet(f"{lake.star}/{name}")
 
 
-def register_schemas(spark: SparkSession, lake: Lake, run_id: str, df: DataFrame, source_type: str) -> int:
-    """Adds a schema to the registry if it is new; how many were added."""
-    rows = spark.createDataFrame([(json.dumps(sorted(df.columns)), run_id, source_type)], "schema_json string, first_seen_run_id string, source_type string")
+def register_schemas(spark: SparkSession, lake: Lake, run_id: str, df: DataFrame, source_type: str, nested: dict[str, str] | None = None) -> int:
+    """Adds a schema, with the types seen in nested columns if they are given, to the registry if it is new; how many were added."""
+    names = sorted(df.columns)
+    rows = spark.createDataFrame([(json.dumps({"columns": names, "nested": nested} if nested else names, sort_keys=True), run_id, source_type)], "schema_json string, first_seen_run_id string, source_type string")
     rows = rows.withColumn("schema_hash", F.sha2("schema_json", 256))
     path = f"{lake.ops}/schema_registry"
     new = control.first_seen(rows, spark.read.parquet(path) if readers.has_rows(spark, path) else None)

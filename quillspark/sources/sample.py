@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark import schemas
+from quillspark.functions import columns as C
 
 
 def _draw(n: int, *parts) -> Column:
@@ -71,3 +72,49 @@ def feedback_rows(spark: SparkSession, kind: str = "auto", prompts: int = 30, se
         (auto if kind != "human" else none(schemas.NESTED["auto_rater"])).alias("auto_rater"),
         F.lit(None).cast("string").alias("reviewer_comments"),
     )
+
+
+# What each metric adds to a rater's base, each rater's base, and the least base of the best label.
+_ADDED = {"primary_intent": 0.0, "information_gain": 0.1, "reasoning": 0.2, "understanding": 0.1, "implementation": 0.15, "trajectory_robustness": 0.05}
+_BASES = {"curator_1": 3.6, "curator_2": 3.7, "reviewer_curator_1": 3.8, "reviewer_curator_2": 3.9, "auto_rater": 3.75}
+_GOOD_FROM = 3.5
+
+
+def _steady_rating(base: float) -> Column:
+    scores = [F.lit(round(base + _ADDED[m], 2)).alias(m) for m in schemas.METRICS]
+    return F.struct(*scores, F.lit(schemas.LABELS[2] if base >= _GOOD_FROM else schemas.LABELS[1]).alias("overall_label"))
+
+
+def source_batches(spark: SparkSession, records: int = 12, auto_batch: str = "auto_batch", human_batch: str = "human_batch", task: str = "NEXT_STEPS") -> dict[str, DataFrame]:
+    """The same records twice, without any draw: ``json`` with nested values, ``csv`` with them as JSON text.
+
+    Three prompts share a set; a record evaluates step 0 to 5 in turn, behind one
+    search step; all raters rate all records, each metric a fixed step above the rater's base.
+    """
+    i = F.col("id")
+    at, prompt = (i % 6).cast("int"), F.concat(F.lit("prompt_"), (1000 + i).cast("string"))
+    asked = F.concat(F.lit("Provide next steps for scenario "), (1000 + i).cast("string"), F.lit("."))
+    step = lambda n, kind, tool, query, output, answer: F.struct(n.alias("step_index"), F.lit(kind).alias("step_type"), F.lit(tool).alias("tool_name"), query.alias("query"), F.lit(output).alias("tool_output"), F.lit(answer).alias("partial_answer"))
+    steps = F.array(
+        step(F.greatest(F.lit(0), at - 1), "search", "search", F.concat(F.lit("Search for context for "), prompt), "Snippets found.", "Draft."),
+        step(at, "tool", "calculator", F.lit("Compute the final score"), "Score=4.2", "Refined."),
+    )
+    none = F.array().cast("array<string>")
+    auto = F.struct(_steady_rating(_BASES["auto_rater"]).alias("scores"), none.alias("violations"), F.lit(0.87).alias("confidence"), F.lit("v1").alias("rubric_version"), F.lit("auto-rater-v1").alias("model_version"), F.lit("auto").alias("final_reviewer"))
+    rows = spark.range(records).select(
+        F.lit("pod_a").alias("pod_name"),
+        F.lit("vertical").alias("pod_type"),
+        F.lit(task).alias("task_type"),
+        F.format_string("set_%03d", 1 + F.floor(i / 3)).alias("set_id"),
+        prompt.alias("prompt_id"),
+        asked.alias("query_text"),
+        at.alias("step_index"),
+        at.alias("evaluated_step_index"),
+        F.when(i % 2 == 0, "tool").otherwise("search").alias("step_type"),
+        F.struct(prompt.alias("prompt_id"), asked.alias("query_text"), steps.alias("steps"), F.concat(F.lit("Next steps for "), prompt).alias("final_answer"), F.lit("model-1").alias("model_version")).alias("execution_json"),
+        none.alias("violations"),
+        *[_steady_rating(_BASES[r]).alias(f"{r}_rating") for r in schemas.HUMAN_RATERS],
+        auto.alias("auto_rater"),
+    )
+    named = lambda df, batch: df.withColumns({"batch_id": F.lit(batch), "batch_name": F.lit(batch)})
+    return {"json": named(rows, auto_batch), "csv": named(C.jsonify(rows), human_batch)}

@@ -1,5 +1,7 @@
 """Column expressions on hand-made rows, malformed ones included."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from quillspark import schemas
@@ -27,6 +29,31 @@ def test_normalize_payload(spark):
     assert rows[2]["rescued_data"] == '{"execution_json":"{bad","step_index":"1.0"}'
 
 
+def test_payload_as_variants_keeps_all_fields(spark):
+    df = spark.createDataFrame(
+        [('{"final_answer": "x", "new": {"deep": [1, null]}}', '{"reasoning": 3, "why": "y"}', None, '["A"]'), ("{bad", "plain", "[broken", "POLICY"), ("", None, "", None)],
+        "execution_json string, curator_1_rating string, reviewer_curator_1_rating string, violations string",
+    )
+    out = ingest.normalize_payload(df, "variant")
+    text = lambda c: F.try_variant_get(c, "$", "string").alias(c)
+    rows = out.select(*map(text, ("execution_json", "curator_1_rating", "reviewer_curator_1_rating", "violations")), "parse_errors").collect()
+    assert list(rows[0])[:4] == ['{"final_answer":"x","new":{"deep":[1,null]}}', '{"reasoning":3,"why":"y"}', '{"reasoning":3,"why":"y"}', '["A"]']
+    # a reviewer's broken text stays the reviewer's and is not replaced by the curator's
+    assert list(rows[1]) == ["{bad", "plain", "[broken", '["POLICY"]', ["json_parse_error:execution_json", "json_parse_error:reviewer_curator_1_rating"]]
+    assert list(rows[2])[:4] == [None, None, None, "[]"]
+    drift = [tuple(r) for r in ingest.payload_drift(out).collect()]
+    assert [d[:2] for d in drift] == [("curator_1_rating", "why"), ("execution_json", "new"), ("reviewer_curator_1_rating", "why")]
+    typed = ingest.normalize_payload(df).select("curator_1_rating", "reviewer_curator_1_rating").collect()
+    assert typed[1] == (None, None) and typed[0]["reviewer_curator_1_rating"]["reasoning"] == 3.0
+    assert ingest.payload_drift(out.limit(0)).isEmpty()
+
+
+def test_each_cell_is_parsed_once(spark):
+    df = spark.createDataFrame([("{}",)], "execution_json string")
+    plan = ingest.normalize_payload(df).select("execution_json", "parse_errors", "rescued_data")._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"(?i)parse_?json\W", plan)) == 1
+
+
 def test_arrays_keep_the_text_that_is_no_list(spark):
     df = spark.createDataFrame([("POLICY",), ('"A"',), ('{"a":1}',), ("[null]",), (None,), ("  ",)], "v string")
     assert [r[0] for r in df.select(C.as_strings(df, "v")).collect()] == [["POLICY"], ['"A"'], ['{"a":1}'], [None], [], []]

@@ -152,6 +152,25 @@ def test_csv_and_json_sources_agree(spark, tmp_path):
         readers.read_source(spark, "xml", "x")
 
 
+def test_nested_and_text_batches_are_the_same_records(spark):
+    batches = sample.source_batches(spark, 7)
+    keys = ["prompt_id", "set_id", "step_index", "execution_json", "auto_rater", "violations", "curator_1_rating", "reviewer_curator_2_rating"]
+    left, right = (sorted(map(str, ingest.normalize_payload(b).select(*keys).collect())) for b in batches.values())
+    assert left == right and len(left) == 7
+    assert dict(batches["csv"].dtypes)["execution_json"] == "string" and sample.source_batches(spark, 0)["json"].isEmpty()
+
+
+def test_new_fields_are_registered_and_kept(spark, tmp_path):
+    own = pipeline.Lake(str(tmp_path / "drift"))
+    rows = spark.createDataFrame([("p", '{"final_answer":"x","novel":1}')], "prompt_id string, execution_json string")
+    path = pipeline.land_raw(spark, own, rows, "r1", "2026-01-01")
+    assert '\\"novel\\":1' in spark.read.text(path).first()[0]
+    manifest = json.loads(writers.get_text(spark, writers.manifest_path(own.manifests, "raw", "2026-01-01", "r1")))
+    assert manifest["undeclared_fields"] == [["execution_json", "novel", "bigint"]]
+    schema = spark.read.parquet(f"{own.ops}/schema_registry").first()["schema_json"]
+    assert "novel: BIGINT" in json.loads(schema)["nested"]["execution_json"]
+
+
 def test_rest_rows_come_from_all_sources(spark):
     fetch = lambda url: [{"id": f"{url}-{i}"} for i in range(2)]
     assert sorted(r[0] for r in readers.read_rest(spark, ["a", "b"], "id string", fetch).collect()) == ["a-0", "a-1", "b-0", "b-1"]
