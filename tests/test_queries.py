@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from quillspark.plans import queries
+from quillspark.sources import sample
 
 
 def told(rows, names):
@@ -34,6 +35,18 @@ def test_query_matches_its_sql(spark, sf_dir, duck, name):
     assert told([tuple(r) for r in ours.collect()], ours.columns) == told(theirs.fetchall(), columns)
 
 
+def test_source_batches_of_over_999_sets_match_the_sql(spark, tmp_path):
+    # 3,010 suppliers make 1,004 sets
+    spark.range(3010).coalesce(1).write.parquet(str(tmp_path / "supplier.parquet"))
+    ours = queries.QUERIES["gen_source_batches"](spark, str(tmp_path))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW supplier AS SELECT * FROM '{tmp_path}/supplier.parquet/*.parquet'")
+    theirs = duck.execute(queries.ORACLE_SQL["gen_source_batches"])
+    assert told([tuple(r) for r in ours.collect()], ours.columns) == told(theirs.fetchall(), [d[0] for d in theirs.description])
+    # the generator itself keeps the whole number
+    assert sample.source_batches(spark, 3010)["json"].where("set_id = 'set_1004'").count() == 1
+
+
 def test_every_core_query_has_sql():
     assert set(queries.QUERIES) == set(queries.ORACLE_SQL)
     assert set(queries.QUERIES) <= set(entry.queries()) and set(queries.ORACLE_SQL) <= set(entry.oracle_sql())
