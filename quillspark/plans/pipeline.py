@@ -109,7 +109,7 @@ def gold(feedback: DataFrame, ratings: DataFrame, violations: DataFrame) -> dict
         "model_eval_step_metrics": marts.step_metrics(feedback),
         "model_eval_failure_breakdown": marts.failure_breakdown(feedback, violations),
         "model_comparison_daily": marts.model_comparison_daily(feedback),
-        "rater_agreement": marts.rater_agreement(ratings, feedback),
+        "rater_agreement": marts.rater_agreement(ratings, feedback, metrics=schemas.METRICS),
     }
 
 

@@ -64,6 +64,30 @@ def test_agreement(spark):
     assert (row["comparison_count"], row["avg_abs_diff"]) == (1, 2.0)
 
 
+def test_agreement_of_known_metrics_is_the_same_and_shuffles_steps(spark):
+    made = [("r", "p", 0, "reasoning", t, v) for t, v in (("curator_1", 4.0), ("curator_2", None), ("auto_rater", 5.0), ("auto_rater", 1.5), ("auto_rater", 1.0), ("auto_rater", None))]
+    made += [("r", "p", 0, "information_gain", t, v) for t, v in (("curator_1", None), ("reviewer_curator_1", 1.0), ("auto_rater", 0.0))]
+    # no score, no human, no automatic rating, keys and metrics that are null
+    made += [("r", "p", 1, "reasoning", t, v) for t, v in (("curator_1", None), ("auto_rater", 2.0))] + [("r", "p", 1, "implementation", "auto_rater", 2.0), ("r", "p", 1, "understanding", "curator_2", 2.0)]
+    made += [(k, "q", 2, m, t, 3.0) for k, m in ((None, "reasoning"), ("r", None)) for t in ("curator_1", "auto_rater")]
+    schema = "ingest_date string, run_id string, prompt_id string, evaluated_step_index int, metric_name string, rater_type string, metric_score double"
+    ratings = spark.createDataFrame([("2026-01-01", *r) for r in made], schema)
+    steps = feedback(spark, (0, 3.0, None, "a"), (0, 3.0, None, "b"), (2, 3.0, None, "c"))
+    for one in (False, True):
+        plain, known = (marts.rater_agreement(ratings, steps, one=one, metrics=m) for m in (None, schemas.METRICS))
+        assert sorted(map(str, known.collect())) == sorted(map(str, plain.collect()))
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\([^)]*evaluated_step_index[^)]*metric_name", plan)
+    other = spark.createDataFrame([("2026-01-01", "r", "p", 0, "tone", "curator_1", 1.0)], schema)
+    with pytest.raises(Exception, match="unexpected metric: tone"):
+        marts.rater_agreement(ratings.union(other), steps, metrics=schemas.METRICS).collect()
+
+
+def test_agreement_query_and_marts_know_their_metrics(spark, sf_dir):
+    plan = queries.QUERIES["rater_agreement"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\([^)]*evaluated_step_index[^)]*metric_name", plan)
+
+
 def test_step_metrics_and_star(spark):
     metrics = marts.step_metrics(feedback(spark, (0, 1.0, None, "a"), (1, 1.0, "LLM_RATED_BAD", "b")))
     assert sorted(r["is_bad"] for r in metrics.collect()) == [0, 1]
