@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from quillspark import schemas
 from quillspark.functions import columns as C
-from quillspark.operators import control, ingest, latest, marts, metadata, quality, reshape, star
+from quillspark.operators import control, ingest, latest, marts, metadata, places, quality, reshape, star
 from quillspark.plans import lifecycle
 from quillspark.sources import readers, writers
 
@@ -38,17 +38,19 @@ class Lake:
 
 def land_raw(spark: SparkSession, lake: Lake, rows: DataFrame, run_id: str, day: str, source_type: str = "json", source_name: str = "feedback", source_uri: str = "memory", code_version: str | None = None) -> str:
     """Source rows as raw JSONL envelopes; payload values as text or JSON text, with all fields that the source has."""
-    typed = ingest.normalize_payload(rows, "variant")
-    batch = ingest.batch_id(typed, source_uri)
+    batch = ingest.batch_id(ingest.normalize_payload(rows, "variant"), source_uri)
+    # small files hold many rows, whose parsing is the work
+    typed = ingest.normalize_payload(places.dealt(rows, "__at"), "variant")
     seen = Observation()
     kinds = dict(typed.dtypes)
     value = lambda c: F.try_variant_get(F.col(c), "$", "string") if kinds[c] == "variant" else F.col(c).cast("string")
-    text = typed.observe(seen, *ingest.nested_types(typed).values()).select(*[value(c).alias(c) for c in schemas.PAYLOAD_TEXT])
+    text = typed.observe(seen, *ingest.nested_types(typed).values()).select(*[value(c).alias(c) for c in schemas.PAYLOAD_TEXT], "__at")
     meta = {"run_id": run_id, "ingest_ts": f"{day}T00:00:00Z", "source_type": source_type, "source_name": source_name, "source_file": source_uri.rpartition("/")[2], "source_uri": source_uri}
     path = f"{lake.raw}/{source_name}/dt={day}/run_id={run_id}/batch_id={batch}"
     with lifecycle.Stage(spark, lake.ops, "raw", code_version, [source_uri], [path]) as stage:
         stage.expect([(run_id, day)])
-        n = writers.write_jsonl(ingest.raw_envelope(text, meta), path)
+        numbered = places.dense_places_of(text, "__at", "__place").withColumn("__place", F.col("__place") + 1)
+        n = writers.write_jsonl(ingest.raw_envelope(numbered, meta, "__place"), path)
         # the fields as the one evaluation of the source saw them
         types = {c: t for c, t in seen.get.items() if t and t.startswith("OBJECT")}
         drift = [list(f) for f in ingest.undeclared(types)]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillspark import schemas
-from quillspark.operators import ingest, metadata, quality
+from quillspark.operators import ingest, metadata, places, quality
 from quillspark.plans import pipeline
 from quillspark.sources import readers, sample, writers
 
@@ -116,6 +116,19 @@ def test_places_are_dense_over_partitions(spark):
     assert sorted((r[0], int(r[1])) for r in out) == [(i + 1, 3 * i) for i in range(334)]
 
 
+def test_a_source_of_one_split_is_landed_by_several_tasks_in_its_order(spark, tmp_path):
+    own = pipeline.Lake(str(tmp_path / "spread"))
+    rows = spark.range(0, 60_000, 1, 1).select(F.col("id").cast("string").alias("prompt_id"), F.sha2(F.col("id").cast("string"), 512).alias("query_text"))
+    path = pipeline.land_raw(spark, own, rows, "r1", DAY)
+    raw = readers.read_raw(spark, own.raw).select(F.col("meta.row_number").alias("n"), F.col("payload.prompt_id").cast("long").alias("id"), "raw_path")
+    facts = raw.agg(F.count(F.lit(1)), F.count_if(F.col("n") != F.col("id") + 1), F.count_distinct("raw_path")).first()
+    assert facts[0] == 60_000 and facts[1] == 0 and facts[2] > 1, (path, facts)
+    several = spark.range(0, 1000, 1, 7).select("id").where("id % 3 = 0")
+    out = places.dense_places_of(places.dealt(several, "at"), "at").collect()
+    assert sorted((r["place"], r["id"]) for r in out) == [(i, 3 * i) for i in range(334)]
+    assert places.dense_places_of(places.dealt(several.limit(0), "at"), "at").collect() == []
+
+
 def test_rest_to_raw_in_one_go(spark, tmp_path):
     lake = pipeline.Lake(str(tmp_path))
     fetch = lambda url: [{"id": f"{url}{i}", "text": "fine", "rating": 4} for i in range(3)]
