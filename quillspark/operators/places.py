@@ -35,8 +35,12 @@ def dense_places(df: DataFrame, order: Sequence[Column] = (), by: str | None = N
 
 
 def dealt(df: DataFrame, at: str) -> DataFrame:
-    """``df`` evenly over tasks, however few files or row groups it comes from; ``at`` keeps the rows' own order for ``dense_places_of``."""
-    return df.withColumn(at, F.monotonically_increasing_id()).repartition(F.col(at))
+    """``df`` evenly over tasks, however few files or row groups it comes from; ``at`` keeps the rows' own order for ``dense_places_of``.
+
+    The number of tasks is given: Spark would put rows of few bytes together in one, whatever the work on each.
+    """
+    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.withColumn(at, F.monotonically_increasing_id()).repartition(parts, F.col(at))
 
 
 def dense_places_of(df: DataFrame, at: str, name: str = "place") -> DataFrame:

@@ -3,6 +3,7 @@
 import re
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillspark import schemas
 from quillspark.functions import columns as C
@@ -138,3 +139,21 @@ def test_canonical_json_is_that_of_python(spark):
         assert [r[0] for r in df.select(C.record_hash(df, df.columns)).collect()] == want
     plan = df.select("s.t").select(C.canonical_json(F.col("t"), schemas.parse("string")))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_canonical_json_of_texts_alone(spark):
+    import hashlib
+    import json
+
+    texts = ["", None, 'a "b" \\', "\\u001F", "\x00\x0b\x1f", "\x7f\u2028 ü 😀 </", "\n\r\t\f\b", "\ufffd", '{"x":"\\"y\\"","z":1.0}']
+    rows = [{"b": t, "Ä \x01\"": u, "a": None} for t in texts for u in ("plain", t)]
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], T.StructType([T.StructField(n, T.StringType()) for n in rows[0]]))
+    want = [json.dumps(r, sort_keys=True, separators=(",", ":"), ensure_ascii=False) for r in rows]
+    kind = df.schema
+    assert [r[0] for r in df.select(C.canonical_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), kind)).collect()] == want
+    assert [r[0] for r in df.select(C.record_hash(df, df.columns)).collect()] == [hashlib.sha256(w.encode()).hexdigest() for w in want]
+    # bytes that are no UTF-8 stay as they are, and a struct that is null is null
+    odd = spark.range(1).selectExpr("named_struct('t', cast(x'41ff42' as string)) AS s").select(F.hex(C.canonical_json(F.col("s"), schemas.parse("struct<t: string>"))))
+    assert odd.first()[0] == (b'{"t":"A\xffB"}').hex().upper()
+    none = spark.createDataFrame([(None,)], "s struct<t: string>").select(C.canonical_json(F.col("s"), schemas.parse("struct<t: string>")))
+    assert none.first()[0] == "null"

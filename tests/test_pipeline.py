@@ -129,6 +129,22 @@ def test_a_source_of_one_split_is_landed_by_several_tasks_in_its_order(spark, tm
     assert places.dense_places_of(places.dealt(several.limit(0), "at"), "at").collect() == []
 
 
+def test_rows_of_few_bytes_are_dealt_over_several_tasks(spark):
+    for n in (400, 20_000):
+        at = places.dealt(spark.range(0, n, 1, 1), "at").select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+        assert len(at) == 4 and max(r["count"] for r in at) < n / 2
+
+
+def test_only_objects_give_nested_types(spark):
+    texts = [None, '{"a": 1}', '{"b": "x", "c": {"d": [1]}}', "{}", "{no json", '"{}"', "[1]", "7", "true", "null", "[{}]"]
+    df = ingest.normalize_payload(spark.createDataFrame([(t,) for t in texts], "auto_rater string"), "variant")
+    seen = df.agg(*ingest.nested_types(df).values()).first()
+    assert seen["auto_rater"] == "OBJECT<a: BIGINT, b: STRING, c: OBJECT<d: ARRAY<BIGINT>>>"
+    empty = df.where(~F.coalesce(F.schema_of_variant("auto_rater").startswith("OBJECT"), F.lit(False)))
+    assert not (empty.agg(*ingest.nested_types(empty).values()).first()["auto_rater"] or "").startswith("OBJECT")
+
+
+
 def test_rest_to_raw_in_one_go(spark, tmp_path):
     lake = pipeline.Lake(str(tmp_path))
     fetch = lambda url: [{"id": f"{url}{i}", "text": "fine", "rating": 4} for i in range(3)]
